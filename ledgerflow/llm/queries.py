@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerflow.llm import exact_dedup, language_id, license_scan, secret_scan
+from ledgerflow.llm import exact_dedup, language_id, license_scan, metric_search, secret_scan, source_mixing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,6 +31,10 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan_licenses(documents(spark, sf_dir))
 
 
+def op3_metric_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metric_search.top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 50 == 0)
+
+
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.secret_spans(documents(spark, sf_dir))
     base = F.filter("spans", lambda s: s["kind"].isin(*secret_scan.BASE_RULES))
@@ -48,14 +52,30 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_copies(documents(spark, sf_dir), digest=True).withColumnRenamed("content_sha256", "text_sha256")
 
 
+def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_mixing.mix(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
     "op1_language_id": op1_language_id,
     "op2_license_scan": op2_license_scan,
+    "op3_metric_search": op3_metric_search,
     "op4_secret_scan": op4_secret_scan,
     "op8_exact_dedup": op8_exact_dedup,
+    "op10_source_mixing": op10_source_mixing,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op3_metric_search": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+            WHERE vec_id IS NOT NULL AND len(embedding) > 0
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (
+            SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
+            FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 50 = 0)
+        SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score
+        FROM s QUALIFY rank <= 5""",
     "op8_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
                doc_id = max(doc_id) OVER w AS kept, sha256(t) AS text_sha256

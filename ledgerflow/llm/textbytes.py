@@ -117,3 +117,23 @@ def rows_of(starts: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 def counts_by_row(starts: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     at = np.searchsorted(starts, offsets)
     return np.diff(at)
+
+
+class HashIndex:
+    """Look-up of evenly spread 64-bit hashes: their first bits lead next to the place in sorted order."""
+
+    def __init__(self, hashes: np.ndarray):
+        """hashes: sorted, without repeats."""
+        bits = min(20, max(4, int(len(hashes)).bit_length() + 1))
+        self.shift = np.uint64(64 - bits)
+        self.sorted = np.append(hashes, np.uint64(MASK))
+        self.first = np.append(0, np.cumsum(np.bincount((hashes >> self.shift).astype(np.int64), minlength=1 << bits)))[:-1]
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """Positions in sorted order, len(hashes of the index) at most; check ``sorted[at] == hash``."""
+        at = self.first[(hashes >> self.shift).astype(np.int64)]
+        behind = np.flatnonzero(self.sorted[at] < hashes)
+        while len(behind):
+            at[behind] += 1
+            behind = behind[self.sorted[at[behind]] < hashes[behind]]
+        return at
