@@ -1,7 +1,7 @@
 """Exact copies by progressive refinement: length, then prefix hash, then full hash.
 
 Each step keeps only the keys that at least two rows share. The shared keys of a step go
-to the next one as a bitmap of fixed size (``FILTER_BITS`` bits, 1 MB), which is the only
+to the next one as a bitmap of fixed size (1 MB, see key_filter), which is the only
 thing that is broadcast: a row whose bit is not set cannot have a copy, and its content is
 not looked at any further. A bit that is set by chance costs work, never a wrong result,
 because groups are formed by the full hash in the end. Only keys and hashes are shuffled.
@@ -12,10 +12,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerflow.llm.key_filter import bitmaps, marked
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-FILTER_BITS = 1 << 23
 PREFIX_CHARS = 64
-_BUCKET = 32768  # bits of one bitmap of bitmap_construct_agg
 
 
 def normalised(text: Column) -> Column:
@@ -23,28 +23,6 @@ def normalised(text: Column) -> Column:
     return F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)
 
 
-def _slot(*keys: Column) -> Column:
-    return F.pmod(F.xxhash64(*keys), F.lit(FILTER_BITS))
-
-
-def _bitmaps(shared: DataFrame, *keys: Column) -> DataFrame:
-    """At most FILTER_BITS / 32768 rows: which slots the keys fall into."""
-    slot = shared.select(_slot(*keys).alias("slot"))
-    return slot.groupBy((F.col("slot") / _BUCKET).cast("int").alias("bucket")).agg(
-        F.bitmap_construct_agg(F.col("slot") % _BUCKET).alias("bits")
-    )
-
-
-def _marked(rows: DataFrame, bitmaps: DataFrame, *keys: Column, name: str) -> DataFrame:
-    """rows with a boolean column: may the keys be among those of the bitmaps?"""
-    out = rows.withColumn("slot", _slot(*keys)).withColumn("bucket", (F.col("slot") / _BUCKET).cast("int"))
-    out = out.join(F.broadcast(bitmaps), "bucket", "left")
-    at = (F.col("slot") % _BUCKET).cast("int")
-    byte = F.conv(F.hex(F.substring(F.col("bits"), (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    bit = byte.bitwiseAND(F.pow(F.lit(2), at % 8).cast("int")) != 0
-    return out.withColumn(name, F.coalesce(bit, F.lit(False))).drop("slot", "bucket", "bits")
-
-
 def _refined(docs: DataFrame, id_col: str, text_col: str, digest: bool, row: Column) -> tuple[DataFrame, DataFrame]:
     """(rows: id, row, size, by_prefix, content_sha256; groups of two rows or more: g_sha, keep_id, group_size)."""
     base = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), row.alias("row"))
@@ -52,11 +30,11 @@ def _refined(docs: DataFrame, id_col: str, text_col: str, digest: bool, row: Col
     prefix = F.xxhash64(normalised(F.substring(F.col("text"), 1, PREFIX_CHARS)))
 
     lengths = base.groupBy("size").agg(F.count("*").alias("n")).where("n > 1")
-    same_length = _marked(base, _bitmaps(lengths, F.col("size")), F.col("size"), name="by_length")
+    same_length = marked(base, bitmaps(lengths, F.col("size")), F.col("size"), name="by_length")
     same_length = same_length.withColumn("prefix", F.when(F.col("by_length"), prefix))
     prefixes = same_length.where("by_length").groupBy("size", "prefix").agg(F.count("*").alias("n")).where("n > 1")
     keys = (F.col("size"), F.col("prefix"))
-    same_prefix = _marked(same_length, _bitmaps(prefixes, *keys), *keys, name="by_prefix")
+    same_prefix = marked(same_length, bitmaps(prefixes, *keys), *keys, name="by_prefix")
 
     full = F.sha2(F.encode(normalised(F.col("text")), "utf-8"), 256)
     rows = same_prefix.select("id", "row", "size", "by_prefix", (full if digest else F.when(F.col("by_prefix"), full)).alias("content_sha256"))

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerflow.llm import exact_dedup, language_id, license_scan, metric_search, secret_scan, source_mixing
+from ledgerflow.llm import exact_dedup, jaccard_join, language_id, license_scan, metric_search, piece_codec, secret_scan, source_mixing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -48,10 +49,29 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_digests(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def token_digests(docs: DataFrame, model_file: str) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256 and decoded_sha256: encode, decode, and digest both."""
+    both = piece_codec.decode(piece_codec.encode(docs, model_file), model_file)
+    return both.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        sha256_text(F.array_join(F.col("ids").cast("array<string>"), " ")).alias("ids_sha256"),
+        sha256_text(F.col("text")).alias("decoded_sha256"),
+    )
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_copies(documents(spark, sf_dir), digest=True).withColumnRenamed("content_sha256", "text_sha256")
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.link_components(documents(spark, sf_dir))
+
+
 def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_mixing.mix(documents(spark, sf_dir))
 
@@ -61,7 +81,9 @@ QUERIES: dict[str, Query] = {
     "op2_license_scan": op2_license_scan,
     "op3_metric_search": op3_metric_search,
     "op4_secret_scan": op4_secret_scan,
+    "op6_piece_codec": op6_piece_codec,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_jaccard_join": op9_jaccard_join,
     "op10_source_mixing": op10_source_mixing,
 }
 
