@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerflow.llm import exact_dedup, jaccard_join, language_id, license_scan, metric_search, piece_codec, secret_scan, source_mixing
+from ledgerflow.llm import exact_dedup, jaccard_join, language_id, license_scan, metric_search, piece_codec, quality_sampling, secret_scan, source_mixing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -49,6 +49,10 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_quality_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_sampling.quality_sample(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op6_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
 
@@ -81,6 +85,7 @@ QUERIES: dict[str, Query] = {
     "op2_license_scan": op2_license_scan,
     "op3_metric_search": op3_metric_search,
     "op4_secret_scan": op4_secret_scan,
+    "op5_quality_sampling": op5_quality_sampling,
     "op6_piece_codec": op6_piece_codec,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_jaccard_join": op9_jaccard_join,
