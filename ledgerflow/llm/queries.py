@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerflow.llm import exact_dedup, jaccard_join, language_id, license_scan, metric_search, piece_codec, quality_sampling, secret_scan, source_mixing
+from ledgerflow.llm import exact_dedup, jaccard_join, language_id, license_scan, metric_search, piece_codec, quality_sampling, secret_scan, source_mixing, suffix_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -68,6 +68,14 @@ def token_digests(docs: DataFrame, model_file: str) -> DataFrame:
     )
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup.remove_repeats(documents(spark, sf_dir))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return out.select(
+        "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_copies(documents(spark, sf_dir), digest=True).withColumnRenamed("content_sha256", "text_sha256")
 
@@ -87,6 +95,7 @@ QUERIES: dict[str, Query] = {
     "op4_secret_scan": op4_secret_scan,
     "op5_quality_sampling": op5_quality_sampling,
     "op6_piece_codec": op6_piece_codec,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_source_mixing": op10_source_mixing,
