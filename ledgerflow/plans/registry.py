@@ -6,5 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerflow.plans import change_queries
+
+_MODULES = (change_queries,)
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
+for _m in _MODULES:
+    QUERIES |= _m.QUERIES
+    ORACLE_SQL |= _m.ORACLE_SQL
