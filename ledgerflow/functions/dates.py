@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -15,28 +17,40 @@ def _number(text: Column) -> Column:
     return text.rlike(r"^[+-]?\d+(\.\d+)?$")
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value) with value computed once, however often the body names it."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _timestamp(text: Column) -> Column:
+    def epoch(n: Column) -> Column:
+        seconds = F.when(F.abs(n) > MILLIS_FROM, n / 1000).otherwise(n)
+        return F.when(F.abs(n) < 2e14, F.timestamp_micros((seconds * 1_000_000).cast("long")))
+
+    numeric = _let(text.try_cast("double"), epoch)
+    return F.when(_number(text), numeric).otherwise(F.try_to_timestamp(F.regexp_replace(text, "Z$", "+00:00")))
+
+
 def parse_timestamp(c: Column) -> Column:
     """Epoch seconds or milliseconds, or ISO text; without an offset it counts as UTC."""
-    text = clean(c.cast("string"))
-    n = F.when(_number(text), text.try_cast("double"))
-    seconds = F.when(F.abs(n) > MILLIS_FROM, n / 1000).otherwise(n)
-    epoch = F.when(F.abs(seconds) < 2e11, F.timestamp_micros((seconds * 1_000_000).cast("long")))
-    iso = F.when(~_number(text), F.try_to_timestamp(F.regexp_replace(text, "Z$", "+00:00")))
-    return F.coalesce(epoch, iso)
+    return _let(clean(c.cast("string")), _timestamp)
+
+
+def _date(text: Column) -> Column:
+    return (
+        F.when(_number(text), _timestamp(text).cast("date"))
+        .when(text.rlike(r"^\d{1,2}/\d{1,2}/\d{4}$"), F.try_to_date(text, "M/d/yyyy"))
+        .when(text.rlike(r"^\d{1,2}/\d{1,2}/\d{2}$"), F.try_to_date(text, "M/d/yy"))
+        .when(text.rlike(r"^\d{4}-\d{2}-\d{2}"), F.try_to_date(F.substring(text, 1, 10), "yyyy-MM-dd"))
+    )
 
 
 def parse_date(c: Column, low: int | None = None, high: int | None = None) -> Column:
     """Epoch, ISO, MM/dd/yyyy or MM/dd/yy as a date; outside the years low..high it is null."""
-    text = clean(c.cast("string"))
-    slashed = F.coalesce(
-        F.when(text.rlike(r"^\d{1,2}/\d{1,2}/\d{4}$"), F.try_to_date(text, "M/d/yyyy")),
-        F.when(text.rlike(r"^\d{1,2}/\d{1,2}/\d{2}$"), F.try_to_date(text, "M/d/yy")),
-    )
-    leading = F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}"), F.try_to_date(F.substring(text, 1, 10), "yyyy-MM-dd"))
-    day = F.coalesce(F.when(_number(text), parse_timestamp(c).cast("date")), slashed, leading)
+    day = _let(clean(c.cast("string")), _date)
     if low is None and high is None:
         return day
-    return F.when(F.year(day).between(low or 0, high or 9999), day)
+    return _let(day, lambda d: F.when(F.year(d).between(low or 0, high or 9999), d))
 
 
 def first_valid(*named: tuple[str, Column]) -> Column:
