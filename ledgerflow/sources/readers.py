@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from ledgerflow.functions.ids import fingerprint
 from ledgerflow.functions.text import restore_csv_cell
@@ -36,7 +37,7 @@ def read_rows(spark: SparkSession, path: str) -> DataFrame:
     if name.endswith(".json"):
         df = spark.read.json(path, multiLine=True)
         for inner in ("records", "features"):
-            if df.columns == [inner]:
+            if isinstance(df.schema[inner].dataType if inner in df.columns else None, ArrayType):
                 return df.select(F.explode(inner).alias("r")).select("r.*")
         return df
     raise ValueError(f"no reader for {path}")
