@@ -10,12 +10,15 @@ least 3/4. The steps:
    prefixes out by shingle; shingles of one record end there.
 3. Records that share a prefix shingle become candidates if the length filter and the positional
    filter allow it. Where more than ``GROUP`` records meet on one shingle, each is only paired
-   with the first of them (the hub), so the number of pairs stays in proportion to the rows.
+   with the first ``HUBS`` of them, so the number of pairs stays in proportion to the rows. Those
+   come first whose prefixes hold the most frequent shingles: among near copies of one text, they
+   are the least changed, and most others link with them.
 4. The suffix filter bounds the overlap of a pair by the sizes of both sets in ``BINS`` hash
-   ranges. What is left is verified once per pair on the full sets.
-5. Records of a large group that are not yet connected with its hub are then paired with the
-   others of the group, unless their exact distances to the hub differ by more than 1/4: by the
-   triangle inequality of the Jaccard distance such a pair cannot link. So no link between
+   classes. What is left is verified once per pair on the full sets.
+5. Records of a large group that are not yet connected with its first hub are then paired with the
+   others of the group that they are not connected with, unless the suffix filter with ``FINE``
+   classes, or their distances to that hub, rule it out: if these differ by more than 1/4, the
+   triangle inequality of the Jaccard distance says that the pair cannot link. So no link between
    components is missed.
 
 Only records with candidates have their sets shuffled; texts never are.
@@ -27,20 +30,26 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerflow.llm.components import components
 from ledgerflow.llm.key_filter import bitmaps, marked
-from ledgerflow.llm.shared import written
+from ledgerflow.llm.shared import small_batches, written
 from ledgerflow.llm.textbytes import LOWER, counts_by_row, mix, pieces, prefix_sums, rows_of, span_hash, spans, string_buffers
 
 WORDS = 5
 COUNT_BITS = 20
 COUNT_SLOTS = 1 << COUNT_BITS
 COUNT_BLOCK = 1 << 12
-GROUP = 16
-BINS = 64
+GROUP, HUBS = 6, 3
+BLOCK = 512
+BINS, FINE = 128, 512
+
+# A place: 255 - how frequent the record's prefix is << 55 | size of its set << 28 | position
+_CALM, _SIZE, _AT = 55, 28, (1 << 28) - 1
+_SIZE_MASK = (1 << (_CALM - _SIZE)) - 1
 
 #: All bytes but blank and the control characters from tab to carriage return.
 WORD_BYTE = np.ones(256, bool)
@@ -93,14 +102,22 @@ def _records(rows: np.ndarray, hashes: np.ndarray, n: int) -> tuple[np.ndarray,
     return size, rid.view(np.int64)
 
 
-def _bins(rows: np.ndarray, hashes: np.ndarray, n: int) -> np.ndarray:
-    cell = rows * BINS + (hashes & np.uint64(BINS - 1)).astype(np.int64)
-    return np.bincount(cell, minlength=n * BINS).astype(np.int32)
+def _bins(rows: np.ndarray, hashes: np.ndarray, n: int, bins: int) -> np.ndarray:
+    cell = rows * bins + (hashes & np.uint64(bins - 1)).astype(np.int64)
+    return np.bincount(cell, minlength=n * bins).astype(np.int32)
+
+
+def _fine(rows: np.ndarray, hashes: np.ndarray, n: int) -> pa.Array:
+    """FINE counts of each text in a byte each; null where one does not fit."""
+    counts = _bins(rows, hashes, n, FINE).reshape(n, FINE)
+    offsets = pa.py_buffer((np.arange(n + 1, dtype=np.int32) * FINE).tobytes())
+    raw = pa.BinaryArray.from_buffers(pa.binary(), n, [None, offsets, pa.py_buffer(np.minimum(counts, 255).astype(np.uint8).tobytes())])
+    return pc.if_else(pa.array(counts.max(axis=1, initial=0) < 255), raw, pa.scalar(None, pa.binary()))
 
 
 def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row (id, size, rid, bins) per text, and at the end the partition's counts (block, counts)."""
-    schema = pa.schema([("id", pa.int64()), ("size", pa.int64()), ("rid", pa.int64()), ("bins", pa.list_(pa.int32())), ("block", pa.int32()), ("counts", pa.list_(pa.int32()))])
+    """A row (id, size, rid, bins, fine) per text, and at the end the partition's counts (block, counts)."""
+    schema = pa.schema([("id", pa.int64()), ("size", pa.int64()), ("rid", pa.int64()), ("bins", pa.list_(pa.int32())), ("fine", pa.binary()), ("block", pa.int32()), ("counts", pa.list_(pa.int32()))])
     counts = np.zeros(COUNT_SLOTS, np.int64)
     for batch in batches:
         offsets, data = string_buffers(batch.column("text"))
@@ -109,9 +126,9 @@ def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             rows, hashes = shingle_sets(offsets[a : b + 1] - offsets[a], data[offsets[a] : offsets[b]])
             counts += np.bincount((hashes >> np.uint64(64 - COUNT_BITS)).astype(np.int64), minlength=COUNT_SLOTS)
             size, rid = _records(rows, hashes, n)
-            bins = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * BINS), pa.array(_bins(rows, hashes, n)))
+            bins = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * BINS), pa.array(_bins(rows, hashes, n, BINS)))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id").slice(a, n), pa.array(size.astype(np.int64)), pa.array(rid), bins, pa.nulls(n, pa.int32()), pa.nulls(n, schema.field("counts").type)], schema=schema
+                [batch.column("id").slice(a, n), pa.array(size.astype(np.int64)), pa.array(rid), bins, _fine(rows, hashes, n), pa.nulls(n, pa.int32()), pa.nulls(n, schema.field("counts").type)], schema=schema
             )
     blocks = counts.reshape(-1, COUNT_BLOCK)
     used = np.flatnonzero(blocks.any(axis=1))
@@ -119,7 +136,7 @@ def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = len(used)
         lists = pa.ListArray.from_arrays(pa.array(np.arange(m + 1, dtype=np.int32) * COUNT_BLOCK), pa.array(np.minimum(blocks[used], 2**31 - 1).astype(np.int32).ravel()))
         none = [pa.nulls(m, pa.int64())] * 3
-        yield pa.RecordBatch.from_arrays([*none, pa.nulls(m, schema.field("bins").type), pa.array(used.astype(np.int32)), lists], schema=schema)
+        yield pa.RecordBatch.from_arrays([*none, pa.nulls(m, schema.field("bins").type), pa.nulls(m, pa.binary()), pa.array(used.astype(np.int32)), lists], schema=schema)
 
 
 def _add_up(table: pa.Table) -> pa.Table:
@@ -143,7 +160,7 @@ def _slot_counts(survey: DataFrame) -> np.ndarray:
 
 
 def _prefixes(batches: Iterator[pa.RecordBatch], counts: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """(token, rid, place = size and position) of the prefix of every record; a record once per task."""
+    """(token, rid, place) of the prefix of every record; a record once per task."""
     seen: set[int] = set()
     for batch in batches:
         offsets, data = string_buffers(batch.column("text"))
@@ -165,56 +182,64 @@ def _prefixes(batches: Iterator[pa.RecordBatch], counts: np.ndarray) -> Iterator
             rows, hashes = rows[order], hashes[order]
             position = np.arange(len(rows)) - (np.cumsum(size) - size)[rows]
             inside = position < (size - (3 * size + 3) // 4 + 1)[rows]
-            rows, position = rows[inside], position[inside]
-            place = (size[rows] << 32) + position
+            rows, position, count = rows[inside], position[inside], count[order][inside]
+            known = np.maximum(np.bincount(rows, minlength=n), 1)
+            calm = 255 - np.minimum(np.bincount(rows, weights=np.log2(count + 1.0), minlength=n) / known * 8, 255).astype(np.int64)
+            place = (calm[rows] << _CALM) + (size[rows] << _SIZE) + position
             yield pa.RecordBatch.from_arrays([pa.array(hashes[inside].view(np.int64)), pa.array(rid[rows]), pa.array(place)], names=["token", "rid", "place"])
 
 
-_MEET = pa.schema([("token", pa.int64()), ("a", pa.int64()), ("b", pa.int64()), ("a_place", pa.int64()), ("b_place", pa.int64()), ("hub", pa.bool_())])
-_MEET_SQL = "token long, a long, b long, a_place long, b_place long, hub boolean"
+_MEET = pa.schema([("token", pa.int64()), ("a", pa.int64()), ("b", pa.int64()), ("size", pa.int64()), ("hub", pa.bool_())])
+_MEET_SQL = "token long, a long, b long, size long, hub boolean"
 
 
 def _possible(a_place: np.ndarray, b_place: np.ndarray) -> np.ndarray:
     """Length filter and positional filter."""
-    n, i, m, j = a_place >> 32, a_place & 0xFFFFFFFF, b_place >> 32, b_place & 0xFFFFFFFF
+    n, i, m, j = a_place >> _SIZE & _SIZE_MASK, a_place & _AT, b_place >> _SIZE & _SIZE_MASK, b_place & _AT
     most = np.minimum(i, j) + 1 + np.minimum(n - i, m - j) - 1
     return (4 * np.minimum(n, m) >= 3 * np.maximum(n, m)) & (7 * most >= 3 * (n + m))
 
 
 def _meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of records that share a token, from rows in order of token and record.
+    """Pairs of records that share a token, from rows in order of token, place and record.
 
-    Groups of up to GROUP records give all their pairs, larger ones those with their first record.
-    At most GROUP rows, and the first record of a large group, are kept from batch to batch.
+    Groups of up to GROUP records give all their pairs, larger ones those with their first HUBS
+    records; pairs with the very first carry hub. At most GROUP rows, and the hubs of one large group, are kept from batch to batch.
     """
     held = np.zeros((0, 3), np.int64)
-    hub: np.ndarray | None = None  # first row of the large group that the last batch ended in
+    hubs = held  # the first rows of the large group that the last batch ended in
+    behind = 0  # how many of its rows have been seen
     last: tuple[int, int] | None = None
 
-    def pairs(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
+    def emit(x: np.ndarray, y: np.ndarray, first: np.ndarray) -> Iterator[pa.RecordBatch]:
+        ok = first | _possible(x[:, 2], y[:, 2])
+        x, y, first = x[ok], y[ok], first[ok]
+        if len(x):
+            size = y[:, 2] >> _SIZE & _SIZE_MASK
+            yield pa.RecordBatch.from_arrays([pa.array(x[:, 0]), pa.array(x[:, 1]), pa.array(y[:, 1]), pa.array(size), pa.array(first)], schema=_MEET)
+
+    def large(hubs: np.ndarray, rows: np.ndarray, since: int) -> Iterator[pa.RecordBatch]:
+        """Rows of one large group, numbered from ``since``, with its hubs."""
+        rank = since + np.arange(len(rows))
+        for k in range(len(hubs)):
+            later = rank > k
+            n = int(later.sum())
+            if n:
+                yield from emit(np.repeat(hubs[k : k + 1], n, axis=0), rows[later], np.full(n, k == 0))
+
+    def groups(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """All pairs of small groups, and the pairs of large ones, that lie in rows as a whole."""
         if not len(rows):
             return
         start = np.flatnonzero(np.append(True, rows[1:, 0] != rows[:-1, 0]))
         size = np.diff(np.append(start, len(rows)))
-        first, second, large = [], [], []
         for k in np.unique(size[(size > 1) & (size <= GROUP)]):
             at = start[size == k]
             i, j = np.triu_indices(int(k), 1)
-            first.append((at[:, None] + i).ravel())
-            second.append((at[:, None] + j).ravel())
-            large.append(np.zeros(len(at) * len(i), bool))
+            x, y = (at[:, None] + i).ravel(), (at[:, None] + j).ravel()
+            yield from emit(rows[x], rows[y], np.zeros(len(x), bool))
         for at, k in zip(start[size > GROUP], size[size > GROUP], strict=True):
-            first.append(np.full(k - 1, at))
-            second.append(at + np.arange(1, k))
-            large.append(np.ones(k - 1, bool))
-        if first:
-            yield from emit(rows[np.concatenate(first)], rows[np.concatenate(second)], np.concatenate(large))
-
-    def emit(x: np.ndarray, y: np.ndarray, large: np.ndarray) -> Iterator[pa.RecordBatch]:
-        ok = large | _possible(x[:, 2], y[:, 2])
-        x, y, large = x[ok], y[ok], large[ok]
-        if len(x):
-            yield pa.RecordBatch.from_arrays([pa.array(x[:, 0]), pa.array(x[:, 1]), pa.array(y[:, 1]), pa.array(x[:, 2]), pa.array(y[:, 2]), pa.array(large)], schema=_MEET)
+            yield from large(rows[at : at + HUBS], rows[at : at + k], 0)
 
     for batch in batches:
         rows = np.column_stack([batch.column(c).to_numpy() for c in ("token", "rid", "place")])
@@ -223,25 +248,25 @@ def _meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         repeat = np.append(last == (int(rows[0, 0]), int(rows[0, 1])), (rows[1:, 0] == rows[:-1, 0]) & (rows[1:, 1] == rows[:-1, 1]))
         last = (int(rows[-1, 0]), int(rows[-1, 1]))
         rows = rows[~repeat]
-        if hub is not None:
-            more = int((rows[:, 0] == hub[0]).sum())  # they stand in front
-            if more:
-                yield from emit(np.repeat(hub[None, :], more, axis=0), rows[:more], np.ones(more, bool))
+        if len(hubs):
+            more = int((rows[:, 0] == hubs[0, 0]).sum())  # they stand in front
+            yield from large(hubs, rows[:more], behind)
+            behind += more
             rows = rows[more:]
             if not len(rows):
                 continue
-            hub = None
+            hubs = np.zeros((0, 3), np.int64)
         rows = np.concatenate([held, rows])
         if not len(rows):
             continue
         tail = int(np.searchsorted(rows[:, 0], rows[-1, 0]))
         if len(rows) - tail > GROUP:
-            hub, held = rows[tail], np.zeros((0, 3), np.int64)
-            yield from pairs(rows)
+            hubs, behind, held = rows[tail : tail + HUBS].copy(), len(rows) - tail, np.zeros((0, 3), np.int64)
+            yield from groups(rows)
         else:
             held = rows[tail:]
-            yield from pairs(rows[:tail])
-    yield from pairs(held)
+            yield from groups(rows[:tail])
+    yield from groups(held)
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -263,12 +288,14 @@ def _verified(pairs: DataFrame, records: DataFrame, docs: DataFrame) -> DataFram
     asked = pairs.select(F.explode(F.array("a", "b")).alias("rid")).distinct()
     where = written(asked.join(records, "rid").select("rid", F.col("keep").alias("id")))
     some = marked(docs, bitmaps(where, F.col("id")), F.col("id"), name="asked").where("asked").select("text")
-    sets = some.mapInArrow(_sets, "rid long, set array<long>").join(where.select("rid"), "rid").dropDuplicates(["rid"])
-    sets = written(sets, "uncompressed")
+    # a few more sets than asked for, by chance bits; the joins leave them out
+    sets = written(some.mapInArrow(_sets, "rid long, set array<long>"), "uncompressed")
     left = sets.select(F.col("rid").alias("a"), F.col("set").alias("a_set"))
     right = sets.select(F.col("rid").alias("b"), F.col("set").alias("b_set"))
     met = pairs.join(left, "a").join(right, "b")
-    return met.select("a", "b", F.size("a_set").alias("n"), F.size("b_set").alias("m"), F.size(F.array_intersect("a_set", "b_set")).alias("common"))
+    sized = met.select("a", "b", F.size("a_set").alias("n"), F.size("b_set").alias("m"), F.size(F.array_intersect("a_set", "b_set")).alias("common"))
+    # a pair stands once, also where a record's set does not
+    return sized.groupBy("a", "b").agg(*[F.first(c).alias(c) for c in ("n", "m", "common")])
 
 
 def _suffix_filter(pairs: DataFrame, records: DataFrame) -> DataFrame:
@@ -277,7 +304,7 @@ def _suffix_filter(pairs: DataFrame, records: DataFrame) -> DataFrame:
     right = records.select(F.col("rid").alias("b"), F.col("size").alias("m"), F.col("bins").alias("b_bins"))
     both = pairs.join(left, "a").join(right, "b")
     most = F.aggregate(F.zip_with("a_bins", "b_bins", lambda x, y: F.least(x, y)), F.lit(0), lambda s, x: s + x)
-    return both.where(_linked(most, F.col("n"), F.col("m")) | F.col("hub")).select("a", "b")
+    return both.where(_linked(most, F.col("n"), F.col("m"))).select("a", "b")
 
 
 def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -291,23 +318,24 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     columns play no part.
     """
     docs = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
-    survey = written(docs.mapInArrow(_survey, "id long, size long, rid long, bins array<int>, block int, counts array<int>"))
+    small_batches(docs.sparkSession)
+    survey = written(docs.mapInArrow(_survey, "id long, size long, rid long, bins array<int>, fine binary, block int, counts array<int>"))
     rows = survey.where("block is null")
     full = rows.where("size > 0")
-    records = written(full.groupBy("rid").agg(F.min("id").alias("keep"), F.first("size").alias("size"), F.first("bins").alias("bins")))
+    records = written(full.groupBy("rid").agg(F.min("id").alias("keep"), F.first("size").alias("size"), F.first("bins").alias("bins"), F.first("fine").alias("fine")))
     counts = docs.sparkSession.sparkContext.broadcast(_slot_counts(survey))  # a fixed COUNT_SLOTS numbers
 
     prefixes = docs.mapInArrow(lambda it: _prefixes(it, counts.value), "token long, rid long, place long")
-    dealt = prefixes.repartition("token").sortWithinPartitions("token", "rid")
+    dealt = prefixes.repartition("token").sortWithinPartitions("token", "place", "rid")
     met = written(dealt.mapInArrow(_meetings, _MEET_SQL))
-    pairs = written(_suffix_filter(met.groupBy("a", "b").agg(F.max("hub").alias("hub")), records))
+    both = met.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.count("*").alias("tokens"))
+    pairs = written(_suffix_filter(both, records))
     known = written(_verified(pairs, records, docs))
     is_link = _linked(F.col("common"), F.col("n"), F.col("m"))
     links = known.where(is_link).select("a", "b")
     labels = components(links)
     if not met.where("hub").isEmpty():
-        rest = _second_round(met.where("hub"), known, labels)
-        extra = written(_suffix_filter(rest.withColumn("hub", F.lit(False)), records))
+        extra = written(_second_round(met.where("hub"), known, labels, records))
         more = _verified(extra, records, docs).where(is_link).select("a", "b")
         labels = components(written(links.unionByName(more)))
 
@@ -320,30 +348,59 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return out.select(F.col("id").alias(id_col), F.col("size").alias("n_shingles"), F.col("component").alias("component_id"))
 
 
-def _second_round(met: DataFrame, known: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs of records in large groups, neither of them the hub, that are not connected and could link."""
+def _close_pairs(left: pa.Table, right: pa.Table) -> pa.Table:
+    """Pairs of a block of records outside a hub's component and a block of its group that may link."""
+    out: list[np.ndarray] = [np.zeros((0, 2), np.int64)]
+    if left.num_rows and right.num_rows:
+        column = lambda t, c: t[c].to_numpy()
+
+        def counts(t: pa.Table) -> np.ndarray:
+            # a null signature rules nothing out
+            full = t["fine"].combine_chunks().fill_null(b"\xff" * FINE)
+            return string_buffers(full)[1].reshape(-1, FINE)
+
+        names = ("size", "low", "high", "label", "rid")
+        y_fine, (y_size, y_low, y_high, y_label, y_rid) = counts(right), (column(right, c) for c in names)
+        for fine, size, low, high, label, rid in zip(counts(left), *(column(left, c) for c in names), strict=True):
+            most = np.minimum(fine, y_fine).sum(axis=1, dtype=np.int64)
+            ok = (7 * most >= 3 * (size + y_size)) & (low - y_high <= 0.2500001) & (y_low - high <= 0.2500001) & (label != y_label)
+            ok &= 4 * np.minimum(size, y_size) >= 3 * np.maximum(size, y_size)
+            other = y_rid[ok]
+            out.append(np.column_stack([np.minimum(rid, other), np.maximum(rid, other)]))
+    pairs = np.unique(np.concatenate(out), axis=0)
+    return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
+
+
+def _second_round(met: DataFrame, known: DataFrame, labels: DataFrame, records: DataFrame) -> DataFrame:
+    """Pairs of records with the same first hub, that are not connected and could link.
+
+    The members of a hub are dealt into blocks of about BLOCK records; every block of those outside
+    its component meets every block of its group once, in a task of its own. The suffix filter, the
+    triangle inequality and the components are tested there, so only pairs that pass become rows.
+    """
     distance = known.select("a", "b", (1 - F.col("common") / (F.col("n") + F.col("m") - F.col("common"))).alias("far"))
-    here = met.join(distance, ["a", "b"])
+    distance = distance.unionByName(distance.select(F.col("b").alias("a"), F.col("a").alias("b"), "far"))
+    # a member that the filters keep from being compared with its hub is farther than 1/4 from it
+    here = met.groupBy("a", "b").agg(F.first("size").alias("size")).join(distance, ["a", "b"], "left")
     of_hub = labels.select(F.col("node").alias("a"), F.col("label").alias("hub_label"))
     of_one = labels.select(F.col("node").alias("b"), F.col("label").alias("own_label"))
-    here = here.join(of_hub, "a", "left").join(of_one, "b", "left").select(
-        "token", F.col("b").alias("rid"), F.col("b_place").alias("place"), "far",
-        F.coalesce("hub_label", "a").alias("hub_label"), F.coalesce("own_label", "b").alias("label"),
-    )
+    here = here.join(of_hub, "a", "left").join(of_one, "b", "left").join(records.select(F.col("rid").alias("b"), "fine"), "b").select(
+        F.col("a").alias("hub"), F.col("b").alias("rid"), "size", F.coalesce("far", F.lit(0.25)).alias("low"), F.coalesce("far", F.lit(1.0)).alias("high"),
+        F.coalesce("own_label", "b").alias("label"), "fine", F.coalesce("hub_label", "a").alias("hub_label")
+    )
     here = written(here)
-    outside = here.where("label <> hub_label")
-    inside = here.where("label = hub_label").groupBy("token").agg(F.max("far").alias("widest"))
-    alone = outside.groupBy("token").agg(F.count("*").alias("others"))
-    # those too far from all that are connected with the hub matter only if there are others like them
-    outside = outside.join(inside, "token", "left").join(alone, "token")
-    outside = outside.where((F.col("others") > 1) | (F.col("far") <= F.coalesce("widest", F.lit(0.0)) + 0.2500001))
-    x = outside.select("token", *[F.col(c).alias(f"x_{c}") for c in ("rid", "place", "far", "label")])
-    y = here.select("token", *[F.col(c).alias(f"y_{c}") for c in ("rid", "place", "far", "label")])
-    size = lambda c: F.shiftright(c, 32)
-    n, m = size("x_place"), size("y_place")
-    near = (F.abs(F.col("x_far") - F.col("y_far")) <= 0.2500001) & (4 * F.least(n, m) >= 3 * F.greatest(n, m))
-    both = x.join(y, "token").where((F.col("x_label") != F.col("y_label")) & near)
-    return both.select(F.least("x_rid", "y_rid").alias("a"), F.greatest("x_rid", "y_rid").alias("b")).distinct()
+    outside = F.col("label") != F.col("hub_label")
+    sizes = here.groupBy("hub").agg(F.count_if(outside).alias("out"), F.count("*").alias("all")).where("out > 0")
+    blocks = sizes.select("hub", F.ceil(F.col("out") / BLOCK).alias("x_blocks"), F.ceil(F.col("all") / BLOCK).alias("y_blocks"))
+    dealt = here.join(blocks, "hub")
+    block = lambda n: F.pmod(F.xxhash64("rid"), F.col(n)).cast("int")
+    each = lambda n: F.explode(F.sequence(F.lit(0), (F.col(n) - 1).cast("int")))
+    fresh = lambda df: df.select(*[F.col(c).alias(c) for c in ("hub", "rid", "size", "low", "high", "label", "fine", "x", "y")])
+    x = fresh(dealt.where(outside).withColumn("x", block("x_blocks")).withColumn("y", each("y_blocks")))
+    y = fresh(dealt.withColumn("y", block("y_blocks")).withColumn("x", each("x_blocks")))
+    by = ("hub", "x", "y")
+    pairs = x.groupBy(*by).cogroup(y.groupBy(*by)).applyInArrow(_close_pairs, "a long, b long")
+    return pairs.where("a <> b").distinct().join(known.select("a", "b"), ["a", "b"], "left_anti")
 
 
 def one_per_component(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
