@@ -22,13 +22,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerflow.llm.license_scan import WORD_BYTE
-from ledgerflow.llm.shared import written
+from ledgerflow.llm.shared import small_batches, written
 from ledgerflow.llm.textbytes import LOWER, mix, pieces, prefix_sums, rows_of, span_hash, spans, string_buffers
 
 BUCKETS = 1 << 14
 LENGTH = 100
 TARGET_ROWS = 20_000
 SHARE = 0.5
+PRIOR = 200.0
 _CELLS = 1 << 12
 
 
@@ -70,14 +71,15 @@ def _weigh(batches: Iterator[pa.RecordBatch], ratio: np.ndarray) -> Iterator[pa.
 
 
 def log_ratios(docs: DataFrame, is_target: Column) -> np.ndarray:
-    """log(target / raw) of every bucket, with one added to all counts. BUCKETS rows reach the driver."""
+    """log(target / raw) of every bucket; the target's counts are smoothed with PRIOR n-grams of the raw corpus. BUCKETS rows reach the driver."""
     rows = docs.select("text", F.coalesce(is_target, F.lit(False)).alias("good"))
     counts = rows.mapInArrow(_count, "bucket long, raw long, target long").groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
     got = counts.toPandas()
-    raw, target = np.ones(BUCKETS), np.ones(BUCKETS)
+    raw, target = np.full(BUCKETS, 0.01), np.zeros(BUCKETS)
     raw[got["bucket"]] += got["raw"]
     target[got["bucket"]] += got["target"]
-    return np.log(target / target.sum()) - np.log(raw / raw.sum())
+    share = raw / raw.sum()
+    return np.log((target + PRIOR * share) / (target.sum() + PRIOR)) - np.log(share)
 
 
 def kth_largest(rows: DataFrame, value: str, k: int) -> float:
@@ -109,6 +111,7 @@ def quality_sample(docs: DataFrame, labels: DataFrame, share: float = SHARE, see
     part; an empty table gives an empty result.
     """
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
+    small_batches(docs.sparkSession)
     good = labels.where((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0) & F.col("doc_id").isNotNull()).select("doc_id").distinct()
     many = good.count()
     chosen = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int((1 << 30) * min(1.0, TARGET_ROWS / max(1, many)))
