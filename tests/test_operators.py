@@ -124,7 +124,7 @@ def test_privacy(spark):
     df = spark.createDataFrame([(1, "mail a@b.org"), (2, "call (813)555-0100"), (3, "123-45-6789"), (4, "1234-45-67890"), (5, None)], "i long, t string")
     got = {r.i: r.label for r in df.select("i", privacy.pii_label(F.col("t")).alias("label")).collect()}
     assert got == {1: "email address", 2: "phone number", 3: "Social Security number", 4: None, 5: None}
-    assert spark.range(1).select(privacy.redact(F.lit("Bearer abc.def x?token=12&a=1 password: hush"))).first()[0] == "Bearer [redacted] x?token=[redacted]&a=1 password: [redacted]"
+    assert spark.range(1).select(privacy.redact(F.lit("Bearer abc.def x?signature=12&a=1 password: hush"))).first()[0] == "Bearer [redacted] x?signature=[redacted]&a=1 password: [redacted]"
     assert privacy.blocked_columns(spark.createDataFrame([("x", 1)], "Owner_Name string, id int")) == ["Owner_Name"]
 
 
