@@ -506,6 +506,11 @@ ORACLE_SQL = {
     "page_title": "SELECT page_id, nullif(trim(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)), '') AS title FROM pages",
     "page_links": r"""WITH a AS (SELECT page_id, regexp_extract_all(html, '(?is)<a\b[^>]*href\s*=\s*["''][^"'']*["''][^>]*>.*?</a>') AS l FROM pages), u AS (SELECT page_id, unnest(l) AS a, generate_subscripts(l, 1) - 1 AS position FROM a)
         SELECT page_id, position::INTEGER AS position, regexp_extract(a, '(?is)href\s*=\s*["'']([^"'']*)["'']', 1) AS href FROM u""",
+    "page_text": r"""WITH a AS (SELECT page_id, regexp_replace(regexp_replace(html, '(?is)<script\b.*?</script\s*>', ' ', 'g'), '(?is)<style\b.*?</style\s*>', ' ', 'g') AS t FROM pages),
+        b AS (SELECT page_id, regexp_replace(regexp_replace(t, '(?i)<br\s*/?>|</(p|div|li|tr|h[1-6])\s*>', chr(10), 'g'), '(?s)<[^>]*>', ' ', 'g') AS t FROM a),
+        c AS (SELECT page_id, replace(replace(replace(replace(replace(replace(t, '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', chr(39)), '&amp;', '&') AS t FROM b),
+        d AS (SELECT page_id, trim(regexp_replace(regexp_replace(t, '[ \t\x0B\f\r]+', ' ', 'g'), ' ?\n[ \n]*', chr(10), 'g')) AS t FROM c)
+        SELECT page_id, sha256(t) AS text_sha256, length(t)::INTEGER AS n FROM d""",
     "page_paragraphs": r"SELECT page_id, len(p) AS paragraphs FROM (SELECT page_id, regexp_extract_all(html, '(?is)<p\b[^>]*>(.*?)</p\s*>') AS p FROM pages) WHERE len(p) > 0",
     "spatial_contains": _POINTS + " SELECT p_id, s_id FROM pt JOIN sq ON lon >= x AND lon < x + 0.5 AND lat >= y AND lat < y + 0.5",
     "spatial_nearest": _POINTS + """, d AS (SELECT p_id, s_id, 6371000.0 * 2 * atan2(sqrt(a), sqrt(greatest(0, 1 - a))) AS m FROM (SELECT p_id, s_id, pow(sin(radians(y - lat) / 2), 2) + cos(radians(lat)) * cos(radians(y)) * pow(sin(radians(x - lon) / 2), 2) AS a FROM pt, sq))

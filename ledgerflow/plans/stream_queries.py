@@ -14,7 +14,7 @@ _EVENTS = "event_id long, ts timestamp_ntz, user_id long, event_type string, val
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events as a stream of one file per batch, with ts as an instant."""
-    raw = streams.feed(spark, sf_dir, _EVENTS, 1, pathGlobFilter="events.parquet")
+    raw = streams.feed(spark, f"{sf_dir}/events.parquet*", _EVENTS, 1)
     return raw.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
@@ -52,9 +52,8 @@ def stream_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversations' turns: rows held for personal data and rows passed on, by reason."""
     work = streams.work_folder(spark)
-    glob = "conversations.parquet" if "/sf" in sf_dir else "part-*.parquet"
-    path = sf_dir if "/sf" in sf_dir else f"{sf_dir}/conversations.parquet"
-    turns = streams.feed(spark, path, "conv_id long, turn long, role string, text string", 64, pathGlobFilter=glob)
+    # the pattern finds a single file as well as a folder of them
+    turns = streams.feed(spark, f"{sf_dir}/conversations.parquet*", "conv_id long, turn long, role string, text string")
     streams.drain(turns, "append", f"{work}/checkpoint", streams.gate(["text"], f"{work}/clean", f"{work}/held"))
     passed = spark.read.schema("conv_id long, batch int").parquet(f"{work}/clean").select(F.lit("passed").alias("reason"))
     held = spark.read.schema("reason string, batch int").parquet(f"{work}/held").select("reason")
@@ -82,6 +81,8 @@ ORACLE_SQL = {
     "stream_upsert": "SELECT user_id, arg_max(event_type, ts) AS event_type, strftime(min(ts), '%Y-%m-%d %H:%M:%S.%f') AS first_observed, strftime(max(ts), '%Y-%m-%d %H:%M:%S.%f') AS last_observed FROM events GROUP BY user_id",
     "stream_dedup": "SELECT event_id, event_type FROM events",
     "stream_daily": "SELECT strftime(ts, '%Y-%m') AS month, event_type, count(*) AS n FROM events GROUP BY ALL",
+    "stream_labels": """WITH b AS (SELECT make_timestamp(floor(quantile_cont(floor(epoch(ts)), 0.5))::BIGINT * 1000000) AS t FROM events)
+        SELECT CASE WHEN ts < t THEN 'retrospective' ELSE 'prospective' END AS temporal_label, count(*) AS n FROM events, b GROUP BY ALL""",
     "stream_gate": r"""SELECT coalesce(CASE WHEN regexp_matches(text, '(?i)\b[A-Z0-9._%+-]+@[A-Z0-9.-]+\.[A-Z]{2,}\b') THEN 'email address'
         WHEN regexp_matches(text, '(^|[^0-9])(\+?1[-. ]?)?(\([0-9]{3}\)|[0-9]{3}[-. ])[0-9]{3}[-. ][0-9]{4}($|[^0-9])') THEN 'phone number'
         WHEN regexp_matches(text, '(^|[^0-9])[0-9]{3}-[0-9]{2}-[0-9]{4}($|[^0-9])') THEN 'Social Security number' END, 'passed') AS reason, count(*) AS n FROM conversations GROUP BY ALL""",
