@@ -25,6 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerflow.llm.shared import small_batches
 from ledgerflow.llm.textbytes import LOWER, pieces, string_buffers
 
 ORDER = 3
@@ -188,6 +189,7 @@ def predict(docs: DataFrame, model: PpmModel, text: str = "text", keep: dict[str
         F.col(text).alias("text"),
         F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)).alias("letters"),
     )
+    small_batches(spark)
     shared = spark.sparkContext.broadcast(model)
     kept = rows.select(*keep).schema
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)

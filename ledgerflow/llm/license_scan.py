@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ledgerflow.llm.shared import small_batches
 from ledgerflow.llm.textbytes import BASE2, LOWER, counts_by_row, mix, pieces, prefix_sums, rows_of, span_hash, spans, string_buffers
 
 #: Phrases of the contract and their labels.
@@ -118,6 +119,7 @@ def license_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
     spark = docs.sparkSession
     names = [*PHRASES, *WORDINGS]
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(key).alias("key"), F.col(text).alias("text"))
+    small_batches(spark)
     kind = rows.schema["key"].dataType.simpleString()
     grams = rows.mapInArrow(_grams, f"row long, key {kind}, position int, hash long, second long")
     met = grams.join(F.broadcast(templates(spark)), (F.col("hash") == F.col("t_hash")) & (F.col("second") - F.col("t_second") == 0), "left")

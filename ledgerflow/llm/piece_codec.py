@@ -26,6 +26,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerflow.llm.shared import small_batches
 from ledgerflow.llm.textbytes import HashIndex, mix, pieces, powers, string_buffers
 
 BLANK = 0x2581
@@ -298,6 +299,20 @@ def _decode(batches: Iterator[pa.RecordBatch], text: list[bytes]) -> Iterator[pa
             yield pa.RecordBatch.from_arrays([batch.column("key").slice(a, b - a), ids.slice(a, b - a), texts], names=["key", "ids", "text"])
 
 
+def round_trip(docs: DataFrame, model_file: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """key, ids and decoded text of every row of docs: encode and decode in one pass over the batches."""
+    rows = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"))
+    small_batches(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(Vocabulary(model_file))
+    kind = rows.schema["key"].dataType.simpleString()
+
+    def both(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _decode(_encode(batches, shared.value), shared.value.text)
+
+    out = rows.mapInArrow(both, f"key {kind}, ids array<int>, text string")
+    return out.select(F.col("key").alias(key), "ids", "text")
+
+
 def encode(docs: DataFrame, model_file: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key and ids of every row of docs, as the library encodes it with an end id and no sampling.
 
@@ -305,6 +320,7 @@ def encode(docs: DataFrame, model_file: str, key: str = "doc_id", text: str = "t
     The vocabulary (a model's size, whatever the table's) is broadcast.
     """
     rows = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"))
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(Vocabulary(model_file))
     kind = rows.schema["key"].dataType.simpleString()
     out = rows.mapInArrow(lambda it: _encode(it, shared.value), f"key {kind}, ids array<int>")
@@ -318,6 +334,7 @@ def decode(encoded: DataFrame, model_file: str, key: str = "doc_id") -> DataFram
     control ids decode to nothing.
     """
     rows = encoded.select(F.col(f"`{key}`").alias("key"), F.coalesce("ids", F.array().cast("array<int>")).alias("ids"))
+    small_batches(encoded.sparkSession)
     shared = encoded.sparkSession.sparkContext.broadcast(Vocabulary(model_file).text)
     kind = rows.schema["key"].dataType.simpleString()
     out = rows.mapInArrow(lambda it: _decode(it, shared.value), f"key {kind}, ids array<int>, text string")

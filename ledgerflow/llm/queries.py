@@ -59,7 +59,7 @@ def op6_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def token_digests(docs: DataFrame, model_file: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 and decoded_sha256: encode, decode, and digest both."""
-    both = piece_codec.decode(piece_codec.encode(docs, model_file), model_file)
+    both = piece_codec.round_trip(docs, model_file)
     return both.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),

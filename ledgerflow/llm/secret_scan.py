@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerflow.llm.shared import small_batches
 from ledgerflow.llm.textbytes import pieces, string_buffers
 
 # A rule is a tree: ("set", bytes) | ("seq", parts) | ("alt", parts) | ("opt", part) | ("plus", part)
@@ -367,6 +368,7 @@ def secret_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     """
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
     kind = rows.schema["key"].dataType.simpleString()
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(automaton())
     out = rows.mapInArrow(lambda it: _scan(it, shared.value), f"key {kind}, spans array<struct<kind:string,start:long,end:long>>")
     return out.select(F.col("key").alias(key), "spans")
