@@ -48,7 +48,7 @@ def rows(seed: int = 5, n: int = 60) -> list[tuple]:
         (n + 6, "one two", "en", "src2", 7),
         (n + 6, "one two", "en", "src2", 7),
         (n + 7, "One Two", "en", "src2", 7),
-        (n + 8, "This work is licensed under the GNU General Public License, version 3. CC BY-NC 4.0 " * 3, "en", "src4", 250),
+        (n + 8, "This work is licensed under the GNU General Public License, version 3. Licensed under CC BY-NC 4.0. " * 3, "en", "src4", 250),
     ]
     return out
 
