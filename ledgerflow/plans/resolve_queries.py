@@ -150,6 +150,12 @@ def part_supplier_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resolve.connected(items)
 
 
+def part_supplier_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of the graph of all parts and suppliers over all line items; too large for a recursive SQL twin."""
+    items = table(spark, sf_dir, "lineitem").select((F.col("l_partkey") * 2).alias("a"), (F.col("l_suppkey") * 2 + 1).alias("b")).distinct()
+    return resolve.connected(items)
+
+
 def _portal(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     c = table(spark, sf_dir, "customer")
     key = F.col("c_custkey")
@@ -221,7 +227,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         cohort_table, monthly_events, event_date_hierarchy, planned_events, monthly_index, dense_series, year_rollup, temporal_label, stage_class, evidence_grade,
-        normalize_union, neighbourhood_summary, priority_merge, last_nonblank_merge, dedup_audit, components_aliases, part_supplier_components, crosswalk, integrate,
+        normalize_union, neighbourhood_summary, priority_merge, last_nonblank_merge, dedup_audit, components_aliases, part_supplier_components, part_supplier_graph, crosswalk, integrate,
         integrate_audit, candidate_pairs, reconcile_outer, upsert_latest, carry_forward, key_multiplicity,
     )
 }
