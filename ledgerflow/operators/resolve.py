@@ -203,6 +203,20 @@ def upsert(existing: DataFrame, incoming: DataFrame, key: str, columns: Sequence
     )
 
 
+def upsert_by_time(existing: DataFrame, incoming: DataFrame, key: str, columns: Sequence[str], seen: str) -> DataFrame:
+    """As upsert, but of two filled values the one seen later wins, whichever side it comes from; of equal times, the greater value.
+
+    existing and the result also have <column>_seen of each column: when its value was seen.
+    """
+    sides = [
+        existing.select(key, *[F.col(x) for c in columns for x in (c, f"{c}_seen")], "first_observed", "last_observed"),
+        incoming.select(key, *[x for c in columns for x in (F.col(c), F.col(seen).alias(f"{c}_seen"))], F.col(seen).alias("first_observed"), F.col(seen).alias("last_observed")),
+    ]
+    best = lambda c: F.max(F.when(F.nullif(F.col(c).cast("string"), F.lit("")).isNotNull(), F.struct(F.col(f"{c}_seen").alias("seen"), F.col(c).alias("value"))))
+    out = sides[0].unionByName(sides[1]).groupBy(key).agg(*[best(c).alias(c) for c in columns], F.min("first_observed").alias("first_observed"), F.max("last_observed").alias("last_observed"))
+    return out.select(key, *[x for c in columns for x in (F.col(f"{c}.value").alias(c), F.col(f"{c}.seen").alias(f"{c}_seen"))], "first_observed", "last_observed")
+
+
 def carry_forward(reviews: DataFrame, current: DataFrame, key: str, context: Sequence[str], reviewed: Sequence[str]) -> DataFrame:
     """current with the reviewed columns of a former review, where the context has not changed.
 

@@ -20,17 +20,17 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     work = streams.work_folder(spark)
-    state = streams.VersionedState(spark, f"{work}/state", "user_id long, event_type string, first_observed string, last_observed string")
-    merge = lambda old, new: resolve.upsert(old, new.withColumn("seen", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS")), "user_id", ("event_type",), "seen")
+    state = streams.VersionedState(spark, f"{work}/state", "user_id long, event_type string, event_type_seen string, first_observed string, last_observed string")
+    merge = lambda old, new: resolve.upsert_by_time(old, new.withColumn("seen", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS")), "user_id", ("event_type",), "seen")
     streams.drain(_events(spark, sf_dir), "append", f"{work}/checkpoint", streams.upsert_batches(state, merge))
-    return state.read()
+    return state.read().drop("event_type_seen")
 
 
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event replayed once more: each is kept once."""
     work = streams.work_folder(spark)
     twice = _events(spark, sf_dir).withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("copy")
-    streams.drain(streams.deduplicated(twice, ["event_id"], "ts", "1 day"), "append", f"{work}/checkpoint", f"{work}/out")
+    streams.drain(streams.deduplicated_always(twice, ["event_id"]), "append", f"{work}/checkpoint", f"{work}/out")
     return spark.read.schema(_EVENTS.replace("timestamp_ntz", "timestamp")).parquet(f"{work}/out").select("event_id", "event_type")
 
 
@@ -61,18 +61,18 @@ def stream_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_churn(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Users per event type against the state that the first half of the events has left."""
+    """Users per event type against the state that the first half of the events has left, over all batches."""
     work = streams.work_folder(spark)
     seen = streams.VersionedState(spark, f"{work}/seen", "user_id long")
-    out = streams.VersionedState(spark, f"{work}/churn", "event_type string, keys long, new_keys long, churn double")
+    met = streams.VersionedState(spark, f"{work}/met", "event_type string, user_id long")
 
     def apply(batch: DataFrame, number: int) -> None:
         early, late = batch.where("event_id % 2 = 0 and user_id % 3 <> 0"), batch.where("event_id % 2 = 1")
-        seen.replace(seen.read().unionByName(early.select("user_id")).distinct(), 2 * number)
-        out.replace(streams.churn(seen.read(), late, "user_id", "event_type"), number)
+        seen.replace(seen.read().unionByName(early.select("user_id")).distinct(), number)
+        met.replace(met.read().unionByName(late.select("event_type", "user_id")).distinct(), number)
 
     streams.drain(_events(spark, sf_dir), "append", f"{work}/checkpoint", apply)
-    return out.read()
+    return streams.churn(seen.read(), met.read(), "user_id", "event_type")
 
 
 QUERIES = {f.__name__: f for f in (stream_upsert, stream_dedup, stream_daily, stream_labels, stream_gate, stream_churn)}

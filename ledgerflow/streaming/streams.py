@@ -71,6 +71,11 @@ def deduplicated(stream: DataFrame, keys: list[str], time: str, delay: str) -> D
     return stream.withWatermark(time, delay).dropDuplicatesWithinWatermark(keys)
 
 
+def deduplicated_always(stream: DataFrame, keys: list[str]) -> DataFrame:
+    """Each key once, however late it is replayed and in whatever order times come; the state holds every key."""
+    return stream.dropDuplicates(keys)
+
+
 def daily_counts(stream: DataFrame, time: str, by: list[str], delay: str) -> DataFrame:
     """Counts per calendar day, final once the watermark has passed the day."""
     counted = stream.withWatermark(time, delay).groupBy(F.window(time, "1 day"), *by).agg(F.count("*").alias("n"))
