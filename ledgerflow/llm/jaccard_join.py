@@ -354,15 +354,17 @@ def _close_pairs(left: pa.Table, right: pa.Table) -> pa.Table:
     if left.num_rows and right.num_rows:
         column = lambda t, c: t[c].to_numpy()
 
-        def counts(t: pa.Table) -> np.ndarray:
-            # a null signature rules nothing out
-            full = t["fine"].combine_chunks().fill_null(b"\xff" * FINE)
-            return string_buffers(full)[1].reshape(-1, FINE)
+        def counts(t: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+            # a null signature bounds nothing: of two, the smaller set does
+            some = t["fine"].combine_chunks()
+            return string_buffers(some.fill_null(b"\xff" * FINE))[1].reshape(-1, FINE), some.is_null().to_numpy(zero_copy_only=False)
 
         names = ("size", "low", "high", "label", "rid")
-        y_fine, (y_size, y_low, y_high, y_label, y_rid) = counts(right), (column(right, c) for c in names)
-        for fine, size, low, high, label, rid in zip(counts(left), *(column(left, c) for c in names), strict=True):
+        (y_fine, y_wide), (y_size, y_low, y_high, y_label, y_rid) = counts(right), (column(right, c) for c in names)
+        for fine, wide, size, low, high, label, rid in zip(*counts(left), *(column(left, c) for c in names), strict=True):
             most = np.minimum(fine, y_fine).sum(axis=1, dtype=np.int64)
+            if wide:
+                most[y_wide] = np.minimum(size, y_size)[y_wide]
             ok = (7 * most >= 3 * (size + y_size)) & (low - y_high <= 0.2500001) & (y_low - high <= 0.2500001) & (label != y_label)
             ok &= 4 * np.minimum(size, y_size) >= 3 * np.maximum(size, y_size)
             other = y_rid[ok]

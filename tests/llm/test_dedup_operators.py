@@ -8,6 +8,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 
 from ledgerflow.llm import exact_dedup, jaccard_join, suffix_array, suffix_dedup
 from ledgerflow.llm.components import components
@@ -88,6 +89,20 @@ def test_jaccard_in_large_groups_of_near_copies(spark):
     assert Counter(map(tuple, jaccard_join.link_components(D.table(spark, data)).collect())) == plain_components(data)
 
 
+def test_close_pairs_of_sets_too_large_for_signatures():
+    """Equal sizes, no signature on either side: nothing rules the pair out."""
+    def side(rid, size, fine):
+        return pa.table({"fine": pa.array([fine], pa.binary()), "size": [size], "low": [0.25], "high": [1.0], "label": [rid], "rid": [rid]})
+
+    few = bytes([1]) * jaccard_join.FINE
+    assert jaccard_join._close_pairs(side(1, 200_000, None), side(2, 200_500, None)).to_pylist() == [{"a": 1, "b": 2}]
+    assert jaccard_join._close_pairs(side(1, 200_000, None), side(2, 400_000, None)).num_rows == 0
+    assert jaccard_join._close_pairs(side(1, 600, None), side(2, jaccard_join.FINE, few)).num_rows == 1
+    assert jaccard_join._close_pairs(side(1, jaccard_join.FINE, few), side(2, 600, None)).num_rows == 1
+    large = jaccard_join._fine(np.zeros(200_000, np.int64), np.arange(200_000, dtype=np.uint64), 1)[0].as_py()
+    assert large is None and jaccard_join._close_pairs(side(3, 200_000, large), side(4, 200_000, large)).num_rows == 1
+
+
 def test_one_per_component_stays(spark):
     docs = D.table(spark, extra=True)
     kept = jaccard_join.one_per_component(docs)
