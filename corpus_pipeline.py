@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerflow.llm import exact_dedup, jaccard_join, language_id, queries, source_mixing
 from ledgerflow.llm.shared import written
@@ -34,8 +35,14 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of every document."""
-    return queries.token_digests(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 and slot in the mix of every document.
+
+    Files keep no order, so the mix is told by the slots; they follow from the documents alone.
+    """
+    placed = source_mixing.with_slots(docs.select("doc_id", "text", "source"))
+    both = placed.select(F.struct("doc_id", "slot").alias("doc_id"), "text")
+    out = queries.token_digests(both, public_tokenizers.path("piece_bpe_32k.model"))
+    return out.select("doc_id.doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "doc_id.slot")
 
 
 STAGES = [

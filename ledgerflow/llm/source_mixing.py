@@ -165,3 +165,9 @@ def in_mixed_order(docs: DataFrame, key: str = "doc_id", source: str = "source",
     """All rows of docs in the order of the mix (by slot, then by a hash of the key); columns as they are."""
     out = _placed(docs, key, source, weights, block_rows).orderBy("slot", "m_hash")
     return out.select(*[F.col(f"row.c{i}").alias(c) for i, c in enumerate(docs.columns)])
+
+
+def with_slots(docs: DataFrame, key: str = "doc_id", source: str = "source", weights: dict[str, float] | None = None, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """All rows of docs, with the slot of each as a last column."""
+    out = _placed(docs, key, source, weights, block_rows)
+    return out.select(*[F.col(f"row.c{i}").alias(c) for i, c in enumerate(docs.columns)], "slot")

@@ -124,3 +124,21 @@ def test_pipeline_stages(spark, sf):
 
     assert kept[2] == {c for _, _, c in plain_components([(i, texts[i]) for i in kept[1]])}
     assert kept[2] == kept[3] == kept[4]
+
+
+def test_pipeline_rows_follow_the_mix(spark, tmp_path):
+    """run() gives each document its slot, and the slots keep every source within a block of its share."""
+    rnd = random.Random(12)
+    source = {i: "abc"[(i > 1300) + (i > 1700)] for i in range(1900)}
+    rows = [(i, " ".join(f"{rnd.choice(D.WORDS['en'])} {''.join(rnd.choices('abcdefgh', k=6))}" for _ in range(8)), "en", s, 1) for i, s in source.items()]
+    spark.createDataFrame(rows, D.SCHEMA).repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    got = corpus_pipeline.run(spark, str(tmp_path)).select("doc_id", "slot").collect()
+    assert len(got) == len({r.doc_id for r in got}) > 1800
+    kept = spark.createDataFrame([(r.doc_id, source[r.doc_id]) for r in got], "doc_id long, source string")
+    assert {r.doc_id: r.slot for r in got} == {r.doc_id: r.slot for r in source_mixing.mix(kept).collect()}
+    counts = Counter(source[r.doc_id] for r in got)
+    first = source_mixing.phases({n: -(-c // source_mixing.BLOCK_ROWS) for n, c in counts.items()}, source_mixing.tempered(counts))[0]
+    slots = {n: {r.slot for r in got if source[r.doc_id] == n} for n in counts}
+    for t in range(1, sum(first.blocks.values()) + 1):
+        for n, share in first.share.items():
+            assert abs(sum(s < t for s in slots[n]) - t * share / sum(first.share.values())) < 1
