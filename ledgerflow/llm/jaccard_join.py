@@ -33,6 +33,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from ledgerflow.llm.components import components
 from ledgerflow.llm.key_filter import bitmaps, marked
@@ -317,6 +318,12 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     components of null ids alone have a null component_id. Ids are read as long integers; other
     columns play no part.
     """
+    out = _rows_in_components(docs, id_col, text_col)
+    return out.select(F.col("id").alias(id_col), F.col("size").alias("n_shingles"), F.col("component").alias("component_id"))
+
+
+def _rows_in_components(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """id, size, rid, label (of its component; null without shingles) and component of every row of docs."""
     docs = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
     small_batches(docs.sparkSession)
     survey = written(docs.mapInArrow(_survey, "id long, size long, rid long, bins array<int>, fine binary, block int, counts array<int>"))
@@ -342,10 +349,10 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     home = records.select("rid", "keep").join(labels, records["rid"] == labels["node"], "left")
     home = home.select("rid", F.coalesce("label", "rid").alias("label"), "keep")
     least = home.groupBy("label").agg(F.min("keep").alias("component"))
-    home = home.join(least, "label").select("rid", "component")
-    named = full.select("id", "size", "rid").join(home, "rid").select("id", "size", F.col("component"))
-    out = named.unionByName(rows.where("size = 0").select("id", "size", F.col("id").alias("component")))
-    return out.select(F.col("id").alias(id_col), F.col("size").alias("n_shingles"), F.col("component").alias("component_id"))
+    home = home.join(least, "label").select("rid", "label", "component")
+    named = full.select("id", "size", "rid").join(home, "rid").select("id", "size", "rid", "label", "component")
+    alone = rows.where("size = 0").select("id", "size", "rid", F.lit(None).cast("long").alias("label"), F.col("id").alias("component"))
+    return named.unionByName(alone)
 
 
 def _close_pairs(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -405,12 +412,37 @@ def _second_round(met: DataFrame, known: DataFrame, labels: DataFrame, records:
     return pairs.where("a <> b").distinct().join(known.select("a", "b"), ["a", "b"], "left_anti")
 
 
+def _with_records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        offsets, data = string_buffers(batch.column("text"))
+        for a, b in pieces(offsets):
+            n = b - a
+            size, rid = _records(*shingle_sets(offsets[a : b + 1] - offsets[a], data[offsets[a] : offsets[b]]), n)
+            columns = [batch.column("row").slice(a, n), batch.column("id").slice(a, n), pa.array(size.astype(np.int64)), pa.array(rid)]
+            yield pa.RecordBatch.from_arrays(columns, names=["row", "id", "size", "rid"])
+
+
 def one_per_component(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs with one row of each component, the one with the smallest id; columns as they are.
 
-    Rows with a null id, and rows without shingles, stay.
+    Where several rows of a component have its smallest id, one of them stays; rows of that id in
+    other components are judged there. Rows with a null id, and rows without shingles, stay. Only
+    rows whose id repeats are read once more and shuffled for this.
     """
-    ids = link_components(docs, id_col, text_col)
-    gone = ids.where(F.col("component_id") != F.col(id_col)).select(F.col(id_col).alias("_gone")).distinct()
+    rows = written(_rows_in_components(docs, id_col, text_col))
+    repeated = written(rows.where("id is not null").groupBy("id").agg(F.count("*").alias("n")).where("n > 1").select("id"))
+    gone = rows.where("component <> id").select(F.col("id").alias("_gone"))
+    gone = gone.unionByName(repeated.select(F.col("id").alias("_gone"))).distinct()
     kept = docs.join(gone, docs[f"`{id_col}`"] == gone["_gone"], "left_anti")
-    return kept
+    if repeated.isEmpty():
+        return kept
+    # of the rows that have their component's smallest id, those of one record
+    best = rows.where("size > 0 and id = component").join(repeated, "id", "left_semi").groupBy("label").agg(F.min("id").alias("id"), F.min("rid").alias("rid"))
+    whole = F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)])
+    again = docs.select(whole.alias("row"), F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
+    again = marked(again, bitmaps(repeated, F.col("id")), F.col("id"), name="asked").where("asked").select("row", "id", "text").join(repeated, "id", "left_semi")
+    kind = StructType([again.schema["row"], *[StructField(c, LongType()) for c in ("id", "size", "rid")]])
+    again = again.select("row", "id", "text").mapInArrow(_with_records, kind)
+    one = again.where("size > 0").join(best, ["id", "rid"], "left_semi").groupBy("id", "rid").agg(F.first("row").alias("row"))
+    more = one.select("row").unionByName(again.where("size = 0").select("row"))
+    return kept.unionByName(more.select(*[F.col(f"row.c{i}").alias(c) for i, c in enumerate(docs.columns)]))

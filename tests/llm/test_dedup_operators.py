@@ -111,6 +111,26 @@ def test_one_per_component_stays(spark):
     assert {r.doc_id for r in kept.collect()} == want
 
 
+def test_one_per_component_where_ids_repeat(spark):
+    rnd = random.Random(7)
+    a, b, c, d = ([f"{x}{rnd.randrange(10**6)}" for _ in range(40)] for x in "abcd")
+    near = lambda t: " ".join([*t[:-1], "changed"])
+    text = lambda t: " ".join(t)
+    data = [
+        (1, near(a)), (5, text(a)), (5, text(b)),  # the clean one of id 5 stays
+        (6, text(c)), (6, text(c)), (6, near(c)), (9, near(c)),  # one of id 6 stays
+        (7, text(d)), (8, near(d)), (8, None), (8, " "), (None, near(d)),
+    ]
+    docs = spark.createDataFrame([(i, t, "s", "x") for i, t in data], "doc_id long, text string, slot string, row string").repartition(3)
+    kept = jaccard_join.one_per_component(docs)
+    assert kept.columns == docs.columns
+    got = Counter((r.doc_id, r.text) for r in kept.collect())
+    of_six = [t for i, t in got.elements() if i == 6]
+    assert len(of_six) == 1 and of_six[0] in (text(c), near(c))
+    del got[6, of_six[0]]
+    assert got == Counter([(1, near(a)), (5, text(b)), (7, text(d)), (8, None), (8, " "), (None, near(d))])
+
+
 def test_components_of_chains(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 101), (7, 7), (300, 200)]
     got = {r.node: r.label for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
