@@ -1,10 +1,11 @@
 """Exact copies by progressive refinement: length, then prefix hash, then full hash.
 
 Each step keeps only the keys that at least two rows share. The shared keys of a step go
-to the next one as a bitmap of fixed size (1 MB, see key_filter), which is the only
-thing that is broadcast: a row whose bit is not set cannot have a copy, and its content is
-not looked at any further. A bit that is set by chance costs work, never a wrong result,
-because groups are formed by the full hash in the end. Only keys and hashes are shuffled.
+to the next one as a bitmap sized by their number (see key_filter), which is the only thing of
+them that is broadcast: a row whose bit is not set cannot have a copy, and its content is not
+looked at any further. A bit that is set by chance costs work, never a wrong result, because
+groups are formed by the full hash in the end. Only keys and hashes are shuffled. Rows of one
+large group meet their group's row in several tasks.
 """
 
 from __future__ import annotations
@@ -12,7 +13,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerflow.llm.key_filter import bitmaps, marked
+from ledgerflow.llm.key_filter import key_filter, marked
+from ledgerflow.llm.shared import written
+from ledgerflow.llm.spread import frequent, spread_join
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 PREFIX_CHARS = 64
@@ -23,28 +26,30 @@ def normalised(text: Column) -> Column:
     return F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)
 
 
-def _refined(docs: DataFrame, id_col: str, text_col: str, digest: bool, row: Column) -> tuple[DataFrame, DataFrame]:
-    """(rows: id, row, size, by_prefix, content_sha256; groups of two rows or more: g_sha, keep_id, group_size)."""
-    base = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), row.alias("row"))
+def _candidates(base: DataFrame) -> DataFrame:
+    """base (id, text and more) with by_prefix: do other rows share its length and prefix hash?"""
     base = base.withColumn("size", F.octet_length(F.coalesce(F.col("text"), F.lit(""))))
     prefix = F.xxhash64(normalised(F.substring(F.col("text"), 1, PREFIX_CHARS)))
-
     lengths = base.groupBy("size").agg(F.count("*").alias("n")).where("n > 1")
-    same_length = marked(base, bitmaps(lengths, F.col("size")), F.col("size"), name="by_length")
+    same_length = marked(base, key_filter(lengths, F.col("size")), F.col("size"), name="by_length")
     same_length = same_length.withColumn("prefix", F.when(F.col("by_length"), prefix))
     prefixes = same_length.where("by_length").groupBy("size", "prefix").agg(F.count("*").alias("n")).where("n > 1")
     keys = (F.col("size"), F.col("prefix"))
-    same_prefix = marked(same_length, bitmaps(prefixes, *keys), *keys, name="by_prefix")
-
-    full = F.sha2(F.encode(normalised(F.col("text")), "utf-8"), 256)
-    rows = same_prefix.select("id", "row", "size", "by_prefix", (full if digest else F.when(F.col("by_prefix"), full)).alias("content_sha256"))
-    groups = (
-        rows.where("by_prefix")
-        .groupBy(F.col("content_sha256").alias("g_sha"))
-        .agg(F.max("id").alias("keep_id"), F.count("*").alias("group_size"))
-        .where("group_size > 1")
-    )
-    return rows, groups
+    return marked(same_length, key_filter(prefixes, *keys), *keys, name="by_prefix")
+
+
+def _content(text: Column) -> Column:
+    return F.sha2(F.encode(normalised(text), "utf-8"), 256)
+
+
+def _groups(hashed: DataFrame) -> DataFrame:
+    """content_sha256, keep_id and group_size of the groups of two rows or more, as a table of its own."""
+    groups = hashed.groupBy("content_sha256").agg(F.max("id").alias("keep_id"), F.count("*").alias("group_size"))
+    return written(groups.where("group_size > 1"))
+
+
+def _large(groups: DataFrame) -> DataFrame | None:
+    return frequent(groups, "content_sha256", counts=groups.select("content_sha256", F.col("group_size").alias("n")))
 
 
 def exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", digest: bool = False) -> DataFrame:
@@ -57,12 +62,15 @@ def exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     without ``digest`` it is null where no copy was possible and the content was not hashed.
     Other columns of docs play no part. An empty table gives an empty result.
     """
-    rows, groups = _refined(docs, id_col, text_col, digest, F.lit(None).cast("int"))
-    # rows without a hash get a key of their own, so that they don't meet in one partition
-    key = F.coalesce(F.col("content_sha256"), F.xxhash64("id", "size").cast("string"))
-    joined = rows.withColumn("key", key).join(groups, F.col("key") == F.col("g_sha"), "left")
-    single = F.col("group_size").isNull()
-    keep = F.when(single, F.col("id")).otherwise(F.col("keep_id"))
+    rows = _candidates(docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text")))
+    sha = _content(F.col("text"))
+    rows = written(rows.select("id", "by_prefix", (sha if digest else F.when(F.col("by_prefix"), sha)).alias("content_sha256")))
+    hashed = rows.where("by_prefix").select("id", "content_sha256")
+    groups = _groups(hashed)
+    met = spread_join(hashed, groups, ["content_sha256"], [F.col("id")], "left", _large(groups))
+    alone = rows.where(~F.col("by_prefix")).select("id", "content_sha256", F.lit(None).cast(hashed.schema["id"].dataType).alias("keep_id"), F.lit(None).cast("long").alias("group_size"))
+    joined = met.unionByName(alone)
+    keep = F.when(F.col("group_size").isNull(), F.col("id")).otherwise(F.col("keep_id"))
     return joined.select(
         F.col("id").alias(id_col),
         keep.alias("keep_id"),
@@ -79,8 +87,12 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     id and text, each of them stays. Only rows that may have a copy are shuffled.
     """
     whole = F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)])
-    rows, groups = _refined(docs, id_col, text_col, False, whole)
-    alone = rows.where(~F.col("by_prefix")).select("row")
-    shared = rows.where("by_prefix").join(groups, F.col("content_sha256") == F.col("g_sha"), "left")
-    shared = shared.where(F.col("g_sha").isNull() | F.col("id").eqNullSafe(F.col("keep_id"))).select("row")
-    return alone.unionByName(shared).select(*[F.col(f"row.c{i}").alias(c) for i, c in enumerate(docs.columns)])
+    rows = _candidates(docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"), whole.alias("row")))
+    hashed = rows.select("id", "row", F.when(F.col("by_prefix"), _content(F.col("text"))).alias("content_sha256"))
+    groups = _groups(hashed.where("content_sha256 is not null"))
+    found = marked(hashed, key_filter(groups, F.col("content_sha256")), F.col("content_sha256"), name="copied")
+    copied = F.col("copied") & F.col("content_sha256").isNotNull()
+    met = spread_join(found.where(copied), groups, ["content_sha256"], [F.col("id")], "left", _large(groups))
+    stay = met.where(F.col("group_size").isNull() | F.col("id").eqNullSafe(F.col("keep_id"))).select("row")
+    alone = found.where(~copied).select("row")
+    return alone.unionByName(stay).select(*[F.col(f"row.c{i}").alias(c) for i, c in enumerate(docs.columns)])

@@ -5,6 +5,8 @@ least 3/4. The steps:
 
 1. One pass hashes every set to a record id, so that equal sets are one record from here on,
    and counts all shingles of all documents in a table of ``COUNT_SLOTS`` slots (a fixed 8 MB).
+   A second hash of the sets tells apart different ones that share a record id: those take it
+   as their id instead.
 2. Shingles are ordered by the count of their slot, then by hash: rare first. Linked sets share
    a shingle within their prefixes of n - ceil(3n/4) + 1 shingles. A second pass deals the
    prefixes out by shingle; shingles of one record end there.
@@ -14,9 +16,11 @@ least 3/4. The steps:
    come first whose prefixes hold the most frequent shingles: among near copies of one text, they
    are the least changed, and most others link with them.
 4. The suffix filter bounds the overlap of a pair by the sizes of both sets in ``BINS`` hash
-   classes. What is left is verified once per pair on the full sets.
+   classes. What is left is verified once per pair on the full sets, under another hash of the
+   words than the one that found the pair.
 5. Records of a large group that are not yet connected with its first hub are then paired with the
-   others of the group that they are not connected with, unless the suffix filter with ``FINE``
+   others of the group that they are not connected with, block by block within size classes whose
+   sizes may link, unless the suffix filter with ``FINE``
    classes, or their distances to that hub, rule it out: if these differ by more than 1/4, the
    triangle inequality of the Jaccard distance says that the pair cannot link. So no link between
    components is missed.
@@ -26,6 +30,7 @@ Only records with candidates have their sets shuffled; texts never are.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,9 +41,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from ledgerflow.llm.components import components
-from ledgerflow.llm.key_filter import bitmaps, marked
+from ledgerflow.llm.key_filter import key_filter, marked
 from ledgerflow.llm.shared import small_batches, written
-from ledgerflow.llm.textbytes import LOWER, counts_by_row, mix, pieces, prefix_sums, rows_of, span_hash, spans, string_buffers
+from ledgerflow.llm.spread import frequent, spread_join
+from ledgerflow.llm.textbytes import LOWER, SEED, SEED2, counts_by_row, mix, pieces, rows_of, span_hash, spans, string_buffers
 
 WORDS = 5
 COUNT_BITS = 20
@@ -46,6 +52,7 @@ COUNT_SLOTS = 1 << COUNT_BITS
 COUNT_BLOCK = 1 << 12
 GROUP, HUBS = 6, 3
 BLOCK = 512
+PART_ROWS = 1_000_000
 BINS, FINE = 128, 512
 
 # A place: 255 - how frequent the record's prefix is << 55 | size of its set << 28 | position
@@ -57,13 +64,13 @@ WORD_BYTE = np.ones(256, bool)
 WORD_BYTE[[32, 9, 10, 11, 12, 13]] = False
 
 
-def shingle_sets(offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def shingle_sets(offsets: np.ndarray, data: np.ndarray, seed: int = SEED) -> tuple[np.ndarray, np.ndarray]:
     """(row, hash) of the distinct shingles of each text, in order of row and hash."""
     data = LOWER[data]
     start, end = spans(data, offsets, WORD_BYTE)
     if not len(start):
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    word = span_hash(prefix_sums(data), start, end)
+    word = span_hash(data, start, end, seed)
     row = rows_of(start, offsets)
     words = counts_by_row(start, offsets)
     n = max(0, len(start) - WORDS + 1)
@@ -92,15 +99,21 @@ def _by_row(rows: np.ndarray, order: np.ndarray) -> np.ndarray:
     return order[np.argsort(keys.astype(np.uint16) if small else keys, kind="stable")]
 
 
-def _records(rows: np.ndarray, hashes: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """(size, record id) of each text's set."""
+def _records(rows: np.ndarray, hashes: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(size, record id, second hash) of each text's set."""
     size = np.bincount(rows, minlength=n)
-    rid = np.zeros(n, np.uint64)
+    both = np.zeros((2, n), np.uint64)
     full = np.flatnonzero(size)
     if len(full):
         at = (np.cumsum(size) - size)[full]
-        rid[full] = mix(np.add.reduceat(mix(hashes ^ np.uint64(0xA5A5A5A5A5A5A5A5)), at) * np.uint64(31) + size[full].astype(np.uint64))
-    return size, rid.view(np.int64)
+        for out, salt in zip(both, (0xA5A5A5A5A5A5A5A5, 0x3C6EF372FE94F82B), strict=True):
+            out[full] = mix(np.add.reduceat(mix(hashes ^ np.uint64(salt)), at) * np.uint64(31) + size[full].astype(np.uint64))
+    return size, both[0].view(np.int64), both[1].view(np.int64)
+
+
+def _told_apart(rid: np.ndarray, check: np.ndarray, shared: np.ndarray) -> np.ndarray:
+    """Record ids; where different sets share one, their second hashes."""
+    return np.where(np.isin(rid, shared), check, rid) if len(shared) else rid
 
 
 def _bins(rows: np.ndarray, hashes: np.ndarray, n: int, bins: int) -> np.ndarray:
@@ -117,8 +130,8 @@ def _fine(rows: np.ndarray, hashes: np.ndarray, n: int) -> pa.Array:
 
 
 def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row (id, size, rid, bins, fine) per text, and at the end the partition's counts (block, counts)."""
-    schema = pa.schema([("id", pa.int64()), ("size", pa.int64()), ("rid", pa.int64()), ("bins", pa.list_(pa.int32())), ("fine", pa.binary()), ("block", pa.int32()), ("counts", pa.list_(pa.int32()))])
+    """A row (id, size, rid, check, bins, fine) per text, and at the end the partition's counts (block, counts)."""
+    schema = pa.schema([("id", pa.int64()), ("size", pa.int64()), ("rid", pa.int64()), ("check", pa.int64()), ("bins", pa.list_(pa.int32())), ("fine", pa.binary()), ("block", pa.int32()), ("counts", pa.list_(pa.int32()))])
     counts = np.zeros(COUNT_SLOTS, np.int64)
     for batch in batches:
         offsets, data = string_buffers(batch.column("text"))
@@ -126,17 +139,17 @@ def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             n = b - a
             rows, hashes = shingle_sets(offsets[a : b + 1] - offsets[a], data[offsets[a] : offsets[b]])
             counts += np.bincount((hashes >> np.uint64(64 - COUNT_BITS)).astype(np.int64), minlength=COUNT_SLOTS)
-            size, rid = _records(rows, hashes, n)
+            size, rid, check = _records(rows, hashes, n)
             bins = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * BINS), pa.array(_bins(rows, hashes, n, BINS)))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id").slice(a, n), pa.array(size.astype(np.int64)), pa.array(rid), bins, _fine(rows, hashes, n), pa.nulls(n, pa.int32()), pa.nulls(n, schema.field("counts").type)], schema=schema
+                [batch.column("id").slice(a, n), pa.array(size.astype(np.int64)), pa.array(rid), pa.array(check), bins, _fine(rows, hashes, n), pa.nulls(n, pa.int32()), pa.nulls(n, schema.field("counts").type)], schema=schema
             )
     blocks = counts.reshape(-1, COUNT_BLOCK)
     used = np.flatnonzero(blocks.any(axis=1))
     if len(used):
         m = len(used)
         lists = pa.ListArray.from_arrays(pa.array(np.arange(m + 1, dtype=np.int32) * COUNT_BLOCK), pa.array(np.minimum(blocks[used], 2**31 - 1).astype(np.int32).ravel()))
-        none = [pa.nulls(m, pa.int64())] * 3
+        none = [pa.nulls(m, pa.int64())] * 4
         yield pa.RecordBatch.from_arrays([*none, pa.nulls(m, schema.field("bins").type), pa.nulls(m, pa.binary()), pa.array(used.astype(np.int32)), lists], schema=schema)
 
 
@@ -160,7 +173,7 @@ def _slot_counts(survey: DataFrame) -> np.ndarray:
     return out
 
 
-def _prefixes(batches: Iterator[pa.RecordBatch], counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _prefixes(batches: Iterator[pa.RecordBatch], counts: np.ndarray, shared: np.ndarray) -> Iterator[pa.RecordBatch]:
     """(token, rid, place) of the prefix of every record; a record once per task."""
     seen: set[int] = set()
     for batch in batches:
@@ -168,7 +181,8 @@ def _prefixes(batches: Iterator[pa.RecordBatch], counts: np.ndarray) -> Iterator
         for a, b in pieces(offsets):
             n = b - a
             rows, hashes = shingle_sets(offsets[a : b + 1] - offsets[a], data[offsets[a] : offsets[b]])
-            size, rid = _records(rows, hashes, n)
+            size, rid, check = _records(rows, hashes, n)
+            rid = _told_apart(rid, check, shared)
             fresh = np.zeros(n, bool)
             for i, r in enumerate(rid.tolist()):
                 if size[i] and r not in seen:
@@ -178,7 +192,8 @@ def _prefixes(batches: Iterator[pa.RecordBatch], counts: np.ndarray) -> Iterator
             rows, hashes = rows[own], hashes[own]
             size = np.where(fresh, size, 0)
             count = counts[(hashes >> np.uint64(64 - COUNT_BITS)).astype(np.int64)]
-            order = np.argsort(np.minimum(count, 65535).astype(np.uint16), kind="stable")
+            # logarithmic steps, so that no count is too large to be told from a larger one
+            order = np.argsort((np.log2(count + 1.0) * 1000).astype(np.uint16), kind="stable")
             order = _by_row(rows, order)
             rows, hashes = rows[order], hashes[order]
             position = np.arange(len(rows)) - (np.cumsum(size) - size)[rows]
@@ -270,30 +285,33 @@ def _meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from groups(held)
 
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sets(batches: Iterator[pa.RecordBatch], shared: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Record id and set of every text, the set under a hash of its own."""
     for batch in batches:
         offsets, data = string_buffers(batch.column("text"))
         for a, b in pieces(offsets):
-            rows, hashes = shingle_sets(offsets[a : b + 1] - offsets[a], data[offsets[a] : offsets[b]])
-            size, rid = _records(rows, hashes, b - a)
-            at = np.append(0, np.cumsum(size)).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([pa.array(rid), pa.ListArray.from_arrays(pa.array(at), pa.array(hashes.view(np.int64)))], names=["rid", "set"])
+            own, text = offsets[a : b + 1] - offsets[a], data[offsets[a] : offsets[b]]
+            _, rid, check = _records(*shingle_sets(own, text), b - a)
+            rows, hashes = shingle_sets(own, text, SEED2)
+            at = np.append(0, np.cumsum(np.bincount(rows, minlength=b - a))).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(_told_apart(rid, check, shared)), pa.ListArray.from_arrays(pa.array(at), pa.array(hashes.view(np.int64)))], names=["rid", "set"])
 
 
 def _linked(common: Column, n: Column, m: Column) -> Column:
     return 100 * common >= 75 * (n + m - common)
 
 
-def _verified(pairs: DataFrame, records: DataFrame, docs: DataFrame) -> DataFrame:
+def _verified(pairs: DataFrame, records: DataFrame, docs: DataFrame, shared: np.ndarray) -> DataFrame:
     """a, b, n, m, common of some pairs of records, from their full sets."""
     asked = pairs.select(F.explode(F.array("a", "b")).alias("rid")).distinct()
     where = written(asked.join(records, "rid").select("rid", F.col("keep").alias("id")))
-    some = marked(docs, bitmaps(where, F.col("id")), F.col("id"), name="asked").where("asked").select("text")
+    some = marked(docs, key_filter(where, F.col("id")), F.col("id"), name="asked").where("asked").select("text")
     # a few more sets than asked for, by chance bits; the joins leave them out
-    sets = written(some.mapInArrow(_sets, "rid long, set array<long>"), "uncompressed")
+    sets = written(some.mapInArrow(lambda it: _sets(it, shared), "rid long, set array<long>"), "uncompressed")
     left = sets.select(F.col("rid").alias("a"), F.col("set").alias("a_set"))
     right = sets.select(F.col("rid").alias("b"), F.col("set").alias("b_set"))
-    met = pairs.join(left, "a").join(right, "b")
+    met = spread_join(pairs, left, ["a"], [F.col("b")], hot=frequent(pairs, "a"))
+    met = spread_join(met, right, ["b"], [F.col("a")], hot=frequent(pairs, "b"))
     sized = met.select("a", "b", F.size("a_set").alias("n"), F.size("b_set").alias("m"), F.size(F.array_intersect("a_set", "b_set")).alias("common"))
     # a pair stands once, also where a record's set does not
     return sized.groupBy("a", "b").agg(*[F.first(c).alias(c) for c in ("n", "m", "common")])
@@ -303,7 +321,8 @@ def _suffix_filter(pairs: DataFrame, records: DataFrame) -> DataFrame:
     """Pairs whose sets may overlap enough: no bin can hold more common shingles than the smaller side has there."""
     left = records.select(F.col("rid").alias("a"), F.col("size").alias("n"), F.col("bins").alias("a_bins"))
     right = records.select(F.col("rid").alias("b"), F.col("size").alias("m"), F.col("bins").alias("b_bins"))
-    both = pairs.join(left, "a").join(right, "b")
+    both = spread_join(pairs, left, ["a"], [F.col("b")], hot=frequent(pairs, "a"))
+    both = spread_join(both, right, ["b"], [F.col("a")], hot=frequent(pairs, "b"))
     most = F.aggregate(F.zip_with("a_bins", "b_bins", lambda x, y: F.least(x, y)), F.lit(0), lambda s, x: s + x)
     return both.where(_linked(most, F.col("n"), F.col("m"))).select("a", "b")
 
@@ -326,35 +345,47 @@ def _rows_in_components(docs: DataFrame, id_col: str, text_col: str) -> DataFram
     """id, size, rid, label (of its component; null without shingles) and component of every row of docs."""
     docs = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
     small_batches(docs.sparkSession)
-    survey = written(docs.mapInArrow(_survey, "id long, size long, rid long, bins array<int>, fine binary, block int, counts array<int>"))
+    survey = written(docs.mapInArrow(_survey, "id long, size long, rid long, check long, bins array<int>, fine binary, block int, counts array<int>"))
     rows = survey.where("block is null")
+    both = rows.where("size > 0").groupBy("rid").agg(F.min("check").alias("low"), F.max("check").alias("high")).where("low <> high").select("rid")
+    shared = np.array([r["rid"] for r in both.collect()], np.int64)  # by chance alone: next to never one
+    if len(shared):
+        rows = rows.withColumn("rid", F.when(F.col("rid").isin(shared.tolist()), F.col("check")).otherwise(F.col("rid")))
     full = rows.where("size > 0")
-    records = written(full.groupBy("rid").agg(F.min("id").alias("keep"), F.first("size").alias("size"), F.first("bins").alias("bins"), F.first("fine").alias("fine")))
+    records = written(full.groupBy("rid").agg(F.min("id").alias("keep"), F.count("*").alias("copies"), F.first("size").alias("size"), F.first("bins").alias("bins"), F.first("fine").alias("fine")))
     counts = docs.sparkSession.sparkContext.broadcast(_slot_counts(survey))  # a fixed COUNT_SLOTS numbers
 
-    prefixes = docs.mapInArrow(lambda it: _prefixes(it, counts.value), "token long, rid long, place long")
-    dealt = prefixes.repartition("token").sortWithinPartitions("token", "place", "rid")
+    prefixes = docs.mapInArrow(lambda it: _prefixes(it, counts.value, shared), "token long, rid long, place long")
+    dealt = prefixes.repartition(_parts(records), "token").sortWithinPartitions("token", "place", "rid")
     met = written(dealt.mapInArrow(_meetings, _MEET_SQL))
-    both = met.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.count("*").alias("tokens"))
-    pairs = written(_suffix_filter(both, records))
-    known = written(_verified(pairs, records, docs))
+    pairs = written(met.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.count("*").alias("tokens")))
+    pairs = written(_suffix_filter(pairs, records))
+    known = written(_verified(pairs, records, docs, shared))
     is_link = _linked(F.col("common"), F.col("n"), F.col("m"))
     links = known.where(is_link).select("a", "b")
     labels = components(links)
     if not met.where("hub").isEmpty():
         extra = written(_second_round(met.where("hub"), known, labels, records))
-        more = _verified(extra, records, docs).where(is_link).select("a", "b")
+        more = _verified(extra, records, docs, shared).where(is_link).select("a", "b")
         labels = components(written(links.unionByName(more)))
 
-    home = records.select("rid", "keep").join(labels, records["rid"] == labels["node"], "left")
-    home = home.select("rid", F.coalesce("label", "rid").alias("label"), "keep")
+    home = records.select("rid", "keep", "copies").join(labels, records["rid"] == labels["node"], "left")
+    home = written(home.select("rid", F.coalesce("label", "rid").alias("label"), "keep", "copies"))
     least = home.groupBy("label").agg(F.min("keep").alias("component"))
-    home = home.join(least, "label").select("rid", "label", "component")
-    named = full.select("id", "size", "rid").join(home, "rid").select("id", "size", "rid", "label", "component")
+    home = spread_join(home, least, ["label"], [F.col("rid")], hot=frequent(home, "label"))
+    copies = frequent(full, "rid", counts=records.select("rid", F.col("copies").alias("n")))
+    named = spread_join(full.select("id", "size", "rid"), home.select("rid", "label", "component"), ["rid"], [F.col("id")], hot=copies)
+    named = named.select("id", "size", "rid", "label", "component")
     alone = rows.where("size = 0").select("id", "size", "rid", F.lit(None).cast("long").alias("label"), F.col("id").alias("component"))
     return named.unionByName(alone)
 
 
+def _parts(records: DataFrame) -> int:
+    """Tasks for the prefix rows of all records: about PART_ROWS rows each, the session's number at least."""
+    rows = records.agg(F.sum(F.col("size") - F.ceil(F.col("size") * 3 / 4) + 1)).first()[0] or 0
+    return max(int(records.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-int(rows) // PART_ROWS))
+
+
 def _close_pairs(left: pa.Table, right: pa.Table) -> pa.Table:
     """Pairs of a block of records outside a hub's component and a block of its group that may link."""
     out: list[np.ndarray] = [np.zeros((0, 2), np.int64)]
@@ -383,31 +414,37 @@ def _close_pairs(left: pa.Table, right: pa.Table) -> pa.Table:
 def _second_round(met: DataFrame, known: DataFrame, labels: DataFrame, records: DataFrame) -> DataFrame:
     """Pairs of records with the same first hub, that are not connected and could link.
 
-    The members of a hub are dealt into blocks of about BLOCK records; every block of those outside
-    its component meets every block of its group once, in a task of its own. The suffix filter, the
+    The members of a hub fall into classes by size, such that sizes that may link lie in the same
+    or in neighbouring classes, and there into blocks of about BLOCK records. Every block of those
+    outside its component meets every block of these classes once, in a task of its own. The suffix filter, the
     triangle inequality and the components are tested there, so only pairs that pass become rows.
     """
     distance = known.select("a", "b", (1 - F.col("common") / (F.col("n") + F.col("m") - F.col("common"))).alias("far"))
     distance = distance.unionByName(distance.select(F.col("b").alias("a"), F.col("a").alias("b"), "far"))
     # a member that the filters keep from being compared with its hub is farther than 1/4 from it
-    here = met.groupBy("a", "b").agg(F.first("size").alias("size")).join(distance, ["a", "b"], "left")
+    here = written(met.groupBy("a", "b").agg(F.first("size").alias("size")).join(distance, ["a", "b"], "left"))
     of_hub = labels.select(F.col("node").alias("a"), F.col("label").alias("hub_label"))
     of_one = labels.select(F.col("node").alias("b"), F.col("label").alias("own_label"))
-    here = here.join(of_hub, "a", "left").join(of_one, "b", "left").join(records.select(F.col("rid").alias("b"), "fine"), "b").select(
+    here = spread_join(here, of_hub, ["a"], [F.col("b")], "left", frequent(here, "a")).join(of_one, "b", "left")
+    here = here.join(records.select(F.col("rid").alias("b"), "fine"), "b").select(
         F.col("a").alias("hub"), F.col("b").alias("rid"), "size", F.coalesce("far", F.lit(0.25)).alias("low"), F.coalesce("far", F.lit(1.0)).alias("high"),
-        F.coalesce("own_label", "b").alias("label"), "fine", F.coalesce("hub_label", "a").alias("hub_label")
-    )
+        F.coalesce("own_label", "b").alias("label"), "fine", (F.coalesce("own_label", "b") != F.coalesce("hub_label", "a")).alias("outside"),
+        # a step a little above 4/3, so that rounding cannot part sizes that may link
+        F.floor(F.log("size") / math.log(4 / 3 + 1e-6)).cast("int").alias("klass"),
+    )
     here = written(here)
-    outside = F.col("label") != F.col("hub_label")
-    sizes = here.groupBy("hub").agg(F.count_if(outside).alias("out"), F.count("*").alias("all")).where("out > 0")
-    blocks = sizes.select("hub", F.ceil(F.col("out") / BLOCK).alias("x_blocks"), F.ceil(F.col("all") / BLOCK).alias("y_blocks"))
-    dealt = here.join(blocks, "hub")
+    sizes = here.groupBy("hub", "klass").agg(F.count_if("outside").alias("out"), F.count("*").alias("all"))
+    left = sizes.where("out > 0").select("hub", F.col("klass").alias("x_klass"), F.ceil(F.col("out") / BLOCK).cast("int").alias("x_blocks"))
+    left = left.withColumn("y_klass", F.explode(F.array(*[F.col("x_klass") + k for k in (-1, 0, 1)])))
+    right = sizes.select("hub", F.col("klass").alias("y_klass"), F.ceil(F.col("all") / BLOCK).cast("int").alias("y_blocks"))
+    plan = written(left.join(right, ["hub", "y_klass"]))
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     block = lambda n: F.pmod(F.xxhash64("rid"), F.col(n)).cast("int")
-    each = lambda n: F.explode(F.sequence(F.lit(0), (F.col(n) - 1).cast("int")))
-    fresh = lambda df: df.select(*[F.col(c).alias(c) for c in ("hub", "rid", "size", "low", "high", "label", "fine", "x", "y")])
-    x = fresh(dealt.where(outside).withColumn("x", block("x_blocks")).withColumn("y", each("y_blocks")))
-    y = fresh(dealt.withColumn("y", block("y_blocks")).withColumn("x", each("x_blocks")))
-    by = ("hub", "x", "y")
+    rows = lambda side, of: here.where(of).withColumnRenamed("klass", f"{side}_klass").join(plan, ["hub", f"{side}_klass"])
+    by = ("hub", "x_klass", "y_klass", "x", "y")
+    fresh = lambda df: df.select(*[F.col(c).alias(c) for c in (*by, "rid", "size", "low", "high", "label", "fine")])
+    x = fresh(rows("x", F.col("outside")).withColumn("x", block("x_blocks")).withColumn("y", each("y_blocks")))
+    y = fresh(rows("y", F.lit(True)).withColumn("y", block("y_blocks")).withColumn("x", each("x_blocks")))
     pairs = x.groupBy(*by).cogroup(y.groupBy(*by)).applyInArrow(_close_pairs, "a long, b long")
     return pairs.where("a <> b").distinct().join(known.select("a", "b"), ["a", "b"], "left_anti")
 
@@ -417,9 +454,9 @@ def _with_records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         offsets, data = string_buffers(batch.column("text"))
         for a, b in pieces(offsets):
             n = b - a
-            size, rid = _records(*shingle_sets(offsets[a : b + 1] - offsets[a], data[offsets[a] : offsets[b]]), n)
-            columns = [batch.column("row").slice(a, n), batch.column("id").slice(a, n), pa.array(size.astype(np.int64)), pa.array(rid)]
-            yield pa.RecordBatch.from_arrays(columns, names=["row", "id", "size", "rid"])
+            size, rid, check = _records(*shingle_sets(offsets[a : b + 1] - offsets[a], data[offsets[a] : offsets[b]]), n)
+            columns = [batch.column("row").slice(a, n), batch.column("id").slice(a, n), pa.array(size.astype(np.int64)), pa.array(rid), pa.array(check)]
+            yield pa.RecordBatch.from_arrays(columns, names=["row", "id", "size", "rid", "check"])
 
 
 def one_per_component(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -437,12 +474,12 @@ def one_per_component(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     if repeated.isEmpty():
         return kept
     # of the rows that have their component's smallest id, those of one record
-    best = rows.where("size > 0 and id = component").join(repeated, "id", "left_semi").groupBy("label").agg(F.min("id").alias("id"), F.min("rid").alias("rid"))
+    best = rows.where("size > 0 and id = component").join(repeated, "id", "left_semi").groupBy("label").agg(F.min("id").alias("id"), F.min("rid").alias("best"))
     whole = F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)])
     again = docs.select(whole.alias("row"), F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
-    again = marked(again, bitmaps(repeated, F.col("id")), F.col("id"), name="asked").where("asked").select("row", "id", "text").join(repeated, "id", "left_semi")
-    kind = StructType([again.schema["row"], *[StructField(c, LongType()) for c in ("id", "size", "rid")]])
+    again = marked(again, key_filter(repeated, F.col("id")), F.col("id"), name="asked").where("asked").select("row", "id", "text").join(repeated, "id", "left_semi")
+    kind = StructType([again.schema["row"], *[StructField(c, LongType()) for c in ("id", "size", "rid", "check")]])
     again = again.select("row", "id", "text").mapInArrow(_with_records, kind)
-    one = again.where("size > 0").join(best, ["id", "rid"], "left_semi").groupBy("id", "rid").agg(F.first("row").alias("row"))
+    one = again.where("size > 0").join(best.select("id", "best"), "id").where("rid = best or check = best").groupBy("id", "best").agg(F.first("row").alias("row"))
     more = one.select("row").unionByName(again.where("size = 0").select("row"))
     return kept.unionByName(more.select(*[F.col(f"row.c{i}").alias(c) for i, c in enumerate(docs.columns)]))

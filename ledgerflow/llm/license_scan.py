@@ -6,7 +6,7 @@ difference is the diagonal: a place where a template stands word for word gives
 pair, all on one diagonal; inserted or left-out words move the rest to a neighbouring one.
 Votes are collected per diagonal, neighbouring diagonals are merged, and a span counts when
 enough of the template's pairs were found in it. A pair is joined on a 64-bit hash and held
-against a second hash with another base, so a vote stands for equal words.
+against a second, independent hash, so a vote stands for equal words.
 
 The templates are a fixed table of a few hundred pairs; it is all that is broadcast.
 """
@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerflow.llm.shared import small_batches
-from ledgerflow.llm.textbytes import BASE2, LOWER, counts_by_row, mix, pieces, prefix_sums, rows_of, span_hash, spans, string_buffers
+from ledgerflow.llm.textbytes import LOWER, SEED2, counts_by_row, mix, pieces, rows_of, span_hash, spans, string_buffers
 
 #: Phrases of the contract and their labels.
 PHRASES = {
@@ -57,8 +57,8 @@ def _gram_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
     data = LOWER[data]
     start, end = spans(data, offsets, WORD_BYTE)
     words = counts_by_row(start, offsets)
-    one = span_hash(prefix_sums(data), start, end)
-    two = span_hash(prefix_sums(data, BASE2), start, end, BASE2)
+    one = span_hash(data, start, end)
+    two = span_hash(data, start, end, SEED2)
     row = rows_of(start, offsets)
     n = max(0, len(start) - GRAM + 1)
     same = np.flatnonzero(row[:n] == row[GRAM - 1 :]) if n else np.zeros(0, np.int64)

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerflow.llm.shared import small_batches
-from ledgerflow.llm.textbytes import HashIndex, mix, pieces, powers, string_buffers
+from ledgerflow.llm.textbytes import MASK, HashIndex, mix, pieces, span_hash, string_buffers
 
 BLANK = 0x2581
 #: Distinct words that a task remembers before it starts anew.
@@ -175,7 +175,11 @@ def _ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 
 
 class Encoder:
-    """Encodes pieces of a column; keeps the distinct words seen so far by their hashes."""
+    """Encodes pieces of a column; keeps the distinct words seen so far, found by their hashes.
+
+    A word counts as known only if its characters are those of the word kept under its hash; one
+    that merely shares a hash is encoded anew wherever it stands.
+    """
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
@@ -186,16 +190,40 @@ class Encoder:
         self.place = np.zeros(0, np.int64)  # their words' numbers
         self.offsets = np.zeros(1, np.int64)
         self.ids = np.zeros(0, np.int32)
+        self.letters = np.zeros(0, np.int32)  # the words themselves, and where each ends
+        self.ends = np.zeros(0, np.int64)
 
-    def _learn(self, hashes: np.ndarray, chars: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> None:
+    def _add(self, chars: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """Encode some words and keep them; their numbers."""
         new = chars[_ragged(starts, lengths)]
         ids, offsets = self.vocabulary.encode_words(new, np.append(0, np.cumsum(lengths)))
-        place = np.append(self.place, len(self.offsets) - 1 + np.arange(len(hashes)))
+        numbers = len(self.offsets) - 1 + np.arange(len(starts))
+        self.offsets = np.append(self.offsets, offsets[1:] + len(self.ids))
+        self.ids = np.append(self.ids, ids)
+        self.ends = np.append(self.ends, len(self.letters) + np.cumsum(lengths))
+        self.letters = np.append(self.letters, new)
+        return numbers
+
+    def _learn(self, hashes: np.ndarray, chars: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> None:
+        place = np.append(self.place, self._add(chars, starts, lengths))
         known = np.append(self.known.sorted[:-1], hashes)
         order = np.argsort(known)
         self.known, self.place = HashIndex(known[order]), place[order]
-        self.offsets = np.append(self.offsets, offsets[1:] + len(self.ids))
-        self.ids = np.append(self.ids, ids)
+
+    def _mistaken(self, word: np.ndarray, chars: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """Which words (of known numbers; they follow each other in chars) are not the words kept under these numbers."""
+        kept = np.diff(np.append(0, self.ends))[word]
+        wrong = kept != lengths
+        begin = self.ends[word] - kept
+        if not wrong.any():
+            same = self.letters[_ragged(begin, lengths)] == chars
+            return np.flatnonzero(~np.logical_and.reduceat(same, starts))
+        right = np.flatnonzero(~wrong)
+        if len(right):
+            n = lengths[right]
+            same = self.letters[_ragged(begin[right], n)] == chars[_ragged(starts[right], n)]
+            wrong[right] = ~np.logical_and.reduceat(same, np.cumsum(n) - n)
+        return np.flatnonzero(wrong)
 
     def encode(self, offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids, offsets) of texts; every text ends with the end id."""
@@ -223,14 +251,11 @@ class Encoder:
         cut[begins[:-1][full]] = True
         starts = np.flatnonzero(cut)
         ends = np.append(starts[1:], len(chars))
-        up, down = powers(len(chars) + 1)
-        sums = np.zeros(len(chars) + 1, np.uint64)
-        np.cumsum((chars.astype(np.uint64) + np.uint64(1)) * up[: len(chars)], out=sums[1:])
-        hashes = mix((sums[ends] - sums[starts]) * down[starts])
+        hashes = np.minimum(span_hash(chars.view(np.uint8), 4 * starts, 4 * ends), np.uint64(MASK - 1))  # MASK ends the index
         at = self.known.find(hashes)
         unknown = self.known.sorted[at] != hashes
         if unknown.any():
-            if len(self.place) > CACHE_WORDS:
+            if len(self.ends) > CACHE_WORDS:
                 self._forget()
                 unknown[:] = True
             which = np.flatnonzero(unknown)
@@ -239,6 +264,9 @@ class Encoder:
             self._learn(fresh, chars, starts[first], (ends - starts)[first])
             at = self.known.find(hashes)
         word = self.place[at]
+        other = self._mistaken(word, chars, starts, ends - starts)
+        if len(other):
+            word[other] = self._add(chars, starts[other], (ends - starts)[other])
         length = self.offsets[word + 1] - self.offsets[word]
         counts[full] = np.add.reduceat(length, np.searchsorted(starts, begins[:-1][full]))
         out_offsets = np.append(0, np.cumsum(counts + 1))

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from ledgerflow.llm.license_scan import WORD_BYTE
 from ledgerflow.llm.shared import small_batches, written
-from ledgerflow.llm.textbytes import LOWER, mix, pieces, prefix_sums, rows_of, span_hash, spans, string_buffers
+from ledgerflow.llm.textbytes import LOWER, mix, pieces, rows_of, span_hash, spans, string_buffers
 
 BUCKETS = 1 << 14
 LENGTH = 100
@@ -37,7 +37,7 @@ def ngram_buckets(offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np
     """(row, bucket) of all words and word pairs of some texts."""
     data = LOWER[data]
     start, end = spans(data, offsets, WORD_BYTE)
-    word = span_hash(prefix_sums(data), start, end)
+    word = span_hash(data, start, end)
     row = rows_of(start, offsets)
     same = np.flatnonzero(row[:-1] == row[1:])
     pair = mix(word[same] * np.uint64(3) + word[same + 1])

@@ -1,0 +1,34 @@
+"""Joins that deal the rows of frequent keys over several tasks."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+#: Fewer rows than LEAST are never a key's trouble; at most MOST keys can be frequent.
+LEAST, MOST = 256, 20_000
+
+
+def frequent(rows: DataFrame, *on: str, counts: DataFrame | None = None) -> DataFrame | None:
+    """The keys of more than 1 / MOST of all rows (and more than LEAST), with the number of parts to deal each into.
+
+    At most MOST rows, whatever the table: they pass through the driver. None if there is none.
+    ``counts`` (the keys and their number of rows as n) saves counting where it is known.
+    """
+    if counts is None:
+        counts = rows.where(" and ".join(f"`{c}` is not null" for c in on)).groupBy(*on).agg(F.count("*").alias("n"))
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    limit = max(LEAST, total // MOST)
+    keys = counts.where(F.col("n") > limit).select(*on, F.ceil(F.col("n") / limit).cast("int").alias("_parts"))
+    found = keys.collect()
+    return rows.sparkSession.createDataFrame(found, keys.schema) if found else None
+
+
+def spread_join(rows: DataFrame, table: DataFrame, on: list[str], by: list[Column], how: str = "inner", hot: DataFrame | None = None) -> DataFrame:
+    """rows joined with table (one row per key); the rows of a frequent key are dealt by ``by``, table's row copied to each part."""
+    if hot is None:
+        return rows.join(table, on, how)
+    small = F.broadcast(hot)  # at most MOST rows
+    left = rows.join(small, on, "left").withColumn("_part", F.when(F.col("_parts").isNull(), 0).otherwise(F.pmod(F.xxhash64(*by), F.col("_parts")).cast("int"))).drop("_parts")
+    right = table.join(small, on, "left").withColumn("_part", F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1))).drop("_parts")
+    return left.join(right, [*on, "_part"], how).drop("_part")

@@ -5,16 +5,16 @@ A window is a string of ``WINDOW`` bytes. Every start of a window belongs to one
 offsets, so windows only need to be compared with others of the same anchor.
 
 1. One pass cuts every text into runs of neighbouring starts with one anchor. A run is dealt out by
-   its anchor with a hash of its content (all bytes of its windows). Runs that repeat within a batch
-   of rows are settled at once and not compared.
+   its anchor with a digest (128 bits, BLAKE2) of its content (all bytes of its windows).
 2. Runs arrive in order of anchor, content and place. All but the first of equal runs are repeats as
    a whole. First runs of anchors with one content need nothing; the others need a closer look.
 3. Only those have their bytes fetched, from the documents that hold them. They are gathered by
    anchor into shards of about ``SHARD`` bytes; each shard gets its suffix array by induced sorting
    and its permuted common prefixes. Windows are equal where neighbours in the array share
    WINDOW bytes; of each class all starts but the earliest are repeats.
-4. An anchor with more than ``HOT`` different contents is not gathered: its windows are dealt out one
-   by one, by a hash of their bytes, and the earliest of each is found by aggregation.
+4. An anchor with more than ``HOT`` different contents is split before that: its windows are dealt
+   out anew by the anchor and the bytes next to it. What is still larger then (very many contents
+   around one string of twice the length) is compared window by window, by digests.
 5. The repeats of a document are joined to it, and the bytes they cover are removed. Documents
    without repeats are not shuffled.
 """
@@ -28,20 +28,24 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerflow.llm.key_filter import bitmaps, marked
+from ledgerflow.llm.key_filter import key_filter, marked
 from ledgerflow.llm.shared import small_batches, written
+from ledgerflow.llm.spread import frequent, spread_join
 from ledgerflow.llm.suffix_array import permuted_common_prefixes, suffix_array
-from ledgerflow.llm.textbytes import BASE2, mix, pieces, powers, prefix_sums, span_hash, string_buffers
+from ledgerflow.llm.textbytes import digests, eight_bytes, mix, pieces, span_hash, string_buffers
 
 WINDOW, GRAM = 100, 32
 #: Grams per window; also the largest number of starts in a run.
 SPAN = WINDOW - GRAM + 1
 SHARD = 1 << 22
 HOT = 8192
+#: Bytes before its anchor from which on a window is dealt out by those rather than by what follows.
+HALF = (WINDOW - GRAM) // 2
+_FACTORS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)
 
 # place of a run: its first start << 8 | (its number of starts - 1) << 1 | settled
-_RUN_SQL = "anchor long, content long, id long, place long"
-_RUN = pa.schema([(n, pa.int64()) for n in ("anchor", "content", "id", "place")])
+_RUN_SQL = "anchor long, content long, more long, id long, place long"
+_RUN = pa.schema([(n, pa.int64()) for n in ("anchor", "content", "more", "id", "place")])
 
 
 def _least_in_windows(keys: np.ndarray) -> np.ndarray:
@@ -58,33 +62,40 @@ def _least_in_windows(keys: np.ndarray) -> np.ndarray:
     return np.minimum(back[: n - SPAN + 1], ahead[SPAN - 1 : n])
 
 
-def runs(offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(row, first start, number of starts, anchor, content hash) of the runs of some texts."""
+def _grams(data: np.ndarray) -> np.ndarray:
+    """A hash of the GRAM bytes from every position on; it orders and deals out, and need not tell apart."""
+    eight = eight_bytes(data)
+    n = len(data) - GRAM + 1
+    h = np.zeros(n, np.uint64)
+    for k, factor in enumerate(_FACTORS):
+        h += eight[8 * k : 8 * k + n] * np.uint64(factor)
+    return mix(h)
+
+
+def runs(offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(row, first start, number of starts, anchor, two columns of content digest) of the runs of some texts."""
     n = len(data)
     none = np.zeros(0, np.int64)
     if n < WINDOW:
-        return none, none, none, none, none
-    sums = prefix_sums(data)
-    down = powers(n + 1)[1]
-    grams = mix((sums[GRAM:] - sums[:-GRAM]) * down[: n - GRAM + 1])
-    bits = np.uint64(int(n).bit_length())
-    place = np.arange(len(grams), dtype=np.uint64)
-    low = (np.uint64(1) << bits) - np.uint64(1)
-    at = (_least_in_windows((grams & ~low) | place) & low).astype(np.int64)
+        return (none,) * 6
+    grams = _grams(data)
+    # the least by its first half, then the leftmost: the same choice wherever the window stands
+    low = np.uint64(0xFFFFFFFF)
+    at = (_least_in_windows((grams & ~low) | np.arange(len(grams), dtype=np.uint64)) & low).astype(np.int64)
     length = np.diff(offsets)
     row = np.repeat(np.arange(len(length)), length)[: len(at)]
     valid = np.arange(len(at)) + WINDOW <= offsets[1:][row]
     start = np.flatnonzero(valid)
     if not len(start):
-        return none, none, none, none, none
+        return (none,) * 6
     own, at = row[start], at[start]
     fresh = np.append(True, (at[1:] != at[:-1]) | (own[1:] != own[:-1]))
     first = np.flatnonzero(fresh)
     many = np.diff(np.append(first, len(start)))
     begin = start[first]
-    content = span_hash(sums, begin, begin + many - 1 + WINDOW)
+    content, more = digests(data, begin, begin + many - 1 + WINDOW)
     own = own[first]
-    return own, begin - offsets[own], many, grams[at[first]].view(np.int64), content.view(np.int64)
+    return own, begin - offsets[own], many, grams[at[first]].view(np.int64), content, more
 
 
 def _run_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -92,19 +103,20 @@ def _run_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         offsets, data = string_buffers(batch.column("text"))
         ids = batch.column("id").to_numpy()
-        parts: list[list[np.ndarray]] = [[], [], [], []]
+        parts: list[list[np.ndarray]] = [[], [], [], [], []]
         for a, b in pieces(offsets):
-            row, begin, many, anchor, content = runs(offsets[a : b + 1] - offsets[a], data[offsets[a] : offsets[b]])
-            for p, x in zip(parts, (anchor, content, ids[a:b][row], begin << 8 | (many - 1) << 1), strict=True):
+            row, begin, many, anchor, content, more = runs(offsets[a : b + 1] - offsets[a], data[offsets[a] : offsets[b]])
+            for p, x in zip(parts, (anchor, content, more, ids[a:b][row], begin << 8 | (many - 1) << 1), strict=True):
                 p.append(x)
         if not parts[0]:
             continue
-        anchor, content, who, place = (np.concatenate(p) for p in parts)
-        order = np.lexsort((place, who, content))
-        anchor, content, who, place = anchor[order], content[order], who[order], place[order]
-        again = np.append(False, (content[1:] == content[:-1]) & (anchor[1:] == anchor[:-1]))
+        anchor, content, more, who, place = (np.concatenate(p) for p in parts)
+        order = np.lexsort((place, who, more, content))
+        anchor, content, more, who, place = anchor[order], content[order], more[order], who[order], place[order]
+        again = np.append(False, (content[1:] == content[:-1]) & (more[1:] == more[:-1]) & (anchor[1:] == anchor[:-1]))[: len(anchor)]
         anchor = np.where(again, mix((who * 31 + place).view(np.uint64)).view(np.int64), anchor)
-        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (anchor, content, who, place | again)], schema=_RUN)
+        content, more = np.where(again, 0, content), np.where(again, 0, more)
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (anchor, content, more, who, place | again)], schema=_RUN)
 
 
 _SORTED_SQL = "anchor long, id long, place long"
@@ -116,22 +128,22 @@ def _first_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     Keeps one row from batch to batch: the first run of the last anchor, until a second content shows up.
     """
-    anchor_before = content_before = None
+    anchor_before = content_before = more_before = None
     held: np.ndarray | None = None
     for batch in batches:
         if not batch.num_rows:
             continue
-        anchor, content, who, place = (batch.column(c).to_numpy() for c in ("anchor", "content", "id", "place"))
+        anchor, content, more, who, place = (batch.column(c).to_numpy() for c in ("anchor", "content", "more", "id", "place"))
         settled = (place & 1) == 1
         open_ = np.flatnonzero(~settled)
         repeat = np.zeros(len(anchor), bool)
         first_rows = []
         if len(open_):
-            a, c = anchor[open_], content[open_]
+            a, c, d = anchor[open_], content[open_], more[open_]
             same_anchor = np.append(anchor_before is not None and a[0] == anchor_before, a[1:] == a[:-1])
-            same = same_anchor & np.append(content_before is not None and c[0] == content_before, c[1:] == c[:-1])
+            same = same_anchor & np.append(content_before is not None and c[0] == content_before and d[0] == more_before, (c[1:] == c[:-1]) & (d[1:] == d[:-1]))
             repeat[open_[same]] = True
-            anchor_before, content_before = a[-1], c[-1]
+            anchor_before, content_before, more_before = a[-1], c[-1], d[-1]
             first = open_[~same]
             rows = np.column_stack([anchor[first], who[first], place[first]])
             # a run without a row before it of the same anchor starts a new anchor
@@ -249,8 +261,41 @@ def _sort_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield settle(pa.Table.from_batches(held).combine_chunks())
 
 
+def _split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Runs of hot anchors, cut in two and dealt out anew by what stands next to the anchor.
+
+    A window in which the anchor stands far to the left holds the GRAM bytes behind it, any other
+    those before it; equal windows agree on which, so they get the same new key.
+    """
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        offsets, text = string_buffers(batch.column("bytes"))
+        anchor, who, place = (batch.column(c).to_numpy() for c in ("anchor", "id", "place"))
+        many, begin, base = _starts(place), _begin(place), offsets[:-1]
+        # where the anchor stands: the first place that lies in all windows of the run
+        span = SPAN - many + 1
+        at = _ragged(base + many - 1, span)
+        run = np.repeat(np.arange(len(many)), span)
+        found = np.where(_grams(text)[at] == anchor[run].view(np.uint64), at, len(text))
+        spot = np.minimum.reduceat(found, np.cumsum(span) - span)
+        cut = np.clip(spot - base - HALF, 0, many)  # starts before it have more than HALF bytes before the anchor
+        for side, first, last in ((0, np.zeros(len(many), np.int64), cut), (1, cut, many)):
+            some = np.flatnonzero(last > first)
+            if not len(some):
+                continue
+            first, last = first[some], last[some]
+            beside = spot[some] + (GRAM if side else -GRAM)
+            key = mix(span_hash(text, beside, beside + GRAM) + anchor[some].view(np.uint64) * np.uint64(2) + np.uint64(side))
+            length = last - first - 1 + WINDOW
+            ends = np.append(0, np.cumsum(length)).astype(np.int32)
+            raw = pa.BinaryArray.from_buffers(pa.binary(), len(some), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(text[_ragged(base[some] + first, length)].tobytes())])
+            where = (begin[some] + first) << 8 | (last - first - 1) << 1
+            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(who[some]), pa.array(where), raw], schema=_BYTES)
+
+
 def _single_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Two hashes, id and start of every window of some runs."""
+    """The digest, id and start of every window of some runs."""
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -259,23 +304,30 @@ def _single_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         many = _starts(place)
         start = _ragged(offsets[:-1], many)
         run = np.repeat(np.arange(len(many)), many)
-        one = span_hash(prefix_sums(text), start, start + WINDOW)
-        two = span_hash(prefix_sums(text, BASE2), start, start + WINDOW, BASE2)
+        one, two = digests(text, start, start + WINDOW)
         where = _begin(place)[run] + start - offsets[:-1][run]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), pa.array(batch.column("id").to_numpy()[run]), pa.array(where)], names=["one", "two", "id", "begin"]
-        )
+        yield pa.RecordBatch.from_arrays([pa.array(one), pa.array(two), pa.array(batch.column("id").to_numpy()[run]), pa.array(where)], names=["one", "two", "id", "begin"])
 
 
-def _hot_repeats(hot: DataFrame) -> DataFrame:
-    """Repeats among the runs of anchors with very many contents, window by window."""
-    windows = written(hot.mapInArrow(_single_windows, "one long, two long, id long, begin long"))
-    earliest = windows.groupBy("one", "two").agg(F.min(F.struct("id", "begin")).alias("first"), F.count("*").alias("n")).where("n > 1")
-    met = windows.join(earliest, ["one", "two"])
+def _window_repeats(runs: DataFrame) -> DataFrame:
+    """Repeats among the runs of keys that stay very large, window by window."""
+    windows = written(runs.mapInArrow(_single_windows, "one long, two long, id long, begin long"))
+    earliest = written(windows.groupBy("one", "two").agg(F.min(F.struct("id", "begin")).alias("first"), F.count("*").alias("n")).where("n > 1"))
+    hot = frequent(earliest, "one", "two", counts=earliest.select("one", "two", "n"))
+    met = spread_join(windows, earliest, ["one", "two"], [F.col("id"), F.col("begin")], hot=hot)
     met = met.where((F.col("id") != F.col("first.id")) | (F.col("begin") != F.col("first.begin")))
     return met.select("id", "begin", (F.col("begin") + WINDOW).alias("end"))
 
 
+def _large(runs: DataFrame) -> DataFrame:
+    """The keys (anchor) of more than HOT runs."""
+    return written(runs.groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > HOT).select("anchor"))
+
+
+def _sorted_repeats(runs: DataFrame) -> DataFrame:
+    return runs.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_sort_shards, _REPEAT_SQL)
+
+
 def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """id, n_bytes, spans and kept of texts with the intervals that are removed from them."""
     span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
@@ -334,26 +386,29 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     small_batches(docs.sparkSession)
     rows = _numbered(docs, id_col, text_col)
     texts = rows.select("id", "text")
-    dealt = texts.mapInArrow(_run_rows, _RUN_SQL).repartition("anchor").sortWithinPartitions("anchor", "content", "id", "place")
+    dealt = texts.mapInArrow(_run_rows, _RUN_SQL).repartition("anchor").sortWithinPartitions("anchor", "content", "more", "id", "place")
     sorted_runs = written(dealt.mapInArrow(_first_runs, _SORTED_SQL))
     whole = sorted_runs.where("anchor is null").select(
         "id", F.shiftright("place", 8).alias("begin"), (F.shiftright("place", 8) + F.shiftright("place", 1).bitwiseAND(F.lit(127)) + WINDOW).alias("end")
     )
     open_runs = sorted_runs.where("anchor is not null")
     asked = open_runs.groupBy("id").agg(F.collect_list(F.struct("anchor", "place")).alias("asked"))
-    holders = marked(texts, bitmaps(open_runs, F.col("id")), F.col("id"), name="holds").where("holds").select("id", "text")
+    holders = marked(texts, key_filter(open_runs, F.col("id")), F.col("id"), name="holds").where("holds").select("id", "text")
     fetched = holders.join(asked, "id").mapInArrow(_fetch, _BYTES_SQL)
-    hot = written(open_runs.groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > HOT).select("anchor"))
+    hot = _large(open_runs)
     if hot.isEmpty():
-        partial = fetched.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_sort_shards, _REPEAT_SQL)
+        partial = _sorted_repeats(fetched)
     else:
         fetched = written(fetched)
-        cool = fetched.join(hot, "anchor", "left_anti")
-        partial = cool.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_sort_shards, _REPEAT_SQL)
-        partial = partial.unionByName(_hot_repeats(fetched.join(hot, "anchor", "left_semi")))
+        # written before it is dealt out: keys of many rows leave it in many tasks
+        split = written(fetched.join(hot, "anchor", "left_semi").mapInArrow(_split, _BYTES_SQL))
+        still = _large(split)
+        partial = _sorted_repeats(fetched.join(hot, "anchor", "left_anti").unionByName(split.join(still, "anchor", "left_anti")))
+        if not still.isEmpty():
+            partial = partial.unionByName(_window_repeats(split.join(still, "anchor", "left_semi")))
     repeats = written(whole.unionByName(partial))
     lists = repeats.groupBy("id").agg(F.collect_list(F.struct("begin", "end")).alias("repeats"))
-    split = marked(rows, bitmaps(repeats, F.col("id")), F.col("id"), name="hit")
+    split = marked(rows, key_filter(repeats, F.col("id")), F.col("id"), name="hit")
     empty = F.array().cast("array<struct<begin:long,end:long>>")
     hit = split.where("hit").select("id", "given", "text").join(lists, "id", "left")
     done = hit.select(F.col("given").alias("id"), "text", F.coalesce("repeats", empty).alias("repeats")).mapInArrow(

@@ -1,4 +1,4 @@
-"""Numpy views of Arrow string columns: bytes, words and rolling hashes.
+"""Numpy views of Arrow string columns: bytes, words and their hashes.
 
 Helpers for the inside of a task. They get one Arrow batch at a time and work on pieces
 of it of about ``PIECE`` bytes, so memory is bounded by a piece or by the longest text.
@@ -8,17 +8,20 @@ Nulls count as empty texts.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
 
 PIECE = 1 << 20
-#: An odd multiplier; its powers are invertible modulo 2**64, so the hash of any span
-#: comes from two prefix sums.
-BASE = 0x9E3779B97F4A7C15
-BASE2 = 0xD6E8FEB86659FD93
+#: An odd multiplier, and the seeds of two independent hashes.
+FACTOR = 0x9E3779B97F4A7C15
+SEED, SEED2 = 0x2545F4914F6CDD1D, 0x5851F42D4C957F2D
 MASK = (1 << 64) - 1
+#: Longest string that is hashed eight bytes at a time.
+LONG = 64
+#: TAIL[n] keeps the first n bytes of eight.
+TAIL = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
@@ -50,25 +53,6 @@ def pieces(offsets: np.ndarray, size: int = PIECE) -> Iterator[tuple[int, int]]:
         a = b
 
 
-@lru_cache(maxsize=4)
-def _powers(bits: int, base: int) -> tuple[np.ndarray, np.ndarray]:
-    n = 1 << bits
-    up, down = np.empty(n, np.uint64), np.empty(n, np.uint64)
-    up[0] = down[0] = 1
-    f, g = base, pow(base, -1, 1 << 64)
-    k = 1
-    while k < n:
-        up[k : 2 * k] = up[:k] * np.uint64(f)
-        down[k : 2 * k] = down[:k] * np.uint64(g)
-        f, g, k = f * f & MASK, g * g & MASK, 2 * k
-    return up, down
-
-
-def powers(n: int, base: int = BASE) -> tuple[np.ndarray, np.ndarray]:
-    """base**i and base**-i modulo 2**64 for i < n at least."""
-    return _powers(max(20, int(n).bit_length()), base)
-
-
 def mix(h: np.ndarray) -> np.ndarray:
     """A bijective finaliser, so that near values spread over all bits."""
     h = h ^ (h >> np.uint64(30))
@@ -79,19 +63,45 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
-def prefix_sums(values: np.ndarray, base: int = BASE) -> np.ndarray:
-    """Prefix sums of (value + 1) * base**i; see span_hash."""
-    out = np.zeros(len(values) + 1, np.uint64)
-    v = values.astype(np.uint64)
-    v += np.uint64(1)
-    v *= powers(len(values) + 1, base)[0][: len(values)]
-    np.cumsum(v, out=out[1:])
-    return out
+def eight_bytes(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from every position on as one number, zeros behind the end; a view."""
+    padded = np.zeros(len(data) + 16, np.uint8)
+    padded[: len(data)] = data
+    return np.ndarray((len(data) + 8,), np.uint64, padded, strides=(1,))
+
+
+def span_hash(data: np.ndarray, start: np.ndarray, end: np.ndarray, seed: int = SEED) -> np.ndarray:
+    """Hashes of the byte strings data[start:end]: equal strings have equal hashes wherever they stand.
+
+    Strings are taken in eight bytes at a time, each step a bijection of what it takes in, so
+    strings of up to eight bytes and one length never share a hash. Those of more than LONG bytes
+    are hashed by BLAKE2. Hashes with different seeds are independent.
+    """
+    length = end - start
+    h = mix(length.astype(np.uint64) * np.uint64(FACTOR) + np.uint64(seed))
+    if not len(h):
+        return h
+    eight = eight_bytes(data)
+    long = np.flatnonzero(length > LONG)
+    key = seed.to_bytes(8, "little")
+    for i, a, b in zip(long.tolist(), start[long].tolist(), end[long].tolist(), strict=True):
+        h[i] = int.from_bytes(blake2b(data[a:b].tobytes(), digest_size=8, key=key).digest(), "little")
+    left = np.flatnonzero(length <= LONG) if len(long) else np.arange(len(h))
+    at, rest = start[left], length[left]
+    while len(left):
+        chunk = eight[at] & TAIL[np.minimum(rest, 8)]
+        h[left] = mix((h[left] ^ chunk) * np.uint64(FACTOR) + np.uint64(seed))
+        more = rest > 8
+        left, at, rest = left[more], at[more] + 8, rest[more] - 8
+    return h
 
 
-def span_hash(sums: np.ndarray, start: np.ndarray, end: np.ndarray, base: int = BASE) -> np.ndarray:
-    """Hashes of the spans [start, end): equal spans have equal hashes wherever they stand."""
-    return mix((sums[end] - sums[start]) * powers(len(sums), base)[1][start])
+def digests(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """BLAKE2 digests of 128 bits of the byte strings data[start:end], as two columns of numbers."""
+    raw = data.tobytes()
+    out = b"".join([blake2b(raw[a:b], digest_size=16).digest() for a, b in zip(start.tolist(), end.tolist(), strict=True)])
+    both = np.frombuffer(out, np.int64).reshape(-1, 2)
+    return both[:, 0], both[:, 1]
 
 
 def spans(data: np.ndarray, offsets: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
