@@ -4,28 +4,39 @@ Inner product is no metric, so every vector x of a shard gets one more coordinat
 sqrt(M - |x|^2) with M the largest squared length there, and a query a zero; then
 d(q, x)^2 = |q|^2 + M - 2 q.x, and the nearest vectors are those with the largest product.
 
-The rows are dealt into shards of about ``SHARD_ROWS`` by a hash of the id. Each shard becomes
-one M-tree, stored as a table of pages: an inner page holds the routing objects of its children
+The rows are dealt into regions by the nearest of up to ``MOST_PIVOTS`` rows (those of least hash), and
+a region by a hash into shards of about ``SHARD_ROWS``. Each shard becomes one M-tree, stored as a
+table of pages: an inner page holds the routing objects of its children
 with their covering radii and their distances to the page's own routing object; a leaf page
 holds vectors with their distances to its routing object. The search visits pages best first by
 the largest product they can hold. A stored parent distance bounds the distance to an entry from
 both sides by the triangle inequality, so most entries are ruled out without computing it. What
 is left is scored exactly, on integers.
 
-Queries are dealt into blocks of ``BLOCK_QUERIES``; a task holds one tree and one block, whatever
-the number of rows and queries.
+The regions are searched best first, too. A query is first held against one shard of its own
+region; the k-th score it finds there rules out, by the regions' pivots and radii, all those that
+cannot hold a better one. Only then it visits the others, and takes that score along.
+
+Queries of a region are dealt into blocks of ``BLOCK_QUERIES``; a task holds one tree and one block,
+whatever the number of rows and queries. The pivots, with a radius and a length per region, are what
+is broadcast.
 """
 
 from __future__ import annotations
 
 import heapq
+from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerflow.llm.shared import small_batches, written
+
 SHARD_ROWS, BLOCK_QUERIES = 8192, 2048
+MOST_PIVOTS = 256
 PAGE, FANOUT = 128, 16
 SCALE = 256
 
@@ -63,6 +74,57 @@ def _matrix(column: pa.ChunkedArray, dim: int) -> np.ndarray:
     return flat.to_numpy(zero_copy_only=False).reshape(-1, dim)
 
 
+@dataclass
+class Regions:
+    """Of one dimension: the pivots, and how far from it and how long the rows of each may be."""
+
+    pivots: np.ndarray
+    radius: np.ndarray
+    length: np.ndarray
+
+    def nearest(self, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(region, distance to its pivot, length) of some vectors."""
+        square = (vectors * vectors).sum(axis=1)
+        far = square[:, None] + (self.pivots * self.pivots).sum(axis=1) - 2.0 * (vectors @ self.pivots.T)
+        region = far.argmin(axis=1)
+        return region, np.sqrt(np.maximum(far[np.arange(len(region)), region], 0.0)), np.sqrt(square)
+
+    def most(self, queries: np.ndarray) -> np.ndarray:
+        """The largest product that each query can have with a row of each region."""
+        size = np.sqrt((queries * queries).sum(axis=1))[:, None]
+        bound = np.minimum(queries @ self.pivots.T + size * self.radius, size * self.length)
+        return bound + 1e-9 * (1.0 + size * (self.length + self.radius)) + 1e-6
+
+
+def _by_dim(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(dimension, rows, vectors) of a batch."""
+    dims = batch.column("dim").to_numpy()
+    for dim in np.unique(dims):
+        rows = np.flatnonzero(dims == dim)
+        yield int(dim), rows, _matrix(batch.column("vector").take(pa.array(rows)), int(dim))
+
+
+def _assign(batches: Iterator[pa.RecordBatch], regions: dict[int, Regions]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        n = batch.num_rows
+        region, far, length = np.zeros(n, np.int32), np.zeros(n), np.zeros(n)
+        for dim, rows, vectors in _by_dim(batch):
+            region[rows], far[rows], length[rows] = regions[dim].nearest(vectors)
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(region), pa.array(far), pa.array(length)], names=[*batch.schema.names, "region", "far", "length"])
+
+
+def _wanted(batches: Iterator[pa.RecordBatch], regions: dict[int, Regions]) -> Iterator[pa.RecordBatch]:
+    """Queries with the regions that may hold a score of at least their floor."""
+    for batch in batches:
+        floor = batch.column("floor").to_numpy(zero_copy_only=False)
+        lists: list[np.ndarray] = [np.zeros(0, np.int32)] * batch.num_rows
+        for dim, rows, vectors in _by_dim(batch):
+            some = regions[dim].most(vectors) >= floor[rows][:, None]
+            for i, mine in zip(rows.tolist(), some, strict=True):
+                lists[i] = np.flatnonzero(mine).astype(np.int32)
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(lists, pa.list_(pa.int32()))], names=[*batch.schema.names, "wanted"])
+
+
 def _distance(vectors: np.ndarray, norms: np.ndarray, at: int, top: float) -> np.ndarray:
     """Lifted distances of some vectors to the one numbered at."""
     lift = np.sqrt(np.maximum(top - norms, 0.0))
@@ -106,8 +168,8 @@ def build_pages(ids: np.ndarray, vectors: np.ndarray) -> list[dict]:
     return pages
 
 
-def search(pages: dict[int, dict], root_router: np.ndarray, query: np.ndarray, own: int, k: int) -> tuple[list[tuple[int, int]], int]:
-    """((score, id) of the k best vectors of a tree, best first; how many products were computed)."""
+def search(pages: dict[int, dict], root_router: np.ndarray, query: np.ndarray, own: int, k: int, least: float = -np.inf) -> tuple[list[tuple[int, int]], int]:
+    """((score, id) of the k best vectors of a tree that score ``least`` or more, best first; how many products were computed)."""
     top = pages[0]["top"]
     length = float(query @ query)
     whole = length + top
@@ -119,7 +181,7 @@ def search(pages: dict[int, dict], root_router: np.ndarray, query: np.ndarray, o
     todo = [(-np.inf, 0, to_root)]
     while todo:
         bound, number, to_router = heapq.heappop(todo)
-        floor = best[0][0] if len(best) == k else -np.inf
+        floor = max(least, best[0][0]) if len(best) == k else least
         if -bound + slack < floor:
             break
         page = pages[number]
@@ -131,10 +193,8 @@ def search(pages: dict[int, dict], root_router: np.ndarray, query: np.ndarray, o
         products = page["vectors"][at] @ query
         computed += len(at)
         if page["leaf"]:
-            ids = page["entry"][at]
-            if len(best) == k:
-                better = products >= floor
-                ids, products = ids[better], products[better]
+            better = products >= floor
+            ids, products = page["entry"][at][better], products[better]
             if len(ids) > k:
                 some = np.lexsort((ids, -products))[: k + 1]  # one more, for the query's own row
                 ids, products = (ids, products) if (ids == own).sum() > 1 else (ids[some], products[some])
@@ -185,8 +245,8 @@ def _search(k: int, trees: pa.Table, queries: pa.Table) -> pa.Table:
         p["vectors"] = p["vectors"].reshape(-1, dim)
     out: list[tuple] = []
     asked = _matrix(queries["vector"], dim)
-    for who, key, vector in zip(queries["vec_id"].to_pylist(), queries["query_key"].to_pylist(), asked, strict=True):
-        out += [(who, key, i, s) for s, i in search(pages, root, vector, who, k)[0]]
+    for who, key, floor, vector in zip(queries["vec_id"].to_pylist(), queries["query_key"].to_pylist(), queries["floor"].to_pylist(), asked, strict=True):
+        out += [(who, key, i, s) for s, i in search(pages, root, vector, who, k, floor)[0]]
     columns = list(zip(*out, strict=True)) if out else [[], [], [], []]
     return pa.table([pa.array(c, pa.int64()) for c in columns], schema=_HIT)
 
@@ -201,24 +261,64 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_i
     id are asked each. Scores are exact as long as they are below 2**53. Other columns play no
     part. An empty table, or one without queries, gives an empty result.
     """
+    spark = vectors.sparkSession
+    small_batches(spark)
     rows = vectors.where(takes_part(F.col(vector_col)) & F.col(id_col).isNotNull()).select(
-        F.col(id_col).cast("long").alias("vec_id"), quantised(F.col(vector_col)).alias("vector"), is_query.alias("asked")
-    )
-    rows = rows.withColumn("dim", F.size("vector"))
-    size = rows.agg(F.count("*").alias("n"), F.count_if("asked").alias("asked")).first()
-    shards = max(1, -(-size["n"] // SHARD_ROWS))
-    blocks = max(1, -(-size["asked"] // BLOCK_QUERIES))
-    key = F.xxhash64("vec_id", "vector")
-    dealt = rows.withColumn("shard", F.pmod(key, F.lit(shards)).cast("int")).select("dim", "shard", "vec_id", "vector")
-    trees = dealt.groupBy("dim", "shard").applyInArrow(_build, _PAGE_SQL)
-    trees = trees.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    queries = rows.where("asked").select("dim", "vec_id", "vector", key.alias("query_key")).dropDuplicates(["dim", "vec_id", "query_key"])
-    queries = queries.withColumn("block", F.pmod(F.xxhash64("query_key"), F.lit(blocks)).cast("int"))
-    queries = queries.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-    by = ("dim", "shard", "block")
-    hits = trees.groupBy(*by).cogroup(queries.groupBy(*by)).applyInArrow(
-        lambda left, right: _search(k, left, right), "query_id long, query_key long, vec_id long, score long"
+        F.col(id_col).cast("long").alias("vec_id"), quantised(F.col(vector_col)).alias("vector"), F.coalesce(is_query, F.lit(False)).alias("asked")
     )
+    rows = rows.select(F.size("vector").alias("dim"), "vec_id", "vector", "asked", F.xxhash64("vec_id", "vector").alias("query_key"))
+    regions = {r["dim"]: _pivots(rows, r["dim"], r["n"]) for r in rows.groupBy("dim").agg(F.count("*").alias("n")).collect()}
+    if not regions:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    dealt = rows.mapInArrow(lambda it: _assign(it, regions), "dim int, vec_id long, vector array<double>, asked boolean, query_key long, region int, far double, length double")
+    dealt = written(dealt)
+    plan = F.broadcast(_plan(dealt, regions))  # a row per region
+    shards = dealt.join(plan, ["dim", "region"]).withColumn("shard", F.col("first") + F.pmod("query_key", F.col("parts")).cast("int"))
+    trees = written(shards.select("dim", "shard", "vec_id", "vector").groupBy("dim", "shard").applyInArrow(_build, _PAGE_SQL))
+    asked = dealt.where("asked").select("dim", "region", "vec_id", "vector", "query_key").dropDuplicates(["dim", "vec_id", "query_key"]).join(plan, ["dim", "region"])
+    asked = asked.withColumn("block", F.col("first_block") + F.pmod(F.xxhash64("query_key"), F.col("block_parts")).cast("int"))
+    asked = written(asked.select("dim", "vec_id", "vector", "query_key", "block", F.col("first").alias("home")))
+
+    near = _visit(trees, asked.withColumn("shard", F.col("home")).withColumn("floor", F.lit(float("-inf"))), k)
+    near = written(near)
+    full = near.groupBy(F.col("query_id").alias("vec_id"), "query_key").agg(F.min("score").alias("least"), F.count("*").alias("n"))
+    floor = F.when(F.col("n") >= k, F.col("least").cast("double")).otherwise(F.lit(float("-inf")))
+    floors = full.select("vec_id", "query_key", floor.alias("floor"))
+    going = asked.join(floors, ["vec_id", "query_key"], "left").select("dim", "vec_id", "vector", "query_key", "block", "home", F.coalesce("floor", F.lit(float("-inf"))).alias("floor"))
+    kind = "dim int, vec_id long, vector array<double>, query_key long, block int, home int, floor double, wanted array<int>"
+    going = going.mapInArrow(lambda it: _wanted(it, regions), kind).withColumn("region", F.explode("wanted")).join(plan, ["dim", "region"])
+    going = going.withColumn("shard", F.explode(F.sequence("first", F.col("first") + F.col("parts") - 1))).where("shard <> home")
+    hits = near.unionByName(_visit(trees, going, k))
     order = Window.partitionBy("query_id", "query_key").orderBy(F.desc("score"), "vec_id")
     ranked = hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
+
+
+def _pivots(rows: DataFrame, dim: int, n: int) -> Regions:
+    """The rows of least hash as pivots, radii still open. MOST_PIVOTS vectors at most reach the driver."""
+    number = min(MOST_PIVOTS, max(1, -(-n // SHARD_ROWS)))
+    some = rows.where(F.col("dim") == dim).orderBy("query_key", "vec_id").limit(number).select("vector").collect()
+    pivots = np.unique(np.array([r["vector"] for r in some], np.float64), axis=0)
+    return Regions(pivots, np.zeros(len(pivots)), np.zeros(len(pivots)))
+
+
+def _plan(dealt: DataFrame, regions: dict[int, Regions]) -> DataFrame:
+    """dim, region, first, parts, first_block and block_parts: the numbers of its shards and blocks. Sets the regions' radii."""
+    counted = dealt.groupBy("dim", "region").agg(F.count("*").alias("n"), F.count_if("asked").alias("asked"), F.max("far").alias("far"), F.max("length").alias("length"))
+    out, shard, block = [], 0, 0
+    for r in sorted(counted.collect(), key=lambda r: (r["dim"], r["region"])):
+        regions[r["dim"]].radius[r["region"]], regions[r["dim"]].length[r["region"]] = r["far"], r["length"]
+        parts, blocks = -(-r["n"] // SHARD_ROWS), max(1, -(-r["asked"] // BLOCK_QUERIES))
+        out.append((r["dim"], r["region"], shard, parts, block, blocks))
+        shard, block = shard + parts, block + blocks
+    return dealt.sparkSession.createDataFrame(out, "dim int, region int, first int, parts int, first_block int, block_parts int")
+
+
+def _visit(trees: DataFrame, queries: DataFrame, k: int) -> DataFrame:
+    """The best rows that each query finds in the shard it is sent to; a tree is copied to the blocks that visit it."""
+    by = ("dim", "shard", "block")
+    queries = queries.select(*by, "vec_id", "vector", "query_key", "floor")
+    copies = trees.join(queries.select(*by).distinct(), ["dim", "shard"])
+    copies = copies.select(*[F.col(c).alias(c) for c in copies.columns])  # the grouped sides share no column
+    found = copies.groupBy(*by).cogroup(queries.groupBy(*by)).applyInArrow(lambda left, right: _search(k, left, right), "query_id long, query_key long, vec_id long, score long")
+    return found

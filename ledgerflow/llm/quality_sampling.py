@@ -2,10 +2,11 @@
 
 Texts are read as words; words and word pairs are hashed into ``BUCKETS`` buckets. Two bag models
 give the buckets' probabilities: one of the raw corpus, counted over all documents, and one of
-the target, counted over documents labelled as good. The weight of a document is the log of the
-ratio of its probabilities under both, as for a text of ``LENGTH`` n-grams, so that long and short
-documents compare. Adding Gumbel noise to the log weights and taking the k largest sums draws k
-documents without replacement in proportion to their weights.
+the target, counted over documents labelled as good. The weight of a document is the ratio of its
+probabilities under both: its log is the sum of the log ratios of all its n-grams. Adding Gumbel
+noise to the log weights and taking the k largest sums draws k documents without replacement in
+proportion to their weights. The score, which compares documents of all lengths, takes the mean
+log ratio as for a text of ``LENGTH`` n-grams.
 
 The target is counted on at most about ``TARGET_ROWS`` labelled documents (chosen by a hash of the
 id), whose ids are broadcast; models are fixed vectors of BUCKETS numbers. The k-th largest sum is
@@ -62,12 +63,12 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _weigh(batches: Iterator[pa.RecordBatch], ratio: np.ndarray) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         offsets, data = string_buffers(batch.column("text"))
-        mean = np.zeros(batch.num_rows)
+        total, n = np.zeros(batch.num_rows), np.zeros(batch.num_rows, np.int64)
         for a, b in pieces(offsets):
             row, bucket = ngram_buckets(offsets[a : b + 1] - offsets[a], data[offsets[a] : offsets[b]])
-            n = np.bincount(row, minlength=b - a)
-            mean[a:b] = np.bincount(row, weights=ratio[bucket], minlength=b - a) / np.maximum(n, 1)
-        yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(mean)], names=["id", "mean"])
+            n[a:b] = np.bincount(row, minlength=b - a)
+            total[a:b] = np.bincount(row, weights=ratio[bucket], minlength=b - a)
+        yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(total), pa.array(n)], names=["id", "total", "n"])
 
 
 def log_ratios(docs: DataFrame, is_target: Column) -> np.ndarray:
@@ -83,16 +84,19 @@ def log_ratios(docs: DataFrame, is_target: Column) -> np.ndarray:
 
 
 def kth_largest(rows: DataFrame, value: str, k: int) -> float:
-    """The k-th largest of a column of finite numbers (k from 1): exact, by narrowing a range _CELLS-fold per pass."""
+    """The k-th largest of a column of finite numbers (k from 1): exact, by narrowing a range _CELLS-fold per pass.
+
+    A range too narrow for cells of its own holds about _CELLS different numbers at most; these are
+    counted one by one.
+    """
     low, high = rows.agg(F.min(value), F.max(value)).first()
     while low < high:
         step = (high - low) / _CELLS
-        if step == 0 or low + step == low:
-            break
-        cell = F.least(F.floor((F.col(value) - low) / step), F.lit(_CELLS - 1)).cast("int")
         inside = rows.where(F.col(value).between(low, high))
+        fine = low + step > low and high - step < high
+        cell = F.least(F.floor((F.col(value) - low) / step), F.lit(_CELLS - 1)).cast("double") if fine else F.col(value)
         cells = inside.groupBy(cell.alias("cell")).agg(F.count("*").alias("n"), F.min(value).alias("low"), F.max(value).alias("high")).collect()
-        for c in sorted(cells, key=lambda c: -c["cell"]):
+        for c in sorted(cells, key=lambda c: -c["low"]):
             if k <= c["n"]:
                 low, high = c["low"], c["high"]
                 break
@@ -104,8 +108,8 @@ def quality_sample(docs: DataFrame, labels: DataFrame, share: float = SHARE, see
     """id_col, log_weight, score, gumbel_key and sampled of every row of docs.
 
     labels has doc_id, quality and toxic; documents with quality 1 that are not labelled toxic are
-    the target (several labels of a document: any such one). score is log_weight squeezed into 0
-    to 1. sampled marks the ceil(share * rows) largest keys; rows that tie with the last of them
+    the target (several labels of a document: any such one). score is the mean log ratio, times
+    LENGTH, squeezed into 0 to 1. sampled marks the ceil(share * rows) largest keys; rows that tie with the last of them
     are marked too. Null and empty texts have log weight 0. Rows that repeat an id share its
     noise. Without any label, all weights follow from the raw corpus alone. Other columns play no
     part; an empty table gives an empty result.
@@ -119,13 +123,13 @@ def quality_sample(docs: DataFrame, labels: DataFrame, share: float = SHARE, see
     ratio = log_ratios(rows.join(F.broadcast(good), F.col("id") == F.col("good_id"), "left"), F.col("is_good"))
     shared = docs.sparkSession.sparkContext.broadcast(ratio)
     kind = rows.schema["id"].dataType.simpleString()
-    means = rows.mapInArrow(lambda it: _weigh(it, shared.value), f"id {kind}, mean double")
+    sums = rows.mapInArrow(lambda it: _weigh(it, shared.value), f"id {kind}, total double, n long")
     noise = (F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(1 << 52)) + 0.5) / float(1 << 52)
-    weighed = means.select(
+    weighed = sums.select(
         "id",
-        (F.col("mean") * LENGTH).alias("log_weight"),
-        (1 / (1 + F.exp(-F.col("mean") * LENGTH))).alias("score"),
-        (F.col("mean") * LENGTH - F.log(-F.log(noise))).alias("gumbel_key"),
+        F.col("total").alias("log_weight"),
+        (1 / (1 + F.exp(-LENGTH * F.col("total") / F.greatest("n", F.lit(1))))).alias("score"),
+        (F.col("total") - F.log(-F.log(noise))).alias("gumbel_key"),
     )
     weighed = written(weighed)
     n = weighed.count()

@@ -1,15 +1,20 @@
 """Mixing sources to target weights by Pfair scheduling.
 
-The rows of a source are dealt into blocks of about ``BLOCK_ROWS`` by a hash of their id. A
+The rows of a source are dealt into blocks of about ``BLOCK_ROWS`` by a hash of their key. A
 source of weight w gets its j-th block (from 0) into a window of slots: it is released at
 floor(j / w) and due at ceil((j + 1) / w). Among the released blocks, the one that is due first
 takes the next slot. With weights that add up to 1 every block meets its deadline, so after any
 number t of slots each source has had less than one block more or less than t * w.
 
 Weights are rounded to shares of a period of ``period`` slots. All lags are zero at its end, so
-one period, which the number of sources bounds, is scheduled on the driver, and every block gets
-its slot from it by arithmetic in Spark. When a source has no block left, a new phase begins with
-the weights of the sources that remain; nothing is dropped.
+one period, which the number of sources bounds, is scheduled on the driver, and every row works
+out its block's slot from it by arithmetic; no list of blocks is made. When a source has no block
+left, a new phase begins with the weights of the sources that remain; nothing is dropped.
+
+What passes through the driver and is broadcast: a row per source, one per phase and source, and
+the slots of one period per phase. It grows with the square of the number of sources (about a
+million short rows for 500) and not with the number of rows; sources are meant to be collections,
+not hosts.
 """
 
 from __future__ import annotations
@@ -20,10 +25,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerflow.llm.spread import frequent
+
 BLOCK_ROWS = 64
 LEAST_PERIOD = 1024
-#: A schedule of up to so many blocks (of under 100 bytes each) is broadcast; a longer one is joined by shuffling.
-BROADCAST_BLOCKS = 50_000
 
 
 def shares(weights: dict[str, float], period: int) -> dict[str, int]:
@@ -98,13 +103,12 @@ def _source(source: str) -> Column:
     return F.coalesce(F.col(f"`{source}`").cast("string"), F.lit(""))
 
 
-
-def schedule(docs: DataFrame, source: str = "source", weights: dict[str, float] | None = None, block_rows: int = BLOCK_ROWS) -> tuple[DataFrame, dict[str, int]]:
-    """(m_source, m_block, slot, release, deadline of every block; number of blocks per source).
+def schedule(docs: DataFrame, source: str = "source", weights: dict[str, float] | None = None, block_rows: int = BLOCK_ROWS) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(number of blocks of every source; the phases' runs of blocks; the slots of one period of each).
 
     Weights may be given for some sources; others get the least of those given. Without any,
-    they are the square roots of the sources' numbers of rows. One row per source and one
-    period per phase pass through the driver.
+    they are the square roots of the sources' numbers of rows. Null sources count as the source
+    ''; an empty table gives empty ones.
     """
     spark = docs.sparkSession
     counts = {r["s"]: r["n"] for r in docs.groupBy(_source(source).alias("s")).agg(F.count("*").alias("n")).collect()}
@@ -115,44 +119,50 @@ def schedule(docs: DataFrame, source: str = "source", weights: dict[str, float]
     runs, period = [], []
     for number, p in enumerate(phases(blocks, use)):
         length = sum(p.share.values())
-        for n in p.share:
-            runs.append((number, n, p.first[n], p.blocks[n], p.start, p.share[n], length))
-            period += [(number, n, i, s) for i, s in enumerate(p.slots[n][: min(p.share[n], p.blocks[n])])]
-    run = spark.createDataFrame(runs, "phase int, m_source string, first long, blocks long, start long, share long, length long")
-    slots = spark.createDataFrame(period, "phase int, m_source string, i long, at long")
-    j = F.col("j")
-    every = run.where("blocks > 0").withColumn("j", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    every = every.withColumn("i", j % F.col("share")).join(slots, ["phase", "m_source", "i"])
-    base = F.col("start") + F.expr("j div share") * F.col("length")
-    placed = every.select(
-        "m_source",
-        (F.col("first") + j).alias("m_block"),
-        (base + F.col("at")).alias("slot"),
-        (base + F.expr("i * length div share")).alias("release"),
-        (base + F.expr("((i + 1) * length + share - 1) div share")).alias("deadline"),
+        runs += [(number, n, p.first[n], p.blocks[n], p.start, p.share[n], length) for n in p.share if p.blocks[n]]
+        period += [(number, n, i, s) for n in p.share for i, s in enumerate(p.slots[n][: min(p.share[n], p.blocks[n])])]
+    return (
+        spark.createDataFrame(list(blocks.items()), "m_source string, m_blocks long"),
+        spark.createDataFrame(runs, "phase int, m_source string, first long, blocks long, start long, share long, length long"),
+        spark.createDataFrame(period, "phase int, m_source string, i long, at long"),
     )
-    return placed, blocks
 
 
 def _placed(docs: DataFrame, key: str, source: str, weights: dict[str, float] | None, block_rows: int) -> DataFrame:
     """docs as a struct column row, with m_source, m_block, slot, release and deadline."""
-    plan, blocks = schedule(docs, source, weights, block_rows)
-    sizes = docs.sparkSession.createDataFrame(list(blocks.items()), "m_source string, m_blocks long")
+    sizes, runs, slots = schedule(docs, source, weights, block_rows)
     row = F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)])
-    # one row per source, as many as the driver has just read
-    rows = docs.select(row.alias("row"), _source(source).alias("m_source"), F.xxhash64(F.col(f"`{key}`")).alias("m_hash"))
+    rows = docs.select(row.alias("row"), _source(source).alias("m_source"), F.col(f"`{key}`").alias("m_key"), F.monotonically_increasing_id().alias("m_at"))
+    alone = F.col("m_key").isNotNull()
+    hot = frequent(docs.select(F.col(f"`{key}`").alias("m_key")), "m_key")
+    if hot is not None:
+        rows = rows.join(F.broadcast(hot), "m_key", "left")
+        alone &= F.col("_parts").isNull()
+    rows = rows.withColumn("m_hash", F.when(alone, F.xxhash64("m_key")).otherwise(F.xxhash64("m_key", "m_at")))
     rows = rows.join(F.broadcast(sizes), "m_source").withColumn("m_block", F.pmod("m_hash", "m_blocks"))
-    small = sum(blocks.values()) <= BROADCAST_BLOCKS
-    return rows.join(F.broadcast(plan) if small else plan, ["m_source", "m_block"])
+    runs = runs.withColumnRenamed("m_source", "r_source")
+    here = (F.col("m_source") == F.col("r_source")) & (F.col("m_block") >= F.col("first")) & (F.col("m_block") < F.col("first") + F.col("blocks"))
+    placed = rows.join(F.broadcast(runs), here).withColumn("j", F.col("m_block") - F.col("first")).withColumn("i", F.col("j") % F.col("share"))
+    placed = placed.join(F.broadcast(slots), ["phase", "m_source", "i"])
+    base = F.col("start") + F.expr("j div share") * F.col("length")
+    return placed.select(
+        "row",
+        "m_source",
+        "m_hash",
+        "m_block",
+        (base + F.col("at")).alias("slot"),
+        (base + F.expr("i * length div share")).alias("release"),
+        (base + F.expr("((i + 1) * length + share - 1) div share")).alias("deadline"),
+    )
 
 
 def mix(docs: DataFrame, key: str = "doc_id", source: str = "source", weights: dict[str, float] | None = None, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """key, source, block, slot, release and deadline of every row of docs.
 
-    Null sources count as the source ''. Rows that repeat a key fall into the same block; so do
-    rows with a null key. Slots are whole numbers from 0, one block each. A block to which the
-    hash deals no row leaves its slot empty. Other columns play no part; an empty table gives an
-    empty result.
+    Null sources count as the source ''. Rows that repeat a key fall into the same block; those
+    without a key, or with one that very many rows share, are dealt by their place in the table.
+    Slots are whole numbers from 0, one block each. A block to which the hash deals no row leaves
+    its slot empty. Other columns play no part; an empty table gives an empty result.
     """
     at = {c: i for i, c in enumerate(docs.columns)}
     out = _placed(docs, key, source, weights, block_rows)

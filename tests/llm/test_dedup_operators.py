@@ -10,7 +10,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pyarrow as pa
 
-from ledgerflow.llm import exact_dedup, jaccard_join, suffix_array, suffix_dedup
+from ledgerflow.llm import exact_dedup, jaccard_join, key_filter, spread, suffix_array, suffix_dedup
 from ledgerflow.llm.components import components
 from tests.llm import documents as D
 
@@ -103,6 +103,53 @@ def test_close_pairs_of_sets_too_large_for_signatures():
     assert large is None and jaccard_join._close_pairs(side(3, 200_000, large), side(4, 200_000, large)).num_rows == 1
 
 
+def thue_morse(n, a, b):
+    """A string and its complement, which polynomial hashes modulo 2**64 cannot tell apart."""
+    bits = [bin(i).count("1") % 2 for i in range(n)]
+    return "".join(a if x else b for x in bits), "".join(b if x else a for x in bits)
+
+
+def test_words_that_polynomials_confuse_stay_apart(spark):
+    data, i = [], 0
+    for n in (1024, 2048, 4096):
+        for a, b in ("ab", "et"):
+            for t in thue_morse(n, a, b):
+                data += [(i, t, "en", "s", 1), (i + 1, f"{t} is one of six words here", "en", "s", 1)]
+                i += 2
+    assert Counter(map(tuple, jaccard_join.link_components(D.table(spark, data)).collect())) == plain_components(data)
+    assert digest(suffix_dedup.remove_repeats(D.table(spark, data))) == plain_repeats(data)
+
+
+def test_sets_that_share_a_record_id_are_told_apart(spark, monkeypatch):
+    plain = jaccard_join._records
+
+    def few_ids(rows, hashes, n):
+        size, rid, check = plain(rows, hashes, n)
+        return size, rid & 3, check
+
+    monkeypatch.setattr(jaccard_join, "_records", few_ids)
+    assert Counter(map(tuple, jaccard_join.link_components(D.table(spark)).collect())) == plain_components(D.rows())
+    kept = jaccard_join.one_per_component(D.table(spark))
+    assert {r.doc_id for r in kept.collect()} == {c for _, _, c in plain_components(D.rows())}
+
+
+def test_more_keys_than_a_bitmap_holds_and_frequent_keys(spark, monkeypatch):
+    """The ways for very many and for very frequent keys give the same rows."""
+    monkeypatch.setattr(key_filter, "MOST_BITS", 0)
+    monkeypatch.setattr(spread, "LEAST", 2)
+    monkeypatch.setattr(spread, "MOST", 10)
+    data = D.rows() + [(300 + i, f"common text of many copies {i % 2}", "en", "s", 1) for i in range(40)]
+    docs = D.table(spark, data, extra=True)
+    assert Counter(map(tuple, jaccard_join.link_components(docs).collect())) == plain_components(data)
+    groups = defaultdict(list)
+    for r in data:
+        groups[(r[1] or "").translate(D.LOWER)].append(r[0])
+    want = Counter((r[0], max(g), len(g)) for r in data for g in [groups[(r[1] or "").translate(D.LOWER)]])
+    assert Counter((r.doc_id, r.keep_id, r.group_size) for r in exact_dedup.exact_copies(docs, digest=True).collect()) == want
+    assert len(exact_dedup.drop_copies(docs).collect()) == len({t for t in groups})
+    assert digest(suffix_dedup.remove_repeats(docs)) == plain_repeats(data)
+
+
 def test_one_per_component_stays(spark):
     docs = D.table(spark, extra=True)
     kept = jaccard_join.one_per_component(docs)
@@ -139,7 +186,7 @@ def test_components_of_chains(spark):
 
 def test_suffix_arrays_and_common_prefixes():
     rnd = np.random.default_rng(1)
-    for k in range(200):
+    for k in range(400):
         n, s = int(rnd.integers(0, 150)), int(rnd.integers(1, 5))
         t = rnd.integers(0, 256 if k % 5 == 0 else s, n).astype(np.uint8)
         if k % 7 == 0:
@@ -156,6 +203,18 @@ def test_suffix_arrays_and_common_prefixes():
             assert shared[b] == n
 
 
+def test_suffix_arrays_of_any_alphabet():
+    rnd = np.random.default_rng(2)
+    for top in (3, 300, 70_000):
+        for n in (2, 50, 400):
+            t = rnd.integers(0, top, n)
+            t[: n // 2] = t[n // 2 : n // 2 * 2]
+            assert suffix_array.suffix_array(t).tolist() == sorted(range(n), key=lambda i: t[i:].tolist())  # noqa: B023
+    long = np.tile(np.frombuffer(b"the same words again and ", np.uint8), 300)
+    raw = bytes(long)
+    assert suffix_array.suffix_array(long).tolist() == sorted(range(len(raw)), key=lambda i: raw[i:])
+
+
 def plain_repeats(data, width=100):
     """Texts in order of id; windows seen before are removed."""
     seen, out = set(), Counter()
@@ -188,7 +247,10 @@ def test_repeats_with_hot_anchors_window_by_window(spark, monkeypatch):
     rnd = random.Random(6)
     line = "this very common line stands in all of the documents of this table"
     data = [(i, " ".join(f"{rnd.random()}" for _ in range(6)) + line + " ".join(f"{rnd.randrange(3)}{line[:30]}" for _ in range(5)), "en", "s", 1) for i in range(40)]
-    monkeypatch.setattr(suffix_dedup, "HOT", 5)
+    for hot in (5, 0):  # split by what stands beside the anchor, and also window by window
+        monkeypatch.setattr(suffix_dedup, "HOT", hot)
+        assert digest(suffix_dedup.remove_repeats(D.table(spark, data))) == plain_repeats(data)
+    monkeypatch.setattr(suffix_dedup, "HOT", 12)
     assert digest(suffix_dedup.remove_repeats(D.table(spark, data))) == plain_repeats(data)
     monkeypatch.setattr(suffix_dedup, "HOT", 8192)
     monkeypatch.setattr(suffix_dedup, "SHARD", 500)

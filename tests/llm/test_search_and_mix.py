@@ -51,6 +51,60 @@ def test_search_avoids_products():
     assert computed < 2500
 
 
+def test_search_leaves_out_regions(spark, monkeypatch):
+    """Of rows in tight clusters, a query visits few shards beyond its own; the result is that of all products."""
+    rnd = np.random.default_rng(3)
+    centers = rnd.normal(0, 4, (12, 8))
+    rows = [(i, (centers[i % 12] + rnd.normal(0, 0.05, 8)).tolist()) for i in range(1200)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    monkeypatch.setattr(metric_search, "SHARD_ROWS", 40)
+    visits = []
+    visit = metric_search._visit
+
+    def counted(trees, queries, k):
+        visits.append(queries.count())
+        return visit(trees, queries, k)
+
+    monkeypatch.setattr(metric_search, "_visit", counted)
+    got = {(r.query_id, r.rank): (r.vec_id, r.score) for r in metric_search.top_k(df, F.col("vec_id") % 50 == 0).collect()}
+    use = np.floor(256 * np.array([v for _, v in rows], np.float32).astype(np.float64))
+    for q in range(0, 1200, 50):
+        products = use @ use[q]
+        products[q] = -np.inf
+        for rank, i in enumerate(np.lexsort((np.arange(1200), -products))[:5]):
+            assert got.pop((q, rank + 1)) == (int(i), int(products[i]))
+    assert not got
+    assert visits[0] == 24 and visits[1] < 24 * 12  # of more than 30 shards
+
+
+def test_log_weights_and_draw_equal_a_plain_version(spark):
+    rnd = random.Random(3)
+    docs = [(i, D.prose(rnd, rnd.choice(["en", "de"]), rnd.randint(0, 40)) if i % 7 else None, "en", "s", 1) for i in range(40)] + [(7, "twice here", "en", "s", 1)]
+    good = {i for i in range(0, 40, 3)}
+    labels = spark.createDataFrame([(i, int(i in good), 0) for i in range(40)], "doc_id long, quality int, toxic int")
+    got = quality_sampling.quality_sample(D.table(spark, docs, extra=True), labels, share=0.3).collect()
+
+    def buckets(text):
+        data = np.frombuffer((text or "").encode(), np.uint8)
+        return quality_sampling.ngram_buckets(np.array([0, len(data)]), data)[1].tolist()
+
+    raw, target = Counter(), Counter()
+    for i, text, *_ in docs:
+        raw.update(buckets(text))
+        if i in good:
+            target.update(buckets(text))
+    size, prior = quality_sampling.BUCKETS, quality_sampling.PRIOR
+    share = {b: (raw[b] + 0.01) / (sum(raw.values()) + 0.01 * size) for b in raw}
+    ratio = {b: math.log((target[b] + prior * share[b]) / (sum(target.values()) + prior)) - math.log(share[b]) for b in raw}
+    want = sorted((i, round(sum(ratio[b] for b in buckets(text)), 6)) for i, text, *_ in docs)
+    assert sorted((r.doc_id, round(r.log_weight, 6)) for r in got) == want
+    keys = sorted((r.gumbel_key for r in got), reverse=True)
+    least = keys[math.ceil(0.3 * len(docs)) - 1]
+    assert all(r.sampled == (r.gumbel_key >= least) for r in got)
+    noise = [r.gumbel_key - r.log_weight for r in got]
+    assert all(math.isfinite(x) for x in noise) and len({round(x, 9) for x in noise}) == 40
+
+
 def test_quality_sample(spark):
     rnd = random.Random(9)
     good = [(i, D.prose(rnd, "en", 40), "en", "s", 1) for i in range(60)]
@@ -72,6 +126,15 @@ def test_kth_largest(spark):
         assert quality_sampling.kth_largest(df, "v", k) == sorted(values, reverse=True)[k - 1]
 
 
+def test_kth_largest_of_neighbouring_numbers(spark):
+    values = [1.0]
+    for _ in range(999):
+        values.append(math.nextafter(values[-1], 2))
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    for k in (1, 500, 1000):
+        assert quality_sampling.kth_largest(df, "v", k) == values[1000 - k]
+
+
 def test_pfair_deviates_by_less_than_one_block():
     for shares in ({"a": 512, "b": 300, "c": 212}, {"a": 1, "b": 1, "c": 1022}, {f"s{i}": n for i, n in enumerate((400, 300, 200, 100, 24))}):
         period = sum(shares.values())
@@ -104,6 +167,30 @@ def test_mix(spark):
     assert source_mixing.mix(D.empty(spark)).count() == 0
 
 
+def test_mix_spreads_rows_without_keys_and_with_a_common_one(spark):
+    rows = [(None, "a")] * 600 + [(7, "a")] * 700 + [(i, "a") for i in range(1000, 1200)] + [(i, None) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string")
+    got = source_mixing.mix(docs).collect()
+    assert Counter((r.doc_id, r.source) for r in got) == Counter((i, s or "") for i, s in rows)
+    assert max(Counter((r.source, r.block) for r in got).values()) < 130
+    assert all(r.release <= r.slot < r.deadline for r in got)
+
+
+def test_mix_of_a_very_long_text(spark):
+    docs = D.table(spark, [(1, "word " * 400_000, "en", "a", 1), (2, "b", "en", "b", 1)])
+    assert sorted(r.doc_id for r in source_mixing.with_slots(docs).collect()) == [1, 2]
+
+
+def test_pipeline_of_an_empty_table_and_of_clashing_columns(spark, sf, tmp_path):
+    D.empty(spark).write.parquet(f"{tmp_path}/none/documents.parquet")
+    assert corpus_pipeline.run(spark, f"{tmp_path}/none").count() == 0
+    D.table(spark, extra=True).write.parquet(f"{tmp_path}/more/documents.parquet")
+    D.table(spark).write.parquet(f"{tmp_path}/plain/documents.parquet")
+    run = lambda name: sorted(map(tuple, corpus_pipeline.run(spark, f"{tmp_path}/{name}").collect()))
+    more = run("more")
+    assert more == run("plain") and more
+
+
 def test_pipeline_stages(spark, sf):
     docs = D.table(spark)
     kept = []

@@ -15,7 +15,7 @@ import pytest
 import sentencepiece
 from pyspark.sql import functions as F
 
-from ledgerflow.llm import language_id, license_scan, piece_codec, queries, secret_scan
+from ledgerflow.llm import jaccard_join, language_id, license_scan, piece_codec, queries, secret_scan
 from ledgerflow.llm.textbytes import pieces, string_buffers
 from tests.llm import documents as D
 
@@ -164,6 +164,38 @@ def test_pieces_equal_the_library():
     assert back == [sp.decode(w) for w in want]
 
 
+@pytest.mark.parametrize("bits", [64, 3])
+def test_words_that_share_a_hash_are_encoded_each(monkeypatch, bits):
+    """Words that polynomials modulo 2**64 confuse; and a hash of 3 bits, under which most words clash."""
+    sp = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    plain = piece_codec.span_hash
+    monkeypatch.setattr(piece_codec, "span_hash", lambda *a: plain(*a) & np.uint64((1 << bits) - 1))
+    texts = []
+    for n in (1024, 2048, 4096):
+        for a, b in ("ab", "et"):
+            word = [bin(i).count("1") % 2 for i in range(n)]
+            texts += ["".join(a if x else b for x in word), "".join(b if x else a for x in word)]
+    texts += [r[1] or "" for r in D.rows()]
+    encoder = piece_codec.Encoder(piece_codec.Vocabulary(MODEL))
+    offsets, data = string_buffers(pa.array(texts))
+    got = []
+    for a, b in pieces(offsets, 4000):
+        ids, at = encoder.encode(offsets[a : b + 1] - offsets[a], data[offsets[a] : offsets[b]])
+        got += [ids[at[i] : at[i + 1]].tolist() for i in range(b - a)]
+    assert got == sp.encode(texts, add_eos=True)
+
+
+def test_rows_without_ids_stay(spark):
+    texts = ["Released under the MIT License. token = abcdef12", None, "the same thing is said again and again", "the same thing is said again and again"]
+    docs = spark.createDataFrame([(None, t, "en", "s", 1) for t in texts], D.SCHEMA)
+    model = language_id.fit(D.table(spark))
+    assert sorted(r.lang_pred == "und" for r in language_id.predict(docs, model).collect()) == [False, False, False, True]
+    assert Counter(r.base_labels for r in license_scan.scan_licenses(docs).collect()) == {"mit": 1, "": 3}
+    assert Counter(len(r.spans) > 0 for r in secret_scan.secret_spans(docs).collect()) == {True: 1, False: 3}
+    assert Counter(r.n_tokens > 1 for r in queries.token_digests(docs, MODEL).collect()) == {True: 3, False: 1}
+    assert Counter((r.n_shingles, r.component_id) for r in jaccard_join.link_components(docs).collect()) == {(4, None): 3, (0, None): 1}
+
+
 def test_token_digests(spark):
     sp = sentencepiece.SentencePieceProcessor(model_file=MODEL)
     want = Counter()
