@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -12,6 +13,7 @@ from ledgerflow.functions.dates import interval_kind, parse_date
 from ledgerflow.functions.numbers import money, rate
 from ledgerflow.functions.text import clean, display_value
 from ledgerflow.functions.urls import valid_url
+from ledgerflow.operators.diff import TRACKED, Tracked, changed_fields
 from ledgerflow.operators.identity import is_placeholder
 
 
@@ -120,8 +122,22 @@ def cost_movements(fields: DataFrame, names: tuple[str, ...] = ("estimated_cost"
     return out.withColumn("classification", kind).withColumn("difference", (F.col("new_cost") - F.col("old_cost")).cast("double"))
 
 
+def movements(fields: DataFrame, days: tuple[str, ...] = ("planned_start", "planned_end"), costs: tuple[str, ...] = ("estimated_cost", "actual_cost")) -> DataFrame:
+    """Dates and costs that moved, in one pass: classification, and difference in days or money."""
+    old, new = F.col("old_raw"), F.col("new_raw")
+    out = fields.where(F.col("field").isin(*days, *costs)).withColumns({"old_day": parse_date(old), "new_day": parse_date(new), "old_cost": money(old), "new_cost": money(new)})
+    is_day = F.col("field").isin(*days)
+    kind = F.when(is_day, date_movement(old, new, F.col("old_day"), F.col("new_day"))).otherwise(cost_movement(old, new, F.col("old_cost"), F.col("new_cost")))
+    moved = F.when(is_day, F.datediff("new_day", "old_day").cast("double")).otherwise((F.col("new_cost") - F.col("old_cost")).cast("double"))
+    return out.withColumn("classification", kind).withColumn("difference", moved)
+
+
 def movement_summary(moves: DataFrame) -> DataFrame:
-    """Number, least, median and largest difference per pair, source, field and class."""
+    """Number, least, median and largest difference per pair, source, field and class.
+
+    The median is exact: a group's different differences (days, or amounts to the cent) are held
+    with their counts while it is aggregated.
+    """
     return moves.groupBy("before_date", "after_date", "source_name", "field", "classification").agg(
         F.count("*").alias("events"),
         F.round(F.min("difference"), 6).alias("least"),
@@ -149,6 +165,9 @@ def link_quality(change_rows: DataFrame, url: str = "source_url") -> DataFrame:
     return change_rows.agg(F.count_if(blank).alias("blank_links"), F.count_if(~blank & ~valid_url(F.col(url))).alias("malformed_links"))
 
 
+_ALERT_COLUMNS = ("alert_code", "severity", "metric_name", "metric_value", "threshold", "records", "prevents_trend")
+
+
 def _alert(code: str, severity: str, metric: str, value: Column, threshold: float, records: Column, prevents: bool, when: Column) -> Column:
     row = F.struct(
         F.lit(code).alias("alert_code"), F.lit(severity).alias("severity"), F.lit(metric).alias("metric_name"), value.cast("double").alias("metric_value"),
@@ -157,8 +176,8 @@ def _alert(code: str, severity: str, metric: str, value: Column, threshold: floa
     return F.when(F.coalesce(when, F.lit(False)), row)
 
 
-def source_alerts(health: DataFrame, t: Thresholds = Thresholds(), failed: Column | None = None) -> DataFrame:
-    """Threshold alerts per source. ``failed`` marks sources with a documented collection fault.
+def _of_source(t: Thresholds, failed: Column | None = None) -> Column:
+    """The alerts of a row of source health, as an array. ``failed`` marks sources with a documented collection fault.
 
     A large net change is a warning only without a critical reason, and a notable one is
     mentioned only if nothing else was.
@@ -174,7 +193,7 @@ def source_alerts(health: DataFrame, t: Thresholds = Thresholds(), failed: Colum
     restless = (churn >= t.warning_churn) & (c("union_size") >= t.warning_net_min)
     quiet = ~serious & ~F.coalesce(large, F.lit(False)) & ~F.coalesce(restless, F.lit(False))
     moved = c("new_records") + c("disappeared_records")
-    alerts = F.array_compact(
+    return F.array_compact(
         F.array(
             _alert("collection_integrity_failure", "critical", "collection_integrity_passed", F.lit(0.0), 1.0, c("after_count"), True, failed),
             _alert("source_count_collapse", "critical", "source_drop_pct", drop, t.critical_drop_pct, -delta, True, collapse),
@@ -184,25 +203,73 @@ def source_alerts(health: DataFrame, t: Thresholds = Thresholds(), failed: Colum
             _alert("notable_source_net_change", "informational", "percentage_delta", c("percentage_delta"), t.info_net_pct, F.abs(delta), False, (pct >= t.info_net_pct) & quiet),
         )
     )
-    return health.select("before_date", "after_date", "source_name", F.explode(alerts).alias("a")).select("before_date", "after_date", "source_name", "a.*")
+
+
+def source_alerts(health: DataFrame, t: Thresholds = Thresholds(), failed: Column | None = None) -> DataFrame:
+    """Threshold alerts per source."""
+    return health.select("before_date", "after_date", "source_name", F.explode(_of_source(t, failed)).alias("a")).select("before_date", "after_date", "source_name", "a.*")
+
+
+def _of_field(t: Thresholds) -> Column:
+    return _alert("mass_field_refresh", "warning", "affected_rate", F.col("affected_rate"), t.mass_refresh, F.col("identities"), False, F.col("mass_refresh"))
+
+
+def _of_interval(t: Thresholds) -> Column:
+    before, after = F.to_date("before_date"), F.to_date("after_date")
+    odd = (interval_kind(before, after, t.baseline, t.canonical_start) != "month_end_to_month_end") & F.lit(t.flag_noncanonical)
+    return _alert("noncanonical_interval", "warning", "canonical_monthly_comparison", F.lit(0.0), 1.0, F.datediff(after, before), True, odd)
 
 
 def field_alerts(concentration: DataFrame, t: Thresholds = Thresholds()) -> DataFrame:
     rows = concentration.where("mass_refresh")
-    a = _alert("mass_field_refresh", "warning", "affected_rate", F.col("affected_rate"), t.mass_refresh, F.col("identities"), False, F.lit(True))
-    return rows.select("before_date", "after_date", "source_name", a.alias("a")).select("before_date", "after_date", "source_name", "a.*")
+    return rows.select("before_date", "after_date", "source_name", _of_field(t).alias("a")).select("before_date", "after_date", "source_name", "a.*")
 
 
 def interval_alerts(health: DataFrame, t: Thresholds = Thresholds()) -> DataFrame:
     """One alert for each pair of dates that is no month-end comparison."""
-    before, after = F.to_date("before_date"), F.to_date("after_date")
-    kind = interval_kind(before, after, t.baseline, t.canonical_start)
     rows = health.select("before_date", "after_date").distinct()
-    a = _alert("noncanonical_interval", "warning", "canonical_monthly_comparison", F.lit(0.0), 1.0, F.datediff(after, before), True, (kind != "month_end_to_month_end") & F.lit(t.flag_noncanonical))
-    out = rows.select("before_date", "after_date", F.lit("").alias("source_name"), a.alias("a")).where("a is not null")
+    out = rows.select("before_date", "after_date", F.lit("").alias("source_name"), _of_interval(t).alias("a")).where("a is not null")
     return out.select("before_date", "after_date", "source_name", "a.*")
 
 
+def assessed(both: DataFrame, t: Thresholds = Thresholds(), tracked: Sequence[Tracked] = TRACKED) -> DataFrame:
+    """Everything that alerts need, from one aggregation of paired records.
+
+    One row per pair and source (field null) with its counts and rates, and one per field that
+    changed there (identities, change_rows, affected_rate, mass_refresh); both with their alerts
+    as an array. The alert on a pair's interval stands at its first source. What follows the
+    aggregation works on a row per pair, source and field.
+    """
+    source = F.coalesce("new.source_name", "old.source_name").alias("source_name")
+    names = F.concat(F.array(F.lit(None).cast("string")), F.transform(changed_fields(both, tracked), lambda f: f["name"]))
+    rows = both.select("before_date", "after_date", source, "record_identity", "old", "new", F.explode(names).alias("field"))
+    counted = _ratios(rows.groupBy("before_date", "after_date", "source_name", "field").agg(*_counts(), F.count("record_identity").alias("identities"), F.count("*").alias("change_rows")))
+    whole = F.col("field").isNull()
+    mine = Window.partitionBy("before_date", "after_date", "source_name")
+    pair = Window.partitionBy("before_date", "after_date").orderBy("source_name", "field")
+    retained = F.max(F.when(whole, F.col("retained_records"))).over(mine)
+    out = counted.withColumn("retained_records", retained).withColumn("affected_rate", rate(F.col("identities"), F.col("retained_records")))
+    mass = ~whole & F.coalesce((F.col("affected_rate") >= t.mass_refresh) & (F.col("identities") >= t.mass_refresh_min), F.lit(False))
+    out = out.withColumn("mass_refresh", mass).withColumn("first", F.row_number().over(pair) == 1)
+    placed = lambda alerts, where: F.transform(alerts, lambda a: F.struct(where.alias("source_name"), *[a[c].alias(c) for c in _ALERT_COLUMNS]))
+    own = F.when(whole, _of_source(t)).otherwise(F.array_compact(F.array(_of_field(t))))
+    of_pair = F.when(F.col("first"), F.array_compact(F.array(_of_interval(t)))).otherwise(F.filter(F.array(_of_interval(t)), lambda a: F.lit(False)))
+    return out.withColumn("alerts", F.concat(placed(own, F.col("source_name")), placed(of_pair, F.lit("")))).drop("first")
+
+
+def alert_rows(checked: DataFrame) -> DataFrame:
+    """The alerts of ``assessed`` rows, one per row."""
+    return checked.select("before_date", "after_date", F.explode("alerts").alias("a")).select("before_date", "after_date", "a.*")
+
+
+def eligibility(checked: DataFrame, t: Thresholds = Thresholds()) -> DataFrame:
+    """trend_eligibility from ``assessed`` rows, in one aggregation per pair of dates."""
+    worst = F.max(F.array_max(F.transform("alerts", lambda a: severity_rank(a["severity"])))).alias("worst")
+    codes = F.transform(F.filter("alerts", lambda a: a["prevents_trend"]), lambda a: a["alert_code"])
+    per = checked.groupBy("before_date", "after_date").agg(worst, F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_list(codes)))), ";").alias("exclusion_reasons"))
+    return _statuses(per, t)
+
+
 def all_alerts(health: DataFrame, concentration: DataFrame, t: Thresholds = Thresholds()) -> DataFrame:
     return source_alerts(health, t).unionByName(field_alerts(concentration, t)).unionByName(interval_alerts(health, t))
 
@@ -225,6 +292,17 @@ def without_critical(health: DataFrame, alerts: DataFrame) -> DataFrame:
     return overall(health.join(alerts.where("severity = 'critical'").select(*by).distinct(), by, "left_anti"))
 
 
+def _statuses(worst: DataFrame, t: Thresholds) -> DataFrame:
+    kind = interval_kind(F.to_date("before_date"), F.to_date("after_date"), t.baseline, t.canonical_start)
+    rank = F.coalesce("worst", F.lit(0))
+    return worst.select(
+        "before_date", "after_date", kind.alias("interval_kind"),
+        F.when(rank == 3, "critical").when(rank == 2, "review").otherwise("healthy").alias("comparison_status"),
+        ((kind == "month_end_to_month_end") & (rank < 3)).alias("usable_for_trend"),
+        F.coalesce("exclusion_reasons", F.lit("")).alias("exclusion_reasons"),
+    )
+
+
 def trend_eligibility(health: DataFrame, alerts: DataFrame, t: Thresholds = Thresholds()) -> DataFrame:
     """Status of each comparison and whether it may enter a trend."""
     by = ["before_date", "after_date"]
@@ -232,17 +310,7 @@ def trend_eligibility(health: DataFrame, alerts: DataFrame, t: Thresholds = Thre
         F.max(severity_rank(F.col("severity"))).alias("worst"),
         F.array_join(F.array_sort(F.collect_set(F.when(F.col("prevents_trend"), F.col("alert_code")))), ";").alias("exclusion_reasons"),
     )
-    kind = interval_kind(F.to_date("before_date"), F.to_date("after_date"), t.baseline, t.canonical_start)
-    worst_or_none = F.coalesce("worst", F.lit(0))
-    return (
-        health.select(*by).distinct().join(worst, by, "left").select(
-            *by,
-            kind.alias("interval_kind"),
-            F.when(worst_or_none == 3, "critical").when(worst_or_none == 2, "review").otherwise("healthy").alias("comparison_status"),
-            ((kind == "month_end_to_month_end") & (worst_or_none < 3)).alias("usable_for_trend"),
-            F.coalesce("exclusion_reasons", F.lit("")).alias("exclusion_reasons"),
-        )
-    )
+    return _statuses(health.select(*by).distinct().join(worst, by, "left"), t)
 
 
 def history(change_rows: DataFrame, trend: DataFrame, by: str = "change_type", include_flagged: bool = False) -> DataFrame:

@@ -123,6 +123,29 @@ def changes(
     )
 
 
+def changed_fields(both: DataFrame, tracked: Sequence[Tracked] = TRACKED) -> Column:
+    """change_type, name, old and new of every tracked field that differs, as an array; empty unless both sides are there."""
+    present = set(both.schema["new"].dataType.names)
+    value = lambda side, f: F.coalesce(F.col(f"{side}.{f}").cast("string"), F.lit(""))
+    items = [
+        F.struct(F.lit(t.change_type).alias("change_type"), F.lit(f).alias("name"), value("old", f).alias("old"), value("new", f).alias("new"))
+        for t in tracked
+        for f in t.fields
+        if f in present
+    ]
+    differ = F.filter(F.array(*items), lambda x: x["old"] != x["new"])
+    return F.when(F.col("old").isNotNull() & F.col("new").isNotNull(), differ).otherwise(F.filter(F.array(*items), lambda x: F.lit(False)))
+
+
+def field_rows(both: DataFrame, tracked: Sequence[Tracked] = TRACKED) -> DataFrame:
+    """One row per record and field that differs, with old_raw and new_raw, straight from paired records."""
+    rows = both.withColumn("f", F.explode(changed_fields(both, tracked)))
+    return rows.select(
+        "before_date", "after_date", "f.change_type", F.col("new.source_name").alias("source_name"), "record_identity",
+        F.col("f.name").alias("field"), F.col("f.old").alias("old_raw"), F.col("f.new").alias("new_raw"),
+    )
+
+
 def summary(change_rows: DataFrame) -> DataFrame:
     """Rows and distinct records per pair, source, type and semantic type."""
     return change_rows.groupBy("before_snapshot_date", "after_snapshot_date", "source_name", "change_type", "semantic_type").agg(

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -11,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerflow.functions.ids import short_id
 from ledgerflow.functions.text import similarity
+from ledgerflow.sources.workspace import cut
 
 
 def merged_by(df: DataFrame, key: str, order: Column, columns: Sequence[str], largest: Sequence[str] = (), sets: Sequence[str] = ()) -> DataFrame:
@@ -40,7 +39,6 @@ def last_nonblank(df: DataFrame, key: str, columns: Sequence[str], order: Sequen
 
 def dedup_audit(df: DataFrame, key: Column, order: Sequence[Column]) -> DataFrame:
     """df with status: kept, duplicate, or missing_key (kept apart, never merged)."""
-    w = Window.partitionBy("audit_key").orderBy(*order)
     out = df.withColumn("audit_key", key)
     status = F.when(F.col("audit_key").isNull(), "missing_key").when(F.col("position") == 1, "kept").otherwise("duplicate")
     # rows without a key must not gather in one group
@@ -48,32 +46,16 @@ def dedup_audit(df: DataFrame, key: Column, order: Sequence[Column]) -> DataFram
     return out.withColumn("audit_group", spread).withColumn("position", F.row_number().over(Window.partitionBy("audit_group").orderBy(*order))).withColumn("status", status).drop("audit_group")
 
 
-def _shared_path(df: DataFrame) -> str:
-    spark = df.sparkSession
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = "file://" + tempfile.mkdtemp(prefix="ledgerflow-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/resolve-{uuid.uuid4().hex}"
-
-
-def _cut(df: DataFrame) -> DataFrame:
-    """df written to the shared folder of spark.checkpoint.dir and read again."""
-    path = _shared_path(df)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def connected(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """node and component (the least node reachable) for every node of an edge; labels spread and jump until nothing changes."""
     pairs = edges.select(F.col(a).alias("u"), F.col(b).alias("v"))
-    both = _cut(pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct())
-    labels = _cut(both.groupBy(F.col("u").alias("node")).agg(F.least(F.col("u"), F.min("v")).alias("component")))
+    both = cut(pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct())
+    labels = cut(both.groupBy(F.col("u").alias("node")).agg(F.least(F.col("u"), F.min("v")).alias("component")))
     while True:
         near = both.join(labels, F.col("v") == F.col("node")).groupBy(F.col("u").alias("node")).agg(F.min("component").alias("near"))
         step = labels.join(near, "node").select("node", F.col("component").alias("old"), F.least("component", "near").alias("mid"))
         beyond = labels.select(F.col("node").alias("mid"), F.col("component").alias("far"))
-        step = _cut(step.join(beyond, "mid").select("node", "old", F.least("mid", "far").alias("component")))
+        step = cut(step.join(beyond, "mid").select("node", "old", F.least("mid", "far").alias("component")))
         labels = step.select("node", "component")
         if step.where("component <> old").isEmpty():
             return labels
@@ -95,7 +77,8 @@ def crosswalk(left: DataFrame, right: DataFrame, days: int = 45, least_similarit
     """The best match of every left row, by number, parcel, address and date, or similar address and date.
 
     Both sides have id, number, parcel, address and day (normalised; null where unknown). Each rule is
-    an equi-join of its own; similar addresses are compared within equal house numbers. The best score
+    an equi-join of its own; similar addresses are compared within equal house numbers and spans of
+    ``days`` days, of which neighbouring ones meet. The best score
     wins; several targets with the best score make an ambiguous candidate; rows without any match stay
     as unmatched.
     """
@@ -108,7 +91,9 @@ def crosswalk(left: DataFrame, right: DataFrame, days: int = 45, least_similarit
         return pairs.select("l_id", "r_id", F.lit(method).alias("method"), score.cast("double").alias("score"))
 
     block = lambda c: F.nullif(F.regexp_extract(c, r"^(\d+) ", 1), F.lit(""))
-    near = a.withColumn("block", block("l_address")).where("block is not null").join(b.withColumn("block", block("r_address")), "block")
+    span = lambda c: F.floor(F.datediff(F.col(c), F.to_date(F.lit("1970-01-01"))) / max(1, days)).cast("int")
+    blocked = a.withColumn("block", block("l_address")).where("block is not null and l_day is not null").withColumn("span", F.explode(F.array(*[span("l_day") + k for k in (-1, 0, 1)])))
+    near = blocked.join(b.withColumn("block", block("r_address")).withColumn("span", span("r_day")), ["block", "span"])
     pairs = (
         scored(a.join(b, F.col("l_number") == F.col("r_number")), "exact_number", F.lit(1.0))
         .unionByName(scored(a.join(b, F.col("l_parcel") == F.col("r_parcel")), "exact_parcel", F.lit(0.95)))

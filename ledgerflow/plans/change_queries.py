@@ -72,11 +72,16 @@ def overall_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fields(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return analysis.field_rows(change_rows(spark, sf_dir))
+    return diff.field_rows(paired(spark, sf_dir))
+
+
+def _assessed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return analysis.assessed(paired(spark, sf_dir), LIMITS)
 
 
 def field_concentration(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return analysis.field_concentration(fields(spark, sf_dir), source_health(spark, sf_dir), LIMITS)
+    out = _assessed(spark, sf_dir).where("field is not null")
+    return out.select("before_date", "after_date", "source_name", "field", "identities", "change_rows", "retained_records", "affected_rate", "mass_refresh")
 
 
 def top_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -103,11 +108,11 @@ def cost_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def movement_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return analysis.movement_summary(planned_movements(spark, sf_dir).unionByName(cost_changes(spark, sf_dir)))
+    return analysis.movement_summary(analysis.movements(fields(spark, sf_dir)))
 
 
 def alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return analysis.all_alerts(source_health(spark, sf_dir), field_concentration(spark, sf_dir), LIMITS)
+    return analysis.alert_rows(_assessed(spark, sf_dir))
 
 
 def alert_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -122,7 +127,7 @@ def excluding_critical(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def trend_eligibility(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return analysis.trend_eligibility(source_health(spark, sf_dir), alerts(spark, sf_dir), LIMITS)
+    return analysis.eligibility(_assessed(spark, sf_dir), LIMITS)
 
 
 def interval_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -173,7 +178,7 @@ _FIELDS = f"""{_HEALTH}, conc AS (
     coalesce(round(identities / nullif(retained_records, 0)::DOUBLE, 6) >= {LIMITS.mass_refresh} AND identities >= {LIMITS.mass_refresh_min}, false) AS mass_refresh
   FROM (SELECT before_date, after_date, source_name, changed_fields AS field, count(DISTINCT record_identity) AS identities, count(*) AS change_rows
         FROM changes WHERE changed_fields <> '' GROUP BY ALL) c JOIN health h USING (before_date, after_date, source_name))"""
-_ALERTS = f"""{_FIELDS}, flags AS (
+ALERTS_SQL = f"""{_FIELDS}, flags AS (
   SELECT *, round(greatest(0, -absolute_delta) / nullif(before_count, 0)::DOUBLE, 6) AS drop_pct FROM health),
 flags2 AS (SELECT *, coalesce(drop_pct >= 0.5 AND -absolute_delta >= {LIMITS.critical_drop_min}, false) AS collapse,
     coalesce(disappearance_rate >= 0.5 AND disappeared_records >= {LIMITS.critical_disappearance_min}, false) AS vanish,
@@ -227,11 +232,11 @@ ORACLE_SQL = {
     "cost_changes": CHANGES + _MOVES + " SELECT * FROM costs",
     "movement_summary": CHANGES + _MOVES + """ SELECT before_date, after_date, source_name, field, classification, count(*) AS events, round(min(difference), 6) AS least,
         round(median(difference), 6) AS median, round(max(difference), 6) AS most FROM (SELECT * FROM moves UNION ALL SELECT * FROM costs) GROUP BY ALL""",
-    "alerts": CHANGES + _ALERTS + " SELECT * FROM alerts",
-    "alert_levels": CHANGES + _ALERTS + " SELECT before_date, after_date, source_name, CASE coalesce(worst, 0) WHEN 3 THEN 'critical' WHEN 2 THEN 'review' ELSE 'healthy' END AS alert_level FROM health LEFT JOIN levels USING (before_date, after_date, source_name)",
+    "alerts": CHANGES + ALERTS_SQL + " SELECT * FROM alerts",
+    "alert_levels": CHANGES + ALERTS_SQL + " SELECT before_date, after_date, source_name, CASE coalesce(worst, 0) WHEN 3 THEN 'critical' WHEN 2 THEN 'review' ELSE 'healthy' END AS alert_level FROM health LEFT JOIN levels USING (before_date, after_date, source_name)",
     "excluding_critical": CTE + f", health AS ({health_sql('source_name')}), calm AS (SELECT before_date, after_date, source_name FROM health WHERE NOT (coalesce(disappearance_rate >= 0.044 AND disappeared_records >= 1, false)))"
         + " " + health_sql("").replace("FROM both_sides)", "FROM both_sides) JOIN calm USING (before_date, after_date, source_name)"),
-    "trend_eligibility": CHANGES + _ALERTS + " SELECT * FROM trend",
+    "trend_eligibility": CHANGES + ALERTS_SQL + " SELECT * FROM trend",
     "interval_kinds": """WITH d AS (SELECT DISTINCT last_day(o_orderdate) AS day FROM orders), n AS (SELECT day, lead(day) OVER (PARTITION BY year(day) ORDER BY day) AS next FROM d)
         SELECT strftime(day, '%Y-%m-%d') AS before_date, strftime(next, '%Y-%m-%d') AS after_date,
           CASE WHEN day = DATE '1995-01-31' THEN 'baseline_followup' WHEN day >= DATE '1995-06-30' AND month(next) - month(day) = 1 THEN 'month_end_to_month_end' ELSE 'manual_interval' END AS kind

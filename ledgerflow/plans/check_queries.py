@@ -179,8 +179,8 @@ def dq_collection(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dq_partition_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = table(spark, sf_dir, "orders").where("o_totalprice > 350000")
-    return quality.partition_gaps(o, F.col("o_orderdate").cast("date"), "o_orderpriority", "1993-01-01", "1997-12-01")
+    """Per customer: months of a window without an order, and orders outside it."""
+    return quality.partition_gaps(table(spark, sf_dir, "orders"), F.col("o_orderdate").cast("date"), "o_custkey", "1995-01-01", "1999-12-01")
 
 
 def fingerprint_equal(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -233,7 +233,7 @@ def scrub_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def leak_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = table(spark, sf_dir, "events").where("event_id % 2 = 0").unionByName(table(spark, sf_dir, "events").where("event_id % 11 = 1").withColumn("props", F.lit('{"OWNER": "x"}')))
+    e = table(spark, sf_dir, "events").withColumn("props", F.when(F.col("event_id") % 11 == 1, '{"OWNER": "x"}').otherwise(F.col("props")))
     return privacy.leaks(e, "props", ["owner"]).select("event_id")
 
 
@@ -275,8 +275,7 @@ def budget_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def repeatability(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "lineitem").where("l_linenumber <= 2")
-    return audit.repeatability(rows, "l_suppkey", "l_linenumber", ["l_returnflag", "l_linestatus"])
+    return audit.repeatability(table(spark, sf_dir, "lineitem"), "l_suppkey", "l_linenumber", ["l_returnflag", "l_linestatus"])
 
 
 def source_tier(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -332,9 +331,10 @@ def _points(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _squares(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer")
-    x, y = (F.col("c_custkey") % 13 - 6) * 0.7, (F.col("c_custkey") % 11 - 5) * 0.7
+    spread = lambda factor, modulus: F.round(F.col("c_custkey") * factor % modulus / float(modulus) * 8.0 - 4.0, 3)
+    x, y = spread(2741, 10007), spread(6029, 10009)
     corner = lambda a, b: F.array(x + a, y + b)
-    return c.where("c_custkey <= 143").select(F.col("c_custkey").alias("s_id"), F.array(corner(0.0, 0.0), corner(0.5, 0.0), corner(0.5, 0.5), corner(0.0, 0.5), corner(0.0, 0.0)).alias("ring"))
+    return c.select(F.col("c_custkey").alias("s_id"), F.array(corner(0.0, 0.0), corner(0.5, 0.0), corner(0.5, 0.5), corner(0.0, 0.5), corner(0.0, 0.0)).alias("ring"))
 
 
 def spatial_contains(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -415,7 +415,7 @@ _RANKED = """WITH u AS (SELECT doc_id, coalesce(lang, 'none') AS stratum FROM do
 r AS (SELECT u.doc_id, u.stratum, quota, population, (row_number() OVER (PARTITION BY u.stratum ORDER BY sha256(concat_ws('|', '42', 'study', 'primary', u.stratum, u.doc_id::VARCHAR)), doc_id))::INTEGER AS rank FROM u JOIN n USING (stratum))"""
 _REVIEWS = "WITH r AS (SELECT l.*, lang, source, n_chars FROM labels l JOIN documents d ON l.doc_id = d.doc_id)"
 _POINTS = """WITH pt AS (SELECT vec_id AS p_id, embedding[1]::DOUBLE * 10 AS lon, embedding[2]::DOUBLE * 10 AS lat FROM embeddings),
-sq AS (SELECT c_custkey AS s_id, (c_custkey % 13 - 6) * 0.7::DOUBLE AS x, (c_custkey % 11 - 5) * 0.7::DOUBLE AS y FROM customer WHERE c_custkey <= 143)"""
+sq AS (SELECT c_custkey AS s_id, round((c_custkey * 2741 % 10007) / 10007::DOUBLE * 8::DOUBLE - 4, 3) AS x, round((c_custkey * 6029 % 10009) / 10009::DOUBLE * 8::DOUBLE - 4, 3) AS y FROM customer)"""
 
 ORACLE_SQL = {
     "lifecycle_events": """WITH r AS (SELECT l_orderkey || '-' || l_linenumber AS item, * FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
@@ -466,9 +466,9 @@ ORACLE_SQL = {
     "dq_reconcile": "SELECT year(o_orderdate)::INTEGER AS year, count(*) + (year(o_orderdate) = 1995)::BIGINT AS expected, count(*) AS actual, year(o_orderdate) <> 1995 AS passed FROM orders GROUP BY year(o_orderdate)",
     "dq_collection": """WITH l AS (SELECT lower(o_orderstatus) AS source, o_orderkey AS k FROM orders), s AS (SELECT source, count(*) AS n, count(*) FILTER (source = 'o' AND k % 50 = 0) AS missing, count(*) FILTER (source = 'f' AND k % 70 = 0) AS repeated FROM l GROUP BY source)
         SELECT source, n AS expected, n AS inventory, n - missing + repeated AS fetched, missing, 0::BIGINT AS foreign, repeated, missing + repeated = 0 AS passed FROM s""".replace("AS foreign", 'AS "foreign"'),
-    "dq_partition_gaps": """WITH o AS (SELECT o_orderpriority, o_orderdate::DATE AS d FROM orders WHERE o_totalprice > 350000)
-        SELECT o_orderpriority, count(*) AS rows, count(*) FILTER (NOT (d BETWEEN DATE '1993-01-01' AND DATE '1997-12-31')) AS outside,
-          60 - count(DISTINCT strftime(d, '%Y-%m')) FILTER (d BETWEEN DATE '1993-01-01' AND DATE '1997-12-31') AS missing_months FROM o GROUP BY o_orderpriority""",
+    "dq_partition_gaps": """WITH o AS (SELECT o_custkey, o_orderdate::DATE AS d FROM orders)
+        SELECT o_custkey, count(*) AS rows, count(*) FILTER (NOT (d BETWEEN DATE '1995-01-01' AND DATE '1999-12-31')) AS outside,
+          60 - count(DISTINCT strftime(d, '%Y-%m')) FILTER (d BETWEEN DATE '1995-01-01' AND DATE '1999-12-31') AS missing_months FROM o GROUP BY o_custkey""",
     "fingerprint_equal": "SELECT count(*) AS rows_a, count(*) AS rows_b, true AS equal FROM orders",
     "completeness": """WITH e AS (SELECT count(*) AS rows, count(event_id) AS event_id, count(*) FILTER (event_id % 7 <> 0) AS event_type, count(*) FILTER (value > 50) AS value, 0 AS note FROM events)
         SELECT c AS column, p AS populated, rows - p AS blank, round(100 * p / rows::DOUBLE, 1) AS percent FROM (SELECT rows, 'event_id' AS c, event_id AS p FROM e UNION ALL SELECT rows, 'event_type', event_type FROM e UNION ALL SELECT rows, 'value', value FROM e UNION ALL SELECT rows, 'note', note FROM e)""".replace("c AS column", 'c AS "column"'),
@@ -494,7 +494,7 @@ ORACLE_SQL = {
         SELECT conv_id, count(*) AS rows, count(*) FILTER (turn <> first + place - 1) AS gaps, count(*) FILTER (previous <> before) AS broken_links, count(*) FILTER (own <> sha256(concat_ws('|', turn::VARCHAR, previous, content))) AS wrong_hashes FROM v GROUP BY conv_id""",
     "budget_audit": """WITH p AS (SELECT user_id, event_type, count(*) AS n, sum(round(value, 2)) AS c FROM events GROUP BY ALL), u AS (SELECT user_id, sum(n)::BIGINT AS calls, count(*) AS queries, max(n) AS most_repeats, sum(c) AS cost FROM p GROUP BY user_id)
         SELECT user_id, calls, queries, most_repeats, round(cost, 2) AS cost, calls <= 70 AND most_repeats <= 20 AND cost <= 4000 AS within_budget FROM u""",
-    "repeatability": """WITH r AS (SELECT l_suppkey, l_linenumber, string_agg(DISTINCT l_returnflag || '|' || l_linestatus, chr(10) ORDER BY l_returnflag || '|' || l_linestatus) AS v FROM lineitem WHERE l_linenumber <= 2 GROUP BY ALL)
+    "repeatability": """WITH r AS (SELECT l_suppkey, l_linenumber, string_agg(DISTINCT l_returnflag || '|' || l_linestatus, chr(10) ORDER BY l_returnflag || '|' || l_linestatus) AS v FROM lineitem GROUP BY ALL)
         SELECT l_suppkey, count(*) AS repeats, count(DISTINCT v) = 1 AS repeatable FROM r GROUP BY l_suppkey""",
     "source_tier": r"""WITH p AS (SELECT page_id, lower(regexp_extract(url, '^https?://([^/:?#]+)', 1)) AS h FROM pages)
         SELECT page_id, CASE WHEN page_id % 5 = 0 THEN NULL WHEN h = 'example.org' OR h LIKE '%.example.org' THEN 2 WHEN h = 'example.com' OR h LIKE '%.example.com' THEN 1 END::INTEGER AS tier,

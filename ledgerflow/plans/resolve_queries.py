@@ -51,21 +51,21 @@ def event_date_hierarchy(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def planned_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders whose planned end lies behind a snapshot, by month."""
-    seen = snapshots(spark, sf_dir).where("snapshot_date = '2026-10-31'")
-    base = seen.select(F.to_date("planned_end").alias("d"), F.lit(True).alias("plan"))
+    """Orders whose planned end lies behind a date, by month, as each snapshot has it."""
+    base = snapshots(spark, sf_dir).select("snapshot_date", F.to_date("planned_end").alias("d"), F.lit(True).alias("plan"))
     out = cohort.scoped(base, "d", "plan", F.to_date(F.lit("1996-12-31")), F.to_date(F.lit("1993-01-01")))
-    return out.groupBy("scope", "event_month").agg(F.count("*").alias("n"))
+    return out.groupBy("snapshot_date", "scope", "event_month").agg(F.count("*").alias("n"))
 
 
 def monthly_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    seen = snapshots(spark, sf_dir).where("snapshot_date = '2026-10-31'").withColumn("month", F.substring("event_date", 1, 7))
+    seen = snapshots(spark, sf_dir).withColumn("month", F.substring("event_date", 1, 7))
     return cohort.monthly_index(seen, "month", "source_name", "status")
 
 
 def dense_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    big = table(spark, sf_dir, "orders").where("o_totalprice > 400000").groupBy(F.date_format("o_orderdate", "yyyy-MM").alias("month")).agg(F.count("*").alias("n"))
-    return cohort.dense_months(big, "month", "n")
+    """Customers by the month of their last order; few stopped early, so that months lack."""
+    last = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.max("o_orderdate").alias("d"))
+    return cohort.dense_months(last.groupBy(F.date_format("d", "yyyy-MM").alias("month")).agg(F.count("*").alias("n")), "month", "n")
 
 
 def year_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -135,9 +135,9 @@ def last_nonblank_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dedup_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = snapshots(spark, sf_dir).where("snapshot_date = '2026-08-31'")
-    out = resolve.dedup_audit(s, token(F.when(F.col("native_id") != "N/A", F.col("native_id"))), [F.desc("event_date"), F.col("object_id")])
-    return out.select("object_id", "audit_key", "status")
+    key = F.concat("snapshot_date", F.lit("|"), token(F.when(F.col("native_id") != "N/A", F.col("native_id"))))
+    out = resolve.dedup_audit(snapshots(spark, sf_dir), key, [F.desc("event_date"), F.col("object_id")])
+    return out.select("snapshot_date", "object_id", "audit_key", "status")
 
 
 def components_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -145,8 +145,8 @@ def components_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def part_supplier_components(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Components of the graph of parts and suppliers over a slice of line items by ship mode of their line number."""
-    items = table(spark, sf_dir, "lineitem").where("l_linenumber = 7 and l_quantity >= 45").select((F.col("l_partkey") * 2).alias("a"), (F.col("l_suppkey") * 2 + 1).alias("b")).distinct()
+    """Components of the graph of all parts and suppliers that line items link."""
+    items = table(spark, sf_dir, "lineitem").select((F.col("l_partkey") * 2).alias("a"), (F.col("l_suppkey") * 2 + 1).alias("b")).distinct()
     return resolve.connected(items)
 
 
@@ -160,14 +160,14 @@ def _portal(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     c = table(spark, sf_dir, "customer")
     key = F.col("c_custkey")
     street = F.element_at(F.array(*[F.lit(x) for x in ("North Franklin Street", "Bay Avenue", "East Palm Road", "Harbor Drive")]), (key % 4 + 1).cast("int"))
-    address = F.concat_ws(" ", (key % 60 + 100).cast("string"), street)
+    address = F.concat_ws(" ", (key % 240 + 100).cast("string"), street)
     day = F.date_add(F.to_date(F.lit("2026-01-01")), (key % 90).cast("int"))
-    left = c.where(key % 3 != 2).select(
+    left = c.select(
         key.alias("id"), token(F.when(key % 4 == 0, F.concat(F.lit("rec "), key.cast("string")))).alias("number"), token(F.when(key % 6 == 1, F.concat(F.lit("P-"), (key % 40).cast("string")))).alias("parcel"),
         normalize_address(address).alias("address"), day.alias("day"),
     )
     typo = F.regexp_replace(F.regexp_replace(address, "Avenue", "Avenu"), "North", "N")
-    right = c.where(key % 2 == 0).select(
+    right = c.select(
         (key + 1_000_000).alias("id"), token(F.when(key % 8 == 0, F.concat(F.lit("REC-"), key.cast("string")))).alias("number"), token(F.when(key % 10 == 4, F.concat(F.lit("P"), (key % 40).cast("string")))).alias("parcel"),
         normalize_address(typo).alias("address"), F.date_add(day, (key % 80).cast("int")).alias("day"),
     )
@@ -182,8 +182,8 @@ def _integration(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
     p = table(spark, sf_dir, "part")
     key = F.col("p_partkey")
     core = p.where("p_partkey % 4 <> 3").select(F.concat(F.lit("act-"), key.cast("string")).alias("activity_id"), F.when(key % 2 == 0, F.col("p_name")).alias("title"), F.lit("").alias("kind"))
-    links = p.where("p_partkey % 4 <> 3").select((key % 150).cast("string").alias("number"), F.concat(F.lit("act-"), key.cast("string")).alias("activity_id"))
-    incoming = p.where("p_partkey < 190").select(key.cast("string").alias("number"), F.upper("p_name").alias("title"), F.col("p_type").alias("kind"))
+    links = p.where("p_partkey % 4 <> 3").select((key + F.when(key % 5 == 0, 1).otherwise(0)).cast("string").alias("number"), F.concat(F.lit("act-"), key.cast("string")).alias("activity_id"))
+    incoming = p.select(key.cast("string").alias("number"), F.upper("p_name").alias("title"), F.col("p_type").alias("kind"))
     return resolve.integrate(core, links, incoming, "activity_id", ("title", "kind"))
 
 
@@ -244,11 +244,11 @@ _FEATURES = """WITH f AS (
   SELECT p_partkey AS id, p_brand || ' ' || p_type AS title, 'layer' || (p_partkey % 3)::VARCHAR AS layer, p_partkey % 50 AS activity,
     CASE WHEN p_partkey % 4 <> 0 THEN p_name END AS name, CASE WHEN p_partkey % 3 <> 0 THEN p_brand ELSE '' END AS brand, p_size FROM part)"""
 _PORTAL = """WITH c AS (
-  SELECT c_custkey AS k, (c_custkey % 60 + 100)::VARCHAR AS house, ['N FRANKLIN ST', 'BAY AVE', 'E PALM RD', 'HARBOR DR'][c_custkey % 4 + 1] AS street,
+  SELECT c_custkey AS k, (c_custkey % 240 + 100)::VARCHAR AS house, ['N FRANKLIN ST', 'BAY AVE', 'E PALM RD', 'HARBOR DR'][c_custkey % 4 + 1] AS street,
     DATE '2026-01-01' + (c_custkey % 90)::INTEGER AS d FROM customer),
-a AS (SELECT k AS id, CASE WHEN k % 4 = 0 THEN 'REC' || k END AS number, CASE WHEN k % 6 = 1 THEN 'P' || (k % 40) END AS parcel, house || ' ' || street AS address, d AS day FROM c WHERE k % 3 <> 2),
+a AS (SELECT k AS id, CASE WHEN k % 4 = 0 THEN 'REC' || k END AS number, CASE WHEN k % 6 = 1 THEN 'P' || (k % 40) END AS parcel, house || ' ' || street AS address, d AS day FROM c),
 b AS (SELECT k + 1000000 AS id, CASE WHEN k % 8 = 0 THEN 'REC' || k END AS number, CASE WHEN k % 10 = 4 THEN 'P' || (k % 40) END AS parcel,
-  house || ' ' || replace(street, 'BAY AVE', 'BAY AVENU') AS address, d + (k % 80)::INTEGER AS day FROM c WHERE k % 2 = 0),
+  house || ' ' || replace(street, 'BAY AVE', 'BAY AVENU') AS address, d + (k % 80)::INTEGER AS day FROM c),
 p AS (
   SELECT a.id AS l, b.id AS r, 1.0::DOUBLE AS score, 'exact_number' AS method FROM a JOIN b ON a.number = b.number
   UNION ALL SELECT a.id, b.id, 0.95, 'exact_parcel' FROM a JOIN b ON a.parcel = b.parcel
@@ -259,8 +259,8 @@ p AS (
 best AS (SELECT l, r, max(score) AS score, arg_max(method, (score, method)) AS method FROM p GROUP BY l, r),
 top AS (SELECT l, count(*) AS targets, min(r) AS r, max(score) AS score, max(method) AS method FROM (SELECT *, max(score) OVER (PARTITION BY l) AS top FROM best) WHERE score = top GROUP BY l)"""
 _INTEGRATION = """WITH core AS (SELECT 'act-' || p_partkey AS activity_id, CASE WHEN p_partkey % 2 = 0 THEN p_name END AS title FROM part WHERE p_partkey % 4 <> 3),
-links AS (SELECT (p_partkey % 150)::VARCHAR AS number, 'act-' || p_partkey AS activity_id FROM part WHERE p_partkey % 4 <> 3),
-incoming AS (SELECT p_partkey::VARCHAR AS number, upper(p_name) AS title, p_type AS kind FROM part WHERE p_partkey < 190),
+links AS (SELECT (p_partkey + CASE WHEN p_partkey % 5 = 0 THEN 1 ELSE 0 END)::VARCHAR AS number, 'act-' || p_partkey AS activity_id FROM part WHERE p_partkey % 4 <> 3),
+incoming AS (SELECT p_partkey::VARCHAR AS number, upper(p_name) AS title, p_type AS kind FROM part),
 audit AS (SELECT i.*, t.targets, t.sole, CASE WHEN t.targets IS NULL THEN 'appended' WHEN t.targets = 1 THEN 'enriched' ELSE 'held' END AS outcome
   FROM incoming i LEFT JOIN (SELECT number, count(DISTINCT activity_id) AS targets, min(activity_id) AS sole FROM links GROUP BY number) t ON i.number = t.number)"""
 
@@ -274,13 +274,13 @@ ORACLE_SQL = {
         d AS (SELECT *, CASE event_type WHEN 'shipped' THEN shipped WHEN 'ordered' THEN ordered WHEN 'planned_delivery' THEN planned END AS d FROM e)
         SELECT source_name, event_type, CASE WHEN d IS NULL THEN 'undated' WHEN d < DATE '1992-06-01' THEN 'before_start' WHEN d <= DATE '1998-06-30' THEN 'event' WHEN event_type = 'planned_delivery' THEN 'plan' ELSE 'future_fault' END AS scope,
           count(*) AS n, strftime(min(d), '%Y-%m-%d') AS first, strftime(max(d), '%Y-%m-%d') AS last FROM d GROUP BY ALL""",
-    "planned_events": CTE + """ SELECT CASE WHEN d < DATE '1993-01-01' THEN 'before_start' WHEN d <= DATE '1996-12-31' THEN 'event' ELSE 'plan' END AS scope, strftime(d, '%Y-%m') AS event_month, count(*) AS n
-        FROM (SELECT planned_end::DATE AS d FROM snap_raw WHERE snapshot_date = '2026-10-31') GROUP BY ALL""",
-    "monthly_index": CTE + """, s AS (SELECT left(event_date, 7) AS month, source_name, status FROM snap_raw WHERE snapshot_date = '2026-10-31')
+    "planned_events": CTE + """ SELECT CASE WHEN d < DATE '1993-01-01' THEN 'before_start' WHEN d <= DATE '1996-12-31' THEN 'event' ELSE 'plan' END AS scope, strftime(d, '%Y-%m') AS event_month, snapshot_date, count(*) AS n
+        FROM (SELECT snapshot_date, planned_end::DATE AS d FROM snap_raw) GROUP BY ALL""",
+    "monthly_index": CTE + """, s AS (SELECT left(event_date, 7) AS month, source_name, status FROM snap_raw)
         SELECT month, sum(n)::BIGINT AS rows, string_agg(source_name || '=' || n, ';' ORDER BY source_name) AS by_source,
           (SELECT string_agg(status || '=' || m, ';' ORDER BY status) FROM (SELECT status, count(*) AS m FROM s s2 WHERE s2.month = t.month GROUP BY status)) AS by_type
         FROM (SELECT month, source_name, count(*) AS n FROM s GROUP BY ALL) t GROUP BY month""",
-    "dense_series": """WITH b AS (SELECT date_trunc('month', o_orderdate)::DATE AS m, count(*) AS n FROM orders WHERE o_totalprice > 400000 GROUP BY ALL)
+    "dense_series": """WITH c AS (SELECT max(o_orderdate) AS d FROM orders GROUP BY o_custkey), b AS (SELECT date_trunc('month', d)::DATE AS m, count(*) AS n FROM c GROUP BY ALL)
         SELECT strftime(s.m, '%Y-%m') AS month, coalesce(b.n, 0) AS n FROM (SELECT unnest(generate_series((SELECT min(m) FROM b), (SELECT max(m) FROM b), INTERVAL 1 MONTH))::DATE AS m) s LEFT JOIN b ON s.m = b.m""",
     "year_rollup": "SELECT year, month, count(*) AS n FROM (SELECT strftime(o_orderdate, '%Y') AS year, strftime(o_orderdate, '%Y-%m') AS month FROM orders) GROUP BY ROLLUP (year, month)",
     "temporal_label": _DATED + """, n AS (SELECT CASE WHEN shipped IS NULL THEN 'unknown' WHEN shipped < DATE '1995-06-17' THEN 'retrospective' ELSE 'prospective' END AS label, count(*) AS n FROM dated GROUP BY ALL)
@@ -302,14 +302,14 @@ ORACLE_SQL = {
         max(p_size) AS p_size, string_agg(DISTINCT layer, ';' ORDER BY layer) AS layer, count(*) AS component_count FROM f GROUP BY activity""",
     "last_nonblank_merge": """SELECT user_id, arg_max(event_type, (ts::DATE, event_id)) FILTER (event_id % 3 <> 0) AS event_type, arg_max(props, (ts::DATE, event_id)) FILTER (event_id % 5 = 0) AS props,
         count(*) AS component_count, strftime(min(ts), '%Y-%m-%d') AS first_observed, strftime(max(ts), '%Y-%m-%d') AS last_observed FROM events GROUP BY user_id""",
-    "dedup_audit": CTE + """, k AS (SELECT *, CASE WHEN native_id <> 'N/A' THEN regexp_replace(upper(native_id), '[^A-Z0-9]', '', 'g') END AS audit_key FROM snap_raw WHERE snapshot_date = '2026-08-31')
-        SELECT object_id, audit_key, CASE WHEN audit_key IS NULL THEN 'missing_key' WHEN row_number() OVER (PARTITION BY audit_key ORDER BY event_date DESC, object_id) = 1 THEN 'kept' ELSE 'duplicate' END AS status FROM k""",
+    "dedup_audit": CTE + """, k AS (SELECT *, CASE WHEN native_id <> 'N/A' THEN snapshot_date || '|' || regexp_replace(upper(native_id), '[^A-Z0-9]', '', 'g') END AS audit_key FROM snap_raw)
+        SELECT snapshot_date, object_id, audit_key, CASE WHEN audit_key IS NULL THEN 'missing_key' WHEN row_number() OVER (PARTITION BY audit_key ORDER BY event_date DESC, object_id) = 1 THEN 'kept' ELSE 'duplicate' END AS status FROM k""",
     "components_aliases": _FEATURES + """, t AS (SELECT id, layer, trim(regexp_replace(upper(title), '[^A-Z0-9]+', ' ', 'g')) AS t FROM f), g AS (SELECT t, min(id) AS component FROM t GROUP BY t HAVING count(DISTINCT layer) >= 2)
         SELECT id, component, 'grp-' || left(sha1(component::VARCHAR), 16) AS alias_id FROM t JOIN g USING (t)""",
-    "part_supplier_components": """WITH RECURSIVE e AS (SELECT DISTINCT l_partkey * 2 AS a, l_suppkey * 2 + 1 AS b FROM lineitem WHERE l_linenumber = 7 AND l_quantity >= 45),
-        both_ways AS (SELECT a AS u, b AS v FROM e UNION SELECT b, a FROM e),
-        reach AS (SELECT u AS node, u AS seen FROM both_ways UNION SELECT r.node, w.v FROM reach r JOIN both_ways w ON r.seen = w.u)
-        SELECT node, min(seen) AS component FROM reach GROUP BY node""",
+    "part_supplier_components": """WITH e AS (SELECT DISTINCT l_partkey * 2 AS a, l_suppkey * 2 + 1 AS b FROM lineitem), w AS MATERIALIZED (SELECT a AS u, b AS v FROM e UNION SELECT b, a FROM e),
+        l0 AS MATERIALIZED (SELECT u AS node, least(u, min(v)) AS c FROM w GROUP BY u), """
+        + ", ".join(f"l{k} AS MATERIALIZED (SELECT u AS node, least(min(x.c), min(y.c)) AS c FROM w JOIN l{k - 1} x ON w.v = x.node JOIN l{k - 1} y ON w.u = y.node GROUP BY u)" for k in range(1, 11))
+        + " SELECT node, c AS component FROM l10",
     "crosswalk": _PORTAL + """ SELECT a.id, CASE WHEN targets = 1 THEN r END AS target_id, coalesce(targets, 0) AS targets,
         CASE WHEN r IS NULL THEN 'none' WHEN targets > 1 THEN method || '_ambiguous' ELSE method END AS method, round(coalesce(score, 0), 3) AS score,
         CASE WHEN r IS NULL THEN 'unmatched' WHEN targets > 1 OR score < 0.9 THEN 'candidate' ELSE 'matched' END AS status, coalesce(r IS NOT NULL AND (targets > 1 OR score < 0.9), false) AS review_required FROM a LEFT JOIN top ON a.id = l""",

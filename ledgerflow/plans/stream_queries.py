@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerflow.operators import resolve
 from ledgerflow.plans.snapshots import table
+from ledgerflow.sources.workspace import work_folder
 from ledgerflow.streaming import streams
 
 _EVENTS = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
@@ -19,8 +20,8 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    work = streams.work_folder(spark)
-    state = streams.VersionedState(spark, f"{work}/state", "user_id long, event_type string, event_type_seen string, first_observed string, last_observed string")
+    work = work_folder(spark)
+    state = streams.VersionedState(spark, f"{work}/state", "user_id long, event_type string, event_type_seen string, first_observed string, last_observed string", ["user_id"])
     merge = lambda old, new: resolve.upsert_by_time(old, new.withColumn("seen", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS")), "user_id", ("event_type",), "seen")
     streams.drain(_events(spark, sf_dir), "append", f"{work}/checkpoint", streams.upsert_batches(state, merge))
     return state.read().drop("event_type_seen")
@@ -28,21 +29,21 @@ def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event replayed once more: each is kept once."""
-    work = streams.work_folder(spark)
+    work = work_folder(spark)
     twice = _events(spark, sf_dir).withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("copy")
     streams.drain(streams.deduplicated_always(twice, ["event_id"]), "append", f"{work}/checkpoint", f"{work}/out")
     return spark.read.schema(_EVENTS.replace("timestamp_ntz", "timestamp")).parquet(f"{work}/out").select("event_id", "event_type")
 
 
 def stream_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    work = streams.work_folder(spark)
+    work = work_folder(spark)
     state = streams.VersionedState(spark, f"{work}/out", "month string, event_type string, n long")
     streams.drain(streams.monthly_counts(_events(spark, sf_dir), "ts", ["event_type"]), "complete", f"{work}/checkpoint", lambda df, n: state.replace(df, n))
     return state.read()
 
 
 def stream_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    work = streams.work_folder(spark)
+    work = work_folder(spark)
     boundary = table(spark, sf_dir, "events").agg(F.percentile(F.unix_timestamp(F.col("ts").cast("timestamp")), 0.5)).first()[0]
     out = streams.labelled(_events(spark, sf_dir), "ts", F.timestamp_seconds(F.lit(int(boundary)))).select("event_id", "temporal_label")
     streams.drain(out, "append", f"{work}/checkpoint", f"{work}/out")
@@ -51,7 +52,7 @@ def stream_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversations' turns: rows held for personal data and rows passed on, by reason."""
-    work = streams.work_folder(spark)
+    work = work_folder(spark)
     # the pattern finds a single file as well as a folder of them
     turns = streams.feed(spark, f"{sf_dir}/conversations.parquet*", "conv_id long, turn long, role string, text string")
     streams.drain(turns, "append", f"{work}/checkpoint", streams.gate(["text"], f"{work}/clean", f"{work}/held"))
@@ -62,14 +63,14 @@ def stream_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_churn(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Users per event type against the state that the first half of the events has left, over all batches."""
-    work = streams.work_folder(spark)
+    work = work_folder(spark)
     seen = streams.VersionedState(spark, f"{work}/seen", "user_id long")
     met = streams.VersionedState(spark, f"{work}/met", "event_type string, user_id long")
 
     def apply(batch: DataFrame, number: int) -> None:
         early, late = batch.where("event_id % 2 = 0 and user_id % 3 <> 0"), batch.where("event_id % 2 = 1")
-        seen.replace(seen.read().unionByName(early.select("user_id")).distinct(), number)
-        met.replace(met.read().unionByName(late.select("event_type", "user_id")).distinct(), number)
+        seen.replace(seen.read(number).unionByName(early.select("user_id")).distinct(), number)
+        met.replace(met.read(number).unionByName(late.select("event_type", "user_id")).distinct(), number)
 
     streams.drain(_events(spark, sf_dir), "append", f"{work}/checkpoint", apply)
     return streams.churn(seen.read(), met.read(), "user_id", "event_type")

@@ -20,13 +20,21 @@ def read_csv(spark: SparkSession, path: str, restore: bool = False) -> DataFrame
     return df.select(*[F.nullif(value(c), F.lit("")).alias(c) for c in df.columns])
 
 
+_FEATURES = "features array<struct<properties:map<string,string>,geometry:string>>"
+
+
 def read_features(spark: SparkSession, path: str) -> DataFrame:
     """One row per feature of GeoJSON collections: ordinal, properties (map of text), geometry (JSON text)."""
-    schema = "features array<struct<properties:map<string,string>,geometry:string>>"
-    rows = spark.read.schema(schema).json(path, multiLine=True)
+    rows = spark.read.schema(_FEATURES).json(path, multiLine=True)
     return rows.select(F.posexplode("features").alias("ordinal", "f")).select("ordinal", "f.properties", "f.geometry")
 
 
+def feature_rows(texts: DataFrame, column: str = "value") -> DataFrame:
+    """The same from collections that stand in a column of text, one per row."""
+    parsed = F.from_json(column, f"struct<{_FEATURES.replace(' ', ':', 1)}>")
+    return texts.select(F.posexplode(parsed["features"]).alias("ordinal", "f")).select("ordinal", "f.properties", "f.geometry")
+
+
 def read_rows(spark: SparkSession, path: str) -> DataFrame:
     """By name: .csv(.gz) as CSV, .jsonl/.ndjson as lines, .json as a list or an object with records or features."""
     name = path.lower().removesuffix(".gz")

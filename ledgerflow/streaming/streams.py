@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -14,15 +13,6 @@ from ledgerflow.functions.classify import temporal_label
 from ledgerflow.operators.privacy import pii_label
 
 
-def work_folder(spark: SparkSession) -> str:
-    """A new path in the shared folder of spark.checkpoint.dir, for stream checkpoints and states."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = "file://" + tempfile.mkdtemp(prefix="ledgerflow-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/stream-{uuid.uuid4().hex}"
-
-
 def feed(spark: SparkSession, path: str, schema: str, files_per_batch: int = 64, **options: str) -> DataFrame:
     """A stream of the Parquet files under a path (new ones as they appear)."""
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).options(**options).parquet(path)
@@ -37,31 +27,70 @@ def drain(stream: DataFrame, mode: str, checkpoint: str, sink: str | Callable[[D
 
 
 class VersionedState:
-    """A keyed table in versions: each batch writes the next one in full and then becomes current.
+    """A keyed table in versions: each batch writes the next one and then becomes current.
 
     A version is named by its batch, so a batch that is run again after a failure overwrites its own
-    version and nothing else; a reader keeps the version it has begun with.
+    version and nothing else; a reader keeps the version it has begun with. The newest version that
+    was written to its end is found in the folder, so a stream that starts again from its
+    checkpoint goes on with what it had. The rows of a version lie in ``parts`` folders by a hash of
+    the keys; a batch may replace only those that it touches, the others stay where an earlier
+    version has put them.
     """
 
-    def __init__(self, spark: SparkSession, path: str, schema: str):
-        self.spark, self.path, self.schema = spark, path, schema
-        self.current = -1
+    def __init__(self, spark: SparkSession, path: str, schema: str, keys: Sequence[str] = (), parts: int = 16):
+        self.spark, self.path, self.schema, self.keys, self.parts = spark, path, schema, list(keys), parts
 
-    def read(self) -> DataFrame:
-        if self.current < 0:
+    def _finished(self) -> DataFrame | None:
+        """(part, version) of all versions written to their end; an index row is written after its data."""
+        try:
+            return self.spark.read.schema("part int, version int").parquet(f"{self.path}/index")
+        except AnalysisException as e:
+            if "PATH_NOT_FOUND" in str(e):
+                return None
+            raise
+
+    def _current(self, before: int | None = None) -> dict[int, int]:
+        """The newest version of each part: at most ``parts`` rows."""
+        index = self._finished()
+        if index is None:
+            return {}
+        rows = index if before is None else index.where(F.col("version") < before)
+        return {r["part"]: r["version"] for r in rows.groupBy("part").agg(F.max("version").alias("version")).collect()}
+
+    def part(self) -> Column:
+        return F.pmod(F.xxhash64(*self.keys), F.lit(self.parts)).cast("int") if self.keys else F.lit(0)
+
+    def read(self, before: int | None = None, parts: Sequence[int] | None = None) -> DataFrame:
+        """The state, or that before a batch; of some parts only."""
+        at = [(p, v) for p, v in self._current(before).items() if parts is None or p in parts]
+        if not at:
             return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(f"{self.path}/v={self.current}")
+        return self.spark.read.schema(self.schema).parquet(*[f"{self.path}/data/v={v}/part={p}" for p, v in at])
 
-    def replace(self, df: DataFrame, version: int) -> None:
-        df.write.mode("overwrite").parquet(f"{self.path}/v={version}")
-        self.current = version
+    def replace(self, df: DataFrame, version: int, touched: Sequence[int] | None = None) -> None:
+        """Write df as the new contents (of the touched parts, or of all)."""
+        every = range(self.parts if self.keys else 1)
+        rows = df.withColumn("part", self.part())
+        rows.write.mode("overwrite").partitionBy("part").parquet(f"{self.path}/data/v={version}")
+        there = {r["part"] for r in rows.select("part").distinct().collect()}  # at most ``parts`` numbers
+        empty = [p for p in (every if touched is None else touched) if p not in there]
+        for p in empty:
+            self.spark.createDataFrame([], self.schema).write.mode("overwrite").parquet(f"{self.path}/data/v={version}/part={p}")
+        index = [(p, version) for p in (every if touched is None else touched)]
+        self.spark.createDataFrame(index, "part int, version int").coalesce(1).write.mode("append").parquet(f"{self.path}/index")
 
 
 def upsert_batches(state: VersionedState, merge: Callable[[DataFrame, DataFrame], DataFrame]) -> Callable[[DataFrame, int], None]:
-    """A batch function that merges each batch into the state."""
+    """A batch function that merges each batch into the parts of the state that it touches."""
 
     def apply(batch: DataFrame, number: int) -> None:
-        state.replace(merge(state.read(), batch), number)
+        batch = batch.persist()
+        try:
+            touched = [r["part"] for r in batch.select(state.part().alias("part")).distinct().collect()]  # at most ``parts`` numbers
+            if touched:
+                state.replace(merge(state.read(number, touched), batch), number, touched)
+        finally:
+            batch.unpersist()
 
     return apply
 
