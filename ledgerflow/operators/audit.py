@@ -26,6 +26,12 @@ def chain_hash(sequence: Column, previous: Column, content: Column) -> Column:
     return hash_id(sequence.cast("string"), previous, content)
 
 
+def foreign_tools(calls: DataFrame, run: str, tool: str, allowed: list[str]) -> DataFrame:
+    """Calls per run of tools that are not on the list, and which; runs without any give no row."""
+    odd = calls.where(~F.coalesce(F.col(tool).isin(*allowed), F.lit(False)))
+    return odd.groupBy(run).agg(F.count("*").alias("foreign_calls"), F.array_join(F.array_sort(F.collect_set(F.coalesce(F.col(tool), F.lit("")))), ";").alias("tools"))
+
+
 def budgets(calls: DataFrame, run: str, fingerprint: str, cost: str, most_calls: int, most_repeats: int, most_cost: float) -> DataFrame:
     """Calls, distinct queries, most repeats of one query and cost per run, and whether they keep to the budget."""
     per = calls.groupBy(run, fingerprint).agg(F.count("*").alias("n"), F.sum(cost).alias("c"))

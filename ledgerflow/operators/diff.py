@@ -17,16 +17,16 @@ from ledgerflow.functions.ids import short_id
 from ledgerflow.functions.jsonmap import split_list
 from ledgerflow.functions.text import display_value
 
-#: What may and may not be read into a change.
+#: A word of caution that goes with each type of change.
 NOTES = {
-    "new_record": "First seen in the later snapshot; it may have existed before.",
-    "record_disappeared": "Not returned in the later snapshot; that is no proof of deletion or completion.",
-    "estimated_cost_changed": "An estimate is neither spending nor a final cost.",
-    "reported_actual_cost_changed": "The amount is as reported, not audited.",
-    "planned_date_changed": "Planned dates are schedules, not proof of work.",
-    "other_field_changed": "Further attributes changed outside the tracked ones.",
+    "new_record": "This observation holds the record and the one before does not. When it came into being is not known.",
+    "record_disappeared": "This observation lacks the record. Whether it was removed, renamed or finished is open.",
+    "estimated_cost_changed": "A forecast was revised; no payment follows from that.",
+    "reported_actual_cost_changed": "The source now states another amount as paid; nobody has checked it here.",
+    "planned_date_changed": "The schedule moved. It says nothing about what happens on site.",
+    "other_field_changed": "Attributes that are not tracked by name differ.",
 }
-NOTE_OTHERWISE = "States as reported at two times of retrieval."
+NOTE_OTHERWISE = "Both values are what the source published when it was read."
 #: Attributes that change with every publication.
 VOLATILE = ("objectid", "globalid", "lastupdate", "last_edited_date", "editdate", "created_date")
 

@@ -73,6 +73,18 @@ def title_components(records: DataFrame, key: str, title: Column, source: str) -
     return connected(edges).select(F.col("node").alias(key), "component", short_id("grp", F.col("component")).alias("alias_id"))
 
 
+def renamed(rows: DataFrame, aliases: DataFrame, key: str) -> DataFrame:
+    """rows of another table with the ids of components in place of those that aliases (key, alias_id) replace."""
+    new = aliases.select(key, F.col("alias_id").alias("_alias"))
+    return rows.join(new, key, "left").withColumn(key, F.coalesce("_alias", F.col(key).cast("string"))).drop("_alias").select(*rows.columns)
+
+
+def redirected(incoming: DataFrame, known: DataFrame, key: str, number: Column) -> DataFrame:
+    """incoming with the id that its public number is known under (known: number, key), else its own."""
+    home = known.groupBy("number").agg(F.min(key).alias("_home")).where("number is not null")
+    return incoming.withColumn("number", number).join(home, "number", "left").withColumn(key, F.coalesce("_home", F.col(key))).drop("_home", "number")
+
+
 def crosswalk(left: DataFrame, right: DataFrame, days: int = 45, least_similarity: float = 0.84) -> DataFrame:
     """The best match of every left row, by number, parcel, address and date, or similar address and date.
 
@@ -123,13 +135,18 @@ def integrate(core: DataFrame, links: DataFrame, incoming: DataFrame, key: str,
 
     core has key and the fill columns, links has number and key, incoming has number and the fill
     columns (one row per number). One linked key: its blanks are filled, never overwritten. Several:
-    held for review. None: appended under a deterministic id.
+    held for review. None: appended under a deterministic id; if core has a row of that id already (it was
+    appended before), that row is enriched instead.
     """
     targets = links.groupBy("number").agg(F.countDistinct(key).alias("targets"), F.min(key).alias("only"))
-    audit = incoming.join(targets, "number", "left").withColumn(
-        "outcome", F.when(F.col("targets").isNull(), "appended").when(F.col("targets") == 1, "enriched").otherwise("held")
+    own = short_id("new", F.col("number"))
+    there = core.select(F.col(key).alias("_own"), F.lit(True).alias("_there"))
+    met = incoming.withColumn("_own", own).join(targets, "number", "left").join(there, "_own", "left")
+    again = F.col("targets").isNull() & F.col("_there").isNotNull()
+    audit = met.withColumn("only", F.when(again, F.col("_own")).otherwise(F.col("only"))).withColumn(
+        "outcome", F.when(again, "enriched_again").when(F.col("targets").isNull(), "appended").when(F.col("targets") == 1, "enriched").otherwise("held")
     )
-    offered = audit.where("outcome = 'enriched'").groupBy(F.col("only").alias(key)).agg(
+    offered = audit.where("outcome in ('enriched', 'enriched_again')").groupBy(F.col("only").alias(key)).agg(
         *[F.min_by(F.nullif(F.col(c), F.lit("")), F.when(F.nullif(F.col(c), F.lit("")).isNotNull(), F.col("number"))).alias(f"new_{c}") for c in fill],
         F.count("*").alias("added"),
     )
@@ -140,7 +157,7 @@ def integrate(core: DataFrame, links: DataFrame, incoming: DataFrame, key: str,
         F.lit("core").alias("origin"),
     )
     new = audit.where("outcome = 'appended'").select(
-        short_id("new", F.col("number")).alias(key), *fill, F.lit(1).cast("long").alias("component_count"), F.lit("appended").alias("origin")
+        F.col("_own").alias(key), *fill, F.lit(1).cast("long").alias("component_count"), F.lit("appended").alias("origin")
     )
     return enriched.unionByName(new), audit.select("number", "outcome", F.coalesce("targets", F.lit(0).cast("long")).alias("targets"))
 

@@ -414,7 +414,7 @@ def _wilson(k: str, n: str) -> str:
 _RANKED = """WITH u AS (SELECT doc_id, coalesce(lang, 'none') AS stratum FROM documents), n AS (SELECT stratum, count(*) AS population, ceil(count(*) / 10.0)::BIGINT AS quota FROM u GROUP BY ALL),
 r AS (SELECT u.doc_id, u.stratum, quota, population, (row_number() OVER (PARTITION BY u.stratum ORDER BY sha256(concat_ws('|', '42', 'study', 'primary', u.stratum, u.doc_id::VARCHAR)), doc_id))::INTEGER AS rank FROM u JOIN n USING (stratum))"""
 _REVIEWS = "WITH r AS (SELECT l.*, lang, source, n_chars FROM labels l JOIN documents d ON l.doc_id = d.doc_id)"
-_POINTS = """WITH pt AS (SELECT vec_id AS p_id, embedding[1]::DOUBLE * 10 AS lon, embedding[2]::DOUBLE * 10 AS lat FROM embeddings),
+POINTS_SQL = """WITH pt AS (SELECT vec_id AS p_id, embedding[1]::DOUBLE * 10 AS lon, embedding[2]::DOUBLE * 10 AS lat FROM embeddings),
 sq AS (SELECT c_custkey AS s_id, round((c_custkey * 2741 % 10007) / 10007::DOUBLE * 8::DOUBLE - 4, 3) AS x, round((c_custkey * 6029 % 10009) / 10009::DOUBLE * 8::DOUBLE - 4, 3) AS y FROM customer)"""
 
 ORACLE_SQL = {
@@ -480,8 +480,9 @@ ORACLE_SQL = {
         CASE WHEN regexp_matches(t, '(?i)\b[A-Z0-9._%+-]+@[A-Z0-9.-]+\.[A-Z]{2,}\b') THEN 'email address'
              WHEN regexp_matches(t, '(^|[^0-9])(\+?1[-. ]?)?(\([0-9]{3}\)|[0-9]{3}[-. ])[0-9]{3}[-. ][0-9]{4}($|[^0-9])') THEN 'phone number'
              WHEN regexp_matches(t, '(^|[^0-9])[0-9]{3}-[0-9]{2}-[0-9]{4}($|[^0-9])') THEN 'Social Security number' END AS label FROM d) SELECT * FROM l WHERE label IS NOT NULL""",
-    "redact": r"""WITH r AS (SELECT doc_id, text, regexp_replace(regexp_replace(regexp_replace(text, '(?i)\b(bearer)\s+[A-Za-z0-9._~+/=-]+', '\1 [redacted]', 'g'), '(?i)([?&](?:token|key|signature|access_token)=)[^&\s]+', '\1[redacted]', 'g'),
-        '(?i)\b(password|passwd|secret|token|api_?key)(\s*[:=]\s*)["'']?[^\s"'']+', '\1\2[redacted]', 'g') AS t FROM documents) SELECT doc_id, sha256(t) AS redacted_sha256 FROM r WHERE t <> text""",
+    "redact": r"""WITH r AS (SELECT doc_id, text, regexp_replace(regexp_replace(regexp_replace(text, '(?i)\b(bearer)[ \t]+[A-Za-z0-9\-._~+/]+=*', '\1 [redacted]', 'g'),
+          '(?i)([?&;](?:access_token|refresh_token|id_token|token|signature|sig|api_key|apikey|client_secret)=)[^&;#\s]+', '\1[redacted]', 'g'),
+        '(?i)\b(passphrase|password|passwd|pwd|secret|token|api_key|apikey)(\s*[:=]\s*)["'']?[^\s"'']+', '\1\2[redacted]', 'g') AS t FROM documents) SELECT doc_id, sha256(t) AS redacted_sha256 FROM r WHERE t <> text""",
     "scrub_map": """SELECT event_id, 'k;kind' AS keys, regexp_extract(props, '"k": *(-?[0-9]+)', 1) AS k FROM events""",
     "scrub_counts": "SELECT 'owner' AS key, count(*) FILTER (event_id % 3 = 0) AS removed FROM events UNION ALL SELECT 'phone', count(*) FROM events",
     "leak_scan": "SELECT event_id FROM events WHERE event_id % 11 = 1",
@@ -512,10 +513,10 @@ ORACLE_SQL = {
         d AS (SELECT page_id, trim(regexp_replace(regexp_replace(t, '[ \t\x0B\f\r]+', ' ', 'g'), ' ?\n[ \n]*', chr(10), 'g')) AS t FROM c)
         SELECT page_id, sha256(t) AS text_sha256, length(t)::INTEGER AS n FROM d""",
     "page_paragraphs": r"SELECT page_id, len(p) AS paragraphs FROM (SELECT page_id, regexp_extract_all(html, '(?is)<p\b[^>]*>(.*?)</p\s*>') AS p FROM pages) WHERE len(p) > 0",
-    "spatial_contains": _POINTS + " SELECT p_id, s_id FROM pt JOIN sq ON lon >= x AND lon < x + 0.5 AND lat >= y AND lat < y + 0.5",
-    "spatial_nearest": _POINTS + """, d AS (SELECT p_id, s_id, 6371000.0 * 2 * atan2(sqrt(a), sqrt(greatest(0, 1 - a))) AS m FROM (SELECT p_id, s_id, pow(sin(radians(y - lat) / 2), 2) + cos(radians(lat)) * cos(radians(y)) * pow(sin(radians(x - lon) / 2), 2) AS a FROM pt, sq))
+    "spatial_contains": POINTS_SQL + " SELECT p_id, s_id FROM pt JOIN sq ON lon >= x AND lon < x + 0.5 AND lat >= y AND lat < y + 0.5",
+    "spatial_nearest": POINTS_SQL + """, d AS (SELECT p_id, s_id, 6371000.0 * 2 * atan2(sqrt(a), sqrt(greatest(0, 1 - a))) AS m FROM (SELECT p_id, s_id, pow(sin(radians(y - lat) / 2), 2) + cos(radians(lat)) * cos(radians(y)) * pow(sin(radians(x - lon) / 2), 2) AS a FROM pt, sq))
         SELECT p_id, arg_min(s_id, (m, s_id)) AS s_id, round(round(min(m), 3), 1) AS distance_m FROM d WHERE m <= 30000 GROUP BY p_id""",
-    "geometry_functions": _POINTS + " SELECT s_id, round(round(x + 0.2, 7), 6) AS lon, round(round(y + 0.2, 7), 6) AS lat, round(x, 6) AS west, round(y + 0.5, 6) AS north FROM sq",
+    "geometry_functions": POINTS_SQL + " SELECT s_id, round(round(x + 0.2, 7), 6) AS lon, round(round(y + 0.2, 7), 6) AS lat, round(x, 6) AS west, round(y + 0.5, 6) AS north FROM sq",
     "address_normalize": r"""SELECT c_custkey, c_custkey || ' N ' || trim(regexp_replace(upper(c_name), '[^A-Z0-9]+', ' ', 'g')) || CASE WHEN c_custkey % 2 = 0 THEN ' ST' ELSE ' BLVD' END AS address, regexp_replace(upper(c_name), '[^A-Z0-9]', '', 'g') AS token, '33602' AS postal_code FROM customer""",
     "parse_dates": """WITH d AS (SELECT o_orderkey, CASE WHEN o_orderkey % 6 <> 4 AND year(o_orderdate) >= 1993 THEN o_orderdate::DATE END AS d FROM orders), y AS (SELECT *, 1994 + floor((year(d) - 1994) / 3.0)::INTEGER * 3 AS s FROM d)
         SELECT o_orderkey, strftime(d, '%Y-%m-%d') AS day, CASE WHEN d IS NULL THEN 'unknown' WHEN year(d) < 1994 THEN 'before_1994' ELSE s || '_' || (s + 2) END AS bucket FROM y""",
