@@ -51,8 +51,9 @@ COUNT_BITS = 20
 COUNT_SLOTS = 1 << COUNT_BITS
 COUNT_BLOCK = 1 << 12
 GROUP, HUBS = 6, 3
-BLOCK = 512
+BLOCK = 256
 PART_ROWS = 1_000_000
+MOST_PARTS = 20_000
 BINS, FINE = 128, 512
 
 # A place: 255 - how frequent the record's prefix is << 55 | size of its set << 28 | position
@@ -121,6 +122,13 @@ def _bins(rows: np.ndarray, hashes: np.ndarray, n: int, bins: int) -> np.ndarray
     return np.bincount(cell, minlength=n * bins).astype(np.int32)
 
 
+def _few_bins(rows: np.ndarray, hashes: np.ndarray, n: int) -> pa.Array:
+    """BINS counts of each text in a byte each; null where one does not fit."""
+    counts = _bins(rows, hashes, n, BINS).reshape(n, BINS)
+    lists = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * BINS), pa.array(np.minimum(counts, 127).astype(np.int8).ravel()))
+    return pc.if_else(pa.array(counts.max(axis=1, initial=0) <= 127), lists, pa.scalar(None, lists.type))
+
+
 def _fine(rows: np.ndarray, hashes: np.ndarray, n: int) -> pa.Array:
     """FINE counts of each text in a byte each; null where one does not fit."""
     counts = _bins(rows, hashes, n, FINE).reshape(n, FINE)
@@ -131,7 +139,7 @@ def _fine(rows: np.ndarray, hashes: np.ndarray, n: int) -> pa.Array:
 
 def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row (id, size, rid, check, bins, fine) per text, and at the end the partition's counts (block, counts)."""
-    schema = pa.schema([("id", pa.int64()), ("size", pa.int64()), ("rid", pa.int64()), ("check", pa.int64()), ("bins", pa.list_(pa.int32())), ("fine", pa.binary()), ("block", pa.int32()), ("counts", pa.list_(pa.int32()))])
+    schema = pa.schema([("id", pa.int64()), ("size", pa.int64()), ("rid", pa.int64()), ("check", pa.int64()), ("bins", pa.list_(pa.int8())), ("fine", pa.binary()), ("block", pa.int32()), ("counts", pa.list_(pa.int32()))])
     counts = np.zeros(COUNT_SLOTS, np.int64)
     for batch in batches:
         offsets, data = string_buffers(batch.column("text"))
@@ -140,7 +148,7 @@ def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             rows, hashes = shingle_sets(offsets[a : b + 1] - offsets[a], data[offsets[a] : offsets[b]])
             counts += np.bincount((hashes >> np.uint64(64 - COUNT_BITS)).astype(np.int64), minlength=COUNT_SLOTS)
             size, rid, check = _records(rows, hashes, n)
-            bins = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * BINS), pa.array(_bins(rows, hashes, n, BINS)))
+            bins = _few_bins(rows, hashes, n)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id").slice(a, n), pa.array(size.astype(np.int64)), pa.array(rid), pa.array(check), bins, _fine(rows, hashes, n), pa.nulls(n, pa.int32()), pa.nulls(n, schema.field("counts").type)], schema=schema
             )
@@ -308,23 +316,29 @@ def _verified(pairs: DataFrame, records: DataFrame, docs: DataFrame, shared: np.
     some = marked(docs, key_filter(where, F.col("id")), F.col("id"), name="asked").where("asked").select("text")
     # a few more sets than asked for, by chance bits; the joins leave them out
     sets = written(some.mapInArrow(lambda it: _sets(it, shared), "rid long, set array<long>"), "uncompressed")
-    left = sets.select(F.col("rid").alias("a"), F.col("set").alias("a_set"))
-    right = sets.select(F.col("rid").alias("b"), F.col("set").alias("b_set"))
-    met = spread_join(pairs, left, ["a"], [F.col("b")], hot=frequent(pairs, "a"))
-    met = spread_join(met, right, ["b"], [F.col("a")], hot=frequent(pairs, "b"))
+    met = _with_both(pairs, sets.select("rid", "set"))
     sized = met.select("a", "b", F.size("a_set").alias("n"), F.size("b_set").alias("m"), F.size(F.array_intersect("a_set", "b_set")).alias("common"))
     # a pair stands once, also where a record's set does not
     return sized.groupBy("a", "b").agg(*[F.first(c).alias(c) for c in ("n", "m", "common")])
 
 
+def _with_both(pairs: DataFrame, table: DataFrame) -> DataFrame:
+    """Pairs a, b with the columns of both their rows in a table by rid, named a_ and b_."""
+    roles = pairs.select(F.explode(F.array("a", "b")).alias("rid"))
+    hot = frequent(roles, "rid")  # the same for both sides, so that the table is dealt out once
+    for side, other in (("a", "b"), ("b", "a")):
+        own = table.select(F.col("rid").alias(side), *[F.col(c).alias(f"{side}_{c}") for c in table.columns if c != "rid"])
+        pairs = spread_join(pairs, own, [side], [F.col(other)], hot=None if hot is None else hot.withColumnRenamed("rid", side))
+    return pairs
+
+
 def _suffix_filter(pairs: DataFrame, records: DataFrame) -> DataFrame:
     """Pairs whose sets may overlap enough: no bin can hold more common shingles than the smaller side has there."""
-    left = records.select(F.col("rid").alias("a"), F.col("size").alias("n"), F.col("bins").alias("a_bins"))
-    right = records.select(F.col("rid").alias("b"), F.col("size").alias("m"), F.col("bins").alias("b_bins"))
-    both = spread_join(pairs, left, ["a"], [F.col("b")], hot=frequent(pairs, "a"))
-    both = spread_join(both, right, ["b"], [F.col("a")], hot=frequent(pairs, "b"))
-    most = F.aggregate(F.zip_with("a_bins", "b_bins", lambda x, y: F.least(x, y)), F.lit(0), lambda s, x: s + x)
-    return both.where(_linked(most, F.col("n"), F.col("m"))).select("a", "b")
+    both = _with_both(pairs, records.select("rid", "size", "bins"))
+    most = F.aggregate(F.zip_with("a_bins", "b_bins", lambda x, y: F.least(x, y).cast("int")), F.lit(0), lambda s, x: s + x)
+    # sets without bins are bounded by the smaller one
+    most = F.coalesce(most, F.least("a_size", "b_size").cast("int"))
+    return both.where(_linked(most, F.col("a_size"), F.col("b_size"))).select("a", "b")
 
 
 def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -345,7 +359,7 @@ def _rows_in_components(docs: DataFrame, id_col: str, text_col: str) -> DataFram
     """id, size, rid, label (of its component; null without shingles) and component of every row of docs."""
     docs = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
     small_batches(docs.sparkSession)
-    survey = written(docs.mapInArrow(_survey, "id long, size long, rid long, check long, bins array<int>, fine binary, block int, counts array<int>"))
+    survey = written(docs.mapInArrow(_survey, "id long, size long, rid long, check long, bins array<byte>, fine binary, block int, counts array<int>"))
     rows = survey.where("block is null")
     both = rows.where("size > 0").groupBy("rid").agg(F.min("check").alias("low"), F.max("check").alias("high")).where("low <> high").select("rid")
     shared = np.array([r["rid"] for r in both.collect()], np.int64)  # by chance alone: next to never one
@@ -414,7 +428,7 @@ def _close_pairs(left: pa.Table, right: pa.Table) -> pa.Table:
 def _second_round(met: DataFrame, known: DataFrame, labels: DataFrame, records: DataFrame) -> DataFrame:
     """Pairs of records with the same first hub, that are not connected and could link.
 
-    The members of a hub fall into classes by size, such that sizes that may link lie in the same
+    The members of a hub with more than BLOCK fall into classes by size, such that sizes that may link lie in the same
     or in neighbouring classes, and there into blocks of about BLOCK records. Every block of those
     outside its component meets every block of these classes once, in a task of its own. The suffix filter, the
     triangle inequality and the components are tested there, so only pairs that pass become rows.
@@ -433,6 +447,9 @@ def _second_round(met: DataFrame, known: DataFrame, labels: DataFrame, records:
         F.floor(F.log("size") / math.log(4 / 3 + 1e-6)).cast("int").alias("klass"),
     )
     here = written(here)
+    large = here.groupBy("hub").agg(F.count("*").alias("n")).where(F.col("n") > BLOCK).select("hub", F.lit(True).alias("large"))
+    here = spread_join(here, large, ["hub"], [F.col("rid")], "left", frequent(here, "hub"))
+    here = written(here.withColumn("klass", F.when(F.col("large"), F.col("klass")).otherwise(0)))
     sizes = here.groupBy("hub", "klass").agg(F.count_if("outside").alias("out"), F.count("*").alias("all"))
     left = sizes.where("out > 0").select("hub", F.col("klass").alias("x_klass"), F.ceil(F.col("out") / BLOCK).cast("int").alias("x_blocks"))
     left = left.withColumn("y_klass", F.explode(F.array(*[F.col("x_klass") + k for k in (-1, 0, 1)])))
@@ -445,6 +462,10 @@ def _second_round(met: DataFrame, known: DataFrame, labels: DataFrame, records:
     fresh = lambda df: df.select(*[F.col(c).alias(c) for c in (*by, "rid", "size", "low", "high", "label", "fine")])
     x = fresh(rows("x", F.col("outside")).withColumn("x", block("x_blocks")).withColumn("y", each("y_blocks")))
     y = fresh(rows("y", F.lit(True)).withColumn("y", block("y_blocks")).withColumn("x", each("x_blocks")))
+    # tasks by their number of block pairs: bytes do not tell what these cost
+    meetings = plan.agg(F.sum(F.col("x_blocks") * F.col("y_blocks"))).first()[0] or 0
+    parts = max(int(met.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(MOST_PARTS, -(-int(meetings) // 4)))
+    x, y = (side.repartition(parts, *by) for side in (x, y))
     pairs = x.groupBy(*by).cogroup(y.groupBy(*by)).applyInArrow(_close_pairs, "a long, b long")
     return pairs.where("a <> b").distinct().join(known.select("a", "b"), ["a", "b"], "left_anti")
 
