@@ -101,7 +101,31 @@ QUERIES: dict[str, Query] = {
     "op10_source_mixing": op10_source_mixing,
 }
 
+def _license_sql() -> str:
+    """Diagonal voting over words as a query: the same templates, all else by itself."""
+    quoted = lambda words: "[" + ", ".join(f"'{w}'" for w in words.split()) + "]"
+    rows = [(i, label, i < len(license_scan.PHRASES), text) for i, (text, label) in enumerate([*license_scan.PHRASES.items(), *license_scan.WORDINGS.items()])]
+    templates = ", ".join(f"({i}, '{label}', {base}, {quoted(text)})" for i, label, base, text in rows)
+    listed = lambda where: f"coalesce(string_agg(DISTINCT label, ',' ORDER BY label){where}, '')"
+    return rf"""
+        WITH t AS (SELECT * FROM (VALUES {templates}) v(template, label, base, words)),
+        tp AS (SELECT template, i - 1 AS p, words[i] AS a, words[i + 1] AS b FROM (SELECT *, unnest(range(1, len(words))) AS i FROM t)),
+        d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+        g AS (SELECT doc_id, i - 1 AS p, w[i] AS a, w[i + 1] AS b FROM (SELECT *, unnest(range(1, len(w))) AS i FROM d)),
+        v AS (SELECT doc_id, template, g.p - tp.p AS diagonal, bit_or(1::BIGINT << tp.p) AS votes FROM g JOIN tp ON g.a = tp.a AND g.b = tp.b GROUP BY ALL),
+        f AS (SELECT *, CASE WHEN NOT base AND diagonal - lag(diagonal) OVER (PARTITION BY doc_id, template ORDER BY diagonal) <= {license_scan.NEIGHBOUR} THEN 0 ELSE 1 END AS fresh FROM v JOIN t USING (template)),
+        c AS (SELECT *, sum(fresh) OVER (PARTITION BY doc_id, template ORDER BY diagonal) AS span FROM f),
+        s AS (SELECT doc_id, label, base, min(diagonal) AS first, bit_count(bit_or(votes)) / (any_value(len(words)) - 1)::DOUBLE AS coverage FROM c GROUP BY doc_id, template, span, label, base),
+        k AS (SELECT doc_id, count(*) FILTER (base) AS n_base, min(first) FILTER (base) AS first_word, max(first) FILTER (base) AS last_word, {listed(" FILTER (base)")} AS base_labels, {listed("")} AS labels, max(coverage) AS score
+          FROM s WHERE CASE WHEN base THEN coverage = 1 ELSE coverage >= {license_scan.COVERAGE} END GROUP BY doc_id)
+        SELECT doc_id, len(w) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0)::DOUBLE AS score FROM d LEFT JOIN k USING (doc_id)"""
+
+
+#: Rounds in which labels spread along links; near copies of one text lie a few links apart.
+_ROUNDS = 12
+
 ORACLE_SQL: dict[str, str] = {
+    "op2_license_scan": _license_sql(),
     "op3_metric_search": """
         WITH v AS (
             SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
@@ -118,4 +142,24 @@ ORACLE_SQL: dict[str, str] = {
         FROM (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
               FROM documents)
         WINDOW w AS (PARTITION BY t)""",
+    "op7_suffix_dedup": """
+        WITH d AS (SELECT doc_id, encode(coalesce(text, '')) AS b, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+        w AS (SELECT doc_id, s, b[s + 1:s + 100] AS w FROM (SELECT doc_id, b, unnest(range(0, n - 99)) AS s FROM d WHERE n >= 100)),
+        r AS (SELECT doc_id, s FROM (SELECT doc_id, s, row_number() OVER (PARTITION BY w ORDER BY doc_id, s) AS k FROM w) WHERE k > 1),
+        i AS (SELECT doc_id, s, sum(fresh) OVER (PARTITION BY doc_id ORDER BY s) AS island FROM (SELECT doc_id, s, CASE WHEN s <= lag(s) OVER (PARTITION BY doc_id ORDER BY s) + 100 THEN 0 ELSE 1 END AS fresh FROM r)),
+        g AS (SELECT doc_id, min(s) AS a, max(s) + 100 AS e FROM i GROUP BY doc_id, island),
+        p AS (SELECT doc_id, coalesce(lag(e) OVER (PARTITION BY doc_id ORDER BY a), 0) AS x, a AS y FROM g UNION ALL SELECT doc_id, max(e), NULL FROM g GROUP BY doc_id),
+        k AS (SELECT p.doc_id, sha256(unhex(string_agg(hex(b[x + 1:coalesce(y, n)]), '' ORDER BY x))) AS kept FROM p JOIN d USING (doc_id) GROUP BY p.doc_id),
+        t AS (SELECT doc_id, sum(e - a)::BIGINT AS n_removed, count(*) AS n_spans FROM g GROUP BY doc_id)
+        SELECT d.doc_id, n AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, coalesce(kept, sha256(b)) AS kept_sha256 FROM d LEFT JOIN t USING (doc_id) LEFT JOIN k USING (doc_id)""",
+    "op9_jaccard_join": r"""
+        WITH w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        s AS MATERIALIZED (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+          ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s FROM w),
+        e AS MATERIALIZED (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM s),
+        p AS (SELECT x.doc_id AS a, y.doc_id AS b, x.n AS n, y.n AS m, count(*) AS c FROM e x JOIN e y ON x.g = y.g AND x.doc_id <> y.doc_id AND 4 * least(x.n, y.n) >= 3 * greatest(x.n, y.n) GROUP BY ALL),
+        l AS MATERIALIZED (SELECT a, b FROM p WHERE 100 * c >= 75 * (n + m - c) UNION ALL SELECT doc_id, doc_id FROM s),
+        c0 AS MATERIALIZED (SELECT doc_id AS a, doc_id AS c FROM s), """
+    + ", ".join(f"c{k} AS MATERIALIZED (SELECT l.a, min(c) AS c FROM l JOIN c{k - 1} x ON l.b = x.a GROUP BY l.a)" for k in range(1, _ROUNDS + 1))
+    + f" SELECT doc_id, len(s) AS n_shingles, c AS component_id FROM s JOIN c{_ROUNDS} ON doc_id = a",
 }
