@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerflow.functions.ids import short_id
 from ledgerflow.functions.text import similarity
+from ledgerflow.operators.spread import frequent, spread_join
 from ledgerflow.sources.workspace import cut
 
 
@@ -47,18 +48,23 @@ def dedup_audit(df: DataFrame, key: Column, order: Sequence[Column]) -> DataFram
 
 
 def connected(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
-    """node and component (the least node reachable) for every node of an edge; labels spread and jump until nothing changes."""
+    """node and component (the least node reachable) for every node of an edge; labels spread and jump until nothing changes.
+
+    Neighbours of nodes with very many edges, and members of very large components, are dealt over several tasks.
+    """
     pairs = edges.select(F.col(a).alias("u"), F.col(b).alias("v"))
     both = cut(pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct())
-    labels = cut(both.groupBy(F.col("u").alias("node")).agg(F.least(F.col("u"), F.min("v")).alias("component")))
+    labels = cut(both.groupBy(F.col("u").alias("v")).agg(F.least(F.col("u"), F.min("v")).alias("component")))
+    hubs = frequent(both, "v")
     while True:
-        near = both.join(labels, F.col("v") == F.col("node")).groupBy(F.col("u").alias("node")).agg(F.min("component").alias("near"))
-        step = labels.join(near, "node").select("node", F.col("component").alias("old"), F.least("component", "near").alias("mid"))
-        beyond = labels.select(F.col("node").alias("mid"), F.col("component").alias("far"))
-        step = cut(step.join(beyond, "mid").select("node", "old", F.least("mid", "far").alias("component")))
-        labels = step.select("node", "component")
+        near = spread_join(both, labels, ["v"], [F.col("u")], hot=hubs).groupBy(F.col("u").alias("v")).agg(F.min("component").alias("near"))
+        step = cut(labels.join(near, "v").select("v", F.col("component").alias("old"), F.least("component", "near").alias("mid")))
+        beyond = labels.select(F.col("v").alias("mid"), F.col("component").alias("far"))
+        step = spread_join(step, beyond, ["mid"], [F.col("v")], hot=frequent(step, "mid"))
+        step = cut(step.select("v", "old", F.least("mid", "far").alias("component")))
+        labels = step.select("v", "component")
         if step.where("component <> old").isEmpty():
-            return labels
+            return labels.select(F.col("v").alias("node"), "component")
 
 
 def title_components(records: DataFrame, key: str, title: Column, source: str) -> DataFrame:

@@ -30,16 +30,24 @@ def allocate(populations: dict[str, int], target: int, least: int = 0) -> dict[s
     return quota
 
 
+#: Parts in which a stratum is ranked first.
+SALTS = 64
+
+
 def stratified(df: DataFrame, key: str, stratum: str, quotas: dict[str, int], seed: int, study: str, purpose: str = "primary") -> DataFrame:
     """The rows of each stratum with the smallest rank tokens, as many as its quota, with design columns.
 
-    Adds rank, population, quota, probability and weight.
+    Adds rank, population, quota, probability and weight. A stratum is ranked in SALTS parts first, each of
+    which keeps as many rows as the quota, so no task sorts a whole stratum.
     """
     spark = df.sparkSession
     plan = spark.createDataFrame(list(quotas.items()), f"{stratum} string, quota long")  # a row per stratum
     ranked = df.withColumn("token", sample_rank(seed, study, purpose, F.col(stratum), F.col(key).cast("string"))).join(F.broadcast(plan), stratum)
-    order = Window.partitionBy(stratum).orderBy("token", key)
-    drawn = ranked.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= max(quotas.values(), default=0)).where("rank <= quota")
+    ranked = ranked.withColumn("_salt", F.pmod(F.xxhash64(key), F.lit(SALTS)))
+    for by in ((stratum, "_salt"), (stratum,)):
+        order = Window.partitionBy(*by).orderBy("token", key)
+        ranked = ranked.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= max(quotas.values(), default=0)).where("rank <= quota")
+    drawn = ranked.drop("_salt")
     sizes = df.groupBy(stratum).agg(F.count("*").alias("population"))
     out = drawn.join(sizes, stratum).withColumn("probability", F.round(F.col("quota") / F.col("population"), 12))
     return out.withColumn("weight", F.round(F.col("population") / F.col("quota"), 12)).drop("token")

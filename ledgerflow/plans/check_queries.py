@@ -413,6 +413,28 @@ def _wilson(k: str, n: str) -> str:
 
 _RANKED = """WITH u AS (SELECT doc_id, coalesce(lang, 'none') AS stratum FROM documents), n AS (SELECT stratum, count(*) AS population, ceil(count(*) / 10.0)::BIGINT AS quota FROM u GROUP BY ALL),
 r AS (SELECT u.doc_id, u.stratum, quota, population, (row_number() OVER (PARTITION BY u.stratum ORDER BY sha256(concat_ws('|', '42', 'study', 'primary', u.stratum, u.doc_id::VARCHAR)), doc_id))::INTEGER AS rank FROM u JOIN n USING (stratum))"""
+
+
+def quota_sql(name: str, sizes: str, target: str, least: int, rounds: int = 8) -> str:
+    """CTEs that hand out target over strata (k, n) of a table: in proportion, never beyond n, remainders last; ``name`` has k, n and q."""
+    out = [f"{name}0 AS (SELECT k, n, least({least}, n)::BIGINT AS q, {target} AS t FROM {sizes} WHERE n > 0)"]
+    for i in range(rounds):
+        shared = f"SELECT *, t - sum(q) OVER () AS rest, sum(CASE WHEN q < n THEN n END) OVER () AS open FROM {name}{i}"
+        given = f"SELECT *, CASE WHEN q < n AND rest > 0 THEN rest * n / open::DOUBLE ELSE 0 END AS share FROM ({shared})"
+        whole = f"SELECT *, CASE WHEN q < n THEN least(n - q, floor(share)) ELSE 0 END AS more FROM ({given})"
+        ranked = f"SELECT *, sum(more) OVER () AS got, row_number() OVER (ORDER BY (q >= n), floor(share) - share, k) AS place FROM ({whole})"
+        step = "CASE WHEN rest <= 0 THEN 0 WHEN got > 0 THEN more WHEN q < n AND place <= rest THEN 1 ELSE 0 END"
+        out.append(f"{name}{i + 1} AS MATERIALIZED (SELECT k, n, (q + {step})::BIGINT AS q, t FROM ({ranked}))")
+    return ", ".join([*out, f"{name} AS (SELECT k, n, q FROM {name}{rounds})"])
+
+
+def _phase_sql(name: str, rows: str, purpose: str) -> str:
+    """CTEs: the quotas of a phase and its draw."""
+    token = f"sha256(concat_ws('|', '42', 'study', '{purpose}', stratum, doc_id::VARCHAR))"
+    return f"""n_{name} AS (SELECT stratum AS k, count(*) AS n FROM {rows} GROUP BY stratum), {quota_sql(f"q_{name}", f"n_{name}", "(SELECT t FROM target)", 0)},
+        {name} AS MATERIALIZED (SELECT doc_id, stratum, '{purpose}' AS phase, rank FROM (SELECT *, (row_number() OVER (PARTITION BY stratum ORDER BY {token}, doc_id))::INTEGER AS rank FROM {rows}) JOIN q_{name} ON stratum = k WHERE rank <= q)"""
+
+
 _REVIEWS = "WITH r AS (SELECT l.*, lang, source, n_chars FROM labels l JOIN documents d ON l.doc_id = d.doc_id)"
 POINTS_SQL = """WITH pt AS (SELECT vec_id AS p_id, embedding[1]::DOUBLE * 10 AS lon, embedding[2]::DOUBLE * 10 AS lat FROM embeddings),
 sq AS (SELECT c_custkey AS s_id, round((c_custkey * 2741 % 10007) / 10007::DOUBLE * 8::DOUBLE - 4, 3) AS x, round((c_custkey * 6029 % 10009) / 10009::DOUBLE * 8::DOUBLE - 4, 3) AS y FROM customer)"""
@@ -431,6 +453,9 @@ ORACLE_SQL = {
     "investigation_cases": """SELECT 'case-' || left(sha1(o_orderkey::VARCHAR), 16) AS case_id, o_orderkey, concat_ws(';', CASE WHEN o_orderstatus <> 'F' THEN 'completion' END, CASE WHEN o_totalprice > 300000 THEN 'price' END) AS claims,
         1 + (o_orderkey % 3 <> 0)::BIGINT AS known_evidence, '[{"name":"customer","value":"' || o_custkey || '"}' || CASE WHEN o_orderkey % 3 <> 0 THEN ',{"name":"status","value":"' || o_orderstatus || '"}' ELSE '' END || ']' AS known_json
         FROM orders WHERE o_orderstatus <> 'F' OR o_totalprice > 300000""",
+    "proportional_quota": "WITH s AS (SELECT source AS k, count(*) AS n FROM documents GROUP BY source), " + quota_sql("a", "s", "(SELECT greatest(count(*), sum(n) // 10) FROM s)", 1) + " SELECT k AS source, n AS population, q AS quota FROM a",
+    "two_phase_draw": "WITH u AS MATERIALIZED (SELECT doc_id, coalesce(lang, 'none') AS stratum FROM documents), target AS (SELECT greatest(8, count(*) // 20) AS t FROM u), "
+        + _phase_sql("a", "u", "development") + ", rest AS MATERIALIZED (SELECT * FROM u WHERE doc_id NOT IN (SELECT doc_id FROM a)), " + _phase_sql("b", "rest", "holdout") + " SELECT * FROM a UNION ALL SELECT * FROM b",
     "stratified_draw": _RANKED + " SELECT *, round(quota / population::DOUBLE, 12) AS probability, round(population / quota::DOUBLE, 12) AS weight FROM r WHERE rank <= quota",
     "category_draw": """WITH d AS (SELECT doc_id, lang, n_chars FROM documents), a AS (SELECT doc_id FROM d WHERE n_chars > 2000 ORDER BY sha256(concat_ws('|', '42', 'study', 'long', 'long', doc_id::VARCHAR)), doc_id LIMIT 25),
         b AS (SELECT doc_id FROM d WHERE lang = 'de' AND doc_id NOT IN (SELECT doc_id FROM a) ORDER BY sha256(concat_ws('|', '42', 'study', 'german', 'german', doc_id::VARCHAR)), doc_id LIMIT 25),

@@ -9,6 +9,7 @@ from ledgerflow.functions import jsonmap, per_source
 from ledgerflow.functions.classify import stage
 from ledgerflow.functions.numbers import percent
 from ledgerflow.operators import context, studies
+from ledgerflow.plans.check_queries import quota_sql
 from ledgerflow.plans.snapshots import table
 
 # --- strata, frames, portfolios ---------------------------------------------------------------
@@ -272,15 +273,26 @@ _CONTEXT = """acts AS (SELECT s_nationkey AS project, string_agg(DISTINCT 'a' ||
   ctx AS (SELECT 'ctx-' || left(sha1(p_size || '|' || p_partkey), 16) AS context_id, p_partkey, p_size AS project, p_size, p_retailprice, p_brand, coalesce(activity_ids, '') AS activity_ids, coalesce(master_ids, '') AS master_ids,
     CASE WHEN activity_ids IS NULL THEN 'budget_book_only' ELSE 'matched_core_activity' END AS match_status FROM part LEFT JOIN acts ON p_size = acts.project WHERE p_partkey % 10 <> 0)"""
 
+_FRAME = """o AS (SELECT o_orderkey, CASE WHEN o_orderkey % 13 <> 0 THEN o_orderstatus END AS module, o_orderpriority || '-' || (o_custkey % 9) AS kind, year(o_orderdate + INTERVAL 300 MONTH) AS y, o_custkey % 5 = 0 AS late FROM orders),
+        f AS (SELECT *, count(*) OVER (PARTITION BY module, kind) AS n FROM o),
+        u AS MATERIALIZED (SELECT o_orderkey, concat_ws('|', coalesce(module, 'unknown_module'), CASE WHEN late THEN 'prospective' ELSE 'retrospective' END, (2020 + floor((y - 2020) / 3) * 3)::INTEGER || '_' || (2022 + floor((y - 2020) / 3) * 3)::INTEGER,
+          CASE WHEN n < 60 THEN 'relatively_rare_type' ELSE 'common_type' END) AS stratum FROM f)"""
+
+
+def _drawn(name: str, rows: str, purpose: str, target: int, least: int) -> str:
+    token = f"sha256(concat_ws('|', '42', 'frame', '{purpose}', stratum, o_orderkey::VARCHAR))"
+    return f"""n_{name} AS (SELECT stratum AS k, count(*) AS n FROM {rows} GROUP BY stratum), {quota_sql(f"q_{name}", f"n_{name}", str(target), least)},
+        {name} AS MATERIALIZED (SELECT o_orderkey, stratum, rank, n AS population, q AS quota FROM (SELECT *, (row_number() OVER (PARTITION BY stratum ORDER BY {token}, o_orderkey))::INTEGER AS rank FROM {rows}) JOIN q_{name} ON stratum = k WHERE rank <= q)"""
+
+
 ORACLE_SQL = {
+    "study_sample": f"WITH {_FRAME}, {_drawn('a', 'u', 'primary', 300, 2)}, c AS (SELECT o_orderkey, stratum FROM a), {_drawn('b', 'c', 'second_review', 75, 0)}"
+        + " SELECT o_orderkey, stratum AS sampling_stratum, rank, population, quota, o_orderkey IN (SELECT o_orderkey FROM b) AS second_review FROM a",
     "layer_strata": """WITH l AS (SELECT p_partkey, ['historic_preservation','development_coordination','capital_streets','construction_inspections','single_family_permits','other_layer'] AS a FROM part)
         SELECT CASE WHEN p_partkey % 4 = 0 THEN 'cross_source_merge' WHEN p_partkey % 9 = 0 THEN NULL ELSE ['historic_preservation','planning','capital_project','permit','permit',NULL][p_partkey % 6 + 1] END AS stratum, count(*) AS n FROM l GROUP BY ALL""",
     "link_strata": """SELECT CASE WHEN l_suppkey % 7 = 0 OR l_partkey % 6 = 1 THEN 'ambiguous_or_multi_candidate' WHEN l_partkey % 6 IN (2, 4) THEN 'duplicate_suppression' WHEN l_partkey % 6 = 0 THEN 'matched_gis_accela'
         ELSE 'retained_unmatched_accela' END AS stratum, count(*) AS n FROM lineitem GROUP BY ALL""",
-    "study_frame": """WITH o AS (SELECT CASE WHEN o_orderkey % 13 <> 0 THEN o_orderstatus END AS module, o_orderpriority || '-' || (o_custkey % 9) AS kind, year(o_orderdate + INTERVAL 300 MONTH) AS y, o_custkey % 5 = 0 AS late FROM orders),
-        f AS (SELECT *, count(*) OVER (PARTITION BY module, kind) AS n FROM o)
-        SELECT concat_ws('|', coalesce(module, 'unknown_module'), CASE WHEN late THEN 'prospective' ELSE 'retrospective' END, (2020 + floor((y - 2020) / 3) * 3)::INTEGER || '_' || (2022 + floor((y - 2020) / 3) * 3)::INTEGER,
-          CASE WHEN n < 60 THEN 'relatively_rare_type' ELSE 'common_type' END) AS sampling_stratum, count(*) AS n FROM f GROUP BY ALL""",
+    "study_frame": f"WITH {_FRAME} SELECT stratum AS sampling_stratum, count(*) AS n FROM u GROUP BY stratum",
     "risk_portfolio": "WITH " + ", ".join(
         f"""h{i} AS (SELECT '{c}' AS component, 'elevated' AS risk_tier, o_orderkey FROM orders WHERE {cond} ORDER BY {_RANK.format(c=c, p='difficult')}, o_orderkey LIMIT {a}),
         k{i} AS (SELECT '{c}' AS component, 'control' AS risk_tier, o_orderkey FROM orders WHERE o_orderkey NOT IN (SELECT o_orderkey FROM h{i}) ORDER BY {_RANK.format(c=c, p='control')}, o_orderkey LIMIT {b})"""
