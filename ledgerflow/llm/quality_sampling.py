@@ -1,6 +1,6 @@
 """Quality by importance resampling over hashed n-gram models.
 
-Texts are read as words; words and word pairs are hashed into ``BUCKETS`` buckets. Two bag models
+Texts are read as words and runs of punctuation; these and their pairs are hashed into ``BUCKETS`` buckets. Two bag models
 give the buckets' probabilities: one of the raw corpus, counted over all documents, and one of
 the target, counted over documents labelled as good. The weight of a document is the ratio of its
 probabilities under both: its log is the sum of the log ratios of all its n-grams. Adding Gumbel
@@ -26,23 +26,31 @@ from ledgerflow.llm.license_scan import WORD_BYTE
 from ledgerflow.llm.shared import small_batches, written
 from ledgerflow.llm.textbytes import LOWER, mix, pieces, rows_of, span_hash, spans, string_buffers
 
-BUCKETS = 1 << 14
+BUCKET_BITS = 16
+BUCKETS = 1 << BUCKET_BITS
 LENGTH = 100
 TARGET_ROWS = 20_000
 SHARE = 0.5
 PRIOR = 200.0
 _CELLS = 1 << 12
+#: Bytes of punctuation: printing ones of ASCII that stand in no word.
+MARK_BYTE = np.zeros(256, bool)
+MARK_BYTE[33:127] = True
+MARK_BYTE[65:91] = False
+MARK_BYTE &= ~WORD_BYTE
 
 
 def ngram_buckets(offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(row, bucket) of all words and word pairs of some texts."""
+    """(row, bucket) of all tokens (words, runs of punctuation) and pairs of them of some texts."""
     data = LOWER[data]
-    start, end = spans(data, offsets, WORD_BYTE)
+    both = [np.concatenate(x) for x in zip(spans(data, offsets, WORD_BYTE), spans(data, offsets, MARK_BYTE), strict=True)]
+    order = np.argsort(both[0], kind="stable")
+    start, end = both[0][order], both[1][order]
     word = span_hash(data, start, end)
     row = rows_of(start, offsets)
     same = np.flatnonzero(row[:-1] == row[1:])
     pair = mix(word[same] * np.uint64(3) + word[same + 1])
-    bucket = (np.append(word, pair) >> np.uint64(50)).astype(np.int64)
+    bucket = (np.append(word, pair) >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
     return np.append(row, row[same]), bucket
 
 

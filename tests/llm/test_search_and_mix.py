@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
 import random
 from collections import Counter
 
 import corpus_pipeline
 import numpy as np
+import public_tokenizers
+import sentencepiece
 from pyspark.sql import functions as F
 
 from ledgerflow.llm import metric_search, quality_sampling, source_mixing
@@ -189,6 +192,11 @@ def test_pipeline_of_an_empty_table_and_of_clashing_columns(spark, sf, tmp_path)
     run = lambda name: sorted(map(tuple, corpus_pipeline.run(spark, f"{tmp_path}/{name}").collect()))
     more = run("more")
     assert more == run("plain") and more
+    sp = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    texts = {r[0]: r[1] for r in D.rows()}
+    for doc, n, ids_sha, text_sha, _ in more:
+        ids = sp.encode(texts[doc], add_eos=True)
+        assert (n, ids_sha, text_sha) == (len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(sp.decode(ids).encode()).hexdigest())
 
 
 def test_pipeline_stages(spark, sf):
