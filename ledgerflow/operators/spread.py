@@ -17,11 +17,12 @@ def frequent(rows: DataFrame, *on: str, counts: DataFrame | None = None) -> Data
     """
     if counts is None:
         counts = rows.where(" and ".join(f"`{c}` is not null" for c in on)).groupBy(*on).agg(F.count("*").alias("n"))
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    limit = max(LEAST, total // MOST)
+    total, most = counts.agg(F.sum("n"), F.max("n")).first()
+    limit = max(LEAST, (total or 0) // MOST)
+    if (most or 0) <= limit:
+        return None
     keys = counts.where(F.col("n") > limit).select(*on, F.ceil(F.col("n") / limit).cast("int").alias("_parts"))
-    found = keys.collect()
-    return rows.sparkSession.createDataFrame(found, keys.schema) if found else None
+    return rows.sparkSession.createDataFrame(keys.collect(), keys.schema)
 
 
 def spread_join(rows: DataFrame, table: DataFrame, on: list[str], by: list[Column], how: str = "inner", hot: DataFrame | None = None) -> DataFrame:

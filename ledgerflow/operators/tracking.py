@@ -130,7 +130,7 @@ def overdue_months(catalog: DataFrame, today: Column, first_required: str, date:
     spark = catalog.sparkSession
     last = F.date_sub(F.trunc(today, "month"), 1)
     first = F.to_date(F.lit(first_required))
-    months = spark.range(1).where(last >= first).select(F.explode(month_spine(first, last)).alias("m"))
+    months = spark.range(1).select(F.explode(month_spine(first, F.greatest(first, last))).alias("m")).where(F.last_day("m") <= last)
     due = months.select(F.date_format(F.last_day("m"), "yyyy-MM-dd").alias("month_end"))
     have = catalog.select(F.col(date).cast("string").alias("month_end")).distinct()
     return due.join(have, "month_end", "left_anti").select("month_end", month_of(F.to_date("month_end")).alias("month"))
