@@ -2,30 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
-
-def shared_folder(spark: SparkSession) -> str:
-    """A new path under the session's spark.checkpoint.dir.
-
-    Where that is unset, a local session gets a folder of its own, as in tests; on a cluster,
-    executors would each write to their own disks, so that is an error.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-        root = "file://" + tempfile.mkdtemp(prefix="ledgerflow-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/ledgerflow-{uuid.uuid4().hex}"
+from ledgerflow.sources.workspace import work_folder
 
 
 def written(df: DataFrame, compression: str = "snappy") -> DataFrame:
     """df written to the shared folder and read again: cuts the lineage and is computed once."""
-    path = shared_folder(df.sparkSession)
+    path = work_folder(df.sparkSession, "ledgerflow")
     df.write.option("compression", compression).parquet(path)
     # shuffle files of plans that nothing refers to any more go when the JVM collects them
     df.sparkSession.sparkContext._jvm.System.gc()

@@ -25,7 +25,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerflow.llm.spread import frequent
+from ledgerflow.operators.spread import frequent
+
 
 BLOCK_ROWS = 64
 LEAST_PERIOD = 1024

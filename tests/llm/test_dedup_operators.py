@@ -10,8 +10,9 @@ from collections import Counter, defaultdict
 import numpy as np
 import pyarrow as pa
 
-from ledgerflow.llm import exact_dedup, jaccard_join, key_filter, spread, suffix_array, suffix_dedup
+from ledgerflow.llm import exact_dedup, jaccard_join, key_filter, suffix_array, suffix_dedup
 from ledgerflow.llm.components import components
+from ledgerflow.operators import spread
 from tests.llm import documents as D
 
 
