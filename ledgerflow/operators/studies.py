@@ -21,8 +21,8 @@ STRATA = (
     (("construction_inspections", "single_family_permits"), "permit"),
 )
 MANY_LAYERS = "cross_source_merge"
-#: How a link came about and its stratum.
-AMBIGUOUS, SUPPRESSED, MATCHED, UNMATCHED = "ambiguous_or_multi_candidate", "duplicate_suppression", "matched_gis_accela", "retained_unmatched_accela"
+#: How a link came about: its stratum.
+AMBIGUOUS, SUPPRESSED, MATCHED, UNMATCHED = "ambiguous_or_multi_candidate", "duplicate_suppression", "matched_existing", "retained_unmatched"
 RARE, COMMON = "relatively_rare_type", "common_type"
 #: A type is rare below so many records.
 RARE_BELOW = 500

@@ -290,8 +290,8 @@ ORACLE_SQL = {
         + " SELECT o_orderkey, stratum AS sampling_stratum, rank, population, quota, o_orderkey IN (SELECT o_orderkey FROM b) AS second_review FROM a",
     "layer_strata": """WITH l AS (SELECT p_partkey, ['historic_preservation','development_coordination','capital_streets','construction_inspections','single_family_permits','other_layer'] AS a FROM part)
         SELECT CASE WHEN p_partkey % 4 = 0 THEN 'cross_source_merge' WHEN p_partkey % 9 = 0 THEN NULL ELSE ['historic_preservation','planning','capital_project','permit','permit',NULL][p_partkey % 6 + 1] END AS stratum, count(*) AS n FROM l GROUP BY ALL""",
-    "link_strata": """SELECT CASE WHEN l_suppkey % 7 = 0 OR l_partkey % 6 = 1 THEN 'ambiguous_or_multi_candidate' WHEN l_partkey % 6 IN (2, 4) THEN 'duplicate_suppression' WHEN l_partkey % 6 = 0 THEN 'matched_gis_accela'
-        ELSE 'retained_unmatched_accela' END AS stratum, count(*) AS n FROM lineitem GROUP BY ALL""",
+    "link_strata": """SELECT CASE WHEN l_suppkey % 7 = 0 OR l_partkey % 6 = 1 THEN 'ambiguous_or_multi_candidate' WHEN l_partkey % 6 IN (2, 4) THEN 'duplicate_suppression' WHEN l_partkey % 6 = 0 THEN 'matched_existing'
+        ELSE 'retained_unmatched' END AS stratum, count(*) AS n FROM lineitem GROUP BY ALL""",
     "study_frame": f"WITH {_FRAME} SELECT stratum AS sampling_stratum, count(*) AS n FROM u GROUP BY stratum",
     "risk_portfolio": "WITH " + ", ".join(
         f"""h{i} AS (SELECT '{c}' AS component, 'elevated' AS risk_tier, o_orderkey FROM orders WHERE {cond} ORDER BY {_RANK.format(c=c, p='difficult')}, o_orderkey LIMIT {a}),

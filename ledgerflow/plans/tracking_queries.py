@@ -89,7 +89,7 @@ def portal_details(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.date_format("o_orderdate", "MM/dd/yyyy"),
             F.concat(F.lit("$"), F.round("o_totalprice", 2).cast("decimal(18,2)").cast("string")),
             F.when(key % 7 == 0, "   ").otherwise(F.concat(F.lit(" Order  of "), _text("o_custkey"))),
-            F.concat(_text("o_orderkey"), F.lit(" N MAIN ST, TAMPA FL "), F.lpad((key % 100000).cast("string"), 5, "3")),
+            F.concat(_text("o_orderkey"), F.lit(" N MAIN ST, LAKETOWN FL "), F.lpad((key % 100000).cast("string"), 5, "3")),
         ),
     )
     details = orders.where(key % 3 != 0).select("o_orderkey", values.alias("values"))

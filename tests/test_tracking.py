@@ -43,7 +43,7 @@ def test_nothing_is_overdue_before_the_first_required_month(spark):
 
 def test_details_never_erase(spark):
     records = spark.createDataFrame([(1, "R1", "old"), (2, "R2", "old")], "id int, record_number string, record_status string")
-    details = spark.createDataFrame([(1, {"status": "  ", "job value": "($1,234.50)", "address": "12B N Bay Ave, TAMPA 33602-1234"})], "id int, values map<string,string>")
+    details = spark.createDataFrame([(1, {"status": "  ", "job value": "($1,234.50)", "address": "12B N Bay Ave, LAKETOWN 33602-1234"})], "id int, values map<string,string>")
     got = {r.id: r for r in portal.enriched(records, details, "id").collect()}
     assert (got[1].record_status, float(got[1].valuation), got[1].street_number, got[1].postal_code) == ("old", -1234.5, "12B", "33602")
     assert got[2].record_number == "R2" and got[2].valuation is None
