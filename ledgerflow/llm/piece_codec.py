@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerflow.llm.shared import small_batches
-from ledgerflow.llm.textbytes import MASK, HashIndex, mix, pieces, span_hash, string_buffers
+from ledgerflow.llm.textbytes import MASK, HashIndex, mix, pieces, ragged, span_hash, string_buffers
 
 BLANK = 0x2581
 #: Distinct words that a task remembers before it starts anew.
@@ -168,12 +168,6 @@ class Vocabulary:
         return out, np.append(0, np.cumsum(sizes))
 
 
-def _ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """The positions starts[i] .. starts[i] + lengths[i] of all i, one after the other."""
-    total = int(lengths.sum())
-    return np.arange(total) + np.repeat(starts - (np.cumsum(lengths) - lengths), lengths)
-
-
 class Encoder:
     """Encodes pieces of a column; keeps the distinct words seen so far, found by their hashes.
 
@@ -195,7 +189,7 @@ class Encoder:
 
     def _add(self, chars: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """Encode some words and keep them; their numbers."""
-        new = chars[_ragged(starts, lengths)]
+        new = chars[ragged(starts, lengths)]
         ids, offsets = self.vocabulary.encode_words(new, np.append(0, np.cumsum(lengths)))
         numbers = len(self.offsets) - 1 + np.arange(len(starts))
         self.offsets = np.append(self.offsets, offsets[1:] + len(self.ids))
@@ -216,12 +210,12 @@ class Encoder:
         wrong = kept != lengths
         begin = self.ends[word] - kept
         if not wrong.any():
-            same = self.letters[_ragged(begin, lengths)] == chars
+            same = self.letters[ragged(begin, lengths)] == chars
             return np.flatnonzero(~np.logical_and.reduceat(same, starts))
         right = np.flatnonzero(~wrong)
         if len(right):
             n = lengths[right]
-            same = self.letters[_ragged(begin[right], n)] == chars[_ragged(starts[right], n)]
+            same = self.letters[ragged(begin[right], n)] == chars[ragged(starts[right], n)]
             wrong[right] = ~np.logical_and.reduceat(same, np.cumsum(n) - n)
         return np.flatnonzero(wrong)
 
@@ -273,7 +267,7 @@ class Encoder:
         out = np.full(out_offsets[-1], v.eos, np.int32)
         inside = np.ones(len(out), bool)
         inside[out_offsets[1:] - 1] = False
-        out[inside] = self.ids[_ragged(self.offsets[word], length)]
+        out[inside] = self.ids[ragged(self.offsets[word], length)]
         return out, out_offsets
 
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerflow.llm import exact_dedup, jaccard_join, language_id, license_scan, metric_search, piece_codec, quality_sampling, secret_scan, source_mixing, suffix_dedup
+from ledgerflow.llm import bpe_codec, exact_dedup, jaccard_join, language_id, license_scan, metric_search, piece_codec, quality_sampling, secret_scan, source_mixing, suffix_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -88,6 +88,16 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_mixing.mix(documents(spark, sf_dir))
 
 
+def op11_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    both = bpe_codec.round_trip(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+    return both.select(
+        "doc_id",
+        (F.octet_length("packed") / 4).cast("long").alias("n_tokens"),
+        F.sha2("packed", 256).alias("ids_sha256"),
+        sha256_text(F.col("text")).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_language_id": op1_language_id,
     "op2_license_scan": op2_license_scan,
@@ -99,6 +109,7 @@ QUERIES: dict[str, Query] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_source_mixing": op10_source_mixing,
+    "op11_bpe_codec": op11_bpe_codec,
 }
 
 def _license_sql() -> str:

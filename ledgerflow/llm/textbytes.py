@@ -53,6 +53,12 @@ def pieces(offsets: np.ndarray, size: int = PIECE) -> Iterator[tuple[int, int]]:
         a = b
 
 
+def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The positions starts[i] .. starts[i] + lengths[i] of all i, one after the other."""
+    total = int(lengths.sum())
+    return np.arange(total) + np.repeat(starts - (np.cumsum(lengths) - lengths), lengths)
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """A bijective finaliser, so that near values spread over all bits."""
     h = h ^ (h >> np.uint64(30))
