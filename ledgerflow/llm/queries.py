@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerflow.llm import bpe_codec, exact_dedup, jaccard_join, language_id, license_scan, metric_search, piece_codec, quality_sampling, secret_scan, source_mixing, suffix_dedup
+from ledgerflow.llm import bpe_codec, exact_dedup, jaccard_join, language_id, license_scan, metric_search, periodic_runs, piece_codec, quality_sampling, secret_scan, source_mixing, suffix_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -98,6 +98,42 @@ def op11_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def repeating_tails(docs: DataFrame) -> DataFrame:
+    """doc_id and text, where the words of about a tenth of the documents repeat from some word on.
+
+    With h = crc32(doc_id), g = floor(h / 10) and n words: if h % 10 = 0, the p words from word
+    a = g % n on follow each other again and again to the end, p = 1 + floor((n - a) / (3 + g % 8)).
+    """
+    h = F.crc32(F.col("doc_id").cast("string"))
+    words = docs.select("doc_id", "text", h.alias("h"), F.when(h % 10 == 0, F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)"), 0)).alias("w"))
+    g, n = F.floor(F.col("h") / 10), F.size("w")
+    cut = words.withColumn("a", F.when(n > 0, g % n).cast("int")).withColumn("p", (1 + F.floor((n - F.col("a")) / (3 + g % 8))).cast("int"))
+    m = n - F.col("a")
+    times = F.ceil(m / F.col("p")).cast("int")
+    tail = F.slice(F.flatten(F.array_repeat(F.slice("w", F.col("a") + 1, F.col("p")), times)), 1, m)
+    text = F.when(F.col("a").isNotNull(), F.array_join(F.concat(F.slice("w", 1, F.col("a")), tail), " ")).otherwise(F.col("text"))
+    return cut.select("doc_id", text.alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.periodic_runs(repeating_tails(documents(spark, sf_dir)))
+    # by start and period, so that the first of equal exponents stays
+    none = F.lit(None).cast("struct<start:long,length:long,period:long>")
+    more = lambda best, r: best.isNull() | (r["length"] * best["period"] > best["length"] * r["period"])
+    best = F.aggregate("runs", none, lambda best, r: F.when(more(best, r), r).otherwise(best))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).cast("long").alias("exponent_milli"),
+        sha256_text(F.array_join(lines, "")).alias("runs_sha256"),
+        sha256_text(F.col("collapsed")).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_language_id": op1_language_id,
     "op2_license_scan": op2_license_scan,
@@ -110,6 +146,7 @@ QUERIES: dict[str, Query] = {
     "op9_jaccard_join": op9_jaccard_join,
     "op10_source_mixing": op10_source_mixing,
     "op11_bpe_codec": op11_bpe_codec,
+    "op12_periodic_runs": op12_periodic_runs,
 }
 
 def _license_sql() -> str:
@@ -132,6 +169,28 @@ def _license_sql() -> str:
         SELECT doc_id, len(w) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0)::DOUBLE AS score FROM d LEFT JOIN k USING (doc_id)"""
 
 
+def _crc32_sql(text: str) -> str:
+    """crc32 of an ASCII string, bit by bit."""
+    one = "list_reduce(list_prepend(xor(c, b), [0::BIGINT for _ in range(8)]), lambda x, _: xor(x >> 1, 3988292384 * (x & 1)))"
+    codes = f"[ascii(x)::BIGINT for x in string_split({text}, '')]"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {codes}), lambda c, b: {one}), 4294967295)"
+
+
+_RUNS_SQL = rf"""
+        WITH d AS (SELECT doc_id, {_crc32_sql("doc_id::VARCHAR")} AS h, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        o AS (SELECT doc_id, i - 1 AS i, w[i] AS word, h, len(w) AS n, CASE WHEN h % 10 = 0 THEN (h // 10) % len(w) END AS a FROM (SELECT *, unnest(range(1, len(w) + 1)) AS i FROM d)),
+        t AS (SELECT doc_id, i, coalesce(CASE WHEN i >= a THEN a + (i - a) % (1 + (n - a) // (3 + (h // 10) % 8)) END, i) AS j, n FROM o),
+        x AS MATERIALIZED (SELECT t.doc_id, t.i, word, t.n FROM t JOIN o ON t.doc_id = o.doc_id AND t.j = o.i),
+        m AS (SELECT y.doc_id, y.i, y.i - x.i AS q FROM x JOIN x y ON x.doc_id = y.doc_id AND x.word = y.word AND y.i > x.i AND 4 * (y.i - x.i) <= x.n),
+        s AS (SELECT doc_id, q, min(i) - q AS start, count(*) + q AS length FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM m) GROUP BY doc_id, q, island),
+        r AS MATERIALIZED (SELECT doc_id, start, length, min(q) AS period FROM s WHERE length >= greatest(6, 4 * q) GROUP BY doc_id, start, length),
+        k AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS kept FROM x WHERE NOT EXISTS (FROM r WHERE r.doc_id = x.doc_id AND x.i >= start + period AND x.i < start + length) GROUP BY doc_id),
+        a AS (SELECT doc_id, count(*) AS n_runs, string_agg(concat(start, ',', length, ',', period, chr(10)), '' ORDER BY start, period) AS runs FROM r GROUP BY doc_id),
+        b AS (SELECT r.* FROM r ANTI JOIN r z ON r.doc_id = z.doc_id AND (z.length * r.period > r.length * z.period OR z.length * r.period = r.length * z.period AND (z.start, z.period) < (r.start, r.period)))
+        SELECT doc_id, coalesce(n_runs, 0) AS n_runs, start, length, period, 1000 * length // period AS exponent_milli, sha256(coalesce(runs, '')) AS runs_sha256, sha256(coalesce(kept, '')) AS collapsed_sha256
+        FROM d LEFT JOIN a USING (doc_id) LEFT JOIN b USING (doc_id) LEFT JOIN k USING (doc_id)"""
+
+
 #: Rounds in which labels spread along links; near copies of one text lie a few links apart.
 _ROUNDS = 12
 
@@ -147,6 +206,7 @@ ORACLE_SQL: dict[str, str] = {
             FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 50 = 0)
         SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score
         FROM s QUALIFY rank <= 5""",
+    "op12_periodic_runs": _RUNS_SQL,
     "op8_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
                doc_id = max(doc_id) OVER w AS kept, sha256(t) AS text_sha256
