@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerflow.llm import bpe_codec, exact_dedup, jaccard_join, language_id, license_scan, metric_search, periodic_runs, piece_codec, quality_sampling, secret_scan, source_mixing, suffix_dedup
+from ledgerflow.llm import bpe_codec, conversation_trie, exact_dedup, jaccard_join, language_id, license_scan, metric_search, periodic_runs, piece_codec, quality_sampling, secret_scan, source_mixing, suffix_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -134,6 +134,20 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def forked(keys: DataFrame) -> DataFrame:
+    """Every conversation c rebuilt: the first crc32(c) % 9 turns of conversation c - c % 5, then its own behind so many."""
+    cut = (F.crc32(F.col("conv_id").cast("string")) % 9).cast("int") * conversation_trie.WIDTH
+    family = keys.select("conv_id", "key", (F.col("conv_id") - F.col("conv_id") % 5).alias("leader"), cut.alias("cut"))
+    led = F.max(F.when(F.col("conv_id") == F.col("leader"), F.substr("key", F.lit(1), F.lit(8 * conversation_trie.WIDTH)))).over(Window.partitionBy("leader"))
+    head = F.substr(F.coalesce(led, F.lit(b"")), F.lit(1), F.col("cut"))
+    return family.select("conv_id", F.concat(head, F.substr("key", F.col("cut") + 1)).alias("key"))
+
+
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    keys = conversation_trie.turn_keys(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    return conversation_trie.prefix_trie(forked(keys)).drop("turn_id")
+
+
 QUERIES: dict[str, Query] = {
     "op1_language_id": op1_language_id,
     "op2_license_scan": op2_license_scan,
@@ -147,6 +161,7 @@ QUERIES: dict[str, Query] = {
     "op10_source_mixing": op10_source_mixing,
     "op11_bpe_codec": op11_bpe_codec,
     "op12_periodic_runs": op12_periodic_runs,
+    "op13_conversation_trie": op13_conversation_trie,
 }
 
 def _license_sql() -> str:
@@ -191,6 +206,20 @@ _RUNS_SQL = rf"""
         FROM d LEFT JOIN a USING (doc_id) LEFT JOIN b USING (doc_id) LEFT JOIN k USING (doc_id)"""
 
 
+_TRIE_SQL = f"""
+        WITH t AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) - 1 AS k, md5(concat(octet_length(encode(coalesce(role, ''))), ':', role, text)) AS id, octet_length(encode(coalesce(text, ''))) AS size FROM conversations),
+        c AS (SELECT conv_id, conv_id - conv_id % 5 AS leader, {_crc32_sql("conv_id::VARCHAR")} % 9 AS h FROM (SELECT DISTINCT conv_id FROM conversations)),
+        r AS (SELECT c.conv_id, k, id, size FROM c JOIN t ON t.conv_id = leader AND k < h UNION ALL SELECT conv_id, k, id, size FROM c JOIN t USING (conv_id) WHERE k >= h),
+        s AS MATERIALIZED (SELECT conv_id, coalesce(list(id ORDER BY k) FILTER (id IS NOT NULL), []) AS ids, list(size ORDER BY k) AS sizes FROM c LEFT JOIN r USING (conv_id) GROUP BY conv_id),
+        m AS (SELECT conv_id, d, ids[1:d] AS path, CASE WHEN d > 0 THEN sizes[d] ELSE 0 END AS size, d = len(ids) AS ends FROM (SELECT *, unnest(range(0, len(ids) + 1)) AS d FROM s)),
+        n AS MATERIALIZED (SELECT path, any_value(d) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(size) AS size, sha256(coalesce(string_agg(conv_id, ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256 FROM m GROUP BY path),
+        k AS MATERIALIZED (SELECT path[1:depth - 1] AS path, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY 1),
+        u AS (SELECT n.path, unnest(range(0, depth + 1)) AS up, (n_convs - 1) * size AS saved, n_children IS NULL AS leaf FROM n LEFT JOIN k USING (path)),
+        a AS (SELECT path[1:up] AS path, sum(saved)::BIGINT AS saved_tokens, count(*) FILTER (leaf) AS n_leaves FROM u GROUP BY 1)
+        SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(n_children, 0) AS n_children, n_leaves, saved_tokens, n.ends_sha256
+        FROM n JOIN a USING (path) LEFT JOIN k USING (path) LEFT JOIN n p ON n.depth > 0 AND p.path = n.path[1:n.depth - 1]"""
+
+
 #: Rounds in which labels spread along links; near copies of one text lie a few links apart.
 _ROUNDS = 12
 
@@ -207,6 +236,7 @@ ORACLE_SQL: dict[str, str] = {
         SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score
         FROM s QUALIFY rank <= 5""",
     "op12_periodic_runs": _RUNS_SQL,
+    "op13_conversation_trie": _TRIE_SQL,
     "op8_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
                doc_id = max(doc_id) OVER w AS kept, sha256(t) AS text_sha256
