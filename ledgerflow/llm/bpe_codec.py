@@ -268,9 +268,9 @@ class Encoder:
         _, first, number = np.unique(span_hash(data, starts, ends), return_index=True, return_inverse=True)
         size = ends - starts
         alike = size == size[first][number]
-        if alike.all():
-            same = data[ragged(starts, size)] == data[ragged(starts[first][number], size)]
-            alike = np.logical_and.reduceat(same, np.cumsum(size) - size)
+        n = size[alike]
+        same = data[ragged(starts[alike], n)] == data[ragged(starts[first][number][alike], n)]
+        alike[alike] = np.logical_and.reduceat(same, np.cumsum(n) - n)
         odd = np.flatnonzero(~alike)  # words that share a hash with another word
         number[odd] = len(first) + np.arange(len(odd))
         if len(self.words) > CACHE_WORDS:
