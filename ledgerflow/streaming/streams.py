@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,102 +19,159 @@ def feed(spark: SparkSession, path: str, schema: str, files_per_batch: int = 64,
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).options(**options).parquet(path)
 
 
+#: State on the executors' disks, its changes in the checkpoint; Spark keeps versions and recovers them.
+STATE_STORE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Session settings that hold inside the block; those before it come back."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    try:
+        for k, v in values.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def drain(stream: DataFrame, mode: str, checkpoint: str, sink: str | Callable[[DataFrame, int], None]) -> StreamingQuery:
-    """Run a stream over all that is there now; ``sink`` is a Parquet path or a function of each batch."""
-    writer = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True)
-    query = (writer.foreachBatch(sink) if callable(sink) else writer.format("parquet").option("path", sink)).start()
-    query.awaitTermination()
+    """Run a stream over all that is there now; ``sink`` is a Parquet path or a function of each batch.
+
+    Started again with the same checkpoint, it goes on behind the last finished batch with the state
+    that this batch has left.
+    """
+    with settings(stream.sparkSession, STATE_STORE):  # a stream keeps the settings it starts with
+        writer = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True)
+        query = (writer.foreachBatch(sink) if callable(sink) else writer.format("parquet").option("path", sink)).start()
+        query.awaitTermination()
     return query
 
 
-class VersionedState:
-    """A keyed table in versions: each batch writes the next one and then becomes current.
+def changes_to(path: str) -> Callable[[DataFrame, int], None]:
+    """A batch function that writes the rows of each batch to a folder of its own; a batch run again replaces it."""
+
+    def apply(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    return apply
+
 
-    A version is named by its batch, so a batch that is run again after a failure overwrites its own
-    version and nothing else; a reader keeps the version it has begun with. The newest version that
-    was written to its end is found in the folder, so a stream that starts again from its
-    checkpoint goes on with what it had. The rows of a version lie in ``parts`` folders by a hash of
-    the keys; a batch may replace only those that it touches, the others stay where an earlier
-    version has put them.
+def changes(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """What changes_to has written, with the number of the batch."""
+    return spark.read.schema(f"{schema}, batch int").option("basePath", path).parquet(f"{path}/batch=*")
+
+
+def newest(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Of the changes of each key, the last."""
+    rest = [c for c in rows.columns if c not in (*keys, "batch")]
+    last = rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch").alias("_last"))
+    return last.select(*keys, *[F.col(f"_last.{c}").alias(c) for c in rest])
+
+
+def latest_by_key(stream: DataFrame, key: str, values: Sequence[str], seen: str) -> DataFrame:
+    """The newest value that is not null of each column, and when the key was first and last observed.
+
+    For update mode: a batch gives the keys it has touched, whatever the order in which times come. The
+    state is one row for each key, in Spark's state store. Of values seen at one time the largest
+    counts; a value whose time is null counts only where there is no other; rows without key are one key.
     """
+    newest_of = lambda c: F.max(F.when(F.col(c).isNotNull(), F.struct(seen, c)))[c].alias(c)
+    return stream.groupBy(key).agg(*[newest_of(c) for c in values], F.min(seen).alias("first_observed"), F.max(seen).alias("last_observed"))
+
+
+def first_arrivals(stream: DataFrame, keys: Sequence[str], arrived: str, delay: str) -> DataFrame:
+    """Each key once among what arrives within the delay; the state forgets keys that are older.
+
+    ``arrived`` must not run backwards from batch to batch, so that no row is too late. Where the feed
+    has no such column, take current_timestamp().
+    """
+    return stream.withWatermark(arrived, delay).dropDuplicatesWithinWatermark(list(keys))
+
 
-    def __init__(self, spark: SparkSession, path: str, schema: str, keys: Sequence[str] = (), parts: int = 16):
-        self.spark, self.path, self.schema, self.keys, self.parts = spark, path, schema, list(keys), parts
+def keep_fresh(path: str, schema: str, keys: Sequence[str], time: str, arrived: str, delay: str) -> Callable[[DataFrame, int], None]:
+    """A batch function that drops what has been kept before, and keeps the rest by the day of its time.
 
-    def _finished(self) -> DataFrame | None:
-        """(part, version) of all versions written to their end; an index row is written after its data."""
+    The second tier behind first_arrivals: an event that happened within the delay before it arrived
+    cannot have been kept longer ago than the state reaches back. All others (older ones, those without a time,
+    those ahead of their arrival) are compared with the days they belong to, and only with these. The days of a
+    batch pass through the driver, one value for each calendar day. Replays must carry the time of the
+    event they repeat. A batch that is run again replaces its own rows and nothing else.
+    """
+
+    def kept(spark: SparkSession, days: list[str], before: int) -> DataFrame | None:
         try:
-            return self.spark.read.schema("part int, version int").parquet(f"{self.path}/index")
+            found = spark.read.schema(f"{schema}, day string, batch int").option("basePath", path).parquet(f"{path}/day={{{','.join(days)}}}")
         except AnalysisException as e:
             if "PATH_NOT_FOUND" in str(e):
                 return None
             raise
-
-    def _current(self, before: int | None = None) -> dict[int, int]:
-        """The newest version of each part: at most ``parts`` rows."""
-        index = self._finished()
-        if index is None:
-            return {}
-        rows = index if before is None else index.where(F.col("version") < before)
-        return {r["part"]: r["version"] for r in rows.groupBy("part").agg(F.max("version").alias("version")).collect()}
-
-    def part(self) -> Column:
-        return F.pmod(F.xxhash64(*self.keys), F.lit(self.parts)).cast("int") if self.keys else F.lit(0)
-
-    def read(self, before: int | None = None, parts: Sequence[int] | None = None) -> DataFrame:
-        """The state, or that before a batch; of some parts only."""
-        at = [(p, v) for p, v in self._current(before).items() if parts is None or p in parts]
-        if not at:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(*[f"{self.path}/data/v={v}/part={p}" for p, v in at])
-
-    def replace(self, df: DataFrame, version: int, touched: Sequence[int] | None = None) -> None:
-        """Write df as the new contents (of the touched parts, or of all)."""
-        every = range(self.parts if self.keys else 1)
-        rows = df.withColumn("part", self.part())
-        rows.write.mode("overwrite").partitionBy("part").parquet(f"{self.path}/data/v={version}")
-        there = {r["part"] for r in rows.select("part").distinct().collect()}  # at most ``parts`` numbers
-        empty = [p for p in (every if touched is None else touched) if p not in there]
-        for p in empty:
-            self.spark.createDataFrame([], self.schema).write.mode("overwrite").parquet(f"{self.path}/data/v={version}/part={p}")
-        index = [(p, version) for p in (every if touched is None else touched)]
-        self.spark.createDataFrame(index, "part int, version int").coalesce(1).write.mode("append").parquet(f"{self.path}/index")
-
-
-def upsert_batches(state: VersionedState, merge: Callable[[DataFrame, DataFrame], DataFrame]) -> Callable[[DataFrame, int], None]:
-    """A batch function that merges each batch into the parts of the state that it touches."""
+        return found.where(F.col("batch") < before).select(*keys)
 
     def apply(batch: DataFrame, number: int) -> None:
-        batch = batch.persist()
+        recent = F.coalesce(F.col(time).between(F.col(arrived) - F.expr(f"interval {delay}"), F.col(arrived)), F.lit(False))
+        rows = batch.withColumn("day", F.coalesce(F.date_format(time, "yyyy-MM-dd"), F.lit("none"))).withColumn("_recent", recent).persist()
         try:
-            touched = [r["part"] for r in batch.select(state.part().alias("part")).distinct().collect()]  # at most ``parts`` numbers
-            if touched:
-                state.replace(merge(state.read(number, touched), batch), number, touched)
+            older = rows.where("not _recent")
+            days = [r["day"] for r in older.select("day").distinct().collect()]
+            known = kept(batch.sparkSession, days, number) if days else None
+            if known is not None:
+                same = [older[k].eqNullSafe(known[k]) for k in keys]
+                older = older.join(known, same, "left_anti")
+            fresh = rows.where("_recent").unionByName(older).drop("_recent")
+            writer = fresh.withColumn("batch", F.lit(number)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            writer.partitionBy("day", "batch").parquet(path)
         finally:
-            batch.unpersist()
+            rows.unpersist()
 
     return apply
 
 
-def deduplicated(stream: DataFrame, keys: list[str], time: str, delay: str) -> DataFrame:
-    """Each key once, however often it is replayed within the delay."""
-    return stream.withWatermark(time, delay).dropDuplicatesWithinWatermark(keys)
+def daily_counts(stream: DataFrame, time: str, by: list[str], delay: str) -> DataFrame:
+    """Counts per calendar day, for append mode: final once no row less than ``delay`` late can belong to the day.
 
+    Rows of a day that is final already are left out; days that are still open come later.
+    """
+    counted = stream.withWatermark(time, delay).groupBy(F.window(time, "1 day"), *by).agg(F.count("*").alias("n"))
+    return counted.select(F.date_format("window.start", "yyyy-MM-dd").alias("day"), *by, "n")
 
-def deduplicated_always(stream: DataFrame, keys: list[str]) -> DataFrame:
-    """Each key once, however late it is replayed and in whatever order times come; the state holds every key."""
-    return stream.dropDuplicates(keys)
 
+def all_daily_counts(stream: DataFrame, time: str, by: list[str]) -> DataFrame:
+    """Counts per calendar day of all rows, late ones too, for update mode; the state has a row for each day and group."""
+    return stream.groupBy(F.date_format(time, "yyyy-MM-dd").alias("day"), *by).agg(F.count("*").alias("n_all"))
 
-def daily_counts(stream: DataFrame, time: str, by: list[str], delay: str) -> DataFrame:
-    """Counts per calendar day, final once the watermark has passed the day."""
-    counted = stream.withWatermark(time, delay).groupBy(F.window(time, "1 day"), *by).agg(F.count("*").alias("n"))
-    return counted.select(F.date_format("window.start", "yyyy-MM-dd").alias("day"), *by, "n")
 
+def with_late(final: DataFrame, every: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Final days with the number of rows that came too late for them (late), groups that only came late too."""
+    last = final.agg(F.max("day").alias("_last"))  # one row
+    every = every.join(F.broadcast(last), F.col("day") <= F.col("_last")).drop("_last")
+    n = F.coalesce("n", F.lit(0).cast("long"))
+    return every.join(final, ["day", *by], "left").select("day", *by, n.alias("n"), (F.col("n_all") - n).alias("late"))
 
-def monthly_counts(stream: DataFrame, time: str, by: list[str]) -> DataFrame:
-    """Counts per calendar month, for update or complete mode."""
-    return stream.groupBy(F.date_format(time, "yyyy-MM").alias("month"), *by).agg(F.count("*").alias("n"))
+
+def met_keys(stream: DataFrame, source: str, key: str) -> DataFrame:
+    """The keys of each source with the times of the first and the last batch that had them, for update mode.
+
+    A row of state for each source and key, so that a source of any size is dealt over all tasks.
+    """
+    now = stream.withColumn("_now", F.current_timestamp())  # one value for all rows of a batch, also if it is run again
+    return now.groupBy(source, key).agg(F.min("_now").alias("first_met"), F.max("_now").alias("last_met"))
+
+
+def churn_to(path: str, source: str) -> Callable[[DataFrame, int], None]:
+    """A batch function over met_keys: the keys of a batch, those that no batch before had, and their share, per source."""
+    write = changes_to(path)
+
+    def apply(batch: DataFrame, number: int) -> None:
+        fresh = F.count_if(F.col("first_met") == F.col("last_met"))
+        n = batch.groupBy(source).agg(F.count("*").alias("keys"), fresh.alias("new_keys"))
+        write(n.withColumn("churn", F.round(F.col("new_keys") / F.col("keys"), 6)), number)
+
+    return apply
 
 
 def labelled(stream: DataFrame, time: str, boundary: Column) -> DataFrame:
@@ -133,11 +191,3 @@ def gate(text: list[str], clean_path: str, held_path: str) -> Callable[[DataFram
             marked.unpersist()
 
     return apply
-
-
-def churn(before: DataFrame, batch: DataFrame, key: str, source: str) -> DataFrame:
-    """New keys, keys seen again and churn of a batch against the state before it, per source."""
-    old = before.select(key, F.lit(True).alias("seen"))
-    rows = batch.select(key, source).distinct().join(old, key, "left")
-    n = rows.groupBy(source).agg(F.count("*").alias("keys"), F.count_if(F.col("seen").isNull()).alias("new_keys"))
-    return n.withColumn("churn", F.round(F.col("new_keys") / F.col("keys"), 6))

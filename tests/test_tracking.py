@@ -1,16 +1,13 @@
-"""Catalogs, children, studies and stream states on small tables."""
+"""Catalogs, children and studies on small tables."""
 
 from __future__ import annotations
 
 from collections import Counter
 
-import duckdb
 from pyspark.sql import functions as F
 
 from ledgerflow.operators import portal, resolve, studies, tracking
-from ledgerflow.plans.registry import ORACLE_SQL, QUERIES
-from ledgerflow.streaming import streams
-from tests.test_oracles import plain
+from ledgerflow.plans.registry import QUERIES
 
 
 def test_comparisons_are_named_by_month_or_day(spark):
@@ -84,28 +81,3 @@ def test_similar_addresses_meet_across_the_edges_of_spans(spark):
     side = lambda street, c: rows.select("id", F.lit(None).cast("string").alias("number"), F.lit(None).cast("string").alias("parcel"), F.concat_ws(" ", "house", F.lit(street)).alias("address"), day(c))
     got = {r.id: r.method for r in resolve.crosswalk(side("NORTH BAY AVE", "a"), side("NORTH BAY AVENUE", "b")).collect()}
     assert got == {i: "similar_address_candidate" if abs(g) <= 45 else "none" for i, (_, g) in enumerate(gaps)}
-
-
-def test_state_goes_on_after_a_restart(spark, sf, tmp_path):
-    """The feed grows between runs; each run starts with a new state object over the same folders."""
-    events = spark.read.parquet(f"{sf}/events.parquet")
-    schema = "user_id long, event_type string, event_type_seen string, first_observed string, last_observed string"
-    merge = lambda old, new: resolve.upsert_by_time(old, new.withColumn("seen", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS")), "user_id", ("event_type",), "seen")
-    for k in range(3):
-        events.where(F.pmod(F.xxhash64("event_id"), F.lit(3)) == k).coalesce(1).write.mode("append").parquet(f"{tmp_path}/events.parquet")
-        state = streams.VersionedState(spark, f"file://{tmp_path}/state", schema, ["user_id"], parts=4)
-        feed = streams.feed(spark, f"{tmp_path}/events.parquet*", "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string", 1).withColumn("ts", F.col("ts").cast("timestamp"))
-        streams.drain(feed, "append", f"{tmp_path}/checkpoint", streams.upsert_batches(state, merge))
-    con = duckdb.connect()
-    con.sql(f"CREATE VIEW events AS SELECT * FROM '{sf}/events.parquet'")
-    got = streams.VersionedState(spark, f"file://{tmp_path}/state", schema, ["user_id"], parts=4).read().drop("event_type_seen")
-    assert plain(got.toPandas()) == plain(con.sql(ORACLE_SQL["stream_upsert"]).df())
-
-
-def test_state_keeps_parts_that_a_batch_leaves_alone(spark, tmp_path):
-    state = streams.VersionedState(spark, f"file://{tmp_path}/s", "k long, v long", ["k"], parts=8)
-    add = streams.upsert_batches(state, lambda old, new: old.unionByName(new))
-    add(spark.createDataFrame([(i, 0) for i in range(40)], "k long, v long"), 0)
-    add(spark.createDataFrame([(1, 1)], "k long, v long"), 1)
-    add(spark.createDataFrame([(1, 1)], "k long, v long"), 1)  # the batch is run again
-    assert sorted(map(tuple, state.read().collect())) == sorted([(i, 0) for i in range(40)] + [(1, 1)])
