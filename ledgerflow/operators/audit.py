@@ -6,20 +6,34 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerflow.functions.ids import hash_id
+from ledgerflow.sources.workspace import cut
 
 
 def verify_chain(log: DataFrame, chain: str, sequence: str, content: Column, previous: str, own: str) -> DataFrame:
     """Per chain: rows, and how many break its sequence, the link to the row before, or their own hash.
 
-    A row's hash is that of its sequence number, previous hash and content.
+    A row's hash is that of its sequence number, previous hash and content. A chain of any length is cut
+    into segments by ranges of the sequence, and each is checked by itself; a row for each segment
+    carries the number of rows before it and the last hash of the one before over to it. Rows without
+    chain are one chain; of rows with one sequence number and of those without any, the order is that of their hashes.
     """
-    by = Window.partitionBy(chain).orderBy(sequence)
-    rows = log.withColumn("before", F.lag(own).over(by)).withColumn("place", F.row_number().over(by))
-    rows = rows.withColumn("first", F.min(sequence).over(Window.partitionBy(chain)))
-    gap = F.col(sequence) != F.col("first") + F.col("place") - 1
-    link = ~F.coalesce(F.col(previous), F.lit("")).eqNullSafe(F.coalesce("before", F.lit("")))
-    wrong = ~F.col(own).eqNullSafe(chain_hash(F.col(sequence), F.col(previous), content))
-    return rows.groupBy(chain).agg(F.count("*").alias("rows"), F.count_if(gap).alias("gaps"), F.count_if(link).alias("broken_links"), F.count_if(wrong).alias("wrong_hashes"))
+    right = F.col(own).eqNullSafe(chain_hash(F.col(sequence), F.col(previous), content))
+    rows = log.select(F.col(chain).alias("chain"), F.col(sequence).alias("seq"), F.col(previous).alias("prev"), F.col(own).alias("own"), right.alias("right"))
+    # written, so that segments stay the same however often they are read
+    rows = cut(rows.repartitionByRange("chain", "seq", "own", "prev").withColumn("segment", F.spark_partition_id()), "chain")
+    order = [F.col(c).asc_nulls_first() for c in ("seq", "own", "prev")]
+    ends = rows.groupBy("segment", "chain").agg(F.count("*").alias("n"), F.min("seq").alias("least"), F.max(F.struct(F.col("seq").isNotNull(), "seq", F.col("own").isNotNull(), "own", "prev")).alias("last"))
+    one = Window.partitionBy("chain").orderBy("segment")
+    over = Window.partitionBy("chain")
+    ends = ends.select("segment", "chain", F.min("least").over(over).alias("first"), F.lag("last.own").over(one).alias("carried"), F.coalesce(F.sum("n").over(one.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("offset"))
+    within = Window.partitionBy("segment", "chain").orderBy(*order)
+    rows = rows.withColumn("before", F.lag("own").over(within)).withColumn("place", F.row_number().over(within))
+    ends = ends.withColumnsRenamed({"segment": "s", "chain": "c"})
+    rows = rows.join(ends, (rows["segment"] == ends["s"]) & rows["chain"].eqNullSafe(ends["c"]))
+    gap = F.col("seq") != F.col("first") + F.col("offset") + F.col("place") - 1
+    before = F.when(F.col("place") == 1, F.col("carried")).otherwise(F.col("before"))
+    link = ~F.coalesce("prev", F.lit("")).eqNullSafe(F.coalesce(before, F.lit("")))
+    return rows.groupBy(F.col("chain").alias(chain)).agg(F.count("*").alias("rows"), F.count_if(gap).alias("gaps"), F.count_if(link).alias("broken_links"), F.count_if(~F.col("right")).alias("wrong_hashes"))
 
 
 def chain_hash(sequence: Column, previous: Column, content: Column) -> Column:
@@ -53,11 +67,6 @@ def manifest_check(manifest: DataFrame, files: DataFrame) -> DataFrame:
     return m.join(f, "path", "full_outer").select("path", status.alias("status"))
 
 
-def root_hash(files: DataFrame) -> DataFrame:
-    """One hash over a (small) manifest: of its sorted path and hash lines."""
-    return files.agg(F.sha2(F.array_join(F.array_sort(F.collect_list(F.concat_ws(" ", "path", "sha256"))), "\n"), 256).alias("root"))
-
-
 def run_metrics(runs: DataFrame, by: str, status: str, cost: str) -> DataFrame:
     """Runs, share that finished, and mean and total cost where all costs are known."""
     known = F.count(cost) == F.count("*")

@@ -9,7 +9,7 @@ from ledgerflow.functions import classify, dates, geo, ids, jsonmap, text, urls
 from ledgerflow.operators import cohort, sampling
 from ledgerflow.plans.snapshots import CTE, snapshots, table
 from ledgerflow.sources import pages as page_source
-from ledgerflow.sources import readers, sinks
+from ledgerflow.sources import filetree, readers, sinks
 from ledgerflow.sources.workspace import work_folder
 
 
@@ -29,6 +29,19 @@ def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.read_csv(spark, f"{work}/rows.csv", restore=True)
 
 
+_RANGE, _FAN, _LEVELS = 256, 4, 10
+
+
+def file_roots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as a text file per nation, and the roots of the files' hash trees (small ranges, so that trees have levels)."""
+    work = work_folder(spark, "trees")
+    lines = table(spark, sf_dir, "customer").select("c_nationkey", F.concat_ws(" ", "c_custkey", "c_name").alias("line"), "c_custkey")
+    dealt = lines.repartition("c_nationkey").sortWithinPartitions("c_nationkey", "c_custkey")
+    dealt.select("c_nationkey", "line").write.partitionBy("c_nationkey").text(work)
+    roots = filetree.file_roots(filetree.range_hashes(spark, work, "*.txt", _RANGE), _RANGE, _FAN)
+    return roots.select(F.regexp_extract("path", r"c_nationkey=(\d+)", 1).cast("int").alias("c_nationkey"), "bytes", "root")
+
+
 def feature_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Suppliers as a feature collection per nation, written as JSON text and read again."""
     work = work_folder(spark, "features")
@@ -194,14 +207,20 @@ def frame_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        csv_round_trip, feature_rows, json_rows, aliased_rows, archived_snapshots, observed_snapshots, month_partitions, split_by_source, page_tables, page_labels,
+        csv_round_trip, file_roots, feature_rows, json_rows, aliased_rows, archived_snapshots, observed_snapshots, month_partitions, split_by_source, page_tables, page_labels,
         text_functions, time_functions, map_functions, multipolygon_points, frame_fingerprint,
     )
 }
 
 _LISTED = "(SELECT string_agg(k || '=' || n, ';' ORDER BY k) FROM (SELECT {c} AS k, count(*) AS n FROM m AS i WHERE i.event_month = m.event_month GROUP BY {c}))"
 
+_FOLDS = ", ".join(f"l{k} AS (SELECT c_nationkey, bytes, part // {_FAN} AS part, ceil(parts / {_FAN})::BIGINT AS parts, CASE WHEN parts = 1 THEN any_value(h) ELSE sha256('\\x01'::BLOB || unhex(string_agg(h, '' ORDER BY l{k - 1}.part))) END AS h FROM l{k - 1} GROUP BY c_nationkey, bytes, part // {_FAN}, parts)" for k in range(1, _LEVELS + 1))
+
 ORACLE_SQL = {
+    "file_roots": f"""WITH f AS (SELECT c_nationkey, encode(string_agg(c_custkey || ' ' || c_name || chr(10), '' ORDER BY c_custkey)) AS b FROM customer GROUP BY c_nationkey),
+        l0 AS (SELECT c_nationkey, octet_length(b) AS bytes, part, ceil(octet_length(b) / {_RANGE})::BIGINT AS parts, sha256('\\x00'::BLOB || b[part * {_RANGE} + 1:(part + 1) * {_RANGE}]) AS h FROM (SELECT *, unnest(range(0, ceil(octet_length(b) / {_RANGE})::BIGINT)) AS part FROM f)),
+        {_FOLDS}
+        SELECT c_nationkey, bytes, h AS root FROM l{_LEVELS}""",
     "csv_round_trip": """SELECT conv_id::VARCHAR AS conv_id, turn::VARCHAR AS turn, CASE turn % 3 WHEN 0 THEN '=sum ' || role WHEN 1 THEN '-' || turn ELSE 'a "b",' || chr(10) || 'c' END AS cell, CASE WHEN turn % 2 = 0 THEN 'x' END AS blank FROM conversations""",
     "feature_rows": "SELECT s_suppkey, s_name, s_nationkey::DOUBLE AS lon, 1::BIGINT AS n FROM supplier",
     "json_rows": "SELECT p_partkey, p_name FROM part",
