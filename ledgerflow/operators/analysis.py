@@ -15,6 +15,8 @@ from ledgerflow.functions.text import clean, display_value
 from ledgerflow.functions.urls import valid_url
 from ledgerflow.operators.diff import TRACKED, Tracked, changed_fields
 from ledgerflow.operators.identity import is_placeholder
+from ledgerflow.operators.ranges import exact_quantiles, value_counts
+from ledgerflow.sources.workspace import cut
 
 
 @dataclass(frozen=True)
@@ -132,18 +134,36 @@ def movements(fields: DataFrame, days: tuple[str, ...] = ("planned_start", "plan
     return out.withColumn("classification", kind).withColumn("difference", moved)
 
 
+MOVEMENT = ("before_date", "after_date", "source_name", "field", "classification")
+
+
 def movement_summary(moves: DataFrame) -> DataFrame:
     """Number, least, median and largest difference per pair, source, field and class.
 
-    The median is exact: a group's different differences (days, or amounts to the cent) are held
-    with their counts while it is aggregated.
+    All come from counts of the different differences (days, or amounts to the cent); the median is exact
+    and found by ranges of these, so that no group's values meet in one task.
     """
-    return moves.groupBy("before_date", "after_date", "source_name", "field", "classification").agg(
-        F.count("*").alias("events"),
-        F.round(F.min("difference"), 6).alias("least"),
-        F.round(F.percentile("difference", 0.5), 6).alias("median"),
-        F.round(F.max("difference"), 6).alias("most"),
-    )
+    counts = cut(value_counts(moves, MOVEMENT, "difference"), "counts")
+    ends = counts.groupBy(*MOVEMENT).agg(F.sum("n").alias("events"), F.round(F.min("difference"), 6).alias("least"), F.round(F.max("difference"), 6).alias("most"))
+    median = exact_quantiles(counts, MOVEMENT, "difference", {"median": 0.5}).toDF(*[f"_{c}" for c in MOVEMENT], "median")
+    same = F.lit(True)
+    for c in MOVEMENT:
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    return ends.join(median, same).select(*MOVEMENT, "events", "least", F.round("median", 6).alias("median"), "most")
+
+
+def exact_overlap(members: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    """before_count, after_count, retained, new and disappeared records per pair and source, counted.
+
+    members: source_name, record_identity and snapshot_date, each once.
+    """
+    dates = F.array(*[F.struct(F.lit(a).alias("before_date"), F.lit(b).alias("after_date")) for a, b in pairs])
+    day = F.col("snapshot_date").cast("string")
+    rows = members.withColumn("p", F.explode(dates)).where((day == F.col("p.before_date")) | (day == F.col("p.after_date")))
+    per = rows.groupBy("p", "source_name", "record_identity").agg(F.bool_or(day == F.col("p.before_date")).alias("a"), F.bool_or(day == F.col("p.after_date")).alias("b"))
+    a, b = F.col("a"), F.col("b")
+    counts = [F.count_if(a).alias("before_count"), F.count_if(b).alias("after_count"), F.count_if(a & b).alias("retained"), F.count_if(~a).alias("new_records"), F.count_if(~b).alias("disappeared_records")]
+    return per.groupBy("p", "source_name").agg(*counts).select("p.before_date", "p.after_date", "source_name", "before_count", "after_count", "retained", "new_records", "disappeared_records")
 
 
 def identity_quality(identified: DataFrame, date: str = "snapshot_date") -> DataFrame:

@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerflow.functions.dates import interval_kind
-from ledgerflow.operators import analysis, diff, identity
+from ledgerflow.operators import analysis, diff, identity, sketches
 from ledgerflow.plans.snapshots import CHANGES, CTE, DATES, PAIRS, VALUES, health_sql, snapshots, table
+from ledgerflow.sources import archive
+from ledgerflow.sources.workspace import cut, work_folder
 
 #: Small tables of the tests have small sources, so alerts use lower minima than the defaults.
 LIMITS = analysis.Thresholds(critical_drop_min=10, critical_disappearance_min=10, warning_net_pct=0.002, warning_net_min=2, warning_churn=0.05, mass_refresh=0.15, mass_refresh_min=10, info_net_pct=0.0005)
@@ -17,10 +19,14 @@ def paired(spark: SparkSession, sf_dir: str, pairs=PAIRS) -> DataFrame:  # noqa:
     return diff.paired(identity.with_identity(snapshots(spark, sf_dir)), pairs, VALUES)
 
 
-def change_rows(spark: SparkSession, sf_dir: str, pairs=PAIRS) -> DataFrame:  # noqa: ANN001
+def _changes(both: DataFrame) -> DataFrame:
     issued = F.lower(F.coalesce("new.status", F.lit(""))).contains("issued")
     labels = {"status_changed": F.when(issued, "permit_issued").otherwise(""), "planned_date_changed": F.lit("expected_completion_changed")}
-    return diff.changes(paired(spark, sf_dir, pairs), semantic=labels)
+    return diff.changes(both, semantic=labels)
+
+
+def change_rows(spark: SparkSession, sf_dir: str, pairs=PAIRS) -> DataFrame:  # noqa: ANN001
+    return _changes(paired(spark, sf_dir, pairs))
 
 
 _SHOWN = ("change_id", "comparison_month", "before_snapshot_date", "after_snapshot_date", "change_type", "semantic_type", "source_name", "record_identity", "source_record_id", "changed_fields", "old_value", "new_value")
@@ -35,6 +41,14 @@ def diff_all_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return change_rows(spark, sf_dir).select(*_SHOWN)
 
 
+def diff_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest pair of observations, from snapshots that were dealt into buckets of their identity when written."""
+    path = work_folder(spark, "buckets")
+    name = f"snapshots_{path.rpartition('-')[2]}"
+    stored = archive.write_bucketed(identity.with_identity(snapshots(spark, sf_dir)), name, path, "record_identity", 16)
+    return _changes(diff.paired(stored, PAIRS[-1:], VALUES)).select(*_SHOWN)
+
+
 def diff_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return diff.summary(change_rows(spark, sf_dir))
 
@@ -111,6 +125,37 @@ def movement_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return analysis.movement_summary(analysis.movements(fields(spark, sf_dir)))
 
 
+def movement_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Medians of movements over all months from sketches kept by month, and whether their true rank is within the sketches' error."""
+    by = ["field", "classification"]
+    moves = cut(analysis.movements(fields(spark, sf_dir)), "moves")
+    kept = cut(sketches.quantile_sketches(moves, analysis.MOVEMENT, "difference"), "sketches")
+    told = sketches.merged_quantiles(kept, by, {"median": 0.5})
+    ranks = moves.where("difference is not null").join(told.select(*by, "median"), by).groupBy(*by)  # a row for each field and class
+    share = ranks.agg(F.avg((F.col("difference") < F.col("median")).cast("double")).alias("below"), F.avg((F.col("difference") <= F.col("median")).cast("double")).alias("up_to"))
+    error = sketches.RANK_ERROR
+    close = F.coalesce((F.col("below") <= 0.5 + error) & (F.col("up_to") >= 0.5 - error), F.col("n") == 0)
+    return told.join(share, by, "left").select(*by, F.col("n").alias("events"), F.round("least", 6).alias("least"), F.round("most", 6).alias("most"), close.alias("median_within_error"))
+
+
+def sketched_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Retention and churn of any two observations by source, from a stored sketch for each date: within the stated error of the exact table?"""
+    pairs = [*PAIRS, (DATES[0], DATES[2])]
+    rows = identity.with_identity(snapshots(spark, sf_dir))
+    kept = cut(sketches.set_sketches(rows, ["snapshot_date", "source_name"], "record_identity"), "sketches")
+    told = sketches.overlaps(kept, "snapshot_date", pairs, ["source_name"])
+    names = ("before_count", "after_count", "retained", "new_records", "disappeared_records")
+    # the record's source may change between dates, so both sides are counted by the source they have
+    sides = rows.select("source_name", "record_identity", "snapshot_date").distinct()
+    exact = analysis.exact_overlap(sides, pairs)
+    both = told.join(exact.toDF("before_date", "after_date", "source_name", *[f"x_{n}" for n in names]), ["before_date", "after_date", "source_name"])
+    union = F.col("x_retained") + F.col("x_new_records") + F.col("x_disappeared_records")
+    sound = F.lit(True)
+    for n in names:
+        sound = sound & sketches.within_error(F.col(n), F.col(f"x_{n}"), union)
+    return both.select("before_date", "after_date", "source_name", *[F.col(f"x_{n}").alias(n) for n in names], sound.alias("within_error"))
+
+
 def alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return analysis.alert_rows(_assessed(spark, sf_dir))
 
@@ -205,8 +250,8 @@ _TRANSITION = " SELECT before_date, after_date, source_name, old_raw AS old, new
 QUERIES = {
     f.__name__: f
     for f in (
-        snapshot_diff, diff_all_pairs, diff_summary, diff_source_pivot, diff_residual_fields, change_drilldown, source_health, overall_metrics, field_concentration,
-        top_patterns, status_transitions, phase_transitions, planned_movements, cost_changes, movement_summary, alerts, alert_levels, excluding_critical,
+        snapshot_diff, diff_all_pairs, diff_bucketed, diff_summary, diff_source_pivot, diff_residual_fields, change_drilldown, source_health, overall_metrics, field_concentration,
+        top_patterns, status_transitions, phase_transitions, planned_movements, cost_changes, movement_summary, movement_sketches, sketched_overlap, alerts, alert_levels, excluding_critical,
         trend_eligibility, interval_kinds, identity_quality, change_history,
     )
 }
@@ -214,6 +259,7 @@ QUERIES = {
 ORACLE_SQL = {
     "snapshot_diff": _diff_sql(_FULL),
     "diff_all_pairs": _diff_sql(CHANGES),
+    "diff_bucketed": f"SELECT * FROM ({_diff_sql(CHANGES)}) WHERE after_snapshot_date = '{DATES[2]}'",
     "diff_summary": CHANGES + " SELECT before_date AS before_snapshot_date, after_date AS after_snapshot_date, source_name, change_type, semantic_type, count(*) AS change_rows, count(DISTINCT record_identity) AS records FROM changes GROUP BY ALL",
     "diff_source_pivot": CHANGES + " SELECT after_date AS after_snapshot_date, source_name, " + ", ".join(f"count(*) FILTER (change_type = '{k}') AS {k}" for k in _KINDS) + " FROM changes GROUP BY ALL",
     "diff_residual_fields": """WITH e AS (SELECT event_id, event_type, regexp_extract(props, '"k": *(-?[0-9]+)', 1) AS k, user_id, ts FROM events),
@@ -232,6 +278,11 @@ ORACLE_SQL = {
     "cost_changes": CHANGES + _MOVES + " SELECT * FROM costs",
     "movement_summary": CHANGES + _MOVES + """ SELECT before_date, after_date, source_name, field, classification, count(*) AS events, round(min(difference), 6) AS least,
         round(median(difference), 6) AS median, round(max(difference), 6) AS most FROM (SELECT * FROM moves UNION ALL SELECT * FROM costs) GROUP BY ALL""",
+    "movement_sketches": CHANGES + _MOVES + """ SELECT field, classification, count(difference) AS events, round(min(difference), 6) AS least, round(max(difference), 6) AS most, true AS median_within_error
+        FROM (SELECT * FROM moves UNION ALL SELECT * FROM costs) GROUP BY ALL""",
+    "sketched_overlap": CTE + """, o AS (SELECT DISTINCT source_name, record_identity, snapshot_date AS d FROM snap), p AS (SELECT * FROM pair UNION ALL VALUES ('2026-08-31', '2026-10-31')),
+        s AS (SELECT before_date, after_date, source_name, record_identity, bool_or(d = before_date) AS a, bool_or(d = after_date) AS b FROM p JOIN o ON d IN (before_date, after_date) GROUP BY ALL)
+        SELECT before_date, after_date, source_name, count(*) FILTER (a) AS before_count, count(*) FILTER (b) AS after_count, count(*) FILTER (a AND b) AS retained, count(*) FILTER (NOT a) AS new_records, count(*) FILTER (NOT b) AS disappeared_records, true AS within_error FROM s GROUP BY ALL""",
     "alerts": CHANGES + ALERTS_SQL + " SELECT * FROM alerts",
     "alert_levels": CHANGES + ALERTS_SQL + " SELECT before_date, after_date, source_name, CASE coalesce(worst, 0) WHEN 3 THEN 'critical' WHEN 2 THEN 'review' ELSE 'healthy' END AS alert_level FROM health LEFT JOIN levels USING (before_date, after_date, source_name)",
     "excluding_critical": CTE + f", health AS ({health_sql('source_name')}), calm AS (SELECT before_date, after_date, source_name FROM health WHERE NOT (coalesce(disappearance_rate >= 0.044 AND disappeared_records >= 1, false)))"

@@ -9,7 +9,7 @@ from ledgerflow.functions import classify, dates, geo, ids, jsonmap, text, urls
 from ledgerflow.operators import cohort, sampling
 from ledgerflow.plans.snapshots import CTE, snapshots, table
 from ledgerflow.sources import pages as page_source
-from ledgerflow.sources import filetree, readers, sinks
+from ledgerflow.sources import archive, filetree, readers, sinks
 from ledgerflow.sources.workspace import work_folder
 
 
@@ -72,22 +72,35 @@ def aliased_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def archived_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All snapshots archived under their dates, one of them twice; what is stored and what a second archive of other contents says."""
+    """All snapshots archived under their dates; what is said to the same rows again, to other rows, and to one retrieval under two dates."""
     work = work_folder(spark, "archive")
-    rows = snapshots(spark, sf_dir)
+    rows = snapshots(spark, sf_dir).withColumn("retrieved_at", F.concat("snapshot_date", F.lit("T06:00:00Z")))
+    of = lambda day: rows.where(F.col("snapshot_date") == day).drop("snapshot_date")
     said = []
-    for day in ("2026-08-31", "2026-09-30", "2026-10-31", "2026-08-31"):
-        said.append((day, sinks.archive_snapshot(rows.where(F.col("snapshot_date") == day).drop("snapshot_date"), work, day)))
+    for day, source in (("2026-08-31", "2026-08-31"), ("2026-09-30", "2026-09-30"), ("2026-10-31", "2026-10-31"), ("2026-08-31", "2026-08-31"), ("2026-09-01", "2026-08-31")):
+        said.append((source, archive.archive_snapshot(of(source), work, day)))
     try:
-        sinks.archive_snapshot(rows.where("snapshot_date = '2026-09-30'").drop("snapshot_date"), work, "2026-10-31")
+        archive.archive_snapshot(of("2026-09-30"), work, "2026-10-31")
     except ValueError:
         said.append(("2026-10-31", "refused"))
     told = spark.createDataFrame(said, "snapshot_date string, said string").groupBy("snapshot_date").agg(F.array_join(F.array_sort(F.collect_list("said")), ";").alias("said"))
-    stored = spark.read.parquet(work).groupBy(_text("snapshot_date").alias("snapshot_date")).agg(F.count("*").alias("rows"), F.countDistinct("global_id").alias("ids"))
-    one = readers.load_snapshot(spark, work, "2026-09-30").agg(F.count("*").alias("of_september"))
+    stored = archive.load(spark, work).groupBy(_text("snapshot_date").alias("snapshot_date")).agg(F.count("*").alias("rows"), F.countDistinct("global_id").alias("ids"))
+    one = archive.load(spark, work, ["2026-09-30"]).agg(F.count("*").alias("of_september"))
     return stored.join(told, "snapshot_date").join(F.broadcast(one))  # one row
 
 
+def archive_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dates of an archive, one under a wrong label: rows, whether label and retrieval agree, and the dates that hold each content."""
+    work = work_folder(spark, "archive")
+    rows = snapshots(spark, sf_dir).withColumn("retrieved_at", F.concat("snapshot_date", F.lit("T18:00:00Z")))
+    for label, day, at in (("2026-08-31", "2026-08-31", None), ("2026-09-29", "2026-09-30", None), ("2026-10-31", "2026-10-31", None), ("2026-11-30", "2026-10-31", "2026-11-30T18:00:00Z")):
+        own = rows.where(F.col("snapshot_date") == day).drop("snapshot_date")
+        archive.archive_snapshot(own.withColumn("retrieved_at", F.lit(at)) if at else own, work, label)
+    kept = archive.catalog(spark, work, "America/New_York")
+    copies = kept.groupBy("state").agg(F.max("snapshot_date").alias("newest_of_content"), F.count("*").alias("dates_with_content"))
+    return kept.join(copies, "state").select("snapshot_date", "rows", "retrieved", "well_labelled", "newest_of_content", "dates_with_content")
+
+
 def observed_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two archived snapshots with the current one, whose date is new."""
     rows = snapshots(spark, sf_dir)
@@ -207,7 +220,7 @@ def frame_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        csv_round_trip, file_roots, feature_rows, json_rows, aliased_rows, archived_snapshots, observed_snapshots, month_partitions, split_by_source, page_tables, page_labels,
+        csv_round_trip, file_roots, feature_rows, json_rows, aliased_rows, archived_snapshots, archive_catalog, observed_snapshots, month_partitions, split_by_source, page_tables, page_labels,
         text_functions, time_functions, map_functions, multipolygon_points, frame_fingerprint,
     )
 }
@@ -226,8 +239,11 @@ ORACLE_SQL = {
     "json_rows": "SELECT p_partkey, p_name FROM part",
     "aliased_rows": """SELECT CASE WHEN c_custkey % 9 <> 0 THEN 'kept' ELSE 'no_key' END AS kind, CASE WHEN c_custkey % 9 <> 0 THEN c_custkey::VARCHAR END AS permit_id, c_name AS name, CASE WHEN c_custkey % 9 <> 0 THEN c_mktsegment END AS segment, NULL::VARCHAR AS issued
         FROM customer WHERE c_custkey % 9 <> 0 OR c_name NOT LIKE '%0'""",
-    "archived_snapshots": CTE + """ SELECT snapshot_date, count(*) AS rows, count(DISTINCT global_id) AS ids, CASE snapshot_date WHEN '2026-08-31' THEN 'unchanged;written' WHEN '2026-09-30' THEN 'written' ELSE 'refused;written' END AS said,
+    "archived_snapshots": CTE + """ SELECT snapshot_date, count(*) AS rows, count(DISTINCT global_id) AS ids, CASE snapshot_date WHEN '2026-08-31' THEN 'reused 2026-08-31;unchanged;written' WHEN '2026-09-30' THEN 'written' ELSE 'refused;written' END AS said,
         (SELECT count(*) FROM snap WHERE snapshot_date = '2026-09-30') AS of_september FROM snap GROUP BY snapshot_date""",
+    "archive_catalog": CTE + """, n AS (SELECT snapshot_date AS day, count(*) AS rows FROM snap GROUP BY snapshot_date)
+        SELECT label AS snapshot_date, rows, retrieved, ok AS well_labelled, newest AS newest_of_content, copies AS dates_with_content FROM n JOIN (VALUES ('2026-08-31', '2026-08-31', '2026-08-31T18:00:00Z', true, '2026-08-31', 1::BIGINT),
+          ('2026-09-29', '2026-09-30', '2026-09-30T18:00:00Z', false, '2026-09-29', 1), ('2026-10-31', '2026-10-31', '2026-10-31T18:00:00Z', true, '2026-11-30', 2), ('2026-11-30', '2026-10-31', '2026-11-30T18:00:00Z', true, '2026-11-30', 2)) v(label, day, retrieved, ok, newest, copies) USING (day)""",
     "observed_snapshots": CTE + " SELECT snapshot_date, count(*) AS rows FROM snap GROUP BY snapshot_date",
     "month_partitions": f"""WITH m AS (SELECT strftime(o_orderdate, '%Y-%m') AS event_month, lower(o_orderpriority) AS source_name, o_orderstatus FROM orders)
         SELECT event_month, count(*) AS rows, {_LISTED.format(c='source_name')} AS by_source, {_LISTED.format(c='o_orderstatus')} AS by_type FROM m GROUP BY event_month""",

@@ -90,11 +90,6 @@ def catalog(snapshots: DataFrame, date: str = "snapshot_date", retrieved: str =
     )
 
 
-def load_snapshot(spark: SparkSession, path: str, day: str) -> DataFrame:
-    """One dated partition of a table written by archive_snapshot; others are not read."""
-    return spark.read.parquet(path).where(F.col("snapshot_date") == F.to_date(F.lit(day)))
-
-
 def load_observations(archive: DataFrame, current: DataFrame, date: str = "snapshot_date", ignore: Sequence[str] = ()) -> DataFrame:
     """All snapshots, with the current table if its date is new; a different state of a known date is an error."""
     days = [r[0] for r in current.select(date).distinct().limit(2).collect()]

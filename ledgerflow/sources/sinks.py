@@ -1,14 +1,12 @@
-"""Sinks: ordered text tables, immutable archives, partitioned extracts, manifests."""
+"""Sinks: ordered text tables, partitioned extracts, manifests."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerflow.functions.ids import fingerprint
 from ledgerflow.operators.privacy import safe_csv
 
 
@@ -19,31 +17,6 @@ def write_csv(df: DataFrame, path: str, columns: Sequence[str], order: Sequence[
     (writer.option("compression", "gzip") if gzip else writer).csv(path)
 
 
-def _stored(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
-            return None
-        raise
-
-
-def archive_snapshot(df: DataFrame, path: str, day: str, ignore: Sequence[str] = ("retrieved_at",)) -> str:
-    """Store a snapshot under its date, once.
-
-    written; unchanged if the date is stored with the same contents (but for the ignored columns);
-    an error if it is stored with others.
-    """
-    stored = _stored(df.sparkSession, path)
-    old = stored.where(F.col("snapshot_date") == F.to_date(F.lit(day))).drop("snapshot_date") if stored is not None else None
-    if old is not None and not old.isEmpty():
-        if fingerprint(old, *ignore).first() != fingerprint(df, *ignore).first():
-            raise ValueError(f"{day} is archived with other contents")
-        return "unchanged"
-    df.withColumn("snapshot_date", F.to_date(F.lit(day))).write.mode("append").partitionBy("snapshot_date").parquet(path)
-    return "written"
-
-
 def write_months(df: DataFrame, path: str, month: str = "event_month") -> None:
     """A partition per month; months that are no longer there go with the overwrite."""
     df.repartition(month).write.mode("overwrite").partitionBy(month).parquet(path)

@@ -151,17 +151,6 @@ def test_nearest_ties_and_far_points(spark):
     assert [(r.p_id, r.s_id) for r in got] == [(1, 3)]
 
 
-def test_archive_is_immutable(spark, tmp_path):
-    path = f"file://{tmp_path}/archive"
-    df = spark.createDataFrame([(1, "a", "t1")], "id long, v string, retrieved_at string")
-    assert sinks.archive_snapshot(df, path, "2026-09-30") == "written"
-    assert sinks.archive_snapshot(df.withColumn("retrieved_at", F.lit("t2")), path, "2026-09-30") == "unchanged"
-    with pytest.raises(ValueError):
-        sinks.archive_snapshot(df.withColumn("v", F.lit("b")), path, "2026-09-30")
-    assert sinks.archive_snapshot(df, path, "2026-10-31") == "written"
-    assert readers.load_snapshot(spark, path, "2026-10-31").count() == 1
-
-
 def test_csv_round_trip_and_aliases(spark, tmp_path):
     df = spark.createDataFrame([(2, "=SUM(A1)", "x\ny"), (1, None, "q\"uote")], "Id long, Cell string, Note string")
     sinks.write_csv(df, f"file://{tmp_path}/t.csv", ["Id", "Cell", "Note"], ["Id"], gzip=True)
