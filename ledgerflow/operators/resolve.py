@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerflow.functions.ids import short_id
-from ledgerflow.functions.text import similarity
+from ledgerflow.functions.matching import matching_ratio
 from ledgerflow.operators.spread import frequent, spread_join
 from ledgerflow.sources.workspace import cut
 
@@ -91,19 +91,19 @@ def redirected(incoming: DataFrame, known: DataFrame, key: str, number: Column)
     return incoming.withColumn("number", number).join(home, "number", "left").withColumn(key, F.coalesce("_home", F.col(key))).drop("_home", "number")
 
 
-def crosswalk(left: DataFrame, right: DataFrame, days: int = 45, least_similarity: float = 0.84) -> DataFrame:
+def crosswalk(left: DataFrame, right: DataFrame, days: int = 45, least_similarity: float = 0.84, likeness: Callable[[Column, Column], Column] = matching_ratio) -> DataFrame:
     """The best match of every left row, by number, parcel, address and date, or similar address and date.
 
     Both sides have id, number, parcel, address and day (normalised; null where unknown). Each rule is
     an equi-join of its own; similar addresses are compared within equal house numbers and spans of
-    ``days`` days, of which neighbouring ones meet. The best score
+    ``days`` days, of which neighbouring ones meet, by matching blocks (or another ``likeness`` from 0 to 1;
+    ``functions.text.similarity`` is one of edit distances that needs no Python). The best score
     wins; several targets with the best score make an ambiguous candidate; rows without any match stay
     as unmatched.
     """
     a = left.select(*[F.col(c).alias(f"l_{c}") for c in ("id", "number", "parcel", "address", "day")])
     b = right.select(*[F.col(c).alias(f"r_{c}") for c in ("id", "number", "parcel", "address", "day")])
     close = F.abs(F.datediff("l_day", "r_day")) <= days
-    likeness = similarity(F.col("l_address"), F.col("r_address"))
 
     def scored(pairs: DataFrame, method: str, score: Column) -> DataFrame:
         return pairs.select("l_id", "r_id", F.lit(method).alias("method"), score.cast("double").alias("score"))
@@ -112,11 +112,12 @@ def crosswalk(left: DataFrame, right: DataFrame, days: int = 45, least_similarit
     span = lambda c: F.floor(F.datediff(F.col(c), F.to_date(F.lit("1970-01-01"))) / max(1, days)).cast("int")
     blocked = a.withColumn("block", block("l_address")).where("block is not null and l_day is not null").withColumn("span", F.explode(F.array(*[span("l_day") + k for k in (-1, 0, 1)])))
     near = blocked.join(b.withColumn("block", block("r_address")).withColumn("span", span("r_day")), ["block", "span"])
+    alike = near.where(close & (F.col("l_address") != F.col("r_address"))).withColumn("likeness", likeness(F.col("l_address"), F.col("r_address")))
     pairs = (
         scored(a.join(b, F.col("l_number") == F.col("r_number")), "exact_number", F.lit(1.0))
         .unionByName(scored(a.join(b, F.col("l_parcel") == F.col("r_parcel")), "exact_parcel", F.lit(0.95)))
         .unionByName(scored(a.join(b, F.col("l_address") == F.col("r_address")).where(close), "exact_address_compatible_date", F.lit(0.9)))
-        .unionByName(scored(near.where(close & (likeness >= least_similarity) & (F.col("l_address") != F.col("r_address"))), "similar_address_candidate", F.round(0.55 + 0.25 * likeness, 3)))
+        .unionByName(scored(alike.where(F.col("likeness") >= least_similarity), "similar_address_candidate", F.round(0.55 + 0.25 * F.col("likeness"), 3)))
     )
     best = pairs.groupBy("l_id", "r_id").agg(F.max(F.struct("score", "method")).alias("m"))
     by = Window.partitionBy("l_id")

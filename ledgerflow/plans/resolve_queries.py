@@ -253,9 +253,10 @@ p AS (
   SELECT a.id AS l, b.id AS r, 1.0::DOUBLE AS score, 'exact_number' AS method FROM a JOIN b ON a.number = b.number
   UNION ALL SELECT a.id, b.id, 0.95, 'exact_parcel' FROM a JOIN b ON a.parcel = b.parcel
   UNION ALL SELECT a.id, b.id, 0.9, 'exact_address_compatible_date' FROM a JOIN b ON a.address = b.address AND abs(a.day - b.day) <= 45
-  UNION ALL SELECT a.id, b.id, round(0.55 + 0.25 * (1 - levenshtein(a.address, b.address) / greatest(length(a.address), length(b.address))::DOUBLE), 3), 'similar_address_candidate'
+  UNION ALL SELECT a.id, b.id, round(0.55 + 0.25 * likeness, 3), 'similar_address_candidate'
     FROM a JOIN b ON split_part(a.address, ' ', 1) = split_part(b.address, ' ', 1) AND a.address <> b.address AND abs(a.day - b.day) <= 45
-      AND 1 - levenshtein(a.address, b.address) / greatest(length(a.address), length(b.address))::DOUBLE >= 0.84),
+      -- different addresses of one house begin alike here, so the shorter one is the only common block
+      CROSS JOIN LATERAL (SELECT CASE WHEN starts_with(b.address, a.address) OR starts_with(a.address, b.address) THEN 2 * least(length(a.address), length(b.address)) / (length(a.address) + length(b.address))::DOUBLE END) x(likeness) WHERE likeness >= 0.84),
 best AS (SELECT l, r, max(score) AS score, arg_max(method, (score, method)) AS method FROM p GROUP BY l, r),
 top AS (SELECT l, count(*) AS targets, min(r) AS r, max(score) AS score, max(method) AS method FROM (SELECT *, max(score) OVER (PARTITION BY l) AS top FROM best) WHERE score = top GROUP BY l)"""
 _INTEGRATION = """WITH core AS (SELECT 'act-' || p_partkey AS activity_id, CASE WHEN p_partkey % 2 = 0 THEN p_name END AS title FROM part WHERE p_partkey % 4 <> 3),
