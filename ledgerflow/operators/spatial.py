@@ -1,4 +1,4 @@
-"""Spatial joins on a grid: containment, nearest neighbour."""
+"""Spatial joins on cells: containment, nearest neighbour, footprints."""
 
 from __future__ import annotations
 
@@ -9,19 +9,107 @@ from pyspark.sql import functions as F
 
 from ledgerflow.functions.geo import cell, in_ring
 from ledgerflow.functions.numbers import haversine_m
+from ledgerflow.operators.spread import frequent, spread_join
+from ledgerflow.sources.workspace import cut
+
+
+def _sub(value: Column, step: float, level: Column) -> Column:
+    """The number of the cell of a level that a value lies in; cells halve from level to level."""
+    return F.floor(value * F.pow(F.lit(2.0), level) / step)
+
+
+def _touched(west: Column, east: Column, step: float, level: Column) -> Column:
+    return F.sequence(_sub(west, step, level), _sub(east, step, level))
+
+
+def meet(points: DataFrame, regions: DataFrame, step: float, depth: int = 16) -> DataFrame:
+    """Pairs of points (p_id, lon, lat) and regions (s_id, west, south, east, north) whose boxes touch the point's cell.
+
+    Cells form a quadtree: one that holds more than a fixed share of all points is split in four, down to
+    ``depth`` levels, and regions follow into those parts that they touch. Points piled up in one place, which
+    no cell parts, are dealt over several tasks. At most as many cells of a level are split as ``spread.frequent``
+    allows, and only these pass through the driver. Boxes are closed; callers add the exact test. Rows with
+    a null coordinate meet nothing.
+    """
+    zero = F.lit(0)
+    at = points.where("lon is not null and lat is not null").withColumns({"level": zero, "cx": _sub(F.col("lon"), step, zero), "cy": _sub(F.col("lat"), step, zero)})
+    tiles = regions.withColumn("level", zero).withColumn("cx", F.explode(_touched(F.col("west"), F.col("east"), step, zero))).withColumn("cy", F.explode(_touched(F.col("south"), F.col("north"), step, zero)))
+    keys = ["level", "cx", "cy"]
+    done_at, done_tiles = [], []
+    for level in range(depth):
+        counts = _cells(at, keys)
+        full = frequent(at, *keys, counts=counts)
+        split = full.join(counts.where("apart"), keys).select(*keys).collect() if full is not None else []  # no more rows than full has
+        if not split:
+            break
+        small = F.broadcast(at.sparkSession.createDataFrame(split, at.select(*keys).schema))
+        done_at.append(at.join(small, keys, "left_anti"))
+        done_tiles.append(tiles.join(small, keys, "left_anti"))
+        below = F.lit(level + 1)
+        part = lambda c, west, east: F.filter(F.array(2 * F.col(c), 2 * F.col(c) + 1), lambda x: (x >= _sub(F.col(west), step, F.lit(level + 1))) & (x <= _sub(F.col(east), step, F.lit(level + 1))))  # noqa: B023, E731
+        # only what goes on is written, so that each level reads the level before
+        at = cut(at.join(small, keys).withColumns({"level": below, "cx": _sub(F.col("lon"), step, below), "cy": _sub(F.col("lat"), step, below)}), "cells")
+        tiles = tiles.join(small, keys).withColumn("cx", F.explode(part("cx", "west", "east"))).withColumn("cy", F.explode(part("cy", "south", "north")))
+        tiles = cut(tiles.withColumn("level", below), "cells")
+    for a, t in zip(done_at, done_tiles, strict=True):
+        at, tiles = at.unionByName(a), tiles.unionByName(t)
+    return spread_join(at, tiles, keys, [F.col("p_id")], hot=frequent(at, *keys)).drop(*keys)
+
+
+def _cells(at: DataFrame, keys: list[str]) -> DataFrame:
+    """Points of each cell, and whether they stand apart."""
+    apart = (F.min("lon") != F.max("lon")) | (F.min("lat") != F.max("lat"))
+    return at.groupBy(*keys).agg(F.count("*").alias("n"), apart.alias("apart"))
 
 
 def contains(points: DataFrame, shapes: DataFrame, step: float, ring: str = "ring") -> DataFrame:
     """Pairs of points (p_id, lon, lat) and shapes (s_id, ring) that contain them.
 
-    Shapes are dealt to all grid cells that their boxes touch, points to their own cell; an
-    equi-join on the cell is followed by the exact test. ``step`` should be about a shape's size.
+    Points and the shapes' boxes meet in the cells of a quadtree; the exact test follows. ``step``, the width of
+    the widest cells, should be about a shape's size.
+    """
+    pairs = meet(points, _boxed(shapes, ring), step)
+    return pairs.where(in_ring(F.col("lon"), F.col("lat"), F.col(ring))).drop("west", "south", "east", "north")
+
+
+def _boxed(shapes: DataFrame, ring: str) -> DataFrame:
+    side = lambda f, i: f(F.transform(ring, lambda p: p[i]))
+    return shapes.withColumns({"west": side(F.array_min, 0), "east": side(F.array_max, 0), "south": side(F.array_min, 1), "north": side(F.array_max, 1)})
+
+
+def footprints(places: DataFrame, buildings: DataFrame, step: float, address_m: float = 150.0, nearest_m: float = 35.0, ring: str = "ring") -> DataFrame:
+    """The buildings that the places of each activity belong to: activity, s_id, p_id, method, confidence, distance_m.
+
+    places: activity, p_id, lon, lat, address; buildings: s_id, ring, address (both addresses normalised, null if
+    unknown). A place's candidates are the buildings whose boxes touch its cell of width ``step`` or one of the
+    eight around it. All that contain it are its buildings; if none does, those of its own address within
+    ``address_m`` of their boxes' middles; if no candidate has its address, the one nearest by its middle,
+    the smaller s_id of equally near ones, within ``nearest_m``. An activity has a building once: by the first of
+    its places (smallest p_id).
     """
-    xs, ys = F.transform(ring, lambda p: p[0]), F.transform(ring, lambda p: p[1])
-    span = lambda values: F.sequence(cell(F.array_min(values), step), cell(F.array_max(values), step))
-    tiles = shapes.withColumn("cx", F.explode(span(xs))).withColumn("cy", F.explode(span(ys)))
-    at = points.withColumn("cx", cell(F.col("lon"), step)).withColumn("cy", cell(F.col("lat"), step))
-    return at.join(tiles, ["cx", "cy"]).where(in_ring(F.col("lon"), F.col("lat"), F.col(ring))).drop("cx", "cy")
+    boxed = _boxed(buildings.select("s_id", ring, F.col("address").alias("s_address")), ring)
+    near = boxed.withColumns({f"box_{c}": F.col(c) for c in ("west", "south", "east", "north")})
+    around = {c: (cell(F.col(c), step) - 1) * step for c in ("west", "south")} | {c: (cell(F.col(c), step) + 2) * step for c in ("east", "north")}
+    pairs = meet(places, near.withColumns(around), step)
+    for c, low, high in (("lon", "box_west", "box_east"), ("lat", "box_south", "box_north")):
+        pairs = pairs.where(cell(F.col(c), step).between(cell(F.col(low), step) - 1, cell(F.col(high), step) + 1))
+    middle = haversine_m(F.col("lon"), F.col("lat"), (F.col("box_west") + F.col("box_east")) / 2, (F.col("box_south") + F.col("box_north")) / 2)
+    same = F.coalesce(F.col("address") == F.col("s_address"), F.lit(False))
+    inside = in_ring(F.col("lon"), F.col("lat"), F.col(ring))
+    told = pairs.select("activity", "p_id", "s_id", inside.alias("inside"), same.alias("same"), middle.alias("m"))
+    # per place: does anything contain it, has anything its address, what is nearest
+    facts = told.groupBy("p_id").agg(F.max("inside").alias("any_inside"), F.max("same").alias("any_same"), F.min(F.struct("m", "s_id")).alias("nearest")).withColumnRenamed("p_id", "p")
+    told = told.where(F.col("inside") | F.col("same") | (F.col("m") <= nearest_m)).join(facts, F.col("p_id") == F.col("p"))
+    method = (
+        F.when(F.col("any_inside"), F.when(F.col("inside"), "containing"))
+        .when(F.col("any_same"), F.when(F.col("same") & (F.col("m") <= address_m), "same_address"))
+        .when((F.col("nearest.s_id") == F.col("s_id")) & (F.col("m") <= nearest_m), "nearest")
+    )
+    chosen = told.withColumn("method", method).where("method is not null")
+    distance = F.when(F.col("method") == "containing", 0.0).otherwise(F.round("m", 2))
+    confidence = F.when(F.col("method") == "nearest", "medium").otherwise("high")
+    first = chosen.groupBy("activity", "s_id").agg(F.min(F.struct("p_id", "method", confidence.alias("confidence"), distance.alias("distance_m"))).alias("f"))
+    return first.select("activity", "s_id", "f.*")
 
 
 def nearest(points: DataFrame, targets: DataFrame, radius_m: float, max_lat: float = 60.0) -> DataFrame:

@@ -341,6 +341,25 @@ def spatial_contains(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spatial.contains(_points(spark, sf_dir), _squares(spark, sf_dir), 0.5).select("p_id", "s_id")
 
 
+def footprint_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as places at and around their customers' buildings, some with the building's address: which buildings an activity has."""
+    small, width = 100.0, 0.0005
+    squares = _squares(spark, sf_dir).select(F.col("s_id"), (F.col("ring")[0][0] / small).alias("x"), (F.col("ring")[0][1] / small).alias("y"))
+    corner = lambda a, b: F.array(F.col("x") + a, F.col("y") + b)
+    ring = F.array(corner(0.0, 0.0), corner(width, 0.0), corner(width, width), corner(0.0, width), corner(0.0, 0.0))
+    address = lambda k: F.concat_ws(" ", (k % 500).cast("string"), F.lit("BAY AVE"))
+    buildings = squares.select("s_id", ring.alias("ring"), F.when(F.col("s_id") % 9 != 0, address(F.col("s_id"))).alias("address"))
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").alias("s_id")).join(squares, "s_id")
+    # inside, beside with and without the address, at a corner, and far off
+    kind = F.col("o_orderkey") % 5
+    away = lambda *d: F.element_at(F.array(*[F.lit(v) for v in d]), (kind + 1).cast("int"))
+    places = orders.select(
+        (F.col("o_orderkey") % 2000).alias("activity"), F.col("o_orderkey").alias("p_id"), (F.col("x") + away(0.0001, 0.0008, 0.0008, 0.00051, 0.003)).alias("lon"), (F.col("y") + away(0.0002, 0.0002, 0.0002, 0.00025, 0.003)).alias("lat"),
+        F.when(kind.isin(1, 4), address(F.col("s_id"))).when(kind == 2, "1 OTHER ST").alias("address"),
+    )
+    return spatial.footprints(places, buildings, 0.003).select("activity", "s_id", "p_id", "method", "confidence", F.round("distance_m", 1).alias("distance_m"))
+
+
 def spatial_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     corners = _squares(spark, sf_dir).select("s_id", F.col("ring")[0][0].alias("s_lon"), F.col("ring")[0][1].alias("s_lat"))
     return spatial.nearest(_points(spark, sf_dir), corners, 30000.0).withColumn("distance_m", F.round("distance_m", 1))
@@ -397,7 +416,7 @@ QUERIES = {
         proportional_quota, claim_precision, weighted_precision, kappa, confusion, recall_ci, review_coverage, category_shares, pooled_weights, dq_checks, dq_added_removed,
         dq_copy_fidelity, dq_reconcile, dq_collection, dq_partition_gaps, fingerprint_equal, completeness, small_group_suppression, qa_summary, dq_sample_design, pii_scan,
         redact, scrub_map, scrub_counts, leak_scan, csv_safety, chain_verify, budget_audit, repeatability, source_tier, manifest_check, run_metrics, forbidden_audit, page_title,
-        page_links, page_text, page_paragraphs, spatial_contains, spatial_nearest, geometry_functions, address_normalize, parse_dates, parse_money, stable_ids,
+        page_links, page_text, page_paragraphs, spatial_contains, footprint_matches, spatial_nearest, geometry_functions, address_normalize, parse_dates, parse_money, stable_ids,
     )
 }
 
@@ -539,6 +558,17 @@ ORACLE_SQL = {
         SELECT page_id, sha256(t) AS text_sha256, length(t)::INTEGER AS n FROM d""",
     "page_paragraphs": r"SELECT page_id, len(p) AS paragraphs FROM (SELECT page_id, regexp_extract_all(html, '(?is)<p\b[^>]*>(.*?)</p\s*>') AS p FROM pages) WHERE len(p) > 0",
     "spatial_contains": POINTS_SQL + " SELECT p_id, s_id FROM pt JOIN sq ON lon >= x AND lon < x + 0.5 AND lat >= y AND lat < y + 0.5",
+    "footprint_matches": POINTS_SQL + """, b AS (SELECT s_id, x / 100.0 AS x, y / 100.0 AS y, CASE WHEN s_id % 9 <> 0 THEN (s_id % 500) || ' BAY AVE' END AS s_address FROM sq),
+        l AS (SELECT o_orderkey % 2000 AS activity, o_orderkey AS p_id, x + [0.0001, 0.0008, 0.0008, 0.00051, 0.003][o_orderkey % 5 + 1]::DOUBLE AS lon, y + [0.0002, 0.0002, 0.0002, 0.00025, 0.003][o_orderkey % 5 + 1]::DOUBLE AS lat,
+          CASE WHEN o_orderkey % 5 IN (1, 4) THEN (s_id % 500) || ' BAY AVE' WHEN o_orderkey % 5 = 2 THEN '1 OTHER ST' END AS address FROM orders JOIN b ON o_custkey = s_id),
+        g AS (SELECT *, (x + (x + 0.0005::DOUBLE)) / 2 AS mx, (y + (y + 0.0005::DOUBLE)) / 2 AS my, floor(x / 0.003::DOUBLE) - 1 AS cw, floor((x + 0.0005::DOUBLE) / 0.003::DOUBLE) + 1 AS ce, floor(y / 0.003::DOUBLE) - 1 AS cs, floor((y + 0.0005::DOUBLE) / 0.003::DOUBLE) + 1 AS cn FROM b),
+        c AS (SELECT activity, p_id, s_id, lon >= x AND lon < x + 0.0005::DOUBLE AND lat >= y AND lat < y + 0.0005::DOUBLE AS inside, coalesce(address = s_address, false) AS same, pow(sin(radians(my - lat) / 2), 2) + cos(radians(lat)) * cos(radians(my)) * pow(sin(radians(mx - lon) / 2), 2) AS h
+          FROM l JOIN g ON floor(lon / 0.003::DOUBLE) BETWEEN cw AND ce AND floor(lat / 0.003::DOUBLE) BETWEEN cs AND cn),
+        d AS (SELECT *, 6371000.0 * 2 * atan2(sqrt(h), sqrt(greatest(0, 1 - h))) AS m FROM c),
+        w AS (SELECT *, bool_or(inside) OVER q AS any_inside, bool_or(same) OVER q AS any_same, row_number() OVER (PARTITION BY p_id ORDER BY m, s_id) AS place FROM d WINDOW q AS (PARTITION BY p_id)),
+        k AS (SELECT *, CASE WHEN any_inside THEN CASE WHEN inside THEN 'containing' END WHEN any_same THEN CASE WHEN same AND m <= 150 THEN 'same_address' END WHEN place = 1 AND m <= 35 THEN 'nearest' END AS method FROM w)
+        SELECT activity, s_id, p_id, method, CASE WHEN method = 'nearest' THEN 'medium' ELSE 'high' END AS confidence, round(CASE WHEN method = 'containing' THEN 0 ELSE round(m, 2) END, 1) AS distance_m
+        FROM k WHERE method IS NOT NULL QUALIFY row_number() OVER (PARTITION BY activity, s_id ORDER BY p_id) = 1""",
     "spatial_nearest": POINTS_SQL + """, d AS (SELECT p_id, s_id, 6371000.0 * 2 * atan2(sqrt(a), sqrt(greatest(0, 1 - a))) AS m FROM (SELECT p_id, s_id, pow(sin(radians(y - lat) / 2), 2) + cos(radians(lat)) * cos(radians(y)) * pow(sin(radians(x - lon) / 2), 2) AS a FROM pt, sq))
         SELECT p_id, arg_min(s_id, (m, s_id)) AS s_id, round(round(min(m), 3), 1) AS distance_m FROM d WHERE m <= 30000 GROUP BY p_id""",
     "geometry_functions": POINTS_SQL + " SELECT s_id, round(round(x + 0.2, 7), 6) AS lon, round(round(y + 0.2, 7), 6) AS lat, round(x, 6) AS west, round(y + 0.5, 6) AS north FROM sq",
