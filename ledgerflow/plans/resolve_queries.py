@@ -151,9 +151,11 @@ def part_supplier_components(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def part_supplier_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Components of the graph of all parts and suppliers over all line items; too large for a recursive SQL twin."""
-    items = table(spark, sf_dir, "lineitem").select((F.col("l_partkey") * 2).alias("a"), (F.col("l_suppkey") * 2 + 1).alias("b")).distinct()
-    return resolve.connected(items)
+    """The components of that graph: parts, suppliers and different links of each."""
+    nodes = part_supplier_components(spark, sf_dir)
+    links = table(spark, sf_dir, "lineitem").select((F.col("l_partkey") * 2).alias("node"), "l_suppkey").distinct().groupBy("node").agg(F.count("*").alias("links"))
+    per = nodes.join(links, "node", "left").groupBy("component")  # a supplier has no links of its own here
+    return per.agg(F.count_if(F.col("node") % 2 == 0).alias("parts"), F.count_if(F.col("node") % 2 == 1).alias("suppliers"), F.sum("links").alias("links"))
 
 
 def _portal(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -259,6 +261,12 @@ p AS (
       CROSS JOIN LATERAL (SELECT CASE WHEN starts_with(b.address, a.address) OR starts_with(a.address, b.address) THEN 2 * least(length(a.address), length(b.address)) / (length(a.address) + length(b.address))::DOUBLE END) x(likeness) WHERE likeness >= 0.84),
 best AS (SELECT l, r, max(score) AS score, arg_max(method, (score, method)) AS method FROM p GROUP BY l, r),
 top AS (SELECT l, count(*) AS targets, min(r) AS r, max(score) AS score, max(method) AS method FROM (SELECT *, max(score) OVER (PARTITION BY l) AS top FROM best) WHERE score = top GROUP BY l)"""
+#: Labels that spread and jump in ten rounds over all links.
+_COMPONENTS = (
+    """WITH e AS (SELECT DISTINCT l_partkey * 2 AS a, l_suppkey * 2 + 1 AS b FROM lineitem), w AS MATERIALIZED (SELECT a AS u, b AS v FROM e UNION SELECT b, a FROM e),
+    l0 AS MATERIALIZED (SELECT u AS node, least(u, min(v)) AS c FROM w GROUP BY u), """
+    + ", ".join(f"l{k} AS MATERIALIZED (SELECT u AS node, least(min(x.c), min(y.c)) AS c FROM w JOIN l{k - 1} x ON w.v = x.node JOIN l{k - 1} y ON w.u = y.node GROUP BY u)" for k in range(1, 11))
+)
 _INTEGRATION = """WITH core AS (SELECT 'act-' || p_partkey AS activity_id, CASE WHEN p_partkey % 2 = 0 THEN p_name END AS title FROM part WHERE p_partkey % 4 <> 3),
 links AS (SELECT (p_partkey + CASE WHEN p_partkey % 5 = 0 THEN 1 ELSE 0 END)::VARCHAR AS number, 'act-' || p_partkey AS activity_id FROM part WHERE p_partkey % 4 <> 3),
 incoming AS (SELECT p_partkey::VARCHAR AS number, upper(p_name) AS title, p_type AS kind FROM part),
@@ -307,10 +315,8 @@ ORACLE_SQL = {
         SELECT snapshot_date, object_id, audit_key, CASE WHEN audit_key IS NULL THEN 'missing_key' WHEN row_number() OVER (PARTITION BY audit_key ORDER BY event_date DESC, object_id) = 1 THEN 'kept' ELSE 'duplicate' END AS status FROM k""",
     "components_aliases": _FEATURES + """, t AS (SELECT id, layer, trim(regexp_replace(upper(title), '[^A-Z0-9]+', ' ', 'g')) AS t FROM f), g AS (SELECT t, min(id) AS component FROM t GROUP BY t HAVING count(DISTINCT layer) >= 2)
         SELECT id, component, 'grp-' || left(sha1(component::VARCHAR), 16) AS alias_id FROM t JOIN g USING (t)""",
-    "part_supplier_components": """WITH e AS (SELECT DISTINCT l_partkey * 2 AS a, l_suppkey * 2 + 1 AS b FROM lineitem), w AS MATERIALIZED (SELECT a AS u, b AS v FROM e UNION SELECT b, a FROM e),
-        l0 AS MATERIALIZED (SELECT u AS node, least(u, min(v)) AS c FROM w GROUP BY u), """
-        + ", ".join(f"l{k} AS MATERIALIZED (SELECT u AS node, least(min(x.c), min(y.c)) AS c FROM w JOIN l{k - 1} x ON w.v = x.node JOIN l{k - 1} y ON w.u = y.node GROUP BY u)" for k in range(1, 11))
-        + " SELECT node, c AS component FROM l10",
+    "part_supplier_components": _COMPONENTS + " SELECT node, c AS component FROM l10",
+    "part_supplier_graph": _COMPONENTS + ", n AS (SELECT a AS node, count(*) AS links FROM e GROUP BY a) SELECT c AS component, count(*) FILTER (l10.node % 2 = 0) AS parts, count(*) FILTER (l10.node % 2 = 1) AS suppliers, sum(links)::BIGINT AS links FROM l10 LEFT JOIN n USING (node) GROUP BY c",
     "crosswalk": _PORTAL + """ SELECT a.id, CASE WHEN targets = 1 THEN r END AS target_id, coalesce(targets, 0) AS targets,
         CASE WHEN r IS NULL THEN 'none' WHEN targets > 1 THEN method || '_ambiguous' ELSE method END AS method, round(coalesce(score, 0), 3) AS score,
         CASE WHEN r IS NULL THEN 'unmatched' WHEN targets > 1 OR score < 0.9 THEN 'candidate' ELSE 'matched' END AS status, coalesce(r IS NOT NULL AND (targets > 1 OR score < 0.9), false) AS review_required FROM a LEFT JOIN top ON a.id = l""",

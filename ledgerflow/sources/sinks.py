@@ -18,8 +18,11 @@ def write_csv(df: DataFrame, path: str, columns: Sequence[str], order: Sequence[
 
 
 def write_months(df: DataFrame, path: str, month: str = "event_month") -> None:
-    """A partition per month; months that are no longer there go with the overwrite."""
-    df.repartition(month).write.mode("overwrite").partitionBy(month).parquet(path)
+    """A partition per month; months that are no longer there go with the overwrite.
+
+    Rows are dealt by month and tasks of about one size: small months share one, a large one is split.
+    """
+    df.hint("rebalance", month).write.mode("overwrite").partitionBy(month).parquet(path)
 
 
 def write_split(df: DataFrame, path: str, by: str) -> None:

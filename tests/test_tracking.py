@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
-from ledgerflow.operators import portal, resolve, studies, tracking
+from ledgerflow.operators import portal, resolve, sampling, studies, tracking
 from ledgerflow.plans.registry import QUERIES
 
 
@@ -81,3 +82,28 @@ def test_similar_addresses_meet_across_the_edges_of_spans(spark):
     side = lambda street, c: rows.select("id", F.lit(None).cast("string").alias("number"), F.lit(None).cast("string").alias("parcel"), F.concat_ws(" ", "house", F.lit(street)).alias("address"), day(c))
     got = {r.id: r.method for r in resolve.crosswalk(side("NORTH BAY AVE", "a"), side("NORTH BAY AVENUE", "b")).collect()}
     assert got == {i: "similar_address_candidate" if abs(g) <= 45 else "none" for i, (_, g) in enumerate(gaps)}
+
+
+def test_rows_without_a_stratum_are_drawn_too(spark):
+    rows = spark.createDataFrame([(i, None if i % 4 == 0 else "ab"[i % 2]) for i in range(80)], "id long, s string")
+    sizes = sampling.stratum_sizes(rows, "s")
+    assert sizes == {None: 20, "a": 20, "b": 40}
+    quotas = sampling.allocate(sizes, 8)
+    assert quotas == {None: 2, "a": 2, "b": 4}
+    got = sampling.stratified(rows, "id", "s", quotas, 1, "study").collect()
+    assert Counter(r.s for r in got) == quotas and all(r.population == sizes[r.s] for r in got)
+    both = sampling.two_phase(rows, "id", "s", 8, 8, 1, "study").collect()
+    assert len({r.id for r in both}) == 16 and Counter(r.s for r in both)[None] == 4
+    drawn = studies.study(rows, "id", 12, 1, "study", stratum="s").collect()
+    assert len(drawn) == 12 and sum(r.second_review for r in drawn) == 3
+    only = sampling.stratified(rows, "id", "s", {None: 5}, 1, "study").collect()
+    assert len(only) == 5 and {r.s for r in only} == {None}
+
+
+def test_too_many_strata_are_refused(spark, monkeypatch):
+    monkeypatch.setattr(sampling, "MOST_STRATA", 3)
+    rows = spark.range(10).selectExpr("id", "cast(id % 5 as string) s")
+    with pytest.raises(ValueError, match="more than 3"):
+        sampling.stratum_sizes(rows, "s")
+    with pytest.raises(ValueError, match="more than 3"):
+        sampling.stratified(rows, "id", "s", dict.fromkeys("01234", 1), 1, "study")

@@ -16,5 +16,5 @@ def test_part_supplier_graph_has_all_links(spark, sf):
     for r in spark.read.parquet(f"{sf}/lineitem.parquet").select("l_partkey", "l_suppkey").distinct().collect():
         a, b = sorted((find(r.l_partkey * 2), find(r.l_suppkey * 2 + 1)))
         parent[b] = a
-    got = {r.node: r.component for r in QUERIES["part_supplier_graph"](spark, sf).collect()}
+    got = {r.node: r.component for r in QUERIES["part_supplier_components"](spark, sf).collect()}
     assert got == {n: find(n) for n in parent}
