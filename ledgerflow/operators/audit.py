@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -54,6 +56,19 @@ def budgets(calls: DataFrame, run: str, fingerprint: str, cost: str, most_calls:
     return out.withColumn("within_budget", ok)
 
 
+def usage_limits(calls: DataFrame, run: str, usage: Mapping[str, float], once: Sequence[str] = ()) -> DataFrame:
+    """Per run the total of each kind of usage (tokens, money, seconds), and which exceed their limits.
+
+    ``usage`` maps columns to limits; columns in ``once`` are stated for the run on each of its calls and not
+    added up. A kind that no call of a run states is unknown (null) and exceeds nothing; what is no number counts as not stated.
+    """
+    value = lambda c: F.expr(f"try_cast(`{c}` as double)")
+    known = lambda c: F.when(~F.isnan(value(c)), value(c))
+    per = calls.groupBy(run).agg(F.count("*").alias("calls"), *[(F.max(known(c)) if c in once else F.sum(known(c))).alias(c) for c in usage])
+    over = F.array_compact(F.array(*[F.when(F.col(c) > limit, F.lit(c)) for c, limit in usage.items()]))
+    return per.withColumn("exceeded", F.array_join(over, ";")).withColumn("within_limits", F.size(over) == 0)
+
+
 def repeatability(rows: DataFrame, case: str, repeat: str, values: list[str]) -> DataFrame:
     """Do all repeats of a case have the same set of values? Compared by hashes of their sorted distinct values."""
     per = rows.select(case, repeat, F.concat_ws("|", *values).alias("v")).distinct().groupBy(case, repeat).agg(F.sha2(F.array_join(F.array_sort(F.collect_list("v")), "\n"), 256).alias("h"))

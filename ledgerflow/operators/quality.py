@@ -155,3 +155,27 @@ def summary(df: DataFrame, measures: dict[str, Column]) -> DataFrame:
     """Named aggregates in long format, from one pass."""
     one = df.agg(*[c.cast("double").alias(n) for n, c in measures.items()])
     return one.unpivot([], list(measures), "metric", "value")
+
+
+#: Grades on which a claim of completion may rest, and grades that a derived claim may have.
+COMPLETION_GRADES, DERIVED_GRADES = ("A1", "A2", "A3", "B1", "B2"), ("C", "D", "P", "X", "U")
+#: Events that only an official record of them may claim.
+CLOSING_EVENTS = ("final_inspection_passed", "temporary_co_issued", "certificate_of_occupancy_issued", "construction_completion_reported")
+
+
+def claim_rules(truth: DataFrame, completed: str, grade: str) -> DataFrame:
+    """Completion is claimed with a qualifying grade only, and no derived claim has such a grade."""
+    return together([
+        rule(truth, (F.coalesce(F.col(completed), F.lit("")) != "yes") | F.col(grade).isin(*COMPLETION_GRADES), "no_completion_without_grade"),
+        vocabulary(truth, grade, DERIVED_GRADES, "derived_grades_only"),
+    ])
+
+
+def proposal_rules(pairs: DataFrame, merged: str, status: str, pending: str) -> DataFrame:
+    """Candidate pairs are proposals: none is merged and all wait for a reviewer."""
+    return rule(pairs, ~F.coalesce(F.col(merged), F.lit(True)) & (F.col(status) == pending), "proposals_never_merged")
+
+
+def event_rules(events: DataFrame, kind: str, forbidden: Sequence[str] = CLOSING_EVENTS) -> DataFrame:
+    """No event of a kind that this data cannot show."""
+    return rule(events, F.col(kind).isNotNull() & ~F.col(kind).isin(*forbidden), "no_forbidden_events")

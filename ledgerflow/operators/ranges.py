@@ -32,6 +32,11 @@ def running(rows: DataFrame, by: Sequence[str], order: Sequence[str], weight: Co
     return joined.drop("_weight", "_range", "_of", "_sum", "_carried", "_inside", *[f"_by_{c}" for c in by])
 
 
+def positions(rows: DataFrame, order: Sequence[str], name: str = "position") -> DataFrame:
+    """rows numbered from 1 in their order over the whole table, null first, by as many tasks as there are ranges."""
+    return running(rows, [], order).withColumn(name, F.col("_before") + 1).drop("_before", "_total")
+
+
 def value_counts(rows: DataFrame, by: Sequence[str], value: str) -> DataFrame:
     """by, value and n: how often each value occurs in each group; groups whose values are all null have one row without value."""
     return rows.groupBy(*by, value).agg(F.count("*").alias("n"))

@@ -38,6 +38,30 @@ def last_nonblank(df: DataFrame, key: str, columns: Sequence[str], order: Sequen
     return out.join(span, key)
 
 
+def preferred(df: DataFrame, module: str, number: Column, columns: Sequence[str], link: str, recency: str, key: str, first: str, last: str) -> DataFrame:
+    """One record for each module and public number: the preferred one, its blanks filled from the others.
+
+    Preferred is the record with a link, then that with more filled columns, then the later, then the larger key; blanks
+    take the value of the earliest record that has one. The range of observation is widened to that of all. Records
+    without module or number stay as they are. Blank means null or white space only.
+    """
+    filled = lambda c: F.nullif(F.trim(F.col(c).cast("string")), F.lit("")).isNotNull()
+    count = sum((filled(c).cast("int") for c in columns), F.lit(0))
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    rank = F.struct(filled(link), count, text(recency), text(key))
+    rows = df.withColumn("_module", F.when(filled(module), F.upper(F.trim(module)))).withColumn("_number", number)
+    keyed = rows.where("_module is not null and _number is not null")
+    own = lambda c: F.max_by(F.when(filled(c), F.col(c)), rank)
+    other = lambda c: F.min_by(F.when(filled(c), F.col(c)), F.when(filled(c), F.struct(text(recency), text(key))))
+    rest = [c for c in df.columns if c not in (key, first, last)]
+    one = keyed.groupBy("_module", "_number").agg(
+        F.max_by(key, rank).alias(key), F.min(first).alias(first), F.max(last).alias(last), F.count("*").alias("merged_records"),
+        *[(F.coalesce(own(c), other(c)) if c in columns else F.max_by(c, rank)).alias(c) for c in rest],
+    )
+    alone = rows.where("_module is null or _number is null").withColumn("merged_records", F.lit(1).cast("long"))
+    return one.select(*df.columns, "merged_records").unionByName(alone.select(*df.columns, "merged_records"))
+
+
 def dedup_audit(df: DataFrame, key: Column, order: Sequence[Column]) -> DataFrame:
     """df with status: kept, duplicate, or missing_key (kept apart, never merged)."""
     out = df.withColumn("audit_key", key)

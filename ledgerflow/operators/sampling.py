@@ -83,13 +83,21 @@ def two_phase(df: DataFrame, key: str, stratum: str, first: int, second: int, se
     return a.withColumn("phase", F.lit("development")).unionByName(b.withColumn("phase", F.lit("holdout")))
 
 
-def by_category(df: DataFrame, key: str, categories: dict[str, Column], quota: int, seed: int, study: str) -> DataFrame:
-    """Rows drawn category by category in order, each row once: it counts for the first category that draws it."""
+def matched_categories(categories: dict[str, Column]) -> Column:
+    """The names of all categories that a row belongs to, in their order; an unknown condition is no match."""
+    return F.array_compact(F.array(*[F.when(F.coalesce(c, F.lit(False)), F.lit(name)) for name, c in categories.items()]))
+
+
+def by_category(df: DataFrame, key: str, categories: dict[str, Column], quota: int | dict[str, int], seed: int, study: str) -> DataFrame:
+    """Rows drawn category by category in order, each row once: it counts for the first category that draws it.
+
+    A quota for each category, or one for all; a category with fewer rows left gives all of them.
+    """
     left, out = df, None
     for name, condition in categories.items():
         pool = left.where(condition).withColumn("category", F.lit(name))
         token = sample_rank(seed, study, name, F.lit(name), F.col(key).cast("string"))
-        drawn = pool.withColumn("token", token).orderBy("token", key).limit(quota).drop("token")
+        drawn = pool.withColumn("token", token).orderBy("token", key).limit(quota if isinstance(quota, int) else quota[name]).drop("token")
         out = drawn if out is None else out.unionByName(drawn)
         left = left.join(drawn.select(key), key, "left_anti")
     return out

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerflow.plans import change_queries, check_queries, io_queries, release_queries, resolve_queries, stream_queries, study_queries, tracking_queries
+from ledgerflow.plans import change_queries, check_queries, detail_queries, io_queries, release_queries, resolve_queries, stream_queries, study_queries, tracking_queries
 
-_MODULES = (change_queries, resolve_queries, check_queries, stream_queries, tracking_queries, study_queries, io_queries, release_queries)
+_MODULES = (change_queries, resolve_queries, check_queries, stream_queries, tracking_queries, study_queries, io_queries, release_queries, detail_queries)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
