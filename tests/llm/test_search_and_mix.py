@@ -5,11 +5,12 @@ from __future__ import annotations
 import hashlib
 import math
 import random
-from collections import Counter
+from collections import Counter, defaultdict
 
 import corpus_pipeline
 import numpy as np
 import public_tokenizers
+import pytest
 import sentencepiece
 from pyspark.sql import functions as F
 
@@ -158,31 +159,106 @@ def test_phases_place_every_block_once():
     assert seen == blocks
 
 
+def plain_slots(counts, rows_of_block, weights):
+    """Slot by slot over all blocks: of those released, the one due first; a new phase when a source has no block left."""
+    left = {n: -(-c // rows_of_block) for n, c in counts.items() if c}
+    done, slot, out = dict.fromkeys(left, 0), 0, {}
+    while left:
+        period = max(source_mixing.LEAST_PERIOD, 1 << (4 * len(left) - 1).bit_length())
+        share = source_mixing.shares({n: weights[n] for n in left}, period)
+        had, t = dict.fromkeys(left, 0), 0
+        while True:
+            ready = [(-(-(had[n] + 1) * period // a), n) for n, a in share.items() if had[n] * period // a <= t]
+            n = min(ready)[1]
+            if had[n] == left[n]:
+                break
+            out[n, done[n] + had[n]] = slot
+            had[n] += 1
+            t += 1
+            slot += 1
+        done = {n: done[n] + had[n] for n in left}
+        left = {n: left[n] - had[n] for n in left if left[n] > had[n]}
+    return out
+
+
 def test_mix(spark):
     docs = D.table(spark, extra=True)
     got = source_mixing.mix(docs, block_rows=3).collect()
     assert Counter((r.doc_id, r.source) for r in got) == Counter((r[0], r[3] or "") for r in D.rows())
     assert all(r.release <= r.slot < r.deadline for r in got)
-    assert len({(r.source, r.block) for r in got}) == len({r.slot for r in got})
+    counts = Counter(r[3] or "" for r in D.rows())
+    want = plain_slots(counts, 3, source_mixing.tempered(counts))
+    assert {(r.source, r.block): r.slot for r in got} == want
+    ranks = Counter((r.source, r.rank) for r in got)
+    assert set(ranks) == {(n, i) for n, c in counts.items() for i in range(c)} and max(ranks.values()) == 1 and all(r.block == r.rank // 3 for r in got)
     ordered = source_mixing.in_mixed_order(docs, block_rows=3)
     assert ordered.columns == docs.columns and ordered.count() == docs.count()
-    slots = {r.doc_id: r.slot for r in got}
-    assert [slots[r.doc_id] for r in ordered.collect()] == sorted(slots[r[0]] for r in D.rows())
+    by_slot = defaultdict(set)
+    for r in got:
+        by_slot[r.slot].add(r.doc_id)
+    place = 0
+    rows = [r.doc_id for r in ordered.collect()]
+    for slot in sorted(by_slot):
+        n = sum(1 for r in got if r.slot == slot)
+        assert set(rows[place : place + n]) == by_slot[slot]
+        place += n
     assert source_mixing.mix(D.empty(spark)).count() == 0
+    assert {r.source for r in source_mixing.mix(docs.withColumn("source", F.when(F.col("source") != "src0", F.col("source")).otherwise(F.when(F.col("doc_id") % 2 == 0, "")))).collect()} >= {""}
+
+
+@pytest.mark.parametrize("ranges", [8, 4096])
+def test_rows_keep_within_one_block_of_their_share(spark, monkeypatch, ranges):
+    """Twenty equal sources and two of other sizes: after each slot, in rows."""
+    monkeypatch.setattr(source_mixing, "RANGE_ROWS", ranges)
+    rows = [(i, f"s{i % 20}") for i in range(8000)] + [(10_000 + i, "large") for i in range(3000)] + [(20_000 + i, "small") for i in range(70)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string").repartition(3)
+    counts = Counter(s for _, s in rows)
+    weights = dict.fromkeys(counts, 1.0)
+    got = source_mixing.mix(docs, weights=weights).collect()
+    assert {(r.source, r.block): r.slot for r in got} == plain_slots(counts, 64, weights)
+    assert all(n == 64 for (s, b), n in Counter((r.source, r.block) for r in got).items() if b < counts[s] // 64)
+    first = source_mixing.phases({n: -(-c // 64) for n, c in counts.items()}, weights)[0]
+    had, per_slot = dict.fromkeys(counts, 0), defaultdict(Counter)
+    for r in got:
+        per_slot[r.slot][r.source] += 1
+    end = sum(first.blocks.values())
+    for t in range(end - len(counts)):  # the last block of a source may be short
+        for n, k in per_slot[t].items():
+            had[n] += k
+        for n, share in first.share.items():
+            assert abs(had[n] - 64 * (t + 1) * share / sum(first.share.values())) < 64 or had[n] == counts[n]
+
+
+def test_too_many_sources_are_refused(spark, monkeypatch):
+    monkeypatch.setattr(source_mixing, "MOST_SOURCES", 5)
+    docs = spark.range(30).selectExpr("id as doc_id", "cast(id % 6 as string) as source")
+    with pytest.raises(ValueError, match="more than 5"):
+        source_mixing.mix(docs)
 
 
-def test_mix_spreads_rows_without_keys_and_with_a_common_one(spark):
+def test_mix_spreads_rows_without_keys_and_with_a_common_one(spark, monkeypatch):
+    monkeypatch.setattr(source_mixing, "RANGE_ROWS", 64)
     rows = [(None, "a")] * 600 + [(7, "a")] * 700 + [(i, "a") for i in range(1000, 1200)] + [(i, None) for i in range(300)]
     docs = spark.createDataFrame(rows, "doc_id long, source string")
     got = source_mixing.mix(docs).collect()
     assert Counter((r.doc_id, r.source) for r in got) == Counter((i, s or "") for i, s in rows)
-    assert max(Counter((r.source, r.block) for r in got).values()) < 130
+    assert max(Counter((r.source, r.block) for r in got).values()) == 64
     assert all(r.release <= r.slot < r.deadline for r in got)
 
 
+def test_positions_are_those_of_the_files(spark, tmp_path):
+    docs = D.table(spark)
+    ordered = source_mixing.in_mixed_order(docs, block_rows=3).repartitionByRange(4, "doc_id").sortWithinPartitions("text")
+    ordered.write.parquet(f"{tmp_path}/out")
+    got = source_mixing.with_positions(spark.read.parquet(f"{tmp_path}/out")).collect()
+    assert sorted(r.position for r in got) == list(range(docs.count()))
+    plain = source_mixing.with_positions(spark.createDataFrame(D.rows(), D.SCHEMA).coalesce(1)).collect()  # no files: written first
+    assert [r.doc_id for r in sorted(plain, key=lambda r: r.position)] == [r[0] for r in D.rows()]
+
+
 def test_mix_of_a_very_long_text(spark):
     docs = D.table(spark, [(1, "word " * 400_000, "en", "a", 1), (2, "b", "en", "b", 1)])
-    assert sorted(r.doc_id for r in source_mixing.with_slots(docs).collect()) == [1, 2]
+    assert sorted(r.doc_id for r in source_mixing.in_mixed_order(docs).collect()) == [1, 2]
 
 
 def test_pipeline_of_an_empty_table_and_of_clashing_columns(spark, sf, tmp_path):
@@ -220,18 +296,14 @@ def test_pipeline_stages(spark, sf):
 
 
 def test_pipeline_rows_follow_the_mix(spark, tmp_path):
-    """run() gives each document its slot, and the slots keep every source within a block of its share."""
+    """run() gives each document its position, and positions follow the slots of the mix."""
     rnd = random.Random(12)
     source = {i: "abc"[(i > 1300) + (i > 1700)] for i in range(1900)}
     rows = [(i, " ".join(f"{rnd.choice(D.WORDS['en'])} {''.join(rnd.choices('abcdefgh', k=6))}" for _ in range(8)), "en", s, 1) for i, s in source.items()]
     spark.createDataFrame(rows, D.SCHEMA).repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
-    got = corpus_pipeline.run(spark, str(tmp_path)).select("doc_id", "slot").collect()
-    assert len(got) == len({r.doc_id for r in got}) > 1800
+    got = corpus_pipeline.run(spark, str(tmp_path)).select("doc_id", "position").collect()
+    assert sorted(r.position for r in got) == list(range(len(got))) and len(got) == len({r.doc_id for r in got}) > 1800
     kept = spark.createDataFrame([(r.doc_id, source[r.doc_id]) for r in got], "doc_id long, source string")
-    assert {r.doc_id: r.slot for r in got} == {r.doc_id: r.slot for r in source_mixing.mix(kept).collect()}
-    counts = Counter(source[r.doc_id] for r in got)
-    first = source_mixing.phases({n: -(-c // source_mixing.BLOCK_ROWS) for n, c in counts.items()}, source_mixing.tempered(counts))[0]
-    slots = {n: {r.slot for r in got if source[r.doc_id] == n} for n in counts}
-    for t in range(1, sum(first.blocks.values()) + 1):
-        for n, share in first.share.items():
-            assert abs(sum(s < t for s in slots[n]) - t * share / sum(first.share.values())) < 1
+    slots = {r.doc_id: (r.slot, r.rank) for r in source_mixing.mix(kept).collect()}
+    order = [slots[r.doc_id] for r in sorted(got, key=lambda r: r.position)]
+    assert order == sorted(order)
