@@ -35,14 +35,14 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 and slot in the mix of every document.
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 and position in the mix of every document.
 
-    Files keep no order, so the mix is told by the slots; they follow from the documents alone.
+    The stage before has written the mix in order, so a document's place in its files is its position.
     """
-    placed = source_mixing.with_slots(docs.select("doc_id", "text", "source"))
-    both = placed.select(F.struct("doc_id", "slot").alias("doc_id"), "text")
+    placed = source_mixing.with_positions(docs)
+    both = placed.select(F.struct("doc_id", "position").alias("doc_id"), "text")
     out = queries.token_digests(both, public_tokenizers.path("piece_bpe_32k.model"))
-    return out.select("doc_id.doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "doc_id.slot")
+    return out.select("doc_id.doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "doc_id.position")
 
 
 STAGES = [
