@@ -167,18 +167,18 @@ QUERIES: dict[str, Query] = {
 def _license_sql() -> str:
     """Diagonal voting over words as a query: the same templates, all else by itself."""
     quoted = lambda words: "[" + ", ".join(f"'{w}'" for w in words.split()) + "]"
-    rows = [(i, label, i < len(license_scan.PHRASES), text) for i, (text, label) in enumerate([*license_scan.PHRASES.items(), *license_scan.WORDINGS.items()])]
-    templates = ", ".join(f"({i}, '{label}', {base}, {quoted(text)})" for i, label, base, text in rows)
+    rows = [(i, label, i < len(license_scan.PHRASES), size, text) for i, (text, label, size) in enumerate(license_scan.template_list())]
+    templates = ", ".join(f"({i}, '{label}', {base}, {size}, {quoted(text)})" for i, label, base, size, text in rows)
     listed = lambda where: f"coalesce(string_agg(DISTINCT label, ',' ORDER BY label){where}, '')"
     return rf"""
-        WITH t AS (SELECT * FROM (VALUES {templates}) v(template, label, base, words)),
-        tp AS (SELECT template, i - 1 AS p, words[i] AS a, words[i + 1] AS b FROM (SELECT *, unnest(range(1, len(words))) AS i FROM t)),
+        WITH t AS (SELECT * FROM (VALUES {templates}) v(template, label, base, size, words)),
+        tp AS (SELECT template, size, i - 1 AS p, array_to_string(words[i:i + size - 1], ' ') AS gram FROM (SELECT *, unnest(range(1, len(words) - size + 2)) AS i FROM t)),
         d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
-        g AS (SELECT doc_id, i - 1 AS p, w[i] AS a, w[i + 1] AS b FROM (SELECT *, unnest(range(1, len(w))) AS i FROM d)),
-        v AS (SELECT doc_id, template, g.p - tp.p AS diagonal, bit_or(1::BIGINT << tp.p) AS votes FROM g JOIN tp ON g.a = tp.a AND g.b = tp.b GROUP BY ALL),
-        f AS (SELECT *, CASE WHEN NOT base AND diagonal - lag(diagonal) OVER (PARTITION BY doc_id, template ORDER BY diagonal) <= {license_scan.NEIGHBOUR} THEN 0 ELSE 1 END AS fresh FROM v JOIN t USING (template)),
+        g AS (SELECT doc_id, size, i - 1 AS p, array_to_string(w[i:i + size - 1], ' ') AS gram FROM (SELECT *, unnest(range(1, len(w) - size + 2)) AS i FROM d, (VALUES (2), (4)) z(size))),
+        m AS (SELECT doc_id, template, g.p - tp.p AS diagonal, tp.p AS p FROM g JOIN tp ON g.size = tp.size AND g.gram = tp.gram),
+        f AS (SELECT *, CASE WHEN NOT base AND diagonal - lag(diagonal) OVER (PARTITION BY doc_id, template ORDER BY diagonal) <= {license_scan.NEIGHBOUR} THEN 0 ELSE 1 END AS fresh FROM (SELECT DISTINCT doc_id, template, diagonal FROM m) JOIN t USING (template)),
         c AS (SELECT *, sum(fresh) OVER (PARTITION BY doc_id, template ORDER BY diagonal) AS span FROM f),
-        s AS (SELECT doc_id, label, base, min(diagonal) AS first, bit_count(bit_or(votes)) / (any_value(len(words)) - 1)::DOUBLE AS coverage FROM c GROUP BY doc_id, template, span, label, base),
+        s AS (SELECT doc_id, label, base, min(diagonal) AS first, count(DISTINCT p) / (any_value(len(words) - size) + 1)::DOUBLE AS coverage FROM c JOIN m USING (doc_id, template, diagonal) GROUP BY doc_id, template, span, label, base),
         k AS (SELECT doc_id, count(*) FILTER (base) AS n_base, min(first) FILTER (base) AS first_word, max(first) FILTER (base) AS last_word, {listed(" FILTER (base)")} AS base_labels, {listed("")} AS labels, max(coverage) AS score
           FROM s WHERE CASE WHEN base THEN coverage = 1 ELSE coverage >= {license_scan.COVERAGE} END GROUP BY doc_id)
         SELECT doc_id, len(w) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0)::DOUBLE AS score FROM d LEFT JOIN k USING (doc_id)"""

@@ -185,6 +185,36 @@ def test_words_that_share_a_hash_are_encoded_each(monkeypatch, bits):
     assert got == sp.encode(texts, add_eos=True)
 
 
+def test_whole_license_texts_are_found_beyond_64_grams(spark):
+    """In full, with words changed, put in and left out here and there; and cut in half, which is too little."""
+    texts = list(license_scan.LICENSE_TEXTS.items())
+    assert all(len(t.split()) > license_scan.LONG_WORDS for t, _ in texts) and {size for _, _, size in license_scan.template_list()} == {license_scan.GRAM, license_scan.LONG_GRAM}
+    rows, want = [], {}
+    for i, (text, label) in enumerate(texts):
+        words = text.split()
+        edited = [w for k, w in enumerate(words) if k != 40]
+        edited[60] = "changed"
+        edited.insert(70, "inserted")
+        quarter = len(words) // 4
+        for k, body in enumerate((words, edited, words[quarter : 3 * quarter])):
+            rows.append((10 * i + k, "Some words before. " * 30 + "\n".join(body).upper() + " and some behind", "en", "s", 1))
+            want[10 * i + k] = (label, k)
+    spans, found = {}, license_scan.license_spans(D.table(spark, rows)).collect()
+    key = {r.row: r.key for r in found if r.template < 0}
+    for r in found:
+        if r.template >= len(license_scan.PHRASES) + len(license_scan.WORDINGS):
+            spans.setdefault(key[r.row], []).append((r.label, r.coverage, r["first"]))
+    for i, (label, k) in want.items():
+        mine = [x for x in spans.get(i, []) if x[0] == label]
+        if k == 0:
+            assert (label, 1.0, 90) in mine
+        elif k == 1:
+            (_, coverage, first) = max(mine, key=lambda x: x[1])
+            assert license_scan.COVERAGE <= coverage < 1 and 88 <= first <= 91
+        else:
+            assert not mine
+
+
 def test_rows_without_ids_stay(spark):
     texts = ["Released under the MIT License. token = abcdef12", None, "the same thing is said again and again", "the same thing is said again and again"]
     docs = spark.createDataFrame([(None, t, "en", "s", 1) for t in texts], D.SCHEMA)
