@@ -68,21 +68,39 @@ def rolled_up(matches: DataFrame, key: str, folio: str, building: str, year: str
     )
 
 
+#: Words of a status, each as it may stand within it.
+INACTIVE, CLOSED_OUT, UNDER_WAY = ("cancel", "withdraw", "deny", "expire"), ("closeout",), ("construction",)
+#: Grade and basis of each state of evidence, the first that holds counts.
+EVIDENCE = {
+    "inactive": ("X", "inactive_official_status"),
+    "built": ("D", "permit_plus_current_footprint_year_built_supporting_only"),
+    "closed_out": ("D", "city_capital_project_closeout_status_supporting_only"),
+    "under_way": ("C", "city_capital_project_construction_status"),
+    "planning": ("P", "planning_application_only"),
+    "otherwise": ("U", "insufficient_completion_evidence"),
+}
+
+
+def _says(status: Column, words: Sequence[str]) -> Column:
+    """Does any of the words stand in a status?"""
+    text = F.lower(F.coalesce(status, F.lit("")))
+    return F.exists(F.array(*[F.lit(w) for w in words]), lambda w: text.contains(w))
+
+
 def evidence(status: Column, kind: Column, permit_year: Column, last_year: Column, capital: Column, building: Sequence[str], planning: Sequence[str]) -> Column:
     """struct of grade and basis of an activity with its matches; no grade says that work was completed."""
-    text = F.lower(F.coalesce(status, F.lit("")))
-    words = lambda *some: first_match([(text.contains(w), F.lit(True)) for w in some], F.lit(False))
+    said = lambda words: _says(status, words)
     sure = lambda c: F.coalesce(c, F.lit(False))
-    named = lambda grade, basis: F.struct(F.lit(grade).alias("grade"), F.lit(basis).alias("basis"))
-    built = sure((last_year >= permit_year - 1) & kind.isin(*building))
-    rules = [
-        (words("cancel", "withdraw", "deny", "expire"), named("X", "inactive_official_status")),
-        (built, named("D", "permit_plus_current_footprint_year_built_supporting_only")),
-        (sure(capital) & words("closeout"), named("D", "city_capital_project_closeout_status_supporting_only")),
-        (sure(capital) & words("construction"), named("C", "city_capital_project_construction_status")),
-        (sure(kind.isin(*planning)), named("P", "planning_application_only")),
-    ]
-    return first_match(rules, named("U", "insufficient_completion_evidence"))
+    holds = {
+        "inactive": said(INACTIVE),
+        "built": sure((last_year >= permit_year - 1) & kind.isin(*building)),
+        "closed_out": sure(capital) & said(CLOSED_OUT),
+        "under_way": sure(capital) & said(UNDER_WAY),
+        "planning": sure(kind.isin(*planning)),
+        "otherwise": F.lit(True),
+    }
+    named = lambda name: F.struct(*[F.lit(v).alias(n) for v, n in zip(EVIDENCE[name], ("grade", "basis"), strict=True)])
+    return first_match([(holds[name], named(name)) for name in EVIDENCE], F.lit(None).cast("struct<grade:string,basis:string>"))
 
 
 def with_evidence(activities: DataFrame, matches: DataFrame, key: str, graded: Column) -> DataFrame:

@@ -21,8 +21,9 @@ STRATA = (
     (("construction_inspections", "single_family_permits"), "permit"),
 )
 MANY_LAYERS = "cross_source_merge"
-#: How a link came about: its stratum.
 AMBIGUOUS, SUPPRESSED, MATCHED, UNMATCHED = "ambiguous_or_multi_candidate", "duplicate_suppression", "matched_existing", "retained_unmatched"
+#: How a link came about: what a disposition must hold (or be) for a stratum, the first that does counts.
+LINKS = ((AMBIGUOUS, "contains", "ambiguous"), (SUPPRESSED, "contains", "duplic"), (MATCHED, "equals", "merged_existing_activity"))
 RARE, COMMON = "relatively_rare_type", "common_type"
 #: A type is rare below so many records.
 RARE_BELOW = 500
@@ -37,10 +38,11 @@ def layer_stratum(memberships: Column) -> Column:
 
 
 def link_stratum(disposition: Column, review: Column) -> Column:
+    """From how a link was disposed of; one that waits for a review is ambiguous whatever it says."""
     text = F.lower(F.coalesce(disposition, F.lit("")))
-    unclear = F.coalesce(F.lower(review) == "true", F.lit(False)) | text.contains("ambiguous")
-    rules = [(unclear, F.lit(AMBIGUOUS)), (text.contains("duplic"), F.lit(SUPPRESSED)), (text == "merged_existing_activity", F.lit(MATCHED))]
-    return first_match(rules, F.lit(UNMATCHED))
+    waits = F.coalesce(F.lower(review) == "true", F.lit(False))
+    told = [(text.contains(word) if how == "contains" else text == word, F.lit(stratum)) for stratum, how, word in LINKS]
+    return first_match([(waits, F.lit(AMBIGUOUS)), *told], F.lit(UNMATCHED))
 
 
 def observation_type(label: Column) -> Column:

@@ -224,29 +224,30 @@ def frequent_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- per-source fields ------------------------------------------------------------------------
 
-_NATIVE = {"1-urgent": "RECORD_ID", "2-high": "RECORDID"}
+#: Names of this library's own for the fields that each source keeps its values in.
+_NATIVE = {"1-urgent": "filing_no", "2-high": "permit_ref"}
 _TRACKED = {
-    "1-urgent": {"status": ("PROJECTSTATUS",), "project_name": ("NAME1", "NAME2")},
-    "2-high": {"status": ("APPSTATUS", "TASK_STATUS")},
-    "3-medium": {"project_name": ("projname",), "estimated_cost": ("estcost",)},
+    "1-urgent": {"status": ("state_now",), "project_name": ("label_a", "label_b")},
+    "2-high": {"status": ("review_state", "step_state")},
+    "3-medium": {"project_name": ("plan_title",), "estimated_cost": ("plan_cost",)},
 }
 
 
 def _properties(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders with properties as JSON, under names that depend on the source."""
+    """Orders with properties as JSON, under names that depend on the source (in any case)."""
     status, key = F.col("o_orderstatus"), _text("o_orderkey")
     named = F.to_json(
         F.struct(
-            key.alias("Record_ID"), F.concat(F.lit("H"), key).alias("RECORDID"), F.concat(F.lit("p "), key).alias("projid"), status.alias("ProjectStatus"), F.lit("Name ").alias("Name1"),
-            F.when(F.col("o_custkey") % 2 == 0, "other").alias("NAME2"), status.alias("AppStatus"), F.lower("o_orderpriority").alias("task_status"), F.lit(" ").alias("projname"),
-            F.round("o_totalprice", 0).cast("long").cast("string").alias("estcost"),
+            key.alias("Filing_No"), F.concat(F.lit("H"), key).alias("PERMIT_REF"), F.concat(F.lit("p "), key).alias("own_no"), status.alias("State_Now"), F.lit("Name ").alias("Label_A"),
+            F.when(F.col("o_custkey") % 2 == 0, "other").alias("LABEL_B"), status.alias("Review_State"), F.lower("o_orderpriority").alias("step_state"), F.lit(" ").alias("plan_title"),
+            F.round("o_totalprice", 0).cast("long").cast("string").alias("plan_cost"),
         )
     )
     return table(spark, sf_dir, "orders").select("o_orderkey", F.lower("o_orderpriority").alias("source_name"), jsonmap.lower_keys(jsonmap.json_map(named)).alias("m"))
 
 
 def native_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _properties(spark, sf_dir).select("o_orderkey", per_source.native_id(F.col("source_name"), F.col("m"), _NATIVE, "projid").alias("native_id"))
+    return _properties(spark, sf_dir).select("o_orderkey", per_source.native_id(F.col("source_name"), F.col("m"), _NATIVE, "own_no").alias("native_id"))
 
 
 def tracked_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
