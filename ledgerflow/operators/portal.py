@@ -124,10 +124,8 @@ def child_checks(rows: DataFrame, parents: DataFrame, parent: str, columns: Sequ
         [
             order,
             quality.unique(rows, ["child_id"], "child_ids"),
-            quality.rule(rows, filled(parent), "parent_there"),
             quality.foreign_key(rows, parent, parents, parent, "parent_known"),
-            quality.vocabulary(rows, label, words, "labels"),
-            quality.rule(rows, ~is_layout(), "no_layout_rows"),
+            quality.rules(rows, {"parent_there": filled(parent), "labels": quality.words_hold(label, words), "no_layout_rows": ~is_layout()}),
         ]
     )
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -36,13 +36,28 @@ def rule(df: DataFrame, holds: Column, name: str) -> DataFrame:
     return _check(name, df.where(~F.coalesce(holds, F.lit(False))))
 
 
+def rules(df: DataFrame, holds: Mapping[str, Column]) -> DataFrame:
+    """Several rules on the rows of one table, counted in one pass over it: a check for each name."""
+    faults = df.agg(*[F.count_if(~F.coalesce(h, F.lit(False))).alias(f"f{i}") for i, h in enumerate(holds.values())])
+    each = F.explode(F.array(*[F.struct(F.lit(name).alias("check"), F.col(f"f{i}").alias("faults")) for i, name in enumerate(holds)])).alias("c")
+    return faults.select(each).select("c.check", (F.col("c.faults") == 0).alias("passed"), "c.faults")
+
+
+def words_hold(column: str, words: Sequence[str]) -> Column:
+    return F.col(column).isin(*words)
+
+
+def range_holds(column: str, low: float, high: float) -> Column:
+    c = F.col(column).cast("double")
+    return c.between(low, high) & ~F.isnan(c)
+
+
 def vocabulary(df: DataFrame, column: str, words: Sequence[str], name: str) -> DataFrame:
-    return rule(df, F.col(column).isin(*words), name)
+    return rule(df, words_hold(column, words), name)
 
 
 def in_range(df: DataFrame, column: str, low: float, high: float, name: str) -> DataFrame:
-    c = F.col(column).cast("double")
-    return rule(df, c.between(low, high) & ~F.isnan(c), name)
+    return rule(df, range_holds(column, low, high), name)
 
 
 def added_removed(before: DataFrame, after: DataFrame, key: str) -> DataFrame:
@@ -165,10 +180,8 @@ CLOSING_EVENTS = ("final_inspection_passed", "temporary_co_issued", "certificate
 
 def claim_rules(truth: DataFrame, completed: str, grade: str) -> DataFrame:
     """Completion is claimed with a qualifying grade only, and no derived claim has such a grade."""
-    return together([
-        rule(truth, (F.coalesce(F.col(completed), F.lit("")) != "yes") | F.col(grade).isin(*COMPLETION_GRADES), "no_completion_without_grade"),
-        vocabulary(truth, grade, DERIVED_GRADES, "derived_grades_only"),
-    ])
+    graded = (F.coalesce(F.col(completed), F.lit("")) != "yes") | F.col(grade).isin(*COMPLETION_GRADES)
+    return rules(truth, {"no_completion_without_grade": graded, "derived_grades_only": words_hold(grade, DERIVED_GRADES)})
 
 
 def proposal_rules(pairs: DataFrame, merged: str, status: str, pending: str) -> DataFrame:

@@ -129,21 +129,23 @@ def release_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind = classify.activity_class(title, title, F.lit(None).cast("double"))
     event = F.to_date("o_orderdate")
     past, plans = orders.where(event <= F.to_date(F.lit("1998-12-31"))), orders.where(event > F.to_date(F.lit("1998-12-31")))
-    named = orders.select("o_orderkey", F.date_format("o_orderdate", "yyyy-MM").alias("month"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"))
     phases = [orders.where(F.col("o_orderkey") % 3 == k) for k in range(3)]
     return quality.together(
         [
-            quality.rule(customer, finite, "finite_coordinates"),
-            quality.rule(customer, ~finite | box, "inside_region"),
-            quality.in_range(customer, "c_acctbal", 0, 1e6, "balance_range"),
-            quality.rule(orders, day.isNotNull(), "valid_dates"),
-            quality.rule(orders, raw != "1900-01-01", "no_sentinel_dates"),
+            quality.rules(customer, {"finite_coordinates": finite, "inside_region": ~finite | box, "balance_range": quality.range_holds("c_acctbal", 0, 1e6)}),
+            quality.rules(
+                orders,
+                {
+                    "valid_dates": day.isNotNull(),
+                    "no_sentinel_dates": raw != "1900-01-01",
+                    "month_is_prefix": F.date_format("o_orderdate", "yyyy-MM-dd").startswith(F.date_format("o_orderdate", "yyyy-MM")),
+                    "status_words": quality.words_hold("o_orderstatus", ("O", "F")),
+                },
+            ),
             quality.rule(spans, F.col("first") <= F.col("last"), "first_before_last"),
-            quality.rule(named, F.col("day").startswith(F.col("month")), "month_is_prefix"),
             quality.same_keys(orders.select(F.col("o_orderkey").alias("k")), items.select(F.col("l_orderkey").alias("k")), "k", "every_order_has_items"),
             quality.unique(orders, ["o_orderkey"], "orders_once"),
             quality.rule(part.withColumn("kind", kind), (F.col("kind") == "demolition") == (F.col("p_partkey") % 4 == 0), "class_fits_title"),
-            quality.vocabulary(orders, "o_orderstatus", ("O", "F"), "status_words"),
             quality.partition([past, plans], orders, "o_orderkey", "past_and_plans_make_all"),
             quality.rule(past, event <= F.to_date(F.lit("1998-12-31")), "no_plan_in_the_past"),
             quality.partition(phases, orders, "o_orderkey", "phases_make_all"),
