@@ -42,6 +42,23 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(c) for c in ("path", "bytes", "part")] + [pa.array(hashes, pa.string())], names=["path", "bytes", "part", "sha256"])
 
 
+def hashed_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """path, bytes and sha256 of listed files (path and bytes), read block by block."""
+    for batch in batches:
+        hashes = []
+        for path, size in zip(batch.column("path").to_pylist(), batch.column("bytes").to_pylist(), strict=True):
+            store, inner = FileSystem.from_uri(path)
+            digest, seen = hashlib.sha256(), 0
+            with store.open_input_stream(inner) as f:
+                while block := f.read(RANGE):
+                    digest.update(block)
+                    seen += len(block)
+            if seen != size:
+                raise OSError(f"{path}: {seen} bytes where {size} were listed")
+            hashes.append(digest.hexdigest())
+        yield pa.RecordBatch.from_arrays([batch.column("path"), batch.column("bytes"), pa.array(hashes, pa.string())], names=["path", "bytes", "sha256"])
+
+
 def range_hashes(spark: SparkSession, path: str, pattern: str = "*", size: int = RANGE) -> DataFrame:
     """path, bytes, part and sha256 of each range: of a zero byte and the range's bytes.
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerflow.operators.privacy import safe_csv
+from ledgerflow.sources import filetree
 
 
 def write_csv(df: DataFrame, path: str, columns: Sequence[str], order: Sequence[str], gzip: bool = False, overwrite: bool = False) -> None:
@@ -43,7 +44,17 @@ def write_checked(df: DataFrame, path: str, overwrite: bool = False) -> int:
     return found
 
 
+#: Files of more bytes do not come as a value of a row; their hash is taken while they are read.
+LARGE = 1 << 30
+
+
 def manifest(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
-    """path, bytes and sha256 of the files under a path."""
+    """path, bytes and sha256 of the files under a path, of any size.
+
+    A large file passes through the hash in blocks, in one task (a hash over a file is a chain); for hashes that many
+    tasks take, see ``filetree``.
+    """
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", True).load(path)
-    return files.select("path", F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+    small = files.where(F.col("length") <= LARGE).select("path", F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+    large = files.where(F.col("length") > LARGE).select("path", F.col("length").alias("bytes"))
+    return small.unionByName(large.mapInArrow(filetree.hashed_files, "path string, bytes long, sha256 string"))

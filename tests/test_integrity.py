@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerflow.operators import audit
-from ledgerflow.sources import filetree
+from ledgerflow.sources import filetree, sinks
 
 sha = lambda b: hashlib.sha256(b).digest()
 
@@ -90,3 +90,13 @@ def test_one_long_chain_over_many_tasks(spark):
     got = audit.verify_chain(log, "chain", "seq", F.col("content"), "previous", "own")
     assert {r.chain: tuple(r)[1:] for r in got.collect()} == plain_verify(rows)
     assert audit.verify_chain(log.limit(0), "chain", "seq", F.col("content"), "previous", "own").count() == 0
+
+
+def test_manifest_of_small_and_large_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sinks, "LARGE", 1000)
+    monkeypatch.setattr(filetree, "RANGE", 256)
+    files = {f"f{n}.bin": random.Random(n).randbytes(n) for n in (1, 1000, 1001, 5000)}
+    for name, data in files.items():
+        (tmp_path / name).write_bytes(data)
+    got = {r.path.rpartition("/")[2]: (r.bytes, r.sha256) for r in sinks.manifest(spark, f"file://{tmp_path}", "*.bin").collect()}
+    assert got == {n: (len(d), hashlib.sha256(d).hexdigest()) for n, d in files.items()}
