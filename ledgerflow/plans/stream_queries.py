@@ -83,7 +83,7 @@ def stream_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     work = work_folder(spark)
     boundary = table(spark, sf_dir, "events").agg(F.percentile(F.unix_timestamp(F.col("ts").cast("timestamp")), 0.5)).first()[0]
-    out = streams.labelled(_events(spark, sf_dir), "ts", F.timestamp_seconds(F.lit(int(boundary)))).select("event_id", "temporal_label")
+    out = streams.labelled(_events(spark, f"{sf_dir}/events.parquet*"), "ts", F.timestamp_seconds(F.lit(int(boundary)))).select("event_id", "temporal_label")
     streams.drain(out, "append", f"{work}/checkpoint", f"{work}/out")
     return spark.read.schema("event_id long, temporal_label string").parquet(f"{work}/out").groupBy("temporal_label").agg(F.count("*").alias("n"))
 
