@@ -124,43 +124,89 @@ def crosswalk(left: DataFrame, right: DataFrame, days: int = 45, least_similarit
     ``functions.text.similarity`` is one of edit distances that needs no Python). The best score
     wins; several targets with the best score make an ambiguous candidate; rows without any match stay
     as unmatched.
-    """
-    a = left.select(*[F.col(c).alias(f"l_{c}") for c in ("id", "number", "parcel", "address", "day")])
-    b = right.select(*[F.col(c).alias(f"r_{c}") for c in ("id", "number", "parcel", "address", "day")])
-    close = F.abs(F.datediff("l_day", "r_day")) <= days
-
-    def scored(pairs: DataFrame, method: str, score: Column) -> DataFrame:
-        return pairs.select("l_id", "r_id", F.lit(method).alias("method"), score.cast("double").alias("score"))
 
-    block = lambda c: F.nullif(F.regexp_extract(c, r"^(\d+) ", 1), F.lit(""))
-    span = lambda c: F.floor(F.datediff(F.col(c), F.to_date(F.lit("1970-01-01"))) / max(1, days)).cast("int")
-    blocked = a.withColumn("block", block("l_address")).where("block is not null and l_day is not null").withColumn("span", F.explode(F.array(*[span("l_day") + k for k in (-1, 0, 1)])))
-    near = blocked.join(b.withColumn("block", block("r_address")).withColumn("span", span("r_day")), ["block", "span"])
-    alike = near.where(close & (F.col("l_address") != F.col("r_address"))).withColumn("likeness", likeness(F.col("l_address"), F.col("r_address")))
-    pairs = (
-        scored(a.join(b, F.col("l_number") == F.col("r_number")), "exact_number", F.lit(1.0))
-        .unionByName(scored(a.join(b, F.col("l_parcel") == F.col("r_parcel")), "exact_parcel", F.lit(0.95)))
-        .unionByName(scored(a.join(b, F.col("l_address") == F.col("r_address")).where(close), "exact_address_compatible_date", F.lit(0.9)))
-        .unionByName(scored(alike.where(F.col("likeness") >= least_similarity), "similar_address_candidate", F.round(0.55 + 0.25 * F.col("likeness"), 3)))
-    )
-    best = pairs.groupBy("l_id", "r_id").agg(F.max(F.struct("score", "method")).alias("m"))
-    by = Window.partitionBy("l_id")
-    top = best.withColumn("top", F.max("m.score").over(by)).where(F.col("m.score") == F.col("top"))
-    top = top.groupBy("l_id").agg(F.count("*").alias("targets"), F.min("r_id").alias("r_id"), F.max("m").alias("m"))
+    Rows that share what a rule compares are counted before they meet: a rule joins different numbers,
+    parcels or addresses with days, however many rows have each. Only ids with several different rows are
+    joined pair by pair, as their targets must be told apart.
+    """
+    columns = ("id", "number", "parcel", "address", "day")
+    a = left.select(*[F.col(c).alias(f"l_{c}") for c in columns])
+    b = right.select(*[F.col(c).alias(f"r_{c}") for c in columns]).distinct()
+    once = lambda df, key: df.withColumn("_one", (F.count("*").over(Window.partitionBy(key)) == 1) & F.col(key).isNotNull())
+    a_ids, b_ids = once(a.where("l_id is not null").distinct(), "l_id"), once(b, "r_id")
+    a_one, a_more = a_ids.where("_one").drop("_one"), a_ids.where("not _one").drop("_one")
+    b_one, b_more = b_ids.where("_one").drop("_one"), b_ids.where("not _one").drop("_one")
+    found = _counted_matches(a_one, b_one, days, least_similarity, likeness)
+    for x, y in ((a_one, b_more), (a_more, b)):
+        if not (x if x is a_more else y).isEmpty():
+            found = found.unionByName(_paired_matches(x, y, days, least_similarity, likeness))
+    # a score belongs to one rule, so the targets of the best score are those of one rule
+    found = found.groupBy("l_id", "score").agg(F.sum("targets").alias("targets"), F.min("r_id").alias("r_id"))
+    top = found.groupBy("l_id").agg(F.max(F.struct("score", "targets", "r_id")).alias("m")).select("l_id", "m.*")
     out = a.select("l_id").join(top, "l_id", "left")
     many = F.col("targets") > 1
-    status = F.when(F.col("r_id").isNull(), "unmatched").when(many | (F.col("m.score") < 0.9), "candidate").otherwise("matched")
+    method = F.lit("similar_address_candidate")
+    for name, score in _EXACT.items():
+        method = F.when(F.col("score") == score, name).otherwise(method)
+    status = F.when(F.col("r_id").isNull(), "unmatched").when(many | (F.col("score") < 0.9), "candidate").otherwise("matched")
     return out.select(
         F.col("l_id").alias("id"),
         F.when(~many, F.col("r_id")).alias("target_id"),
         F.coalesce(F.col("targets"), F.lit(0).cast("long")).alias("targets"),
-        F.when(F.col("r_id").isNull(), "none").when(many, F.concat("m.method", F.lit("_ambiguous"))).otherwise(F.col("m.method")).alias("method"),
-        F.round(F.coalesce("m.score", F.lit(0.0)), 3).alias("score"),
+        F.when(F.col("r_id").isNull(), "none").when(many, F.concat(method, F.lit("_ambiguous"))).otherwise(method).alias("method"),
+        F.round(F.coalesce("score", F.lit(0.0)), 3).alias("score"),
         status.alias("status"),
         (status == "candidate").alias("review_required"),
     )
 
 
+#: The scores of the exact rules; similar addresses have at most 0.8.
+_EXACT = {"exact_number": 1.0, "exact_parcel": 0.95, "exact_address_compatible_date": 0.9}
+
+
+def _near_days(a: DataFrame, b: DataFrame, on: str, days: int) -> DataFrame:
+    """Rows of a and b that agree in a key (named on in both) and whose days are close, each pair once."""
+    span = lambda c: F.floor(F.datediff(F.col(c), F.to_date(F.lit("1970-01-01"))) / max(1, days)).cast("int")
+    spans = a.where("l_day is not null").withColumn("span", F.explode(F.array(*[span("l_day") + k for k in (-1, 0, 1)])))
+    return spans.join(b.withColumn("span", span("r_day")), [on, "span"]).where(F.abs(F.datediff("l_day", "r_day")) <= days).drop("span", on)
+
+
+def _addresses_met(a: DataFrame, b: DataFrame, days: int, least_similarity: float, likeness: Callable[[Column, Column], Column]) -> DataFrame:
+    """Rows of a and b with equal or similar addresses and close days, with the score; each different pair of addresses is compared once."""
+    number = lambda c: F.nullif(F.regexp_extract(c, r"^(\d+) ", 1), F.lit(""))
+    same = _near_days(a.withColumn("key", F.col("l_address")), b.withColumn("key", F.col("r_address")), "key", days)
+    blocked = lambda df, c: df.withColumn("key", number(c)).where("key is not null")
+    near = _near_days(blocked(a, "l_address"), blocked(b, "r_address"), "key", days).where(F.col("l_address") != F.col("r_address"))
+    alike = near.select("l_address", "r_address").distinct().withColumn("likeness", likeness(F.col("l_address"), F.col("r_address")))
+    scored = near.join(alike.where(F.col("likeness") >= least_similarity), ["l_address", "r_address"])
+    scored = scored.withColumn("score", F.round(0.55 + 0.25 * F.col("likeness"), 3).cast("double")).drop("likeness")
+    return same.withColumn("score", F.lit(_EXACT["exact_address_compatible_date"])).unionByName(scored)
+
+
+def _counted_matches(a: DataFrame, b: DataFrame, *rule) -> DataFrame:  # noqa: ANN002
+    """l_id, score, number of targets and the smallest one, where every id has one row."""
+    targets = (F.count("*").alias("targets"), F.min("r_id").alias("r_id"))
+    out = []
+    for name, c in (("exact_number", "number"), ("exact_parcel", "parcel")):
+        met = a.select("l_id", F.col(f"l_{c}").alias("key")).join(b.groupBy(F.col(f"r_{c}").alias("key")).agg(*targets), "key")
+        out.append(met.select("l_id", F.lit(_EXACT[name]).alias("score"), "targets", "r_id"))
+    places = a.select("l_address", "l_day").distinct()
+    met = _addresses_met(places, b.groupBy("r_address", "r_day").agg(*targets), *rule)
+    met = met.groupBy("l_address", "l_day", "score").agg(F.sum("targets").alias("targets"), F.min("r_id").alias("r_id"))
+    best = met.groupBy("l_address", "l_day").agg(F.max(F.struct("score", "targets", "r_id")).alias("m"))
+    out.append(a.select("l_id", "l_address", "l_day").join(best, ["l_address", "l_day"]).select("l_id", "m.*"))
+    return out[0].unionByName(out[1]).unionByName(out[2])
+
+
+def _paired_matches(a: DataFrame, b: DataFrame, *rule) -> DataFrame:  # noqa: ANN002
+    """The same where ids have several rows: by pairs of ids."""
+    pairs = _addresses_met(a, b, *rule).select("l_id", "r_id", "score")
+    for name, c in (("exact_number", "number"), ("exact_parcel", "parcel")):
+        pairs = pairs.unionByName(a.join(b, F.col(f"l_{c}") == F.col(f"r_{c}")).select("l_id", "r_id", F.lit(_EXACT[name]).alias("score")))
+    best = pairs.groupBy("l_id", "r_id").agg(F.max("score").alias("score"))
+    return best.groupBy("l_id", "score").agg(F.count("*").alias("targets"), F.min("r_id").alias("r_id"))
+
+
 def integrate(core: DataFrame, links: DataFrame, incoming: DataFrame, key: str, fill: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """(integrated core, audit of incoming).
 
