@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerflow.functions.text import canonical
+from ledgerflow.operators.spread import dealt
 
 #: Texts that stand for a missing identifier.
 PLACEHOLDERS = ("", "N/A", "NA", "NONE", "NULL", "UNKNOWN", "0000000", "0", "-")
@@ -27,9 +28,11 @@ def with_identity(snapshots: DataFrame, date: str = "snapshot_date") -> DataFram
     """Adds base_identity and record_identity.
 
     A base that any compared snapshot holds twice is told apart by GlobalID or OBJECTID in all of
-    them, so that ids do not flip between observations. One shuffle, by the base.
+    them, so that ids do not flip between observations. One shuffle, by the base, into parts of a bounded
+    number of rows, as what follows (the pairing of a diff, too) sorts each part.
     """
     out = snapshots.withColumn("base_identity", base_identity(F.col("source_name"), F.col("native_id"), F.col("global_id"), F.col("object_id")))
+    out = dealt(out, "base_identity", count=snapshots)
     by = Window.partitionBy("base_identity")
     twice = F.count("*").over(by) > F.size(F.collect_set(date).over(by))
     suffix = F.coalesce(

@@ -2,11 +2,24 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Fewer rows than LEAST are never a key's trouble; at most MOST keys can be frequent.
 LEAST, MOST = 256, 20_000
+#: Rows that a task gets at most on average where rows are dealt by their number.
+PART_ROWS = 250_000
+
+
+def dealt(rows: DataFrame, *on: str, count: DataFrame | None = None) -> DataFrame:
+    """rows dealt by keys into as many parts as their number asks for, so that tasks do not grow with the table.
+
+    ``count`` is a table of as many rows that is cheaper to count.
+    """
+    n = (rows if count is None else count).count()
+    return rows.repartition(max(rows.sparkSession.sparkContext.defaultParallelism, math.ceil(n / PART_ROWS)), *on)
 
 
 def frequent(rows: DataFrame, *on: str, counts: DataFrame | None = None) -> DataFrame | None:

@@ -180,3 +180,15 @@ def test_observations(spark):
     assert readers.load_observations(archive, archive).count() == 1
     with pytest.raises(ValueError):
         readers.load_observations(archive, archive.withColumn("v", F.lit("z")))
+
+
+def test_parts_of_the_identity_step_do_not_grow(spark, monkeypatch):
+    """Tasks of the identity step and of the pairing behind it get a bounded number of rows, whatever the session's partitions."""
+    from ledgerflow.operators import spread
+
+    monkeypatch.setattr(spread, "PART_ROWS", 100)
+    rows = spark.range(6000).selectExpr("'2026-01-01' snapshot_date", "'s' source_name", "concat('N', id) native_id", "'' global_id", "'' object_id", "'x' status")
+    seen = identity.with_identity(rows)
+    sizes = [r["count"] for r in seen.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) > 50 and max(sizes) < 250
+    assert diff.paired(seen, [("2025-12-01", "2026-01-01")], ("status",)).groupBy(F.spark_partition_id()).count().count() > 50
