@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -53,7 +54,10 @@ def meet(points: DataFrame, regions: DataFrame, step: float, depth: int = 16) ->
         tiles = cut(tiles.withColumn("level", below), "cells")
     for a, t in zip(done_at, done_tiles, strict=True):
         at, tiles = at.unionByName(a), tiles.unionByName(t)
-    return spread_join(at, tiles, keys, [F.col("p_id")], hot=frequent(at, *keys)).drop(*keys)
+    hot = frequent(at, *keys)
+    if hot is None:  # few points in each cell: a task keeps its points, and the regions stream past them unsorted
+        return at.hint("shuffle_hash").join(tiles, keys).drop(*keys)
+    return spread_join(at, tiles, keys, [F.col("p_id")], hot=hot).drop(*keys)
 
 
 def _cells(at: DataFrame, keys: list[str]) -> DataFrame:
@@ -63,13 +67,30 @@ def _cells(at: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def contains(points: DataFrame, shapes: DataFrame, step: float, ring: str = "ring") -> DataFrame:
-    """Pairs of points (p_id, lon, lat) and shapes (s_id, ring) that contain them.
+    """Pairs of points (p_id, lon, lat) and shapes (s_id, ring) that contain them, without the ring.
 
     Points and the shapes' boxes meet in the cells of a quadtree; the exact test follows. ``step``, the width of
-    the widest cells, should be about a shape's size.
+    the widest cells, should be about a shape's size. A shape that is its own box needs no other test than that of
+    the box; its ring is not sent along.
     """
-    pairs = meet(points, _boxed(shapes, ring), step)
-    return pairs.where(in_ring(F.col("lon"), F.col("lat"), F.col(ring))).drop("west", "south", "east", "north")
+    boxed = _boxed(shapes, ring).withColumn("_box", _is_box(F.col(ring)))
+    lon, lat = F.col("lon"), F.col("lat")
+    within = lambda pairs: pairs.where((lon >= F.col("west")) & (lat >= F.col("south")) & (lon <= F.col("east")) & (lat <= F.col("north")))
+    sides = ("west", "south", "east", "north", "_box")
+    out = within(meet(points, boxed.where("_box").drop(ring), step)).where((lon < F.col("east")) & (lat < F.col("north"))).drop(*sides)
+    others = boxed.where("not _box")
+    if others.isEmpty():
+        return out
+    return out.unionByName(within(meet(points, others, step)).where(in_ring(lon, lat, F.col(ring))).drop(*sides, ring))
+
+
+def _is_box(ring: Column) -> Column:
+    """Is a closed ring a rectangle along the axes? For such, the even-odd rule is that of half-open intervals."""
+    x, y = (lambda i: ring[i][0]), (lambda i: ring[i][1])
+    corner = lambda i, a, b: (x(i) == x(a)) & (y(i) == y(b))
+    turns = (corner(1, 0, 2) & corner(3, 2, 0)) | (corner(1, 2, 0) & corner(3, 0, 2))
+    finite = ~F.exists(ring, lambda p: F.isnan(p[0]) | F.isnan(p[1]))
+    return F.when(F.size(ring) == 5, F.coalesce(turns & corner(4, 0, 0) & (x(0) != x(2)) & (y(0) != y(2)) & finite, F.lit(False))).otherwise(False)
 
 
 def _boxed(shapes: DataFrame, ring: str) -> DataFrame:
@@ -112,24 +133,60 @@ def footprints(places: DataFrame, buildings: DataFrame, step: float, address_m:
     return first.select("activity", "s_id", "f.*")
 
 
+#: The least radius that ``nearest`` begins with is the given one divided by 4 so many times.
+DEEPEST = 12
+
+
 def nearest(points: DataFrame, targets: DataFrame, radius_m: float, max_lat: float = 60.0) -> DataFrame:
     """p_id, s_id and distance_m of the nearest target (s_id, s_lon, s_lat) within a radius; ties go to the smaller s_id.
 
     Cells are as wide as the radius at the highest latitude, so the target lies in one of the 3 x 3
-    cells around the point; targets are dealt to those, points stay in one.
+    cells around the point. Where cells would hold many targets, a quarter of the radius is searched first, and before
+    that a quarter of this, and so on: a point that finds a target within such a radius has its nearest one,
+    and only the others go on to wider cells. Targets in one place count as the one of the smallest id.
     """
+    places = targets.where("s_lon is not null and s_lat is not null").groupBy("s_lon", "s_lat").agg(F.min("s_id").alias("s_id"))
+
+    def crowd(level: int) -> float:
+        """How many targets the cell of a target holds on average."""
+        x, y = _steps(radius_m / 4**level, max_lat)
+        held = places.groupBy(cell(F.col("s_lon"), x), cell(F.col("s_lat"), y)).agg(F.count("*").alias("n"))
+        return held.agg(F.sum(F.col("n").cast("double") * F.col("n")) / F.sum("n")).first()[0] or 1.0
+
+    depth = max(0, math.ceil(math.log(crowd(0), 16)))
+    while 0 < depth < DEEPEST and crowd(depth) > 4:
+        depth += 1
+    rest, done = points.select("p_id", "lon", "lat"), []
+    for level in range(depth, -1, -1):
+        radius = radius_m / 4**level
+        met = _met(rest, places, radius, max_lat)
+        best = met.where(F.col("distance_m") <= radius).groupBy("p_id").agg(F.min(F.struct("distance_m", "s_id")).alias("m"))
+        if level:
+            best = cut(best, "nearest")
+            rest = rest.join(best, "p_id", "left_anti")
+        done.append(best)
+    best = reduce(DataFrame.unionByName, done).groupBy("p_id").agg(F.min("m").alias("m"))
+    return best.select("p_id", "m.s_id", F.round("m.distance_m", 3).alias("distance_m"))
+
+
+def _steps(radius_m: float, max_lat: float) -> tuple[float, float]:
+    """Width and height of cells of which 3 x 3 hold all within a radius of any point in the middle one."""
     lat_step = radius_m / 111_000.0
-    lon_step = lat_step / math.cos(math.radians(max_lat))
+    return lat_step / math.cos(math.radians(max_lat)), lat_step
+
+
+def _met(points: DataFrame, places: DataFrame, radius_m: float, max_lat: float) -> DataFrame:
+    """Points and the places in the 3 x 3 cells around them, with their distance."""
+    x, y = _steps(radius_m, max_lat)
     around = F.sequence(F.lit(-1), F.lit(1))
-    tiles = targets.withColumn("dx", F.explode(around)).withColumn("dy", F.explode(around))
-    tiles = tiles.select("s_id", "s_lon", "s_lat", (cell(F.col("s_lon"), lon_step) + F.col("dx")).alias("cx"), (cell(F.col("s_lat"), lat_step) + F.col("dy")).alias("cy"))
-    at = points.select("p_id", "lon", "lat", cell(F.col("lon"), lon_step).alias("cx"), cell(F.col("lat"), lat_step).alias("cy"))
-    met = at.join(tiles, ["cx", "cy"]).withColumn("distance_m", haversine_m(F.col("lon"), F.col("lat"), F.col("s_lon"), F.col("s_lat")))
-    best = met.where(F.col("distance_m") <= radius_m).groupBy("p_id").agg(F.min(F.struct("distance_m", "s_id")).alias("m"))
-    return best.select("p_id", "m.s_id", F.round("m.distance_m", 3).alias("distance_m"))
+    at = points.withColumn("dx", F.explode(around)).withColumn("dy", F.explode(around))
+    at = at.select("p_id", "lon", "lat", (cell(F.col("lon"), x) + F.col("dx")).alias("cx"), (cell(F.col("lat"), y) + F.col("dy")).alias("cy"))
+    tiles = places.select("s_id", "s_lon", "s_lat", cell(F.col("s_lon"), x).alias("cx"), cell(F.col("s_lat"), y).alias("cy"))
+    return at.join(tiles, ["cx", "cy"]).withColumn("distance_m", haversine_m(F.col("lon"), F.col("lat"), F.col("s_lon"), F.col("s_lat")))
 
 
-def prioritised(matches: DataFrame, key: str, other: str, priority: Column, distance: Column) -> DataFrame:
-    """The best match per key by priority, then distance, then id, with how many others there were."""
+def prioritised(matches: DataFrame, key: str, other: str, priority: Column, distance: Column, n: Column | None = None) -> DataFrame:
+    """The best match per key by priority, then distance, then id, with how many others there were; a row may stand for ``n`` matches."""
     order = Window.partitionBy(key).orderBy(priority, distance, other)
-    return matches.withColumn("rank", F.row_number().over(order)).withColumn("alternatives", F.count("*").over(Window.partitionBy(key)) - 1).where("rank = 1").drop("rank")
+    every = F.sum(F.lit(1) if n is None else n).over(Window.partitionBy(key))
+    return matches.withColumn("rank", F.row_number().over(order)).withColumn("alternatives", every - 1).where("rank = 1").drop("rank")

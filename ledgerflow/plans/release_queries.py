@@ -107,10 +107,12 @@ def best_places(spark: SparkSession, sf_dir: str) -> DataFrame:
     """For each point the containing square, else the nearest corner, with the number of other candidates."""
     points, squares = check_queries._points(spark, sf_dir), check_queries._squares(spark, sf_dir)
     corners = squares.select("s_id", F.col("ring")[0][0].alias("s_lon"), F.col("ring")[0][1].alias("s_lat"))
-    inside = spatial.contains(points, squares, 0.5).select("p_id", "s_id", F.lit("containing").alias("method"), F.lit(0.0).alias("distance_m"))
-    near = spatial.nearest(points, corners, 30000.0).select("p_id", "s_id", F.lit("nearest").alias("method"), F.round("distance_m", 1).alias("distance_m"))
+    # squares of one point are equally good but for their id, so they are counted where they are found
+    inside = spatial.contains(points, squares, 0.5).groupBy("p_id").agg(F.count("*").alias("n"), F.min("s_id").alias("s_id"))
+    inside = inside.select("p_id", "s_id", "n", F.lit("containing").alias("method"), F.lit(0.0).alias("distance_m"))
+    near = spatial.nearest(points, corners, 30000.0).select("p_id", "s_id", F.lit(1).cast("long").alias("n"), F.lit("nearest").alias("method"), F.round("distance_m", 1).alias("distance_m"))
     rank = F.when(F.col("method") == "containing", 1).otherwise(2)
-    return spatial.prioritised(inside.unionByName(near), "p_id", "s_id", rank, F.col("distance_m")).select("p_id", "s_id", "method", "distance_m", "alternatives")
+    return spatial.prioritised(inside.unionByName(near), "p_id", "s_id", rank, F.col("distance_m"), F.col("n")).select("p_id", "s_id", "method", "distance_m", "alternatives")
 
 
 # --- checks ------------------------------------------------------------------------------------

@@ -81,3 +81,43 @@ def test_meeting_is_once_per_pair(spark):
     boxed = spatial._boxed(shapes, "ring")
     got = Counter((r.p_id, r.s_id) for r in spatial.meet(points, boxed, 0.3).select("p_id", "s_id").collect())
     assert max(got.values()) == 1
+
+
+def test_nearest_meets_few_targets_where_many_are_in_reach(spark, monkeypatch):
+    """A town, a hamlet, a pile in one place and the open land: the same as all pairs give, from few of them."""
+    rnd = random.Random(9)
+    targets = [(i, rnd.gauss(0, 0.002), rnd.gauss(0, 0.002)) for i in range(1500)] + [(2000 + i, rnd.uniform(-0.2, 0.2), rnd.uniform(-0.2, 0.2)) for i in range(60)] + [(3000 + i, 0.1, 0.1) for i in range(300)]
+    points = [(i, rnd.gauss(0, 0.003), rnd.gauss(0, 0.003)) for i in range(150)] + [(500 + i, rnd.uniform(-0.3, 0.3), rnd.uniform(-0.3, 0.3)) for i in range(50)] + [(900, 0.1, 0.1001), (901, None, 0.0), (902, 9.0, 9.0)]
+    p, s = spark.createDataFrame(points, "p_id long, lon double, lat double"), spark.createDataFrame(targets, "s_id long, s_lon double, s_lat double")
+    distance = spatial.haversine_m(F.col("lon"), F.col("lat"), F.col("s_lon"), F.col("s_lat"))
+    pairs = p.crossJoin(s).withColumn("m", distance).where("m <= 20000").groupBy("p_id").agg(F.min(F.struct("m", "s_id")).alias("m"))
+    want = {r.p_id: r.m.s_id for r in pairs.collect()}
+    met, seen = spatial._met, []
+
+    def spied(*args):
+        out = met(*args)
+        seen.append(out.count())
+        return out
+
+    monkeypatch.setattr(spatial, "_met", spied)
+    got = {r.p_id: r.s_id for r in spatial.nearest(p, s, 20000.0).collect()}
+    assert got == want and got[900] == 3000 and 902 not in got
+    assert seen[0] < 20 * len(points) and sum(seen) < 80_000 and len(seen) > 2  # all within cells of the radius: more than 300,000
+
+
+def test_rings_that_are_their_boxes_and_others(spark):
+    rings = [square(0, 0, 2), [[0, 0], [2, 0], [0, 2], [0, 0]], [[0, 0], [2, 2], [2, 0], [0, 2], [0, 0]], [[0, 0], [2, 0], [0, 0], [0, 2], [0, 0]], list(reversed(square(0, 0, 2))), square(0, 0, 0)]
+    shapes = spark.createDataFrame(list(enumerate([[[float(v) for v in p] for p in r] for r in rings])), "s_id long, ring array<array<double>>")
+    assert [r.s_id for r in shapes.where(spatial._is_box(F.col("ring"))).orderBy("s_id").collect()] == [0, 4]
+    points = spark.createDataFrame([(i * 10 + j, i / 2, j / 2) for i in range(6) for j in range(6)], "p_id long, lon double, lat double")
+    want = {(r.p_id, r.s_id) for r in points.crossJoin(shapes).where(spatial.in_ring(F.col("lon"), F.col("lat"), F.col("ring"))).collect()}
+    out = spatial.contains(points, shapes, 1.0)
+    assert {(r.p_id, r.s_id) for r in out.collect()} == want and "ring" not in out.columns
+    boxes = spatial.contains(points, shapes.where("s_id = 0"), 1.0)
+    assert "ArrayFilter" not in boxes._jdf.queryExecution().toString() and boxes.count() == 16
+
+
+def test_a_row_stands_for_several_matches(spark):
+    rows = spark.createDataFrame([(1, 7, 5, 0.0), (1, 3, 1, 2.0), (2, 4, 1, 1.0)], "k long, s_id long, n long, m double")
+    got = spatial.prioritised(rows, "k", "s_id", F.lit(1), F.col("m"), F.col("n"))
+    assert sorted((r.k, r.s_id, r.alternatives) for r in got.collect()) == [(1, 7, 5), (2, 4, 0)]
