@@ -109,32 +109,49 @@ def footprints(places: DataFrame, buildings: DataFrame, step: float, address_m:
     its places (smallest p_id).
     """
     boxed = _boxed(buildings.select("s_id", ring, F.col("address").alias("s_address")), ring)
-    near = boxed.withColumns({f"box_{c}": F.col(c) for c in ("west", "south", "east", "north")})
-    around = {c: (cell(F.col(c), step) - 1) * step for c in ("west", "south")} | {c: (cell(F.col(c), step) + 2) * step for c in ("east", "north")}
-    pairs = meet(places, near.withColumns(around), step)
+    boxed = boxed.withColumns({"mid_lon": (F.col("west") + F.col("east")) / 2, "mid_lat": (F.col("south") + F.col("north")) / 2})
+    places = places.where("p_id is not null")
+    # a containing building's box holds the place, so it is a candidate anyway; cells are as wide as boxes are
+    width = boxed.agg(F.avg(F.greatest(F.col("east") - F.col("west"), F.col("north") - F.col("south")))).first()[0] or 0.0
+    inside = contains(places.select("activity", "p_id", "lon", "lat"), buildings.select("s_id", ring), min(step, max(step / 64, width)), ring)
+    held = cut(inside.groupBy("p_id").agg(F.count("*").alias("n")).select("p_id"), "held")
+    rest = cut(places.join(held, "p_id", "left_anti").select("activity", "p_id", "lon", "lat", "address"), "places")
+    by_inside = inside.groupBy("activity", "s_id").agg(F.min("p_id").alias("p_inside"))
+    # those of its own address: cells of the address around its buildings, by which a place is told to have some
+    own = boxed.where("s_address is not null").withColumnRenamed("s_address", "address").withColumn("cx", F.explode(_around("west", "east", step))).withColumn("cy", F.explode(_around("south", "north", step)))
+    at = rest.withColumns({"cx": cell(F.col("lon"), step), "cy": cell(F.col("lat"), step)})
+    middle = haversine_m(F.col("lon"), F.col("lat"), F.col("mid_lon"), F.col("mid_lat"))
+    of_address = ["address", "cx", "cy"]
+    same = at.join(own.select(*of_address, "s_id", "mid_lon", "mid_lat"), of_address).withColumn("m", middle).where(F.col("m") <= address_m)
+    # the others: the nearest of the candidates whose middles are near enough
+    named = at.join(own.select(*of_address).distinct(), of_address, "left_semi").select("p_id").distinct()
+    last = cut(rest.join(named, "p_id", "left_anti").select("activity", "p_id", "lon", "lat"), "places")
+    reach_lat = nearest_m / 111_000.0
+    reach_lon = F.least(F.lit(reach_lat) / F.greatest(F.cos(F.radians(F.abs("mid_lat") + reach_lat)), F.lit(1e-6)), 2 * step + F.col("east") - F.col("west"))
+    around = {"west": F.col("mid_lon") - reach_lon, "east": F.col("mid_lon") + reach_lon, "south": F.col("mid_lat") - reach_lat, "north": F.col("mid_lat") + reach_lat}
+    near = boxed.select("s_id", "mid_lon", "mid_lat", *[F.col(c).alias(f"box_{c}") for c in around], *[v.alias(c) for c, v in around.items()])
+    met = meet(last, near, min(step, 2 * reach_lat))
     for c, low, high in (("lon", "box_west", "box_east"), ("lat", "box_south", "box_north")):
-        pairs = pairs.where(cell(F.col(c), step).between(cell(F.col(low), step) - 1, cell(F.col(high), step) + 1))
-    middle = haversine_m(F.col("lon"), F.col("lat"), (F.col("box_west") + F.col("box_east")) / 2, (F.col("box_south") + F.col("box_north")) / 2)
-    same = F.coalesce(F.col("address") == F.col("s_address"), F.lit(False))
-    inside = in_ring(F.col("lon"), F.col("lat"), F.col(ring))
-    told = pairs.select("activity", "p_id", "s_id", inside.alias("inside"), same.alias("same"), middle.alias("m"))
-    # per place: does anything contain it, has anything its address, what is nearest
-    facts = told.groupBy("p_id").agg(F.max("inside").alias("any_inside"), F.max("same").alias("any_same"), F.min(F.struct("m", "s_id")).alias("nearest")).withColumnRenamed("p_id", "p")
-    told = told.where(F.col("inside") | F.col("same") | (F.col("m") <= nearest_m)).join(facts, F.col("p_id") == F.col("p"))
-    method = (
-        F.when(F.col("any_inside"), F.when(F.col("inside"), "containing"))
-        .when(F.col("any_same"), F.when(F.col("same") & (F.col("m") <= address_m), "same_address"))
-        .when((F.col("nearest.s_id") == F.col("s_id")) & (F.col("m") <= nearest_m), "nearest")
+        met = met.where(cell(F.col(c), step).between(cell(F.col(low), step) - 1, cell(F.col(high), step) + 1))
+    met = met.withColumn("m", middle).where(F.col("m") <= nearest_m)
+    best = met.groupBy("p_id").agg(F.min(F.struct("m", "s_id")).alias("nearest")).withColumnRenamed("p_id", "p")
+    closest = met.join(best, (F.col("p_id") == F.col("p")) & (F.col("nearest.s_id") == F.col("s_id")))
+    chosen = same.select("activity", "s_id", "p_id", F.lit("same_address").alias("method"), F.lit("high").alias("confidence"), F.round("m", 2).alias("distance_m")).unionByName(
+        closest.select("activity", "s_id", "p_id", F.lit("nearest").alias("method"), F.lit("medium").alias("confidence"), F.round("m", 2).alias("distance_m"))
     )
-    chosen = told.withColumn("method", method).where("method is not null")
-    distance = F.when(F.col("method") == "containing", 0.0).otherwise(F.round("m", 2))
-    confidence = F.when(F.col("method") == "nearest", "medium").otherwise("high")
-    first = chosen.groupBy("activity", "s_id").agg(F.min(F.struct("p_id", "method", confidence.alias("confidence"), distance.alias("distance_m"))).alias("f"))
-    return first.select("activity", "s_id", "f.*")
-
-
-#: The least radius that ``nearest`` begins with is the given one divided by 4 so many times.
-DEEPEST = 12
+    by_rest = chosen.groupBy("activity", "s_id").agg(F.min(F.struct("p_id", "method", "confidence", "distance_m")).alias("f"))
+    theirs = F.struct(F.col("p_inside").alias("p_id"), F.lit("containing").alias("method"), F.lit("high").alias("confidence"), F.lit(0.0).alias("distance_m"))
+    # an id is contained or not, so both sides never have the same one
+    taken = F.when(F.col("p_inside").isNull() | (F.col("f.p_id") < F.col("p_inside")), F.col("f")).otherwise(theirs)
+    keys = ["activity", "s_id"]
+    theirs_of = by_inside.select(*[F.col(k).alias(f"i_{k}") for k in keys], "p_inside")
+    every = theirs_of.join(by_rest, F.col("i_activity").eqNullSafe(F.col("activity")) & (F.col("i_s_id") == F.col("s_id")), "full_outer")
+    return every.select(*[F.coalesce(k, f"i_{k}").alias(k) for k in keys], taken.alias("f")).select(*keys, "f.*")
+
+
+def _around(low: str, high: str, step: float) -> Column:
+    """The cells that a box touches in one direction, and one more on either side."""
+    return F.sequence(cell(F.col(low), step) - 1, cell(F.col(high), step) + 1)
 
 
 def nearest(points: DataFrame, targets: DataFrame, radius_m: float, max_lat: float = 60.0) -> DataFrame:

@@ -121,3 +121,21 @@ def test_a_row_stands_for_several_matches(spark):
     rows = spark.createDataFrame([(1, 7, 5, 0.0), (1, 3, 1, 2.0), (2, 4, 1, 1.0)], "k long, s_id long, n long, m double")
     got = spatial.prioritised(rows, "k", "s_id", F.lit(1), F.col("m"), F.col("n"))
     assert sorted((r.k, r.s_id, r.alternatives) for r in got.collect()) == [(1, 7, 5), (2, 4, 0)]
+
+
+def test_footprints_meet_few_buildings_of_a_crowded_cell(spark, monkeypatch):
+    """Cells of the containment and nearness are as wide as boxes and reaches, not as the candidates' cells."""
+    steps, meet = [], spatial.meet
+
+    def spied(points, regions, step, depth=16):
+        steps.append(step)
+        return meet(points, regions, step, depth)
+
+    monkeypatch.setattr(spatial, "meet", spied)
+    meter = 1 / 111_195
+    buildings = spark.createDataFrame([(i, square(i % 20 * 30 * meter, i // 20 * 30 * meter, 10 * meter), f"{i % 7} A ST") for i in range(400)], "s_id long, ring array<array<double>>, address string")
+    places = spark.createDataFrame([("a" if i % 2 else None, i, i % 20 * 30 * meter + 12 * meter * (i % 3), i // 20 * 30 * meter + 5 * meter, None) for i in range(400)], "activity string, p_id long, lon double, lat double, address string")
+    got = spatial.footprints(places, buildings, 0.003).collect()
+    inside = [r for r in got if r.method == "containing"]
+    assert {(r.activity, r.s_id, r.p_id) for r in inside} == {("a" if i % 2 else None, i, i) for i in range(0, 400) if i % 3 == 0} and len(got) == len({(r.activity, r.s_id) for r in got})
+    assert max(steps) < 0.001
