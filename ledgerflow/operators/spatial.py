@@ -154,6 +154,10 @@ def _around(low: str, high: str, step: float) -> Column:
     return F.sequence(cell(F.col(low), step) - 1, cell(F.col(high), step) + 1)
 
 
+#: The least radius that ``nearest`` begins with is the given one divided by 4 so many times.
+DEEPEST = 12
+
+
 def nearest(points: DataFrame, targets: DataFrame, radius_m: float, max_lat: float = 60.0) -> DataFrame:
     """p_id, s_id and distance_m of the nearest target (s_id, s_lon, s_lat) within a radius; ties go to the smaller s_id.
 
