@@ -71,8 +71,14 @@ def enriched(records: DataFrame, details: DataFrame, key: str, values: str = "va
 
 
 def children(rows: DataFrame, parent: str, values: str = "values", labels: Mapping[str, Sequence[str]] = CHILD) -> DataFrame:
-    """Rows of a nested list in one schema, each named within its parent: by its own number, else by its type and dates."""
-    named = rows.select(parent, *[_typed(n, labelled(F.col(values), names)).alias(n) for n, names in labels.items()])
+    """Rows of a nested list in one schema, each named within its parent: by its own number, else by its type and dates.
+
+    The values of a row are cleaned once, in a row of their own that no condition on the named columns is moved below:
+    else each name cleaned them anew and the map was built for every one, in code too long to be compiled.
+    """
+    told = rows.select(parent, F.explode(F.array(F.transform_values(values, lambda _, v: clean(v)))).alias("_told"))
+    given = lambda names: F.coalesce(*[F.element_at("_told", F.lit(n)) for n in names])
+    named = told.select(parent, *[_typed(n, given(names)).alias(n) for n, names in labels.items()])
     own = child_id(F.col(parent), F.col("source_id"), F.col("kind"), F.col("scheduled_date"), F.col("completed_date"), F.col("result_date"))
     return named.withColumn("child_id", own)
 
@@ -116,18 +122,22 @@ def distinct_paths(paths: Sequence[str]) -> list[str]:
 
 
 def child_checks(rows: DataFrame, parents: DataFrame, parent: str, columns: Sequence[str], words: Sequence[str], label: str = "temporal_label") -> DataFrame:
-    """Checks of a child table: columns in order, ids, parents, vocabulary, and no rows of layout."""
+    """Checks of a child table: columns in order, ids, parents, vocabulary, and no rows of layout; one pass over the rows."""
     spark = rows.sparkSession
     order = spark.createDataFrame([("columns_in_order", list(rows.columns) == list(columns), 0 if list(rows.columns) == list(columns) else 1)], "check string, passed boolean, faults long")
     filled = lambda c: F.coalesce(F.trim(F.col(c).cast("string")) != "", F.lit(False))
-    return quality.together(
-        [
-            order,
-            quality.unique(rows, ["child_id"], "child_ids"),
-            quality.foreign_key(rows, parent, parents, parent, "parent_known"),
-            quality.rules(rows, {"parent_there": filled(parent), "labels": quality.words_hold(label, words), "no_layout_rows": ~is_layout()}),
-        ]
-    )
+    known = parents.select(F.col(parent).cast("string").alias("_known")).distinct()
+    # rows without a parent are dealt by their own id, as one key for all of them would be one task's
+    every = rows.join(known, F.coalesce(F.col(parent).cast("string"), F.col("child_id")) == F.col("_known"), "left")
+    holds = {
+        "parent_known": F.col(parent).isNull() | F.col("_known").isNotNull(),
+        "parent_there": filled(parent),
+        "labels": quality.words_hold(label, words),
+        "no_layout_rows": ~is_layout(),
+    }
+    of_ids = every.groupBy("child_id").agg(F.count("*").alias("_n"), *[quality.fails(h).alias(name) for name, h in holds.items()])
+    faults = of_ids.agg(F.count_if((F.col("_n") > 1) | ~filled("child_id")).alias("child_ids"), *[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in holds])
+    return order.unionByName(quality.listed(faults, ["child_ids", *holds]))
 
 
 def attempted(rows: DataFrame, runs: DataFrame, parent: str, complete: str = "complete") -> DataFrame:

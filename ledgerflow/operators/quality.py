@@ -38,8 +38,17 @@ def rule(df: DataFrame, holds: Column, name: str) -> DataFrame:
 
 def rules(df: DataFrame, holds: Mapping[str, Column]) -> DataFrame:
     """Several rules on the rows of one table, counted in one pass over it: a check for each name."""
-    faults = df.agg(*[F.count_if(~F.coalesce(h, F.lit(False))).alias(f"f{i}") for i, h in enumerate(holds.values())])
-    each = F.explode(F.array(*[F.struct(F.lit(name).alias("check"), F.col(f"f{i}").alias("faults")) for i, name in enumerate(holds)])).alias("c")
+    return listed(df.agg(*[fails(h).alias(name) for name, h in holds.items()]), list(holds))
+
+
+def fails(holds: Column) -> Column:
+    """How many rows a condition is not true for."""
+    return F.count_if(~F.coalesce(holds, F.lit(False)))
+
+
+def listed(faults: DataFrame, names: Sequence[str]) -> DataFrame:
+    """One row of counted faults as a check for each name."""
+    each = F.explode(F.array(*[F.struct(F.lit(name).alias("check"), F.col(f"`{name}`").alias("faults")) for name in names])).alias("c")
     return faults.select(each).select("c.check", (F.col("c.faults") == 0).alias("passed"), "c.faults")
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ledgerflow.operators import portal, tracking
 from ledgerflow.plans import change_queries
 from ledgerflow.plans.snapshots import CHANGES, CTE, snapshots, table
+from ledgerflow.sources.workspace import cut
 
 SOURCES = ("1-urgent", "2-high", "3-medium", "4-not specified", "5-low")
 
@@ -125,7 +126,7 @@ def child_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _child_values(table(spark, sf_dir, "lineitem"))
     named = portal.children(rows, "record_id")
     number = F.concat(F.lit("ord "), F.substring("record_id", 5, 20))
-    base = named.withColumn("record_number", number).select(*_CHILD)
+    base = cut(named.withColumn("record_number", number).select(*_CHILD), "children")  # both sides read it
     order = F.substring("record_id", 5, 20).cast("long")
     stored = base.withColumn("record_id", F.when(order % 3 == 0, F.concat(F.lit("tmp-"), F.col("record_number"))).otherwise(F.col("record_id"))).withColumn("result", F.lit("old"))
     fresh = base.withColumn("result", F.when(order % 2 == 0, "new"))

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerflow.functions.text import token
-from ledgerflow.operators import audit, quality, ranges, resolve, sampling
+from ledgerflow.operators import audit, portal, quality, ranges, resolve, sampling
 from ledgerflow.plans.registry import QUERIES
 
 
@@ -68,3 +68,24 @@ def test_semantic_rules_count_nulls_as_faults(spark):
 def test_ordered_queries_number_every_row_once(spark, sf, name):
     got = [r.position for r in QUERIES[name](spark, sf).collect()]
     assert sorted(got) == list(range(1, len(got) + 1))
+
+
+def _optimised(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_children_are_read_once_whatever_is_asked_of_them(spark, sf):
+    """A condition on named values does not build the map of values anew, and the checks pass once over the rows."""
+    rows = spark.range(20).selectExpr("id parent", "map_from_arrays(array('id', 'type'), array(if(id % 2 = 0, ' a  b ', ' '), null)) values")
+    kept = portal.children(rows, "parent").where(~portal.is_layout())
+    assert _optimised(kept).count("map_from_arrays") == 1
+    assert kept.count() == 10 and kept.select("source_id").distinct().collect()[0][0] == "a b"
+    assert _optimised(QUERIES["child_checks"](spark, sf)).count("map_from_arrays") == 1
+
+
+def test_child_checks_of_rows_without_parents(spark):
+    rows = spark.createDataFrame([("1", None, "s", "k"), ("2", None, "s", "k"), ("2", "p", "s", "k"), ("3", "q", None, None)], "child_id string, parent string, source_id string, kind string")
+    known = spark.createDataFrame([("p",), ("p",), ("1",)], "parent string")
+    out = portal.child_checks(rows, known, "parent", rows.columns, ("k",), "kind")
+    assert {r["check"]: r["faults"] for r in out.collect()} == {"columns_in_order": 0, "child_ids": 1, "parent_known": 1, "parent_there": 2, "labels": 1, "no_layout_rows": 1}
+    assert {r["faults"] for r in portal.child_checks(rows.limit(0), known, "parent", rows.columns, ("k",), "kind").collect()} == {0}
