@@ -9,7 +9,7 @@ a region by a hash into shards of about ``SHARD_ROWS``. Each shard becomes one M
 table of pages: an inner page holds the routing objects of its children
 with their covering radii and their distances to the page's own routing object; a leaf page
 holds vectors with their distances to its routing object. The search visits pages best first by
-the largest product they can hold. A stored parent distance bounds the distance to an entry from
+the largest product they can hold, each once for all queries of a block that it can hold something for. A stored parent distance bounds the distance to an entry from
 both sides by the triangle inequality, so most entries are ruled out without computing it. What
 is left is scored exactly, on integers.
 
@@ -170,49 +170,61 @@ def build_pages(ids: np.ndarray, vectors: np.ndarray) -> list[dict]:
 
 def search(pages: dict[int, dict], root_router: np.ndarray, query: np.ndarray, own: int, k: int, least: float = -np.inf) -> tuple[list[tuple[int, int]], int]:
     """((score, id) of the k best vectors of a tree that score ``least`` or more, best first; how many products were computed)."""
+    scores, ids, computed = search_all(pages, root_router, query[None, :], np.array([own]), k, np.array([least], np.float64))
+    return [(int(s), int(i)) for s, i in zip(scores[0], ids[0], strict=True) if np.isfinite(s)], computed
+
+
+def search_all(pages: dict[int, dict], root_router: np.ndarray, queries: np.ndarray, own: np.ndarray, k: int, least: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+    """The same for many queries in one walk: (scores, best first and -inf where there are fewer; ids; products).
+
+    A page is visited once, with all queries that it can still hold something for, in the order of the best
+    that it can hold for any of them.
+    """
     top = pages[0]["top"]
-    length = float(query @ query)
-    whole = length + top
+    whole = (queries * queries).sum(axis=1) + top
     slack = 1e-9 * (whole + 1.0) + 1e-6
-    best: list[tuple[int, int]] = []  # a heap of (score, -id): the worst of the best first
-    computed = 1
-    product = float(root_router @ query)
-    to_root = np.sqrt(max(whole - 2.0 * product, 0.0))
-    todo = [(-np.inf, 0, to_root)]
+    scores, ids = np.full((len(queries), k), -np.inf), np.full((len(queries), k), np.iinfo(np.int64).max)
+    floor = np.array(least, np.float64)
+    computed = len(queries)
+    to_root = np.sqrt(np.maximum(whole - 2.0 * (queries @ root_router), 0.0))
+    todo = [(-np.inf, 0, 0, np.arange(len(queries)), np.full(len(queries), np.inf), to_root)]
+    pushed = 0  # tells entries of equal bounds apart
     while todo:
-        bound, number, to_router = heapq.heappop(todo)
-        floor = max(least, best[0][0]) if len(best) == k else least
-        if -bound + slack < floor:
-            break
+        _, _, number, who, bound, to_router = heapq.heappop(todo)
+        live = bound + slack[who] >= floor[who]
+        who, to_router = who[live], to_router[live]
         page = pages[number]
         # what the stored distances allow: d(q, entry) >= |d(q, router) - d(router, entry)| - radius
-        near = np.maximum(np.abs(to_router - page["parent"]) - page["radius"], 0.0)
-        at = np.flatnonzero((whole - near * near) / 2.0 + slack >= floor)
-        if not len(at):
+        near = np.maximum(np.abs(to_router[:, None] - page["parent"]) - page["radius"], 0.0)
+        may = (whole[who, None] - near * near) / 2.0 + slack[who, None] >= floor[who, None]
+        rows, at = np.flatnonzero(may.any(axis=1)), np.flatnonzero(may.any(axis=0))
+        if not len(rows):
             continue
-        products = page["vectors"][at] @ query
-        computed += len(at)
+        who, may = who[rows], may[np.ix_(rows, at)]
+        products = queries[who] @ page["vectors"][at].T
+        computed += products.size
         if page["leaf"]:
-            better = products >= floor
-            ids, products = page["entry"][at][better], products[better]
-            if len(ids) > k:
-                some = np.lexsort((ids, -products))[: k + 1]  # one more, for the query's own row
-                ids, products = (ids, products) if (ids == own).sum() > 1 else (ids[some], products[some])
-            for one, score in zip(ids.tolist(), products.tolist(), strict=True):
-                if one != own:
-                    item = (int(score), -one)
-                    if len(best) < k:
-                        heapq.heappush(best, item)
-                    elif item > best[0]:
-                        heapq.heapreplace(best, item)
+            some = page["entry"][at]
+            products = np.where((products >= floor[who, None]) & (some != own[who, None]), products, -np.inf)
+            better = np.flatnonzero((products > -np.inf).any(axis=1))
+            if len(better):
+                who = who[better]
+                found = np.concatenate([scores[who], products[better]], axis=1)
+                names = np.concatenate([ids[who], np.broadcast_to(some, (len(who), len(some)))], axis=1)
+                best = np.lexsort((names, -found), axis=1)[:, :k]
+                scores[who], ids[who] = np.take_along_axis(found, best, axis=1), np.take_along_axis(names, best, axis=1)
+                floor[who] = np.maximum(floor[who], scores[who, -1])
             continue
-        distance = np.sqrt(np.maximum(whole - 2.0 * products, 0.0))
+        distance = np.sqrt(np.maximum(whole[who, None] - 2.0 * products, 0.0))
         near = np.maximum(distance - page["radius"][at], 0.0)
-        most = (whole - near * near) / 2.0
-        for m, child, d in zip(most.tolist(), page["entry"][at].tolist(), distance.tolist(), strict=True):
-            if m + slack >= floor:
-                heapq.heappush(todo, (-m, child, d))
-    return [(s, -i) for s, i in sorted(best, key=lambda x: (-x[0], -x[1]))], computed
+        most = (whole[who, None] - near * near) / 2.0
+        may &= most + slack[who, None] >= floor[who, None]
+        for j, child in enumerate(page["entry"][at].tolist()):
+            mine = np.flatnonzero(may[:, j])
+            if len(mine):
+                pushed += 1
+                heapq.heappush(todo, (-float(most[mine, j].max()), pushed, child, who[mine], most[mine, j], distance[mine, j]))
+    return scores, ids, computed
 
 
 def _build(table: pa.Table) -> pa.Table:
@@ -243,12 +255,10 @@ def _search(k: int, trees: pa.Table, queries: pa.Table) -> pa.Table:
     root = pages.pop(-1)["vectors"]
     for p in pages.values():
         p["vectors"] = p["vectors"].reshape(-1, dim)
-    out: list[tuple] = []
-    asked = _matrix(queries["vector"], dim)
-    for who, key, floor, vector in zip(queries["vec_id"].to_pylist(), queries["query_key"].to_pylist(), queries["floor"].to_pylist(), asked, strict=True):
-        out += [(who, key, i, s) for s, i in search(pages, root, vector, who, k, floor)[0]]
-    columns = list(zip(*out, strict=True)) if out else [[], [], [], []]
-    return pa.table([pa.array(c, pa.int64()) for c in columns], schema=_HIT)
+    who, key = queries["vec_id"].to_numpy(), queries["query_key"].to_numpy()
+    scores, ids, _ = search_all(pages, root, _matrix(queries["vector"], dim), who, k, queries["floor"].to_numpy())
+    q, at = np.nonzero(np.isfinite(scores))
+    return pa.table([pa.array(c, pa.int64()) for c in (who[q], key[q], ids[q, at], scores[q, at].astype(np.int64))], schema=_HIT)
 
 
 def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:

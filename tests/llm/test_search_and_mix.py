@@ -56,6 +56,33 @@ def test_search_avoids_products():
     assert computed < 2500
 
 
+def test_a_page_is_visited_once_for_all_queries():
+    """Many queries take one walk through a tree, and find what each finds alone: the products, ties and own rows included."""
+    rnd = np.random.default_rng(5)
+    vectors = rnd.integers(-30, 30, (900, 6)).astype(float)
+    vectors[100:140] = vectors[7]
+    pages = metric_search.build_pages(np.arange(900), vectors)
+    router = pages[0].pop("router")
+    visits = []
+
+    class Page(dict):
+        def __getitem__(self, name):
+            if name == "parent":
+                visits.append(id(self))
+            return super().__getitem__(name)
+
+    tree = {i: Page(p | {"vectors": p["vectors"].reshape(-1, 6)}) for i, p in enumerate(pages)}
+    own = np.arange(0, 900, 9)
+    products = vectors[own] @ vectors.T
+    products[np.arange(100), own] = -np.inf
+    least = np.where(np.arange(100) % 2 == 0, -np.inf, np.sort(products, axis=1)[:, -3])  # every other query asks for its three best scores
+    scores, ids, _ = metric_search.search_all(tree, router, vectors[own], own, 5, least)
+    assert len(visits) == len(set(visits)) <= len(pages)
+    for q in range(100):
+        want = [(s, i) for s, i in sorted(((-p, i) for i, p in enumerate(products[q])))[:5] if -s >= least[q]]
+        assert [(-s, i) for s, i in zip(scores[q], ids[q], strict=True) if np.isfinite(s)] == want
+
+
 def test_search_leaves_out_regions(spark, monkeypatch):
     """Of rows in tight clusters, a query visits few shards beyond its own; the result is that of all products."""
     rnd = np.random.default_rng(3)
