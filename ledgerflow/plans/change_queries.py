@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerflow.functions.dates import interval_kind
 from ledgerflow.operators import analysis, diff, identity, sketches
+from ledgerflow.operators.spread import dealt
 from ledgerflow.plans.snapshots import CHANGES, CTE, DATES, PAIRS, VALUES, health_sql, snapshots, table
 from ledgerflow.sources import archive
 from ledgerflow.sources.workspace import cut, work_folder
@@ -146,7 +147,7 @@ def sketched_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
     told = sketches.overlaps(kept, "snapshot_date", pairs, ["source_name"])
     names = ("before_count", "after_count", "retained", "new_records", "disappeared_records")
     # the record's source may change between dates, so both sides are counted by the source they have
-    sides = rows.select("source_name", "record_identity", "snapshot_date").distinct()
+    sides = dealt(rows.select("source_name", "record_identity", "snapshot_date"), "record_identity", count=snapshots(spark, sf_dir)).distinct()
     exact = analysis.exact_overlap(sides, pairs)
     both = told.join(exact.toDF("before_date", "after_date", "source_name", *[f"x_{n}" for n in names]), ["before_date", "after_date", "source_name"])
     union = F.col("x_retained") + F.col("x_new_records") + F.col("x_disappeared_records")

@@ -89,3 +89,10 @@ def test_child_checks_of_rows_without_parents(spark):
     out = portal.child_checks(rows, known, "parent", rows.columns, ("k",), "kind")
     assert {r["check"]: r["faults"] for r in out.collect()} == {"columns_in_order": 0, "child_ids": 1, "parent_known": 1, "parent_there": 2, "labels": 1, "no_layout_rows": 1}
     assert {r["faults"] for r in portal.child_checks(rows.limit(0), known, "parent", rows.columns, ("k",), "kind").collect()} == {0}
+
+
+def test_sketched_overlap_deals_its_exact_side_once(spark, sf):
+    """The exact counts are made in parts of a bounded number of rows, not in the session's partitions."""
+    plan = QUERIES["sketched_overlap"](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert len([x for x in plan.splitlines() if "hashpartitioning(record_identity" in x and "REPARTITION_BY_NUM" in x]) == 1
+    assert not [x for x in plan.splitlines() if "ENSURE_REQUIREMENTS" in x and "record_identity" in x]
