@@ -7,34 +7,36 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerflow.operators.spread import parts
 from ledgerflow.sources.workspace import cut
 
 
 def running(rows: DataFrame, by: Sequence[str], order: Sequence[str], weight: Column | None = None) -> DataFrame:
     """rows with _before (the weights of those before in the group, by order) and _total (of the group).
 
-    Rows are dealt into ranges of (by, order) and summed within; a row for each range and group, as many as
-    there are ranges and groups, carries the sums of earlier ranges over. So a group of any size is numbered
-    by many tasks. Null is a group of its own and comes first in the order; of rows alike in the
-    order any may come first. Weights are whole numbers, 1 if not given.
+    Rows are dealt into ranges of (by, order), as many as their number asks for, and summed within; a row for
+    each range and group, as many as there are ranges and groups, carries the sums of earlier ranges over. So
+    a group of any size is numbered by many tasks, none of which grows with the table. Null is a group of its
+    own and comes first in the order; of rows alike in the order any may come first. Weights are whole numbers,
+    1 if not given. rows are counted, sampled and dealt: better a stored table.
     """
-    dealt = rows.withColumn("_weight", (F.lit(1) if weight is None else weight).cast("long")).repartitionByRange(*by, *order)
+    n = parts(rows)
+    dealt = rows.withColumn("_weight", (F.lit(1) if weight is None else weight).cast("long")).repartitionByRange(n, *by, *order)
     rows = cut(dealt.withColumn("_range", F.spark_partition_id()), "ranges")  # written: ranges stay as they are
-    earlier = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    sums = rows.groupBy("_range", *by).agg(F.sum("_weight").alias("_sum"))
-    sums = sums.select(F.col("_range").alias("_of"), *[F.col(c).alias(f"_by_{c}") for c in by], F.sum("_sum").over(earlier).alias("_carried"), F.sum("_sum").over(Window.partitionBy(*by)).alias("_total"))
-    inside = Window.partitionBy("_range", *by).orderBy(*[F.col(c).asc_nulls_first() for c in order]).rowsBetween(Window.unboundedPreceding, -1)
-    rows = rows.withColumn("_inside", F.coalesce(F.sum("_weight").over(inside), F.lit(0)))
-    same = F.col("_range") == F.col("_of")
-    for c in by:
-        same = same & F.col(c).eqNullSafe(F.col(f"_by_{c}"))
-    joined = rows.join(sums, same).withColumn("_before", F.coalesce("_carried", F.lit(0)) + F.col("_inside"))
-    return joined.drop("_weight", "_range", "_of", "_sum", "_carried", "_inside", *[f"_by_{c}" for c in by])
+    rows = rows.withColumn("_part", F.struct("_range", *by))  # nulls in a struct are alike: window and join share one exchange
+    earlier = Window.partitionBy(*[f"_part.{c}" for c in by]).orderBy("_part._range").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*[f"_part.{c}" for c in by])
+    sums = rows.groupBy("_part").agg(F.sum("_weight").alias("_sum"))
+    sums = sums.select("_part", F.sum("_sum").over(earlier).alias("_carried"), F.sum("_sum").over(whole).alias("_total"))
+    inside = Window.partitionBy("_part").orderBy(*[F.col(c).asc_nulls_first() for c in order]).rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.repartition(n, "_part").withColumn("_inside", F.coalesce(F.sum("_weight").over(inside), F.lit(0)))
+    joined = rows.join(sums, "_part").withColumn("_before", F.coalesce("_carried", F.lit(0)) + F.col("_inside"))
+    return joined.drop("_weight", "_range", "_part", "_carried", "_inside")
 
 
 def positions(rows: DataFrame, order: Sequence[str], name: str = "position") -> DataFrame:
     """rows numbered from 1 in their order over the whole table, null first, by as many tasks as there are ranges."""
-    return running(rows, [], order).withColumn(name, F.col("_before") + 1).drop("_before", "_total")
+    return running(cut(rows, "rows"), [], order).withColumn(name, F.col("_before") + 1).drop("_before", "_total")
 
 
 def value_counts(rows: DataFrame, by: Sequence[str], value: str) -> DataFrame:

@@ -13,13 +13,17 @@ LEAST, MOST = 256, 20_000
 PART_ROWS = 250_000
 
 
+def parts(rows: DataFrame) -> int:
+    """As many parts as the number of rows asks for, so that tasks do not grow with the table; counts the rows."""
+    return max(rows.sparkSession.sparkContext.defaultParallelism, math.ceil(rows.count() / PART_ROWS))
+
+
 def dealt(rows: DataFrame, *on: str, count: DataFrame | None = None) -> DataFrame:
-    """rows dealt by keys into as many parts as their number asks for, so that tasks do not grow with the table.
+    """rows dealt by keys into as many parts as their number asks for.
 
     ``count`` is a table of as many rows that is cheaper to count.
     """
-    n = (rows if count is None else count).count()
-    return rows.repartition(max(rows.sparkSession.sparkContext.defaultParallelism, math.ceil(n / PART_ROWS)), *on)
+    return rows.repartition(parts(rows if count is None else count), *on)
 
 
 def frequent(rows: DataFrame, *on: str, counts: DataFrame | None = None) -> DataFrame | None:

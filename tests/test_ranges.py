@@ -8,7 +8,7 @@ from collections import defaultdict
 import numpy as np
 import pytest
 
-from ledgerflow.operators import analysis, ranges, sketches
+from ledgerflow.operators import analysis, ranges, sketches, spread
 
 
 def values(seed=1):
@@ -36,6 +36,26 @@ def test_running_totals_of_a_group_over_many_tasks(spark):
     assert place == list(range(3000))
 
 
+@pytest.mark.parametrize("by", [[], ["g"]])
+def test_ranges_do_not_grow_with_the_table(spark, monkeypatch, by):
+    """Numbering deals rows into ranges and tasks of a bounded number of rows, whatever the session's partitions; rows come once from their source."""
+    monkeypatch.setattr(spread, "PART_ROWS", 100)
+    read = spark.sparkContext.accumulator(0)
+
+    def one(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+
+    rows = spark.range(6000, numPartitions=3).selectExpr("if(id % 2 = 0, null, 'a') g", "id * 7919 % 6007 v").mapInArrow(one, "g string, v long")
+    got = ranges.running(rows, by, ["v"]) if by else ranges.positions(rows, ["g", "v"])
+    sizes = [r["count"] for r in got.groupBy(ranges.F.spark_partition_id()).count().collect()]
+    assert len(sizes) > 25 and max(sizes) < 900
+    assert by or read.value == 6000
+    place = sorted(r[0] for r in got.select("_before" if by else "position").collect())
+    assert place == ([i for i in range(3000) for _ in "ab"] if by else list(range(1, 6001)))
+
+
 def test_quantiles_are_exact(spark):
     data = values()
     rows = spark.createDataFrame(data, "g string, v double")
