@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ledgerflow.functions.geo import cell, in_ring
 from ledgerflow.functions.numbers import haversine_m
-from ledgerflow.operators.spread import frequent, spread_join
+from ledgerflow.operators.spread import MOST, PART_ROWS, deal, frequent, spread_join
 from ledgerflow.sources.workspace import cut
 
 
@@ -32,32 +32,54 @@ def meet(points: DataFrame, regions: DataFrame, step: float, depth: int = 16) ->
     allows, and only these pass through the driver. Boxes are closed; callers add the exact test. Rows with
     a null coordinate meet nothing.
     """
+    at, tiles = _parted(points, regions, step, depth)
+    hot = frequent(at, *CELL)
+    if hot is None:  # few points in each cell: a task keeps its points, and the regions stream past them unsorted
+        return at.hint("shuffle_hash").join(tiles, CELL).drop(*CELL)
+    return spread_join(at, tiles, CELL, [F.col("p_id")], hot=hot).drop(*CELL)
+
+
+#: The key of a cell of the quadtree, and the sides of a box.
+CELL, SIDES = ["level", "cx", "cy"], ["west", "south", "east", "north"]
+
+
+def _parted(points: DataFrame, regions: DataFrame, step: float, depth: int = 16) -> tuple[DataFrame, DataFrame]:
+    """Points and regions with the cells in which they meet: a point has one cell, a region all that it touches."""
     zero = F.lit(0)
     at = points.where("lon is not null and lat is not null").withColumns({"level": zero, "cx": _sub(F.col("lon"), step, zero), "cy": _sub(F.col("lat"), step, zero)})
     tiles = regions.withColumn("level", zero).withColumn("cx", F.explode(_touched(F.col("west"), F.col("east"), step, zero))).withColumn("cy", F.explode(_touched(F.col("south"), F.col("north"), step, zero)))
-    keys = ["level", "cx", "cy"]
     done_at, done_tiles = [], []
     for level in range(depth):
-        counts = _cells(at, keys)
-        full = frequent(at, *keys, counts=counts)
-        split = full.join(counts.where("apart"), keys).select(*keys).collect() if full is not None else []  # no more rows than full has
+        counts = _cells(at, CELL)
+        full = frequent(at, *CELL, counts=counts)
+        split = full.join(counts.where("apart"), CELL).select(*CELL).collect() if full is not None else []  # no more rows than full has
         if not split:
             break
-        small = F.broadcast(at.sparkSession.createDataFrame(split, at.select(*keys).schema))
-        done_at.append(at.join(small, keys, "left_anti"))
-        done_tiles.append(tiles.join(small, keys, "left_anti"))
+        small = F.broadcast(at.sparkSession.createDataFrame(split, at.select(*CELL).schema))
+        done_at.append(at.join(small, CELL, "left_anti"))
+        done_tiles.append(tiles.join(small, CELL, "left_anti"))
         below = F.lit(level + 1)
         part = lambda c, west, east: F.filter(F.array(2 * F.col(c), 2 * F.col(c) + 1), lambda x: (x >= _sub(F.col(west), step, F.lit(level + 1))) & (x <= _sub(F.col(east), step, F.lit(level + 1))))  # noqa: B023, E731
         # only what goes on is written, so that each level reads the level before
-        at = cut(at.join(small, keys).withColumns({"level": below, "cx": _sub(F.col("lon"), step, below), "cy": _sub(F.col("lat"), step, below)}), "cells")
-        tiles = tiles.join(small, keys).withColumn("cx", F.explode(part("cx", "west", "east"))).withColumn("cy", F.explode(part("cy", "south", "north")))
+        at = cut(at.join(small, CELL).withColumns({"level": below, "cx": _sub(F.col("lon"), step, below), "cy": _sub(F.col("lat"), step, below)}), "cells")
+        tiles = tiles.join(small, CELL).withColumn("cx", F.explode(part("cx", "west", "east"))).withColumn("cy", F.explode(part("cy", "south", "north")))
         tiles = cut(tiles.withColumn("level", below), "cells")
     for a, t in zip(done_at, done_tiles, strict=True):
         at, tiles = at.unionByName(a), tiles.unionByName(t)
-    hot = frequent(at, *keys)
-    if hot is None:  # few points in each cell: a task keeps its points, and the regions stream past them unsorted
-        return at.hint("shuffle_hash").join(tiles, keys).drop(*keys)
-    return spread_join(at, tiles, keys, [F.col("p_id")], hot=hot).drop(*keys)
+    return at, tiles
+
+
+def in_some(points: DataFrame, boxes: DataFrame, step: float) -> DataFrame:
+    """The points (p_id, lon, lat) that lie in some box (west, south, east, north), half-open; the search of a point ends at the first."""
+    at, tiles = _parted(points, boxes.select(*SIDES), step)
+    at, tiles = deal(at, tiles, CELL, [F.col("p_id")], frequent(at, *CELL))
+    on = [*CELL, "_part"]
+    met = reduce(Column.__and__, [F.col(k) == F.col(f"t_{k}") for k in on]) & _in_box(F.col("lon"), F.col("lat"))
+    return at.join(tiles.withColumnsRenamed({k: f"t_{k}" for k in on}), met, "left_semi").select(*points.columns)
+
+
+def _in_box(lon: Column, lat: Column) -> Column:
+    return (lon >= F.col("west")) & (lon < F.col("east")) & (lat >= F.col("south")) & (lat < F.col("north"))
 
 
 def _cells(at: DataFrame, keys: list[str]) -> DataFrame:
@@ -108,15 +130,20 @@ def footprints(places: DataFrame, buildings: DataFrame, step: float, address_m:
     the smaller s_id of equally near ones, within ``nearest_m``. An activity has a building once: by the first of
     its places (smallest p_id).
     """
-    boxed = _boxed(buildings.select("s_id", ring, F.col("address").alias("s_address")), ring)
-    boxed = boxed.withColumns({"mid_lon": (F.col("west") + F.col("east")) / 2, "mid_lat": (F.col("south") + F.col("north")) / 2})
-    places = places.where("p_id is not null")
+    boxed = _boxed(buildings.select("s_id", ring, F.col("address").alias("s_address")), ring).withColumn("is_box", _is_box(F.col(ring)))
+    boxed = cut(boxed.withColumns({"mid_lon": (F.col("west") + F.col("east")) / 2, "mid_lat": (F.col("south") + F.col("north")) / 2}), "buildings")
+    places = cut(places.where("p_id is not null").select("activity", "p_id", "lon", "lat", "address"), "places")
     # a containing building's box holds the place, so it is a candidate anyway; cells are as wide as boxes are
     width = boxed.agg(F.avg(F.greatest(F.col("east") - F.col("west"), F.col("north") - F.col("south")))).first()[0] or 0.0
-    inside = contains(places.select("activity", "p_id", "lon", "lat"), buildings.select("s_id", ring), min(step, max(step / 64, width)), ring)
-    held = cut(inside.groupBy("p_id").agg(F.count("*").alias("n")).select("p_id"), "held")
-    rest = cut(places.join(held, "p_id", "left_anti").select("activity", "p_id", "lon", "lat", "address"), "places")
-    by_inside = inside.groupBy("activity", "s_id").agg(F.min("p_id").alias("p_inside"))
+    narrow = min(step, max(step / 64, width))
+    points = places.select("activity", "p_id", "lon", "lat")
+    plain, others = _plain(boxed, ring, narrow)
+    held = in_some(points, plain, narrow).select("p_id")
+    inside = None if others.isEmpty() else contains(points, others, narrow, ring).select("activity", "s_id", "p_id")
+    if inside is not None:
+        held = held.unionByName(inside.groupBy("p_id").agg(F.count("*").alias("n")).select("p_id"))
+    held = cut(held, "held")
+    rest = cut(places.join(held, "p_id", "left_anti"), "places")
     # those of its own address: cells of the address around its buildings, by which a place is told to have some
     own = boxed.where("s_address is not null").withColumnRenamed("s_address", "address").withColumn("cx", F.explode(_around("west", "east", step))).withColumn("cy", F.explode(_around("south", "north", step)))
     at = rest.withColumns({"cx": cell(F.col("lon"), step), "cy": cell(F.col("lat"), step)})
@@ -139,14 +166,110 @@ def footprints(places: DataFrame, buildings: DataFrame, step: float, address_m:
     chosen = same.select("activity", "s_id", "p_id", F.lit("same_address").alias("method"), F.lit("high").alias("confidence"), F.round("m", 2).alias("distance_m")).unionByName(
         closest.select("activity", "s_id", "p_id", F.lit("nearest").alias("method"), F.lit("medium").alias("confidence"), F.round("m", 2).alias("distance_m"))
     )
-    by_rest = chosen.groupBy("activity", "s_id").agg(F.min(F.struct("p_id", "method", "confidence", "distance_m")).alias("f"))
+    by_rest = cut(chosen.groupBy("activity", "s_id").agg(F.min(F.struct("p_id", "method", "confidence", "distance_m")).alias("f")), "chosen")
+    # most pairs need no more than their cell; the others are compared over all cells, and with the choices of the rest
+    firsts, more = _first_inside(points, plain, by_rest.select("activity", "s_id"), narrow)
+    by_inside = (more if inside is None else more.unionByName(inside)).groupBy("activity", "s_id").agg(F.min("p_id").alias("p_inside"))
     theirs = F.struct(F.col("p_inside").alias("p_id"), F.lit("containing").alias("method"), F.lit("high").alias("confidence"), F.lit(0.0).alias("distance_m"))
     # an id is contained or not, so both sides never have the same one
     taken = F.when(F.col("p_inside").isNull() | (F.col("f.p_id") < F.col("p_inside")), F.col("f")).otherwise(theirs)
     keys = ["activity", "s_id"]
     theirs_of = by_inside.select(*[F.col(k).alias(f"i_{k}") for k in keys], "p_inside")
     every = theirs_of.join(by_rest, F.col("i_activity").eqNullSafe(F.col("activity")) & (F.col("i_s_id") == F.col("s_id")), "full_outer")
-    return every.select(*[F.coalesce(k, f"i_{k}").alias(k) for k in keys], taken.alias("f")).select(*keys, "f.*")
+    out = every.select(*[F.coalesce(k, f"i_{k}").alias(k) for k in keys], taken.alias("f")).select(*keys, "f.*")
+    return firsts.withColumnRenamed("p_id", "p_inside").select(*keys, theirs.alias("f")).select(*keys, "f.*").unionByName(out)
+
+
+def _plain(boxed: DataFrame, ring: str, width: float) -> tuple[DataFrame, DataFrame]:
+    """Buildings of one row that are their own boxes (s_id and sides) and are neither far wider than ``width`` nor far off; and all others (s_id, ring)."""
+    size = F.greatest(F.col("east") - F.col("west"), F.col("north") - F.col("south"))
+    near = reduce(Column.__and__, [F.abs(c) <= width * FAR for c in SIDES])
+    told = boxed.withColumn("_plain", F.coalesce(F.col("is_box") & near & (size <= width * 2.0**WIDEST), F.lit(False)))
+    several = boxed.groupBy("s_id").agg(F.count("*").alias("n")).where("n > 1 or s_id is null").select(F.col("s_id").alias("several"))
+    if not several.isEmpty():
+        told = told.join(several, F.col("s_id").eqNullSafe(F.col("several")), "left").withColumn("_plain", F.col("_plain") & F.col("several").isNull() & F.col("s_id").isNotNull()).drop("several")
+    return told.where("_plain").select("s_id", *SIDES), told.where("not _plain").select("s_id", ring)
+
+
+#: Boxes whose sides are further off than so many widths, or wider than 2 ** WIDEST of them, do not meet in cells of their own size;
+#: the cells of small ones are 2 ** -LEAST_LEVEL of it.
+FAR, WIDEST, LEAST_LEVEL = 1e9, 20, -4
+#: So many points of one activity and cell stand side by side in a row.
+ABREAST = 10
+#: Points times boxes of the cells that a task gets on average.
+TASK_PAIRS = 16_000_000
+
+
+def _first_inside(points: DataFrame, boxes: DataFrame, marked: DataFrame, width: float) -> tuple[DataFrame, DataFrame]:
+    """The points (activity, p_id, lon, lat) first to lie in boxes (s_id, west, south, east, north): two tables of activity, s_id, p_id.
+
+    A box lives in the one cell of about its size that its south-west corner lies in; a point goes to the four cells whose boxes
+    may reach it. So all points of an activity that a box can hold stand in one cell, side by side in one row if they are few: then the
+    first of them that lies in the box is the activity's, and no pairs are shuffled or grouped. The first table has
+    these, each activity and box once. Where more points of an activity share a cell, or ``marked`` (activity, s_id)
+    has a pair of the activity and a box of the cell, a pair may come several times: they are in the second table.
+    Cells are dealt into tasks by points times boxes; those of very many of both are dealt by activity.
+    """
+    unit = width * 1.02
+    wide = F.lit(unit) * F.pow(F.lit(2.0), F.col("level"))
+    home = lambda x, y: F.xxhash64("level", x, y)  # cells that share a hash meet in vain, no more
+    size = F.greatest(F.col("east") - F.col("west"), F.col("north") - F.col("south"))
+    homes = boxes.withColumn("level", F.greatest(F.ceil(F.log2(size * 1.01 / unit)).cast("int"), F.lit(LEAST_LEVEL)))
+    levels = [r["level"] for r in homes.select("level").distinct().collect()]  # WIDEST - LEAST_LEVEL + 1 at most
+    homes = homes.select("s_id", *[F.coalesce(c, F.lit(math.nan)).alias(c) for c in SIDES], home(F.floor(F.col("west") / wide), F.floor(F.col("south") / wide)).alias("home"))
+    at = points.where((F.abs("lon") <= width * FAR * 2) & (F.abs("lat") <= width * FAR * 2)).withColumn("level", F.explode(F.array(*map(F.lit, levels)).cast("array<int>")))
+    for d in ("dx", "dy"):
+        at = at.withColumn(d, F.explode(F.array(F.lit(0), F.lit(1))))
+    at = at.select("activity", "p_id", "lon", "lat", home(F.floor(F.col("lon") / wide) - F.col("dx"), F.floor(F.col("lat") / wide) - F.col("dy")).alias("home"))
+    # how many meet in a cell: where they are very many, activities are dealt over parts, and the points of an activity that has very many
+    work = at.groupBy("home").agg(F.count("*").alias("n")).join(homes.groupBy("home").agg(F.count("*").alias("boxes")), "home")
+    work = cut(work.select("home", "n", (F.col("n").cast("double") * F.col("boxes")).alias("pairs")), "homes")
+    rows, pairs = work.agg(F.sum("n"), F.sum("pairs")).first()
+    most_rows, most_pairs = max(PART_ROWS, (rows or 0) / MOST), max(TASK_PAIRS, (pairs or 0) / MOST)
+    tasks = max(points.sparkSession.sparkContext.defaultParallelism, math.ceil((rows or 0) / PART_ROWS), math.ceil((pairs or 0) / most_pairs))
+    heavy = work.select("home", F.ceil(F.greatest(F.col("n") / most_rows, F.col("pairs") / most_pairs)).cast("int").alias("_parts")).where("_parts > 1")
+    found = heavy.collect()  # 2 * MOST rows at most
+    marks = marked.join(homes.select("s_id", "home"), "s_id").select("activity", F.lit(None).cast(at.schema["p_id"].dataType).alias("p_id"), *[F.lit(math.nan).alias(c) for c in ("lon", "lat")], "home")
+    at, on, dealt_homes = at.unionByName(marks).withColumn("whole", F.lit(True)), ["home"], homes
+    if found:
+        hot = points.sparkSession.createDataFrame(found, heavy.schema)
+        heaps = at.join(F.broadcast(hot), "home").groupBy("home", "activity").agg(F.count("*").alias("n")).where(F.col("n") > most_rows).select(F.col("home").alias("h"), F.col("activity").alias("a"))
+        told = points.sparkSession.createDataFrame(heaps.collect(), heaps.schema)  # MOST rows at most
+        at = at.join(F.broadcast(told), (F.col("home") == F.col("h")) & F.col("activity").eqNullSafe(F.col("a")), "left").withColumn("whole", F.col("h").isNull()).drop("h", "a")
+        at, dealt_homes = deal(at, homes, on, [F.col("activity"), F.when(~F.col("whole"), F.col("p_id"))], hot)
+        on = ["home", "_part"]
+    wide = _abreast(at.repartition(tasks, *on), on)
+    dealt_homes = dealt_homes.repartition(tasks, *on).hint("shuffle_hash")  # a task keeps its boxes, and the rows stream past them cell by cell
+    meet_in = lambda rows: _first_of(rows.join(dealt_homes, on))
+    return meet_in(wide.where("alone")), meet_in(wide.where("not alone"))
+
+
+def _abreast(points: DataFrame, on: list[str]) -> DataFrame:
+    """Rows of up to ABREAST points (p_id_0, lon_0, lat_0, p_id_1, ...) of a cell and activity, by p_id; ``alone``: there is no other such row.
+
+    Points without a p_id are marks: an activity that has one in a cell is not alone there, nor is one whose points are not ``whole``.
+    Where there is no point, its place is not a number, so that a join tests places without a look for nulls.
+    """
+    order = Window.partitionBy(*on).orderBy("activity", F.col("p_id").asc_nulls_last())
+    rows = points.withColumns({"row": F.row_number().over(order), "behind": F.lag("activity").over(order)})
+    begins = (F.col("row") == 1) | ~F.col("behind").eqNullSafe(F.col("activity"))
+    until = order.rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("place", F.col("row") - F.last(F.when(begins, F.col("row")), ignorenulls=True).over(until)).drop("row", "behind")
+    rows = rows.withColumns({f"{c}_{i}": F.lead(c, i).over(order) for i in range(1, ABREAST + 1) for c in ("place", "p_id", "lon", "lat")})
+    rows = rows.where(F.col("p_id").isNotNull() & (F.col("place") % ABREAST == 0))
+    same = lambda i: F.coalesce(F.col(f"place_{i}") == F.col("place") + i, F.lit(False))
+    marked = reduce(Column.__or__, [same(i) & F.col(f"p_id_{i}").isNull() for i in range(1, ABREAST)])
+    out = {"p_id_0": F.col("p_id"), "lon_0": F.coalesce("lon", F.lit(math.nan)), "lat_0": F.coalesce("lat", F.lit(math.nan))}
+    for i in range(1, ABREAST):
+        out |= {f"p_id_{i}": F.when(same(i), F.col(f"p_id_{i}"))} | {f"{c}_{i}": F.coalesce(F.when(same(i), F.col(f"{c}_{i}")), F.lit(math.nan)) for c in ("lon", "lat")}
+    alone = F.col("whole") & (F.col("place") == 0) & ~same(ABREAST) & ~marked
+    return rows.select(*on, "activity", alone.alias("alone"), *[v.alias(k) for k, v in out.items()])
+
+
+def _first_of(met: DataFrame) -> DataFrame:
+    """activity, s_id and the first point of a row that lies in its box."""
+    first = F.coalesce(*[F.when(_in_box(F.col(f"lon_{i}"), F.col(f"lat_{i}")), F.col(f"p_id_{i}")) for i in range(ABREAST)])
+    return met.select("activity", "s_id", first.alias("p_id")).where("p_id is not null")
 
 
 def _around(low: str, high: str, step: float) -> Column:

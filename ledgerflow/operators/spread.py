@@ -42,11 +42,19 @@ def frequent(rows: DataFrame, *on: str, counts: DataFrame | None = None) -> Data
     return rows.sparkSession.createDataFrame(keys.collect(), keys.schema)
 
 
-def spread_join(rows: DataFrame, table: DataFrame, on: list[str], by: list[Column], how: str = "inner", hot: DataFrame | None = None) -> DataFrame:
-    """rows joined with table (one row per key); the rows of a frequent key are dealt by ``by``, table's row copied to each part."""
+def deal(rows: DataFrame, table: DataFrame, on: list[str], by: list[Column], hot: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+    """rows and table with a further key ``_part``: rows of a frequent key are dealt by ``by``, table's rows copied to each part."""
     if hot is None:
-        return rows.join(table, on, how)
+        return rows.withColumn("_part", F.lit(0)), table.withColumn("_part", F.lit(0))
     small = F.broadcast(hot)  # at most MOST rows
     left = rows.join(small, on, "left").withColumn("_part", F.when(F.col("_parts").isNull(), 0).otherwise(F.pmod(F.xxhash64(*by), F.col("_parts")).cast("int"))).drop("_parts")
     right = table.join(small, on, "left").withColumn("_part", F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1))).drop("_parts")
+    return left, right
+
+
+def spread_join(rows: DataFrame, table: DataFrame, on: list[str], by: list[Column], how: str = "inner", hot: DataFrame | None = None) -> DataFrame:
+    """rows joined with table (one row per key); the rows of a frequent key are dealt by ``by``, table's row copied to each part."""
+    if hot is None:
+        return rows.join(table, on, how)
+    left, right = deal(rows, table, on, by, hot)
     return left.join(right, [*on, "_part"], how).drop("_part")

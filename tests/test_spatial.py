@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import math
 import random
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerflow.operators import spatial, spread
@@ -139,3 +141,59 @@ def test_footprints_meet_few_buildings_of_a_crowded_cell(spark, monkeypatch):
     inside = [r for r in got if r.method == "containing"]
     assert {(r.activity, r.s_id, r.p_id) for r in inside} == {("a" if i % 2 else None, i, i) for i in range(0, 400) if i % 3 == 0} and len(got) == len({(r.activity, r.s_id) for r in got})
     assert max(steps) < 0.001
+
+
+def town(seed=7):
+    """Places and buildings with piles, heaps of one activity, rings that are no boxes, two boxes of one id, wide ones, no activity and no place."""
+    rnd = random.Random(seed)
+    at = lambda: rnd.uniform(0, 0.004)
+    buildings = [(i, square(at(), at(), 0.0005), "X" if i % 7 == 0 else None) for i in range(60)]
+    buildings += [(100 + i, square(at(), at(), 0.0005 * 3**i), None) for i in range(4)] + [(110, square(0.001, 0.001, 1e-6), None)]
+    buildings += [(120, square(0.0, 0.0, 0.0005), None), (120, square(0.0002, 0.0, 0.0005), None), (130, [[0.002, 0.002], [0.003, 0.002], [0.002, 0.003], [0.002, 0.002]], "X")]
+    places = [(f"a{rnd.randrange(40)}" if i % 9 else None, i, at(), at(), "X" if i % 3 == 0 else None) for i in range(400)]
+    places += [("pile", 1000 + i, 0.002, 0.002, None) for i in range(90)] + [(f"b{i}", 2000 + i, 0.001, 0.001, None) for i in range(90)]
+    places += [("a1", 3000, None, 0.001, None), ("a1", 3001, 0.001, float("nan"), None), ("a1", 3002, float("-inf"), 0.001, None)]
+    # a place beside and a place in a building, the one beside first
+    places += [("c", 4000, 0.0500, 0.0507, "Y"), ("c", 4001, 0.0502, 0.0502, None), ("d", 4002, 0.0502, 0.0502, None), ("d", 4003, 0.0500, 0.0507, "Y")]
+    return places, buildings + [(140, square(0.05, 0.05, 0.0005), "Y")]
+
+
+def belonging(places, buildings):
+    """activity and s_id to p_id and method, from all pairs."""
+    def holds(ring, x, y):
+        return sum((a[1] > y) != (b[1] > y) and x < (b[0] - a[0]) * (y - a[1]) / (b[1] - a[1]) + a[0] for a, b in zip(ring, ring[1:])) % 2 == 1
+
+    def apart(ring, x, y):
+        mx, my = ((min(p[i] for p in ring) + max(p[i] for p in ring)) / 2 for i in (0, 1))
+        h = math.sin(math.radians(y - my) / 2) ** 2 + math.cos(math.radians(y)) * math.cos(math.radians(my)) * math.sin(math.radians(x - mx) / 2) ** 2
+        return 2 * 6_371_000 * math.asin(math.sqrt(h))
+
+    out = {}
+    for activity, p, x, y, address in sorted(places, key=lambda r: r[1]):
+        if x is None or not (math.isfinite(x) and math.isfinite(y)):
+            continue
+        mine = [(s, "containing") for s, ring, _ in buildings if holds(ring, x, y)]
+        mine = mine or [(s, "same_address") for s, ring, a in buildings if a == address and a is not None and apart(ring, x, y) <= 150]
+        for s, method in mine:
+            out.setdefault((activity, s), (p, method))
+    return out
+
+
+@pytest.mark.parametrize("least", [None, 50])
+def test_first_places_of_crowded_buildings(spark, monkeypatch, least):
+    if least:  # cells, activities and points dealt over parts
+        monkeypatch.setattr(spatial, "PART_ROWS", least)
+        monkeypatch.setattr(spatial, "TASK_PAIRS", 20 * least)
+    places, buildings = town()
+    p = spark.createDataFrame(places, "activity string, p_id long, lon double, lat double, address string")
+    b = spark.createDataFrame(buildings, "s_id long, ring array<array<double>>, address string")
+    out = spatial.footprints(p, b, 0.003, nearest_m=0.001)
+    rows = out.collect()
+    want = belonging(places, buildings)
+    assert {(r.activity, r.s_id): (r.p_id, r.method) for r in rows} == want and len(rows) == len(want) > 500
+    assert want["c", 140] == (4000, "same_address") and want["d", 140] == (4002, "containing")
+    # places alone of their activity in a cell: what they are in is neither shuffled nor grouped
+    head = out._jdf.queryExecution().executedPlan().toString().partition("Join")
+    assert "Union" in head[0] and "Exchange" not in head[0] and "Inner" in head[2].split("\n")[0]
+    simple = spatial._first_inside(p.where("p_id >= 2000").select("activity", "p_id", "lon", "lat"), spatial._plain(spatial._boxed(b, "ring").withColumn("is_box", spatial._is_box(F.col("ring"))), "ring", 0.0005)[0], out.select("activity", "s_id").limit(0), 0.0005)
+    assert simple[0].count() > 90 and simple[1].count() == 0
